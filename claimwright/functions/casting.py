@@ -10,15 +10,14 @@ def lenient_double(df: DataFrame, name: str) -> Column:
     """The column as a double; what is not a number becomes NULL.
 
     Java's parser also takes a type suffix ("1.0f"), which is no number in a data
-    file, so a text ending that way is refused. NaN counts as missing.
+    file, so d and f are made unreadable first; an infinite value is refused with
+    them. NaN counts as missing. The column is referred to once, which keeps the
+    plans that build on it small.
     """
     column = F.col(name)
     if isinstance(df.schema[name].dataType, T.StringType):
-        tail = F.lower(F.substring(F.rtrim(column), -1, 1))
-        infinite = F.lower(F.rtrim(column)).endswith("inf")
-        column = F.when(~tail.isin("d", "f") | infinite, column)
-    number = column.try_cast("double")
-    return F.when(~F.isnan(number), number)
+        column = F.translate(column, "dDfF", "####")
+    return F.nanvl(column.try_cast("double"), F.lit(None).cast("double"))
 
 
 def lenient_long(df: DataFrame, name: str) -> Column:

@@ -189,12 +189,12 @@ def tail_summary(sample: DataFrame) -> DataFrame:
     """Percentiles of the average claim and the loss share of the costliest policies."""
     points = quantile_table(sample, ["AverageClaimSeverity"], V.AMOUNT_POINTS).select(
         F.concat(F.lit("Policy average severity: "), F.col("Point")).alias("Metric"), "Value")
-    losses = sample.select("IDpol", (-F.col("CompleteTotalClaimAmount")).alias("_key"))
+    losses = sample.select("IDpol", (-F.col("CompleteTotalClaimAmount")).alias("_place"))
     _, places = rows_at(
-        losses, "_key", "IDpol",
+        losses, "_place", "IDpol",
         lambda n: [max(1, math.ceil(n * s)) for s in V.TAIL_SHARES] if n else [])
-    row = losses.agg(F.sum("_key").alias("total"), *[
-        F.sum(F.when(not_after(F.col("_key"), F.col("IDpol"), p), F.col("_key"))).alias(f"s{i}")
+    row = losses.agg(F.sum("_place").alias("total"), *[
+        F.sum(F.when(not_after(F.col("_place"), F.col("IDpol"), p), F.col("_place"))).alias(f"s{i}")
         for i, p in enumerate(places)
     ])
     if not places:

@@ -196,9 +196,9 @@ def capacity_analysis(scored: DataFrame, model: str, capacities=tuple(V.CAPACITI
     aggregation.
     """
     mine = scored.filter(F.col("Model") == model).select(
-        "IDpol", "HasClaim", (-F.col("Score")).alias("_key"))
+        "IDpol", "HasClaim", (-F.col("Score")).alias("_place"))
     total, places = rows_at(
-        mine, "_key", "IDpol",
+        mine, "_place", "IDpol",
         lambda n: [max(1, math.ceil(n * c)) for c in capacities] if n else [])
     if not places:
         places = [(0.0, 0)] * len(capacities)
@@ -206,7 +206,7 @@ def capacity_analysis(scored: DataFrame, model: str, capacities=tuple(V.CAPACITI
         F.sum(F.col("HasClaim").cast("bigint")).alias("claims"), F.count("*").alias("n"),
         *[
             F.coalesce(F.sum(F.when(
-                not_after(F.col("_key"), F.col("IDpol"), place), F.col("HasClaim"))), F.lit(0)
+                not_after(F.col("_place"), F.col("IDpol"), place), F.col("HasClaim"))), F.lit(0)
             ).cast("bigint").alias(f"c{i}")
             for i, place in enumerate(places)
         ],

@@ -165,16 +165,16 @@ def rows_at(df: DataFrame, key: str, tie: str, ranks, pieces: int | None = None)
     inside = Window.partitionBy("_piece").orderBy(key, tie)
     chosen = (
         pieced.filter(F.col("_piece").isin(sorted({p for p, _ in places.values()})))
-        .withColumn("_place", F.row_number().over(inside))
+        .withColumn("_nth", F.row_number().over(inside))
         .filter(
-            F.struct("_piece", "_place").isin(
+            F.struct("_piece", "_nth").isin(
                 [F.struct(F.lit(p).cast("bigint"), F.lit(i).cast("int"))
                  for p, i in set(places.values())]
             )
         )
         .collect()
     )
-    at = {(r["_piece"], r["_place"]): (r[key], r[tie]) for r in chosen}
+    at = {(r["_piece"], r["_nth"]): (r[key], r[tie]) for r in chosen}
     return total, [at[places[rank]] for rank in wanted]
 
 

@@ -9,6 +9,7 @@ Scored rows have the columns Model, IDpol, HasClaim (0/1) and Score.
 import math
 
 import numpy as np
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from claimwright import vocabulary as V
@@ -143,30 +144,28 @@ def threshold_report(scored: DataFrame, selected: float) -> DataFrame:
     then summed from the top. Rows are not repeated per threshold.
     """
     grid = threshold_grid(selected)
-    steps = F.array(*[F.lit(t) for t in grid])
-    reached = F.size(F.filter(steps, lambda t: t <= F.col("Score")))
-    counted = scored.groupBy(reached.alias("k")).agg(
+    edges = Bucketizer(
+        splits=[-math.inf, *grid, math.inf], inputCol="Score", outputCol="_at",
+        handleInvalid="error")
+    counted = edges.transform(scored.select("Score", "HasClaim")).groupBy(
+        F.col("_at").cast("int").alias("k")).agg(
         F.count("*").alias("n"), F.sum(F.col("HasClaim").cast("bigint")).alias("pos"))
     # At most 52 rows from here on.
-    totals = counted.agg(*[
-        F.struct(
-            F.coalesce(F.sum(F.when(F.col("k") > i, F.col("n"))), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum(F.when(F.col("k") > i, F.col("pos"))), F.lit(0)).alias("hits"),
-        ).alias(f"t{i}")
-        for i in range(len(grid))
-    ], F.sum("n").alias("n_all"), F.sum("pos").alias("pos_all"))
-    rows = []
-    for i, t in enumerate(grid):
-        hits, chosen = F.col(f"t{i}.hits"), F.col(f"t{i}.rows")
-        precision = ratio_or_zero(hits, chosen)
-        recall = ratio_or_zero(hits, F.col("pos_all"))
-        rows.append(F.struct(
-            F.lit(t).alias("Threshold"), precision.alias("Precision"), recall.alias("Recall"),
-            f_score(precision, recall, 1.0).alias("F1Score"),
-            f_score(precision, recall, 2.0).alias("F2Score"),
-            ratio(chosen, F.col("n_all")).alias("PredictedPositiveRate"),
-        ))
-    return totals.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    points = ", ".join(
+        f"named_struct('Threshold', {t!r}D, 'rows', sum(if(k > {i}, n, 0)),"
+        f" 'hits', sum(if(k > {i}, pos, 0)))"
+        for i, t in enumerate(grid))
+    report = counted.agg(
+        F.expr(f"array({points})").alias("points"), F.sum("n").alias("n_all"),
+        F.sum("pos").alias("pos_all"),
+    ).select("n_all", "pos_all", F.explode("points").alias("p")).select("n_all", "pos_all", "p.*")
+    precision = ratio_or_zero(F.col("hits"), F.col("rows"))
+    recall = ratio_or_zero(F.col("hits"), F.col("pos_all"))
+    return report.select(
+        "Threshold", precision.alias("Precision"), recall.alias("Recall"),
+        f_score(precision, recall, 1.0).alias("F1Score"),
+        f_score(precision, recall, 2.0).alias("F2Score"),
+        ratio(F.col("rows"), F.col("n_all")).alias("PredictedPositiveRate"))
 
 
 def thresholds_between(report: DataFrame, low: float = 0.01, high: float = 0.20) -> DataFrame:
@@ -211,20 +210,18 @@ def capacity_analysis(scored: DataFrame, model: str, capacities=tuple(V.CAPACITI
             for i, place in enumerate(places)
         ],
     )
-    rows = []
-    for i, (capacity, place) in enumerate(zip(capacities, places)):
-        chosen = max(1, math.ceil(total * capacity))
-        precision = ratio(F.col(f"c{i}"), F.lit(chosen))
-        rows.append(F.struct(
-            F.lit(model).alias("Model"), F.lit(float(capacity)).alias("Capacity"),
-            F.lit(chosen).cast("bigint").alias("SelectedPolicies"),
-            F.col(f"c{i}").alias("SelectedClaims"),
-            precision.alias("PrecisionAtCapacity"),
-            ratio(F.col(f"c{i}"), F.col("claims")).alias("ClaimCaptureRate"),
-            ratio(precision, ratio(F.col("claims"), F.col("n"))).alias("Lift"),
-            F.lit(-float(place[0])).alias("ThresholdAtCapacity"),
-        ))
-    return row.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    levels = ", ".join(
+        f"named_struct('Capacity', {float(c)!r}D, 'SelectedPolicies', "
+        f"{max(1, math.ceil(total * c))}L, 'SelectedClaims', c{i}, "
+        f"'ThresholdAtCapacity', {-float(p[0])!r}D)"
+        for i, (c, p) in enumerate(zip(capacities, places)))
+    precision = ratio(F.col("SelectedClaims"), F.col("SelectedPolicies"))
+    return row.selectExpr("claims", "n", f"inline(array({levels}))").select(
+        F.lit(model).alias("Model"), "Capacity", "SelectedPolicies", "SelectedClaims",
+        precision.alias("PrecisionAtCapacity"),
+        ratio(F.col("SelectedClaims"), F.col("claims")).alias("ClaimCaptureRate"),
+        ratio(precision, ratio(F.col("claims"), F.col("n"))).alias("Lift"),
+        "ThresholdAtCapacity")
 
 
 def capacity_comparison(scored: DataFrame, models: list[str]) -> DataFrame:

@@ -208,34 +208,26 @@ def quantile_table(df: DataFrame, columns: list[str], points: list[tuple[float,
     Values are counted before the shuffle, so a frequent value is one row, and the
     order is built in pieces; no task holds all values of a column.
     """
-    long = df.select(
-        F.explode(
-            F.array(*[
-                F.struct(F.lit(c).alias("Variable"), F.col(c).cast("double").alias("value"))
-                for c in columns
-            ])
-        ).alias("v")
-    ).select("v.*").filter("value IS NOT NULL AND NOT isnan(value)")
+    pairs = ", ".join(
+        f"named_struct('Variable', '{c}', 'value', CAST({c} AS DOUBLE))" for c in columns)
+    long = df.selectExpr(f"inline(array({pairs}))").filter("value IS NOT NULL AND NOT isnan(value)")
     pieced = Pieces.fit(long, "value").assign(long, "value")
     before = offsets(pieced, {"n": F.lit(1)}, ["Variable"])
     values = pieced.groupBy("Variable", "_piece", "value").agg(F.count("*").alias("n"))
     placed = accumulate(values, before, ["value"], {"n": F.col("n")}, ["Variable"])
-    upto = F.col("n_before") + F.col("n")
-    found = []
-    for i, (share, _) in enumerate(points):
-        at = F.lit(float(share)) * (F.col("n_all") - 1)
-        found.append(F.min(F.when(upto > F.floor(at), F.col("value"))).alias(f"low{i}"))
-        found.append(F.min(F.when(upto > F.ceil(at), F.col("value"))).alias(f"high{i}"))
-    ends = placed.groupBy("Variable").agg(F.max("n_all").alias("n_all"), *found)
-    rows = []
+    # Per point: the values standing at the two ranks around it, then the line between.
+    found, rows = [], []
     for i, (share, label) in enumerate(points):
-        at = F.lit(float(share)) * (F.col("n_all") - 1)
-        rows.append(F.struct(
-            F.lit(i).alias("Position"), F.lit(label).alias("Point"),
-            (F.col(f"low{i}")
-             + (F.col(f"high{i}") - F.col(f"low{i}")) * (at - F.floor(at))).alias("Value"),
-        ))
-    return ends.select("Variable", F.explode(F.array(*rows)).alias("p")).select("Variable", "p.*")
+        at = f"({float(share)!r}D * (n_all - 1))"
+        for name, way in (("low", "floor"), ("high", "ceil")):
+            found.append(
+                f"min(CASE WHEN n_before + n > {way}({at}) THEN value END) AS {name}{i}")
+        rows.append(
+            f"named_struct('Position', {i}, 'Point', '{label}', "
+            f"'Value', low{i} + (high{i} - low{i}) * ({at} - floor({at})))")
+    ends = placed.groupBy("Variable").agg(
+        F.max("n_all").alias("n_all"), *[F.expr(e) for e in found])
+    return ends.selectExpr("Variable", f"inline(array({', '.join(rows)}))")
 
 
 def quantiles(df: DataFrame, column: str, shares: list[float]) -> list[float]:

@@ -24,10 +24,13 @@ _plans: dict[tuple, preparation.Prepared] = {}
 
 
 def shown(df: DataFrame) -> DataFrame:
-    """Doubles rounded so that two engines adding in another order agree."""
+    """Doubles rounded so that two engines adding in another order agree.
+
+    A small amount is added first: ratios of amounts often lie exactly halfway.
+    """
     def rounded(name):
         c = F.col(f"`{name}`")
-        return F.when(F.abs(c) >= 1e5, F.round(c, 2)).otherwise(F.round(c, 6)) + F.lit(0.0)
+        return F.when(F.abs(c) >= 1e5, F.round(c + 1.3e-5, 2)).otherwise(F.round(c + 1.3e-9, 6)) + 0.0
 
     return df.select(*[
         rounded(f.name).alias(f.name) if isinstance(f.dataType, T.DoubleType)

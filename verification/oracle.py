@@ -30,8 +30,8 @@ def sql(body: str) -> str:
 def r(expression: str, name: str) -> str:
     """A double, rounded like the query's output."""
     x = f"({expression})"
-    return (f"CASE WHEN abs({x}) >= 1e5 THEN round({x}, 2) ELSE round({x}, 6) END + 0e0"
-            f" AS {name}")
+    return (f"CASE WHEN abs({x}) >= 1e5 THEN round({x} + 1.3e-5, 2)"
+            f" ELSE round({x} + 1.3e-9, 6) END + 0e0 AS {name}")
 
 
 def rounded(inner: str, *doubles: str, order: str = "") -> str:
@@ -948,10 +948,11 @@ _GRID_DOUBLES = ["Threshold", "Precision", "Recall", "F1Score", "F2Score",
 ORACLE["threshold_grid"] = rounded(_GRID_REPORT, *_GRID_DOUBLES)
 ORACLE["thresholds_in_range"] = rounded(
     f"SELECT * FROM ({_GRID_REPORT}) WHERE Threshold BETWEEN 0.01 AND 0.20", *_GRID_DOUBLES)
+_BIN = " + ".join(f"CAST(Score > e[{i}] AS INT)" for i in range(1, 10))
 _EDGES = "(SELECT quantile_cont(Score, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS e" \
          f" FROM occ_scores WHERE Model = '{BOOSTING}')"
 ORACLE["quantile_calibration"] = rounded(
-    f"""SELECT Model, CAST(len(list_filter(e, x -> x < Score)) AS INT) AS Bin,
+    f"""SELECT Model, {_BIN} AS Bin,
         count(*) AS Policies, avg(Score) AS MeanPredictedProbability,
         avg(HasClaim) AS ObservedClaimRate
         FROM occ_scores CROSS JOIN {_EDGES} WHERE Model = '{BOOSTING}' GROUP BY 1, 2""",

@@ -221,10 +221,15 @@ def require_counts(tables: dict[str, DataFrame], expected: dict[str, int]) -> No
         raise ValueError(f"Row counts (found, expected) differ: {wrong}")
 
 
+def problem_counts(df: DataFrame, problems: dict[str, str]) -> DataFrame:
+    """Rows showing each named problem, from one pass."""
+    row = df.agg(*[count_if(F.expr(rule)).alias(name) for name, rule in problems.items()])
+    return long_report(row, ("Problem", "Rows"), [(name, F.col(name)) for name in problems])
+
+
 def require_none(df: DataFrame, problems: dict[str, str], what: str) -> DataFrame:
-    """Raises when any row shows one of the named problems; one pass over the rows."""
-    row = df.agg(*[count_if(F.expr(rule)).alias(name) for name, rule in problems.items()]).first()
-    bad = {name: row[name] for name in problems if row[name]}
+    """Raises when any row shows one of the named problems."""
+    bad = {r["Problem"]: r["Rows"] for r in problem_counts(df, problems).collect() if r["Rows"]}
     if bad:
         raise ValueError(f"{what} is unfit for modelling: {bad}")
     return df

@@ -71,32 +71,38 @@ def severity_sample(rows: DataFrame) -> DataFrame:
     return ranked.withColumn("SeverityStratum", F.col("_decile") - 1).drop("_decile")
 
 
+# Conditions that make a sample unfit, by name.
+OCCURRENCE_PROBLEMS = {
+    "target_not_zero_or_one": "NOT coalesce(HasClaim IN (0, 1), false)",
+    "exposure_missing_or_not_positive": "NOT coalesce(Exposure > 0, false)",
+    "density_negative": "Density < 0",
+}
+FREQUENCY_PROBLEMS = {
+    "exposure_missing_or_not_positive": "NOT coalesce(Exposure > 0, false)",
+    "claims_missing_or_negative": "NOT coalesce(ClaimNb >= 0, false)",
+    "density_negative": "Density < 0",
+}
+SEVERITY_PROBLEMS = {
+    "claims_missing_or_not_positive": "NOT coalesce(ClaimNb > 0, false)",
+    "total_missing_or_not_positive": "NOT coalesce(CompleteTotalClaimAmount > 0, false)",
+    "average_missing_or_not_positive": "NOT coalesce(CompleteAverageClaimAmount > 0, false)",
+    "density_negative": "Density < 0",
+    "average_does_not_reconcile": (
+        "abs(AverageClaimSeverity - CompleteAverageClaimAmount)"
+        " > 1e-6 + 1e-8 * abs(CompleteAverageClaimAmount)"),
+}
+
+
 def check_occurrence(sample: DataFrame) -> DataFrame:
-    return require_none(sample, {
-        "target_not_zero_or_one": "NOT coalesce(HasClaim IN (0, 1), false)",
-        "exposure_missing_or_not_positive": "NOT coalesce(Exposure > 0, false)",
-        "density_negative": "Density < 0",
-    }, "The occurrence sample")
+    return require_none(sample, OCCURRENCE_PROBLEMS, "The occurrence sample")
 
 
 def check_frequency(sample: DataFrame) -> DataFrame:
-    return require_none(sample, {
-        "exposure_missing_or_not_positive": "NOT coalesce(Exposure > 0, false)",
-        "claims_missing_or_negative": "NOT coalesce(ClaimNb >= 0, false)",
-        "density_negative": "Density < 0",
-    }, "The frequency sample")
+    return require_none(sample, FREQUENCY_PROBLEMS, "The frequency sample")
 
 
 def check_severity(sample: DataFrame) -> DataFrame:
-    return require_none(sample, {
-        "claims_missing_or_not_positive": "NOT coalesce(ClaimNb > 0, false)",
-        "total_missing_or_not_positive": "NOT coalesce(CompleteTotalClaimAmount > 0, false)",
-        "average_missing_or_not_positive": "NOT coalesce(CompleteAverageClaimAmount > 0, false)",
-        "density_negative": "Density < 0",
-        "average_does_not_reconcile": (
-            "abs(AverageClaimSeverity - CompleteAverageClaimAmount)"
-            " > 1e-6 + 1e-8 * abs(CompleteAverageClaimAmount)"),
-    }, "The severity sample")
+    return require_none(sample, SEVERITY_PROBLEMS, "The severity sample")
 
 
 def _number(value: float) -> str:

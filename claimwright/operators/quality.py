@@ -7,7 +7,7 @@ from claimwright.functions.casting import holds, lenient_double, whole
 from claimwright.functions.measures import count_if, percent, ratio
 from claimwright.operators.portfolio import with_share
 from claimwright.operators.ranking import quantile_table
-from claimwright.operators.reconcile import outer_counts, unknown_claim_ids
+from claimwright.operators.reconcile import claim_counts, outer_counts, unknown_claim_ids
 from claimwright.operators.shaping import long_report, stacked
 
 
@@ -125,7 +125,7 @@ def validity_checks(frequency: DataFrame, severity: DataFrame) -> DataFrame:
 def raw_consistency(frequency: DataFrame, severity: DataFrame) -> DataFrame:
     """Raw ids of either table with their counts and difference."""
     whole_counts = frequency.withColumn("ClaimNb", F.col("ClaimNb").cast("bigint"))
-    return outer_counts(whole_counts, severity).withColumn(
+    return outer_counts(whole_counts, claim_counts(severity)).withColumn(
         "CountDifference", F.expr("ClaimNb - SeverityRowCount"))
 
 

@@ -41,13 +41,13 @@ def _status(unmatched: Column | None) -> Column:
     return status.otherwise(V.UNCLASSIFIED)
 
 
-def outer_counts(policies: DataFrame, claims: DataFrame) -> DataFrame:
+def outer_counts(policies: DataFrame, counts: DataFrame) -> DataFrame:
     """Ids of either table with both counts and the side they came from.
 
-    Claims are counted first, so both sides hold one row per id and no id is hot.
+    Claims come counted per id, so no id is hot in the join.
     """
     left = policies.select("IDpol", "ClaimNb", F.lit(True).alias("_left"))
-    right = claim_counts(claims).withColumn("_right", F.lit(True))
+    right = counts.select("IDpol", "SeverityRowCount", F.lit(True).alias("_right"))
     return left.join(right, "IDpol", "full_outer").select(
         "IDpol",
         F.coalesce("ClaimNb", F.lit(0)).cast("bigint").alias("ClaimNb"),
@@ -59,9 +59,12 @@ def outer_counts(policies: DataFrame, claims: DataFrame) -> DataFrame:
     )
 
 
-def claim_count_audit(policies: DataFrame, claims: DataFrame) -> DataFrame:
-    """Every id of either table with its counts, difference and audit status."""
-    return outer_counts(policies, claims).withColumns(
+def claim_count_audit(policies: DataFrame, counts: DataFrame) -> DataFrame:
+    """Every id of either table with its counts, difference and audit status.
+
+    `counts` holds claim rows per id, as severity_by_policy or claim_counts gives them.
+    """
+    return outer_counts(policies, counts).withColumns(
         {
             "ClaimCountDifference": F.expr("ClaimNb - SeverityRowCount"),
             "ClaimCountMatch": F.expr("ClaimNb = SeverityRowCount"),
@@ -139,7 +142,7 @@ def _claims_by_policy_match(claims: DataFrame, policies: DataFrame, how: str) ->
         claim_counts(claims).orderBy(F.desc("SeverityRowCount"), "IDpol").limit(HOT_IDS)
         .select("IDpol")
     )
-    known_hot = hot.join(ids, "IDpol", "left_semi")
+    known_hot = ids.join(F.broadcast(hot), "IDpol", "left_semi")
     busy = claims.join(F.broadcast(hot), "IDpol", "left_semi")
     rest = claims.join(F.broadcast(hot), "IDpol", "left_anti")
     return busy.join(F.broadcast(known_hot), "IDpol", how).unionByName(

@@ -8,6 +8,7 @@ from claimwright import vocabulary as V
 from claimwright.functions.measures import clipped
 from claimwright.operators import audit, boosting, features, models, sampling
 from claimwright.session import stage
+from claimwright.sources import store
 
 COLUMNS = {
     V.BASELINE_FREQUENCY: "BaselinePredictedFrequency",
@@ -32,8 +33,8 @@ class FrequencyRun:
     rows: DataFrame
 
     def selected_scores(self) -> DataFrame:
-        return self.scored.filter(
-            (F.col("Sample") == "Test") & (F.col("Model") == self.selected))
+        test = self.scored.filter("Sample = 'Test'")
+        return long_scores(test).filter(F.col("Model") == self.selected)
 
     def reports(self) -> dict[str, DataFrame]:
         chosen = self.selected_scores()
@@ -50,31 +51,37 @@ class FrequencyRun:
 
     def predictions(self) -> DataFrame:
         """Test policies with every model's frequency and the expected claims."""
-        test = self.scored.filter("Sample = 'Test'")
-        wide = test.groupBy("IDpol", "Exposure", "ClaimNb").agg(*[
-            F.max(F.when(F.col("Model") == m, clipped(F.col("PredictedFrequency")))).alias(c)
-            for m, c in COLUMNS.items()])
         chosen = F.col(COLUMNS[self.selected])
-        return wide.withColumns({
-            "ObservedFrequency": F.col("ClaimNb") / F.col("Exposure"),
-            "SelectedModel": F.lit(self.selected),
-            "SelectedPredictedFrequency": chosen,
-            "SelectedExpectedClaims": chosen * F.col("Exposure"),
-        })
-
-
-def scores(rows: DataFrame, fitted: dict, baseline: float) -> DataFrame:
-    """Long scored rows of all models, keyed by id."""
-    kept = [
-        "Model", "Sample", "IDpol", "Exposure", "ClaimNb", "Area", "VehGas", "DrivAge",
-        "VehAge", "BonusMalus", "PredictedFrequency",
-    ]
-    out = rows.withColumns({
-        "Model": F.lit(V.BASELINE_FREQUENCY), "PredictedFrequency": F.lit(baseline)}).select(kept)
+        return self.scored.filter("Sample = 'Test'").select(
+            "IDpol", "Exposure", "ClaimNb",
+            F.col("ClaimFrequency").alias("ObservedFrequency"), *COLUMNS.values(),
+            F.lit(self.selected).alias("SelectedModel"),
+            chosen.alias("SelectedPredictedFrequency"),
+            (chosen * F.col("Exposure")).alias("SelectedExpectedClaims"))
+
+    def publish(self, folder: str, kind: str = "csv") -> None:
+        """Writes all report tables, the test predictions and the models."""
+        store.write_tables(self.reports(), folder, kind)
+        store.write_table(self.predictions(), folder, "predictions", kind)
+        for name, model in self.models.items():
+            model.save(f"{folder}/models/{name.replace(' ', '_').lower()}")
+
+
+def score(rows: DataFrame, fitted: dict, baseline: float) -> DataFrame:
+    """Rows with one prediction column per model, in one pass and keyed by id."""
+    out = rows.withColumn(COLUMNS[V.BASELINE_FREQUENCY], F.lit(baseline))
     for name, model in fitted.items():
-        out = out.unionByName(
-            model.score(rows, "PredictedFrequency").withColumn("Model", F.lit(name)).select(kept))
-    return out
+        out = model.score(out, COLUMNS[name])
+    return out.withColumns({c: clipped(F.col(c)) for c in COLUMNS.values()})
+
+
+def long_scores(scored: DataFrame) -> DataFrame:
+    """One row per policy and model."""
+    pairs = F.array(*[
+        F.struct(F.lit(n).alias("Model"), F.col(c).alias("PredictedFrequency"))
+        for n, c in COLUMNS.items()])
+    return scored.select(
+        *[c for c in scored.columns if c not in COLUMNS.values()], F.inline(pairs))
 
 
 def train(rows: DataFrame, rounds: int = 300) -> FrequencyRun:
@@ -89,8 +96,8 @@ def train(rows: DataFrame, rounds: int = 300) -> FrequencyRun:
             replace(boosting.FREQUENCY_SETTINGS, rounds=rounds)),
     }
     scored = stage(
-        scores(rows.filter("Sample <> 'Training'"), fitted, baseline), "frequency-scores")
-    metrics = audit.frequency_metrics(scored)
+        score(rows.filter("Sample <> 'Training'"), fitted, baseline), "frequency-scores")
+    metrics = audit.frequency_metrics(long_scores(scored))
     validation = metrics.filter("Sample = 'Validation'")
     best = audit.select_frequency(validation).first()["Model"]
     return FrequencyRun(

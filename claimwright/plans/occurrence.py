@@ -9,6 +9,7 @@ from claimwright.functions.bands import with_bands
 from claimwright.operators import audit, curves, features, models, sampling
 from claimwright.operators.importance import permutation_importance
 from claimwright.session import stage
+from claimwright.sources import store
 
 
 def split(policy: DataFrame) -> DataFrame:
@@ -17,17 +18,26 @@ def split(policy: DataFrame) -> DataFrame:
     return stage(sampling.stratified_split(sample, "HasClaim"), "occurrence-split")
 
 
-def scores(rows: DataFrame, fitted: dict, target: str = "HasClaim") -> DataFrame:
-    """Long scored rows: one per model, keyed by id."""
-    out = None
+PROBABILITIES = {V.LOGISTIC: "LogisticProbability", V.BOOSTING: "GradientBoostingProbability"}
+
+
+def score(rows: DataFrame, fitted: dict) -> DataFrame:
+    """Rows with one probability column per model, in one pass and keyed by id."""
+    out = rows.select(
+        "Sample", "IDpol", "HasClaim", "Exposure", *V.OCCURRENCE_NUMBERS, *V.MODEL_TEXTS)
     for name, model in fitted.items():
-        one = model.score(rows, "Score").select(
-            F.lit(name).alias("Model"), "Sample", "IDpol", "Exposure", target, "Area", "VehGas",
-            "DrivAge", "Score")
-        out = one if out is None else out.unionByName(one)
+        out = model.score(out, PROBABILITIES[name])
     return out
 
 
+def long_scores(scored: DataFrame, names: list[str]) -> DataFrame:
+    """One row per policy and model."""
+    pairs = F.array(*[
+        F.struct(F.lit(n).alias("Model"), F.col(PROBABILITIES[n]).alias("Score")) for n in names])
+    return scored.select(
+        "Sample", "IDpol", "HasClaim", "Area", "VehGas", "DrivAge", F.inline(pairs))
+
+
 @dataclass
 class Comparison:
     """Fitted models, scores, thresholds, and the audit tables built from them."""
@@ -40,7 +50,7 @@ class Comparison:
     selected: str
 
     def test_scores(self) -> DataFrame:
-        return self.scored.filter("Sample = 'Test'")
+        return long_scores(self.scored.filter("Sample = 'Test'"), list(self.models))
 
     def selected_scores(self) -> DataFrame:
         return self.test_scores().filter(F.col("Model") == self.selected)
@@ -64,17 +74,21 @@ class Comparison:
 
     def predictions(self) -> DataFrame:
         """Test policies with both probabilities and the selected model's decision."""
-        by_model = [
-            ("LogisticProbability", V.LOGISTIC), ("GradientBoostingProbability", V.BOOSTING)]
-        wide = self.test_scores().groupBy("IDpol", "Exposure", "HasClaim").agg(*[
-            F.max(F.when(F.col("Model") == m, F.col("Score"))).alias(c) for c, m in by_model])
-        column = next(c for c, m in by_model if m == self.selected)
-        return wide.withColumns({
-            "SelectedModel": F.lit(self.selected),
-            "SelectedModelProbability": F.col(column),
-            "SelectedModelPrediction": (
-                F.col(column) >= self.thresholds[self.selected]).cast("int"),
-        })
+        chosen = F.col(PROBABILITIES[self.selected])
+        return self.scored.filter("Sample = 'Test'").select(
+            "IDpol", "Exposure", "HasClaim", *[PROBABILITIES[m] for m in self.models],
+            F.lit(self.selected).alias("SelectedModel"),
+            chosen.alias("SelectedModelProbability"),
+            (chosen >= self.thresholds[self.selected]).cast("int").alias(
+                "SelectedModelPrediction"))
+
+    def publish(self, folder: str, rows: DataFrame, kind: str = "csv") -> None:
+        """Writes all report tables, the test predictions and the models."""
+        store.write_tables(
+            {**self.reports(), "permutation_importance": self.importance(rows)}, folder, kind)
+        store.write_table(self.predictions(), folder, "predictions", kind)
+        for name, model in self.models.items():
+            model.save(f"{folder}/models/{name.replace(' ', '_').lower()}")
 
 
 def with_age_band(scored: DataFrame) -> DataFrame:
@@ -91,13 +105,14 @@ def compare(rows: DataFrame, rounds: int = 250, fitted: dict | None = None) -> C
         V.BOOSTING: models.fit_tree_classifier(train, rounds=rounds),
     }
     scored = stage(
-        scores(labelled.filter("Sample <> 'Training'"), fitted), "occurrence-scores")
-    validation = scored.filter("Sample = 'Validation'")
+        score(labelled.filter("Sample <> 'Training'"), fitted), "occurrence-scores")
+    long = long_scores(scored, list(fitted))
+    validation = long.filter("Sample = 'Validation'")
     curve = curves.threshold_curve(curves.score_steps(validation))
     thresholds = {m: t for m, (t, _) in curves.best_thresholds(curve).items()}
     at = curves.per_model(thresholds)
     measured = {
-        s: curves.occurrence_metrics(scored.filter(F.col("Sample") == s), at).withColumn(
+        s: curves.occurrence_metrics(long.filter(F.col("Sample") == s), at).withColumn(
             "Sample", F.lit(s)).drop("NegativePredictiveValue")
         for s in ("Validation", "Test")
     }
@@ -115,6 +130,12 @@ class LogisticRun:
     reports: dict[str, DataFrame]
     predictions: DataFrame
 
+    def publish(self, folder: str, kind: str = "csv") -> None:
+        """Writes all report tables, the test predictions and the model."""
+        store.write_tables(self.reports, folder, kind)
+        store.write_table(self.predictions, folder, "predictions", kind)
+        self.model.save(f"{folder}/models/logistic")
+
 
 SELECTED = f"{V.LOGISTIC} — selected threshold"
 DEFAULT = f"{V.LOGISTIC} — threshold 0.50"
@@ -124,24 +145,25 @@ def train_logistic(rows: DataFrame) -> LogisticRun:
     """Fits on Training, picks the F2 threshold on Validation, measures on Test."""
     train = rows.filter("Sample = 'Training'")
     model = models.fit_logistic(train)
-    scored = stage(scores(
-        rows.filter("Sample <> 'Training'"), {V.LOGISTIC: model}), "logistic-scores")
-    curve = curves.threshold_curve(curves.score_steps(scored.filter("Sample = 'Validation'")))
+    scored = stage(
+        score(rows.filter("Sample <> 'Training'"), {V.LOGISTIC: model}), "logistic-scores")
+    long = long_scores(scored, [V.LOGISTIC])
+    curve = curves.threshold_curve(curves.score_steps(long.filter("Sample = 'Validation'")))
     threshold = curves.best_thresholds(curve)[V.LOGISTIC][0]
-    test = scored.filter("Sample = 'Test'")
+    test = long.filter("Sample = 'Test'")
     base = models.claim_rate(train)
     variants = {V.BASELINE_OCCURRENCE: 0.5, DEFAULT: 0.5, SELECTED: threshold}
-    parts = [
-        test.withColumns({
-            "Model": F.lit(name),
-            "Score": F.lit(base) if name == V.BASELINE_OCCURRENCE else F.col("Score")})
+    probability = F.col(PROBABILITIES[V.LOGISTIC])
+    cases = test.select("IDpol", "HasClaim", F.inline(F.array(*[
+        F.struct(
+            F.lit(name).alias("Model"),
+            (F.lit(base) if name == V.BASELINE_OCCURRENCE else F.col("Score")).alias("Score"))
         for name in variants
-    ]
-    cases = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    predictions = test.select(
-        "IDpol", "Exposure", "HasClaim", F.col("Score").alias("PredictedClaimProbability"),
-        (F.col("Score") >= 0.5).cast("int").alias("PredictedClaimDefaultThreshold"),
-        (F.col("Score") >= threshold).cast("int").alias("PredictedClaimSelectedThreshold"))
+    ])))
+    predictions = scored.filter("Sample = 'Test'").select(
+        "IDpol", "Exposure", "HasClaim", probability.alias("PredictedClaimProbability"),
+        (probability >= 0.5).cast("int").alias("PredictedClaimDefaultThreshold"),
+        (probability >= threshold).cast("int").alias("PredictedClaimSelectedThreshold"))
     return LogisticRun(model, threshold, {
         "split_summary": sampling.occurrence_split_summary(rows),
         "validation_threshold_results": curve,

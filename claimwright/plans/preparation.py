@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from claimwright import vocabulary as V
 from claimwright.operators import clean, contracts, portfolio, quality, reconcile
+from claimwright.session import stage
 from claimwright.sources import store
 
 
@@ -45,27 +46,37 @@ class Prepared:
         }
 
 
-def prepare(raw_frequency: DataFrame, raw_severity: DataFrame) -> Prepared:
-    """The preparation plan over two raw tables."""
+def prepare(
+    raw_frequency: DataFrame, raw_severity: DataFrame, keep=lambda df, label: df
+) -> Prepared:
+    """The preparation plan over two raw tables.
+
+    `keep` may write a step's rows and read them back (see session.stage); by default
+    every table is one lazy plan from the raw rows.
+    """
     contracts.require_columns(raw_frequency, V.FREQUENCY_COLUMNS, "The frequency table")
     contracts.require_columns(raw_severity, V.SEVERITY_COLUMNS, "The severity table")
-    frequency, severity = clean.clean_frequency(raw_frequency), clean.clean_severity(raw_severity)
+    frequency = keep(clean.clean_frequency(raw_frequency), "frequency-clean")
+    severity = keep(clean.clean_severity(raw_severity), "severity-clean")
     policies, claims = clean.valid_frequency(frequency), clean.valid_severity(severity)
-    by_policy = reconcile.severity_by_policy(claims)
+    by_policy = keep(reconcile.severity_by_policy(claims), "severity-by-policy")
     return Prepared(
         frequency, severity, by_policy,
-        reconcile.claim_count_audit(policies, claims),
-        reconcile.policy_analytics(policies, by_policy),
+        keep(reconcile.claim_count_audit(policies, by_policy), "claim-count-audit"),
+        keep(reconcile.policy_analytics(policies, by_policy), "policy-analytics"),
     )
 
 
 def run(raw_frequency: DataFrame, raw_severity: DataFrame, folder: str,
         kind: str = "parquet") -> Prepared:
-    """Prepares, checks, then writes all seven tables. Nothing is written when a
-    check does not pass."""
+    """Prepares, checks, then writes all seven tables to the folder.
+
+    Each step is worked out once, on shared storage. When a check does not pass,
+    nothing is written to the folder.
+    """
     contracts.require_rows(raw_frequency, "The frequency table")
     contracts.require_rows(raw_severity, "The severity table")
-    prepared = prepare(raw_frequency, raw_severity)
+    prepared = prepare(raw_frequency, raw_severity, stage)
     contracts.require_unique(prepared.policies, "The valid frequency data")
     contracts.enforce(contracts.output_checks(prepared.policy, prepared.audit))
     store.write_tables(prepared.tables(), folder, kind)

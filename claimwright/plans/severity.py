@@ -8,6 +8,7 @@ from claimwright import vocabulary as V
 from claimwright.functions.measures import clipped
 from claimwright.operators import audit, boosting, features, models, sampling
 from claimwright.session import stage
+from claimwright.sources import store
 
 COLUMNS = {
     V.BASELINE_SEVERITY: "BaselinePredictedSeverity",
@@ -33,8 +34,8 @@ class SeverityRun:
     rows: DataFrame
 
     def selected_scores(self) -> DataFrame:
-        return self.scored.filter(
-            (F.col("Sample") == "Test") & (F.col("Model") == self.selected))
+        test = self.scored.filter("Sample = 'Test'")
+        return long_scores(test).filter(F.col("Model") == self.selected)
 
     def reports(self) -> dict[str, DataFrame]:
         chosen = self.selected_scores()
@@ -54,32 +55,36 @@ class SeverityRun:
 
     def predictions(self) -> DataFrame:
         """Test policies with every model's severity and the expected amount."""
-        test = self.scored.filter("Sample = 'Test'")
-        keys = ["IDpol", "ClaimNb", "CompleteTotalClaimAmount", "AverageClaimSeverity"]
-        wide = test.groupBy(*keys).agg(*[
-            F.max(F.when(F.col("Model") == m, clipped(F.col("PredictedSeverity")))).alias(c)
-            for m, c in COLUMNS.items()])
         chosen = F.col(COLUMNS[self.selected])
-        return wide.withColumns({
-            "SelectedModel": F.lit(self.selected),
-            "SelectedPredictedSeverity": chosen,
-            "SelectedPredictedClaimAmount": chosen * F.col("ClaimNb"),
-        })
-
-
-def scores(rows: DataFrame, fitted: dict, baseline: float) -> DataFrame:
-    """Long scored rows of all models, keyed by id."""
-    kept = [
-        "Model", "Sample", "IDpol", "ClaimNb", "CompleteTotalClaimAmount",
-        "AverageClaimSeverity", "Area", "VehPower", "VehAge", "DrivAge", "BonusMalus",
-        "VehBrand", "VehGas", "Region", "PredictedSeverity",
-    ]
-    out = rows.withColumns({
-        "Model": F.lit(V.BASELINE_SEVERITY), "PredictedSeverity": F.lit(baseline)}).select(kept)
+        return self.scored.filter("Sample = 'Test'").select(
+            "IDpol", "ClaimNb", "CompleteTotalClaimAmount", "AverageClaimSeverity",
+            *COLUMNS.values(), F.lit(self.selected).alias("SelectedModel"),
+            chosen.alias("SelectedPredictedSeverity"),
+            (chosen * F.col("ClaimNb")).alias("SelectedPredictedClaimAmount"))
+
+    def publish(self, folder: str, kind: str = "csv") -> None:
+        """Writes all report tables, the test predictions and the models."""
+        store.write_tables(self.reports(), folder, kind)
+        store.write_table(self.predictions(), folder, "predictions", kind)
+        for name, model in self.models.items():
+            model.save(f"{folder}/models/{name.replace(' ', '_').lower()}")
+
+
+def score(rows: DataFrame, fitted: dict, baseline: float) -> DataFrame:
+    """Rows with one prediction column per model, in one pass and keyed by id."""
+    out = rows.withColumn(COLUMNS[V.BASELINE_SEVERITY], F.lit(baseline))
     for name, model in fitted.items():
-        out = out.unionByName(
-            model.score(rows, "PredictedSeverity").withColumn("Model", F.lit(name)).select(kept))
-    return out
+        out = model.score(out, COLUMNS[name])
+    return out.withColumns({c: clipped(F.col(c)) for c in COLUMNS.values()})
+
+
+def long_scores(scored: DataFrame) -> DataFrame:
+    """One row per policy and model."""
+    pairs = F.array(*[
+        F.struct(F.lit(n).alias("Model"), F.col(c).alias("PredictedSeverity"))
+        for n, c in COLUMNS.items()])
+    return scored.select(
+        *[c for c in scored.columns if c not in COLUMNS.values()], F.inline(pairs))
 
 
 def train(rows: DataFrame, rounds: int = 300) -> SeverityRun:
@@ -94,8 +99,8 @@ def train(rows: DataFrame, rounds: int = 300) -> SeverityRun:
             replace(boosting.SEVERITY_SETTINGS, rounds=rounds)),
     }
     scored = stage(
-        scores(rows.filter("Sample <> 'Training'"), fitted, baseline), "severity-scores")
-    metrics = audit.severity_metrics(scored)
+        score(rows.filter("Sample <> 'Training'"), fitted, baseline), "severity-scores")
+    metrics = audit.severity_metrics(long_scores(scored))
     validation = metrics.filter("Sample = 'Validation'")
     best = audit.select_severity(validation).first()["Model"]
     return SeverityRun(

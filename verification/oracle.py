@@ -1161,6 +1161,33 @@ ORACLE["largest_errors"] = rounded(
 ORACLE["severity_histogram"] = _histogram(
     "SELECT AverageClaimSeverity AS x FROM severity_sample", "log10(x)", 59, "pow(10e0, {})")
 
+
+
+def _problems(table: str, problems: dict[str, str]) -> str:
+    return sql(" UNION ALL ".join(
+        f"""SELECT '{n}' AS Problem, count(*) AS "Rows" FROM {table} WHERE {c}"""
+        for n, c in problems.items()))
+
+
+_EXPOSURE = {"exposure_missing_or_not_positive": "Exposure IS NULL OR Exposure <= 0"}
+_DENSITY = {"density_negative": "Density < 0"}
+_CLAIMS = {"claims_missing_or_negative": "ClaimNb IS NULL OR ClaimNb < 0"}
+ORACLE["occurrence_problems"] = _problems("occurrence_sample", {
+    "target_not_zero_or_one": "HasClaim IS NULL OR HasClaim NOT IN (0, 1)", **_EXPOSURE,
+    **_DENSITY})
+ORACLE["frequency_problems"] = _problems(
+    "frequency_sample", {**_EXPOSURE, **_CLAIMS, **_DENSITY})
+ORACLE["raw_problems"] = _problems("frequency_clean", {**_EXPOSURE, **_CLAIMS, **_DENSITY})
+ORACLE["severity_problems"] = _problems("severity_sample", {
+    "claims_missing_or_not_positive": "ClaimNb IS NULL OR ClaimNb <= 0",
+    "total_missing_or_not_positive": f"{COST} IS NULL OR {COST} <= 0",
+    "average_missing_or_not_positive":
+        "CompleteAverageClaimAmount IS NULL OR CompleteAverageClaimAmount <= 0",
+    **_DENSITY,
+    "average_does_not_reconcile":
+        "abs(AverageClaimSeverity - CompleteAverageClaimAmount) > 1e-6"
+        " + 1e-8 * abs(CompleteAverageClaimAmount)"})
+
 # --- features -------------------------------------------------------------------------------
 
 _RATE_NUMBERS = ["VehPower", "VehAge", "DrivAge", "BonusMalus", "LogDensity"]

@@ -459,6 +459,31 @@ def prediction_sample(spark, folder):
         rows.select("IDpol", "Score"), "Score", 500)
 
 
+@query
+def occurrence_problems(spark, folder):
+    return contracts.problem_counts(
+        features.occurrence_sample(base.policy(spark, folder)), features.OCCURRENCE_PROBLEMS)
+
+
+@query
+def frequency_problems(spark, folder):
+    return contracts.problem_counts(
+        features.frequency_sample(base.policy(spark, folder)), features.FREQUENCY_PROBLEMS)
+
+
+@query
+def severity_problems(spark, folder):
+    return contracts.problem_counts(
+        features.severity_policies(base.policy(spark, folder)), features.SEVERITY_PROBLEMS)
+
+
+@query
+def raw_problems(spark, folder):
+    """The frequency guards on all cleaned policies, where some are broken."""
+    return contracts.problem_counts(
+        base.prepared(spark, folder).frequency, features.FREQUENCY_PROBLEMS)
+
+
 # --- audit of the occurrence score ----------------------------------------
 
 

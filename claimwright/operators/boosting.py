@@ -127,9 +127,9 @@ def fit_boosting(
     rows = stage(
         prepare.transform(train).select(
             F.col(label).cast("double").alias("_y"), F.col(weight).cast("double").alias("_w"),
-            "features", held_out(key).alias("_held")),
-        "boosting-rows",
-    )
+            "features", held_out(key).alias("_held"), key),
+        "boosting-rows", key,
+    ).drop(key)
     y, w, eta = F.col("_y"), F.col("_w"), F.col("_eta")
     fitting = ~F.col("_held")
     sums = rows.filter(fitting).agg(F.sum(y * w), F.sum(w)).first()

@@ -80,7 +80,7 @@ def _with_estimator(stages: list, estimator, train: DataFrame) -> PipelineModel:
 
 def fit_logistic(
     train: DataFrame, numbers=V.OCCURRENCE_NUMBERS, texts=V.MODEL_TEXTS, target="HasClaim",
-    inverse_penalty: float = 1.0, iterations: int = 2_000, tolerance: float = 1e-8,
+    inverse_penalty: float = 1.0, iterations: int = 2_000, tolerance: float = 1e-6,
 ) -> FittedModel:
     """L2 logistic regression; the penalty is per sample, hence divided by the rows."""
     design = Design.fit(train, numbers, texts)

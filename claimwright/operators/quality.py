@@ -7,7 +7,7 @@ from claimwright.functions.casting import holds, lenient_double, whole
 from claimwright.functions.measures import count_if, percent, ratio
 from claimwright.operators.portfolio import with_share
 from claimwright.operators.ranking import quantile_table
-from claimwright.operators.reconcile import claim_counts, outer_counts, unknown_claim_ids
+from claimwright.operators.reconcile import claim_counts, outer_counts
 from claimwright.operators.shaping import long_report, stacked
 
 
@@ -161,39 +161,42 @@ def consistency_summary(frequency: DataFrame, severity: DataFrame) -> DataFrame:
     ])
 
 
-def _repeats(df: DataFrame) -> DataFrame:
-    """Rows that repeat an earlier row in full, by counting equal rows."""
-    return df.groupBy(*df.columns).agg(F.count("*").alias("_n")).agg(
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("n"))
+def _repeat_facts(df: DataFrame) -> DataFrame:
+    """Distinct ids, rows repeating an earlier id, and rows repeating an earlier row.
 
-
-def _id_facts(df: DataFrame) -> DataFrame:
-    """Distinct ids and rows repeating an earlier id; a missing id is one value."""
-    return df.groupBy("IDpol").agg(F.count("*").alias("_n")).agg(
+    Equal rows are counted first and their counts added up per id, so the table is
+    read once and a hot id or row is one group. A missing id is one value.
+    """
+    equal = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
+    per_id = equal.groupBy("IDpol").agg(
+        F.sum("_n").alias("_n"), F.sum(F.col("_n") - 1).alias("_again"))
+    return per_id.agg(
         F.count("IDpol").alias("ids"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("repeats"),
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("id_repeats"),
+        F.coalesce(F.sum("_again"), F.lit(0)).alias("row_repeats"),
     )
 
 
 def duplicate_report(frequency: DataFrame, severity: DataFrame) -> DataFrame:
     names = ("Measure", "Count")
-    n = F.col("n")
     return stacked([
-        long_report(_repeats(frequency), names, [("Frequency duplicate rows", n)]),
-        long_report(_repeats(severity), names, [("Severity duplicate rows", n)]),
-        long_report(_id_facts(frequency), names, [
-            ("Duplicate policy IDs in frequency", F.col("repeats")),
+        long_report(_repeat_facts(frequency), names, [
+            ("Frequency duplicate rows", F.col("row_repeats")),
+            ("Duplicate policy IDs in frequency", F.col("id_repeats")),
             ("Unique frequency policy IDs", F.col("ids")),
         ]),
-        long_report(_id_facts(severity), names, [("Unique severity policy IDs", F.col("ids"))]),
+        long_report(_repeat_facts(severity), names, [
+            ("Severity duplicate rows", F.col("row_repeats")),
+            ("Unique severity policy IDs", F.col("ids")),
+        ]),
     ])
 
 
-def _missing_total(df: DataFrame) -> DataFrame:
+def _missing_total(df: DataFrame, *more) -> DataFrame:
     total = F.lit(0)
     for c in df.columns:
         total = total + count_if(F.col(c).isNull())
-    return df.agg(F.count("*").alias("rows"), total.cast("bigint").alias("missing"))
+    return df.agg(F.count("*").alias("rows"), total.cast("bigint").alias("missing"), *more)
 
 
 def quality_summary(frequency: DataFrame, severity: DataFrame) -> DataFrame:
@@ -203,18 +206,21 @@ def quality_summary(frequency: DataFrame, severity: DataFrame) -> DataFrame:
     def rows(table, measures):
         return long_report(table, names, [(n, c.cast("double")) for n, c in measures])
 
-    claims = frequency.agg(
-        F.count("*").alias("rows"),
+    claims = _missing_total(
+        frequency,
         count_if(holds(F.col("ClaimNb") > 0)).alias("with"),
         count_if(holds(F.col("ClaimNb") == 0)).alias("without"),
         F.sum("ClaimNb").cast("bigint").alias("reported"),
     )
-    unknown = unknown_claim_ids(severity, frequency).agg(F.count("*").alias("n"))
     return stacked([
-        rows(_missing_total(frequency), [
+        rows(claims, [
             ("Frequency rows", F.col("rows")),
             ("Frequency columns", F.lit(len(frequency.columns))),
             ("Missing values in frequency", F.col("missing")),
+            ("Policies with claims", F.col("with")),
+            ("Policies without claims", F.col("without")),
+            ("Observed policy claim rate", ratio(F.col("with"), F.col("rows"))),
+            ("Claims reported in frequency table", F.col("reported")),
         ]),
         rows(_missing_total(severity), [
             ("Severity rows", F.col("rows")),
@@ -222,23 +228,20 @@ def quality_summary(frequency: DataFrame, severity: DataFrame) -> DataFrame:
             ("Missing values in severity", F.col("missing")),
             ("Claim rows in severity table", F.col("rows")),
         ]),
-        rows(_id_facts(frequency), [
+        rows(_repeat_facts(frequency), [
             ("Unique frequency policy IDs", F.col("ids")),
-            ("Duplicate policy IDs in frequency", F.col("repeats")),
+            ("Duplicate policy IDs in frequency", F.col("id_repeats")),
+            ("Frequency duplicate rows", F.col("row_repeats")),
         ]),
-        rows(_id_facts(severity), [("Unique severity policy IDs", F.col("ids"))]),
-        rows(_repeats(frequency), [("Frequency duplicate rows", F.col("n"))]),
-        rows(_repeats(severity), [("Severity duplicate rows", F.col("n"))]),
-        rows(claims, [
-            ("Policies with claims", F.col("with")),
-            ("Policies without claims", F.col("without")),
-            ("Observed policy claim rate", ratio(F.col("with"), F.col("rows"))),
-            ("Claims reported in frequency table", F.col("reported")),
+        rows(_repeat_facts(severity), [
+            ("Unique severity policy IDs", F.col("ids")),
+            ("Severity duplicate rows", F.col("row_repeats")),
         ]),
+        # A claim id without a policy is a row of the right side only.
         rows(_consistency_counts(raw_consistency(frequency, severity)), [
             ("Policies with claim-count mismatches", F.col("mismatched")),
+            ("Severity policy IDs missing from frequency", F.col("orphan")),
         ]),
-        rows(unknown, [("Severity policy IDs missing from frequency", F.col("n"))]),
     ])
 
 

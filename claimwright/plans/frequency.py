@@ -19,7 +19,7 @@ COLUMNS = {
 
 def split(policy: DataFrame) -> DataFrame:
     sample = features.check_frequency(features.frequency_sample(policy))
-    return stage(sampling.stratified_split(sample, "ClaimCountStratum"), "frequency-split")
+    return stage(sampling.stratified_split(sample, "ClaimCountStratum"), "frequency-split", "IDpol")
 
 
 @dataclass

@@ -15,7 +15,7 @@ from claimwright.sources import store
 def split(policy: DataFrame) -> DataFrame:
     """The checked sample with its 60/20/20 label, written once for the passes to come."""
     sample = features.check_occurrence(features.occurrence_sample(policy))
-    return stage(sampling.stratified_split(sample, "HasClaim"), "occurrence-split")
+    return stage(sampling.stratified_split(sample, "HasClaim"), "occurrence-split", "IDpol")
 
 
 PROBABILITIES = {V.LOGISTIC: "LogisticProbability", V.BOOSTING: "GradientBoostingProbability"}

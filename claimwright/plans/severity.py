@@ -20,7 +20,7 @@ COLUMNS = {
 def split(policy: DataFrame) -> DataFrame:
     sample = features.severity_sample(stage(features.severity_policies(policy), "severity-rows"))
     return stage(sampling.stratified_split(
-        features.check_severity(sample), "SeverityStratum"), "severity-split")
+        features.check_severity(sample), "SeverityStratum"), "severity-split", "IDpol")
 
 
 @dataclass

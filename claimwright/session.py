@@ -50,13 +50,20 @@ def checkpointing(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, spread_by: str | None = None) -> DataFrame:
     """The rows written once as a Parquet table and read back.
 
     Used where later steps pass over the same rows several times: the written table
     survives the loss of executors, and each pass reads only the columns it needs.
+    A table of fewer partitions than cores is small; with `spread_by` it is written
+    again, hashed by that column, so that all cores take part in the passes to come.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/claimwright/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    table = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if spread_by and table.rdd.getNumPartitions() < cores:
+        table.repartition(cores, spread_by).write.parquet(f"{path}-spread")
+        table = spark.read.parquet(f"{path}-spread")
+    return table

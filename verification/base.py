@@ -43,12 +43,16 @@ def once(spark: SparkSession, folder: str, label: str, build) -> DataFrame:
     """A table written once per application and input folder, then read."""
     key = (spark.sparkContext.applicationId, folder, label)
     if key not in _kept:
-        _kept[key] = stage(build(), label)
+        _kept[key] = stage(build(), label, "IDpol")
     return _kept[key]
 
 
 def raw(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    return fixtures.raw_frequency(spark, folder), fixtures.raw_severity(spark, folder)
+    """The two raw text tables, landed once as files, as raw data is."""
+    return (
+        once(spark, folder, "raw-frequency", lambda: fixtures.raw_frequency(spark, folder)),
+        once(spark, folder, "raw-severity", lambda: fixtures.raw_severity(spark, folder)),
+    )
 
 
 def prepared(spark: SparkSession, folder: str) -> preparation.Prepared:

@@ -22,6 +22,8 @@ from verification import base
 ROUNDS = 8
 
 QUERIES = {}
+# The same queries without the rounding, which only the comparison needs.
+PLAIN = {}
 
 
 def query(function):
@@ -30,6 +32,7 @@ def query(function):
         return base.shown(function(spark, folder))
 
     QUERIES[function.__name__] = run
+    PLAIN[function.__name__] = function
     return function
 
 
@@ -109,7 +112,7 @@ def analysis_checks(spark, folder):
 
 @query
 def policies_table(spark, folder):
-    return reconcile.policies_table(base.prepared(spark, folder).policy)
+    return reconcile.policies_table(base.policy(spark, folder))
 
 
 @query
@@ -198,12 +201,13 @@ def sql_on_views(spark, folder):
 
 @query
 def portfolio_kpis(spark, folder):
+    """From the raw tables to the indicators in one plan."""
     return portfolio.portfolio_kpis(base.prepared(spark, folder).policy)
 
 
 @query
 def portfolio_summary(spark, folder):
-    return portfolio.portfolio_summary(base.prepared(spark, folder).policy)
+    return portfolio.portfolio_summary(base.policy(spark, folder))
 
 
 @query
@@ -218,57 +222,57 @@ def kpi_reconciliation(spark, folder):
 
 @query
 def area_metrics(spark, folder):
-    return portfolio.area_metrics(base.prepared(spark, folder).policy)
+    return portfolio.area_metrics(base.policy(spark, folder))
 
 
 @query
 def area_ranking(spark, folder):
-    return portfolio.area_ranking(base.prepared(spark, folder).policy)
+    return portfolio.area_ranking(base.policy(spark, folder))
 
 
 @query
 def driver_age_metrics(spark, folder):
-    return portfolio.driver_age_metrics(base.prepared(spark, folder).policy)
+    return portfolio.driver_age_metrics(base.policy(spark, folder))
 
 
 @query
 def bonus_malus_metrics(spark, folder):
-    return portfolio.bonus_malus_metrics(base.prepared(spark, folder).policy)
+    return portfolio.bonus_malus_metrics(base.policy(spark, folder))
 
 
 @query
 def top_regions(spark, folder):
-    return portfolio.top_regions(base.prepared(spark, folder).policy, base.REGION_EXPOSURE)
+    return portfolio.top_regions(base.policy(spark, folder), base.REGION_EXPOSURE)
 
 
 @query
 def largest_losses(spark, folder):
-    return portfolio.largest_losses(base.prepared(spark, folder).policy)
+    return portfolio.largest_losses(base.policy(spark, folder))
 
 
 @query
 def model_eligibility(spark, folder):
-    return portfolio.model_eligibility(base.prepared(spark, folder).policy)
+    return portfolio.model_eligibility(base.policy(spark, folder))
 
 
 @query
 def claim_completeness(spark, folder):
-    return portfolio.claim_completeness(base.prepared(spark, folder).policy)
+    return portfolio.claim_completeness(base.policy(spark, folder))
 
 
 @query
 def claim_count_distribution(spark, folder):
-    return portfolio.claim_count_distribution(base.prepared(spark, folder).policies)
+    return portfolio.claim_count_distribution(base.policy(spark, folder))
 
 
 @query
 def claim_count_bars(spark, folder):
-    return portfolio.claim_count_bars(base.prepared(spark, folder).policies)
+    return portfolio.claim_count_bars(base.policy(spark, folder))
 
 
 @query
 def claim_occurrence_counts(spark, folder):
-    return portfolio.claim_occurrence_counts(base.prepared(spark, folder).policy)
+    return portfolio.claim_occurrence_counts(base.policy(spark, folder))
 
 
 @query
@@ -289,17 +293,17 @@ def orphan_summary(spark, folder):
 
 @query
 def incomplete_policies(spark, folder):
-    return portfolio.incomplete_policies(base.prepared(spark, folder).policy)
+    return portfolio.incomplete_policies(base.policy(spark, folder))
 
 
 @query
 def complete_zero_claim_policies(spark, folder):
-    return portfolio.complete_zero_claim_policies(base.prepared(spark, folder).policy)
+    return portfolio.complete_zero_claim_policies(base.policy(spark, folder))
 
 
 @query
 def policy_preview(spark, folder):
-    return previewed(base.prepared(spark, folder).policy.select(*V.POLICY_COLUMNS), ["IDpol"])
+    return previewed(base.policy(spark, folder).select(*V.POLICY_COLUMNS), ["IDpol"])
 
 
 # --- quality reports -------------------------------------------------------
@@ -364,33 +368,33 @@ def quality_summary(spark, folder):
 
 @query
 def policy_bands(spark, folder):
-    return with_bands(base.prepared(spark, folder).policies).select("IDpol", *V.BANDS)
+    return with_bands(base.policy(spark, folder)).select("IDpol", *V.BANDS)
 
 
 @query
 def group_risk_summary(spark, folder):
-    return explore.group_risk_summary(base.prepared(spark, folder).policy)
+    return explore.group_risk_summary(base.policy(spark, folder))
 
 
 @query
 def segment_extremes(spark, folder):
     return explore.segment_extremes(
-        base.prepared(spark, folder).policy, base.REGION_EXPOSURE)
+        base.policy(spark, folder), base.REGION_EXPOSURE)
 
 
 @query
 def amount_percentiles(spark, folder):
-    return explore.amount_percentiles(base.prepared(spark, folder).claims)
+    return explore.amount_percentiles(base.claims(spark, folder))
 
 
 @query
 def driver_age_histogram(spark, folder):
-    return explore.driver_age_histogram(base.prepared(spark, folder).policies)
+    return explore.driver_age_histogram(base.policy(spark, folder))
 
 
 @query
 def claim_amount_histogram(spark, folder):
-    return explore.log_histogram(base.prepared(spark, folder).claims, "ClaimAmount")
+    return explore.log_histogram(base.claims(spark, folder), "ClaimAmount")
 
 
 # --- ranks, splits, samples ------------------------------------------------

@@ -36,7 +36,8 @@ def highest_and_lowest(summary: DataFrame, kind: str, metric: str) -> DataFrame:
         ("Lowest", F.struct(F.col("bottom.m").alias("v"), F.col("bottom.Segment").alias("s"))),
     ]).select(
         F.lit(kind).alias("SegmentType"), F.lit(metric).alias("Metric"), "Extreme",
-        F.col("at.s").alias("Segment"), F.col("at.v").alias("Value"))
+        F.col("at.s").alias("Segment"), F.col("at.v").alias("Value")
+    ).filter("Segment IS NOT NULL")
 
 
 def segment_extremes(policy: DataFrame, least_exposure: float = V.REGION_EXPOSURE) -> DataFrame:

@@ -21,11 +21,11 @@ class Pieces:
     """An order-preserving cut of (key, tie) into pieces of bounded size."""
 
     def __init__(self, key_cuts: list, tie_cuts: list, heavy: list):
-        edges = set(key_cuts)
+        edges = {cut + 0.0 for cut in key_cuts}
         for value in heavy:
             edges.add(math.nextafter(value, math.inf))
         self.key_cuts = sorted(edges)
-        self.tie_cuts = sorted(set(tie_cuts))
+        self.tie_cuts = sorted({cut + 0.0 for cut in tie_cuts})
         self.heavy = sorted(heavy)
 
     @classmethod
@@ -62,11 +62,12 @@ class Pieces:
     def assign(self, df: DataFrame, key: str, tie: str | None = None) -> DataFrame:
         """The rows with the number of their piece in `_piece`."""
         width = len(self.tie_cuts) + 1
-        out = df.withColumn("_key", F.col(key).cast("double"))
+        # Adding zero turns -0.0, which sorts as 0.0, into 0.0.
+        out = df.withColumn("_key", F.col(key).cast("double") + 0.0)
         out = self._locate(out, "_key", "_coarse", self.key_cuts)
         piece = F.col("_coarse").cast("bigint") * width
         if self.heavy and tie is not None:
-            out = out.withColumn("_tie", F.col(tie).cast("double"))
+            out = out.withColumn("_tie", F.col(tie).cast("double") + 0.0)
             out = self._locate(out, "_tie", "_fine", self.tie_cuts)
             fine = F.when(F.col("_key").isin(self.heavy), F.col("_fine")).otherwise(0.0)
             piece = piece + fine.cast("bigint")

@@ -142,7 +142,7 @@ def _claims_by_policy_match(claims: DataFrame, policies: DataFrame, how: str) ->
         claim_counts(claims).orderBy(F.desc("SeverityRowCount"), "IDpol").limit(HOT_IDS)
         .select("IDpol")
     )
-    known_hot = ids.join(F.broadcast(hot), "IDpol", "left_semi")
+    known_hot = ids.join(F.broadcast(hot), "IDpol", "left_semi").distinct()
     busy = claims.join(F.broadcast(hot), "IDpol", "left_semi")
     rest = claims.join(F.broadcast(hot), "IDpol", "left_anti")
     return busy.join(F.broadcast(known_hot), "IDpol", how).unionByName(

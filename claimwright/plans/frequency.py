@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from claimwright import vocabulary as V
 from claimwright.functions.measures import clipped
 from claimwright.operators import audit, boosting, features, models, sampling
+from claimwright.plans import review
 from claimwright.session import stage
 from claimwright.sources import store
 
@@ -61,7 +62,11 @@ class FrequencyRun:
 
     def publish(self, folder: str, kind: str = "csv") -> None:
         """Writes all report tables, the test predictions and the models."""
-        store.write_tables(self.reports(), folder, kind)
+        reports = self.reports()
+        checks = review.frequency_review(
+            self.validation, self.test, reports["frequency_calibration_deciles"],
+            reports["segment_frequency_calibration"], reports["poisson_coefficients"])
+        store.write_tables({**reports, "report_checks": checks}, folder, kind)
         store.write_table(self.predictions(), folder, "predictions", kind)
         for name, model in self.models.items():
             model.save(f"{folder}/models/{name.replace(' ', '_').lower()}")

@@ -8,6 +8,7 @@ from claimwright import vocabulary as V
 from claimwright.functions.bands import with_bands
 from claimwright.operators import audit, curves, features, models, sampling
 from claimwright.operators.importance import permutation_importance
+from claimwright.plans import review
 from claimwright.session import stage
 from claimwright.sources import store
 
@@ -85,7 +86,8 @@ class Comparison:
     def publish(self, folder: str, rows: DataFrame, kind: str = "csv") -> None:
         """Writes all report tables, the test predictions and the models."""
         store.write_tables(
-            {**self.reports(), "permutation_importance": self.importance(rows)}, folder, kind)
+            {**self.reports(), "permutation_importance": self.importance(
+                features.with_missing_label(rows))}, folder, kind)
         store.write_table(self.predictions(), folder, "predictions", kind)
         for name, model in self.models.items():
             model.save(f"{folder}/models/{name.replace(' ', '_').lower()}")
@@ -132,7 +134,10 @@ class LogisticRun:
 
     def publish(self, folder: str, kind: str = "csv") -> None:
         """Writes all report tables, the test predictions and the model."""
-        store.write_tables(self.reports, folder, kind)
+        checks = review.occurrence_review(
+            self.reports["claim_occurrence_metrics"], self.reports["prediction_sample"],
+            self.reports["logistic_coefficients"])
+        store.write_tables({**self.reports, "report_checks": checks}, folder, kind)
         store.write_table(self.predictions, folder, "predictions", kind)
         self.model.save(f"{folder}/models/logistic")
 

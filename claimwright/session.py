@@ -32,7 +32,7 @@ def shared_folder(spark: SparkSession) -> str:
     mode, a folder on this machine is used. On a cluster that would lose data, so
     it is refused.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     application = spark.sparkContext.applicationId

@@ -1,10 +1,11 @@
-"""Boosted trees for Poisson and Gamma losses on a log link.
-
-Spark's own boosted regression has squared and absolute loss only. Each round here
-fits one of Spark's regression trees to the Newton step of the loss, takes the leaf
-of every row, and corrects the leaf values by one aggregation over (leaf, hold-out).
-The same aggregation gives the hold-out loss after the step in closed form, so a
-round is one tree fit and one grouped pass.
+"""Boosted trees for the logistic, Poisson and Gamma losses.
+
+Spark's own boosted trees have no Poisson or Gamma loss, no penalty on leaf values
+and no patience before stopping. Each round here fits one of Spark's regression trees
+to the Newton step of the loss, takes the leaf of every row, and corrects the leaf
+values by one aggregation over (leaf, hold-out). The same aggregation gives the
+hold-out loss reached by the rounds before, so a round is one tree fit and one grouped
+pass.
 """
 
 import math
@@ -35,31 +36,39 @@ class Settings:
     checkpoint_every: int = 10
 
 
+OCCURRENCE_SETTINGS = Settings("logistic", rate=0.08, rounds=250, depth=5, penalty=1.0)
 FREQUENCY_SETTINGS = Settings("poisson", rate=0.08, depth=5, penalty=1.0)
 SEVERITY_SETTINGS = Settings("gamma", rate=0.06, depth=4, penalty=5.0)
 
 
+def _mean(loss: str, eta: Column) -> Column:
+    """The prediction on the scale of the target."""
+    return 1.0 / (1.0 + F.exp(-eta)) if loss == "logistic" else F.exp(eta)
+
+
+def _start(loss: str, mean: float) -> float:
+    return math.log(mean / (1.0 - mean)) if loss == "logistic" else math.log(mean)
+
+
 def _derivatives(loss: str, y: Column, w: Column, eta: Column) -> tuple[Column, Column]:
+    """First and second derivative of the loss in the linear score."""
+    m = _mean(loss, eta)
+    if loss == "logistic":
+        return w * (m - y), w * m * (1.0 - m)
     if loss == "poisson":
-        return w * (F.exp(eta) - y), w * F.exp(eta)
+        return w * (m - y), w * m
     if loss == "gamma":
-        return w * (1.0 - y * F.exp(-eta)), w * y * F.exp(-eta)
+        return w * (1.0 - y / m), w * y / m
     raise ValueError(f"Unknown loss {loss}")
 
 
-def _shifted_loss(loss: str, row, step: float) -> float:
-    """Loss of the rows of one leaf after adding `step` to their log prediction."""
-    if loss == "poisson":
-        return math.exp(step) * row["a"] - row["b"] - step * row["c"]
-    return math.exp(-step) * row["a"] + row["b"] + step * row["c"]
-
-
-def _loss_sums(loss: str, y: Column, w: Column, eta: Column) -> list[Column]:
+def _loss(loss: str, y: Column, w: Column, eta: Column) -> Column:
+    """The loss up to what does not depend on the score."""
+    if loss == "logistic":
+        return w * (F.log1p(F.exp(-F.abs(eta))) + F.greatest(eta, F.lit(0.0)) - y * eta)
     if loss == "poisson":
-        parts = (w * F.exp(eta), w * y * eta, w * y)
-    else:
-        parts = (w * y * F.exp(-eta), w * eta, w)
-    return [F.sum(p).alias(n) for p, n in zip(parts, "abc")]
+        return w * (F.exp(eta) - y * eta)
+    return w * (y * F.exp(-eta) + eta)
 
 
 def _step(values: dict[int, float], leaf: str) -> Column:
@@ -74,6 +83,7 @@ class BoostedTrees:
     """A fitted run: the preprocessing, the start value and the corrected trees."""
 
     prepare: PipelineModel
+    loss: str
     start: float
     trees: list[DecisionTreeRegressionModel] = field(default_factory=list)
     leaves: list[dict[int, float]] = field(default_factory=list)
@@ -86,16 +96,18 @@ class BoostedTrees:
         for i, (tree, values) in enumerate(zip(self.trees, self.leaves)):
             out = tree.setLeafCol(f"_leaf{i}").setPredictionCol("").transform(out)
             eta = eta + _step(values, f"_leaf{i}")
-        return out.select(*df.columns, F.exp(eta).alias(output))
+        return out.select(*df.columns, _mean(self.loss, eta).alias(output))
 
     def save(self, path: str) -> None:
         spark = SparkSession.getActiveSession()
         self.prepare.write().overwrite().save(f"{path}/prepare")
         for i, tree in enumerate(self.trees):
             tree.write().overwrite().save(f"{path}/trees/{i}")
-        rows = [(i, leaf, v) for i, vs in enumerate(self.leaves) for leaf, v in vs.items()]
+        rows = [
+            (self.loss, i, leaf, v) for i, vs in enumerate(self.leaves) for leaf, v in vs.items()]
         spark.createDataFrame(
-            [(-1, 0, self.start), *rows], "tree int, leaf int, value double"
+            [(self.loss, -1, 0, self.start), *rows],
+            "loss string, tree int, leaf int, value double"
         ).coalesce(1).write.mode("overwrite").parquet(f"{path}/leaves")
 
     @classmethod
@@ -108,7 +120,7 @@ class BoostedTrees:
                 leaves[r["tree"]][r["leaf"]] = r["value"]
         start = next(r["value"] for r in rows if r["tree"] < 0)
         trees = [DecisionTreeRegressionModel.load(f"{path}/trees/{i}") for i in range(count)]
-        return cls(PipelineModel.load(f"{path}/prepare"), start, trees, leaves)
+        return cls(PipelineModel.load(f"{path}/prepare"), rows[0]["loss"], start, trees, leaves)
 
 
 def held_out(key: str = "IDpol") -> Column:
@@ -126,14 +138,16 @@ def fit_boosting(
     # Every round reads these rows, so they are written once, narrow.
     rows = stage(
         prepare.transform(train).select(
-            F.col(label).cast("double").alias("_y"), F.col(weight).cast("double").alias("_w"),
+            F.col(label).cast("double").alias("_y"),
+            (F.col(weight) if weight else F.lit(1)).cast("double").alias("_w"),
             "features", held_out(key).alias("_held"), key),
         "boosting-rows", key,
     ).drop(key)
     y, w, eta = F.col("_y"), F.col("_w"), F.col("_eta")
     fitting = ~F.col("_held")
     sums = rows.filter(fitting).agg(F.sum(y * w), F.sum(w)).first()
-    model = BoostedTrees(prepare, math.log(sums[0] / sums[1]))
+    model = BoostedTrees(
+        prepare, settings.loss, _start(settings.loss, sums[0] / sums[1]))
     gradient, curvature = _derivatives(settings.loss, y, w, eta)
     state = rows.withColumn("_eta", F.lit(model.start))
     previous, best, since_best = None, math.inf, 0
@@ -148,24 +162,24 @@ def fit_boosting(
         leafed = tree.transform(state)
         groups = leafed.groupBy("_leaf", "_held").agg(
             F.sum(-gradient).alias("g"), F.sum(curvature).alias("h"),
-            *_loss_sums(settings.loss, y, w, eta),
+            F.sum(_loss(settings.loss, y, w, eta)).alias("loss"),
         ).collect()
         values = {
             int(r["_leaf"]): settings.rate * r["g"] / (r["h"] + settings.penalty)
             for r in groups if not r["_held"]
         }
-        loss = sum(
-            _shifted_loss(settings.loss, r, values.get(int(r["_leaf"]), 0.0))
-            for r in groups if r["_held"]
-        )
-        model.trees.append(tree)
-        model.leaves.append(values)
-        model.history.append(loss)
-        if loss < best - settings.tolerance:
-            best, since_best = loss, 0
+        # The loss of the rounds so far; this round's step is judged in the next one.
+        reached = sum(r["loss"] for r in groups if r["_held"])
+        model.history.append(reached)
+        if reached < best - settings.tolerance:
+            best, since_best = reached, 0
         else:
             since_best += 1
-        if since_best >= settings.patience or number + 1 == settings.rounds:
+        if since_best >= settings.patience:
+            break
+        model.trees.append(tree)
+        model.leaves.append(values)
+        if number + 1 == settings.rounds:
             break
         state_now = leafed.withColumn("_eta", eta + _step(values, "_leaf")).drop("_leaf")
         if (number + 1) % settings.checkpoint_every == 0:

@@ -1,17 +1,16 @@
-"""Fitted claim models: logistic, Poisson, Gamma, boosted trees, constants."""
+"""Fitted claim models: logistic, Poisson and Gamma regression, constants."""
 
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimwright import vocabulary as V
 from claimwright.functions.measures import effect
-from claimwright.operators.boosting import held_out
-from claimwright.operators.features import Design, fit_stages, tree_stages
+from claimwright.operators.features import Design, fit_stages
 
 
 @dataclass
@@ -63,13 +62,9 @@ def _with_estimator(stages: list, estimator, train: DataFrame) -> PipelineModel:
     """Preprocessing and estimator fitted in turn; the fit rows are read often, so
     they are kept while it runs."""
     prepare = fit_stages(stages, train)
-    wanted = [c for c in dict.fromkeys([
-        "features", estimator.getOrDefault("labelCol"),
-        *( [estimator.getOrDefault("weightCol")] if estimator.isDefined("weightCol") else []),
-        *( [estimator.getOrDefault("validationIndicatorCol")]
-           if estimator.hasParam("validationIndicatorCol")
-           and estimator.isDefined("validationIndicatorCol") else []),
-    ])]
+    wanted = ["features", estimator.getOrDefault("labelCol")]
+    if estimator.isDefined("weightCol"):
+        wanted.append(estimator.getOrDefault("weightCol"))
     rows = prepare.transform(train).select(*wanted).persist()
     try:
         fitted = estimator.fit(rows)
@@ -119,20 +114,6 @@ def fit_gamma(
     return _fit_glm(train, "gamma", "AverageClaimSeverity", "ClaimNb", alpha, numbers, texts)
 
 
-def fit_tree_classifier(
-    train: DataFrame, numbers=V.OCCURRENCE_NUMBERS, texts=V.MODEL_TEXTS, target="HasClaim",
-    rounds: int = 250, rate: float = 0.08, depth: int = 5, least_rows: int = 100,
-) -> FittedModel:
-    """Boosted classification trees, stopped on a held-out tenth of the rows."""
-    estimator = GBTClassifier(
-        featuresCol="features", labelCol=target, validationIndicatorCol="_held",
-        maxIter=rounds, stepSize=rate, maxDepth=depth, minInstancesPerNode=least_rows,
-        maxBins=255, validationTol=0.0, seed=V.SEED)
-    flagged = train.withColumn("_held", held_out())
-    pipeline = _with_estimator(tree_stages(train, list(numbers), list(texts)), estimator, flagged)
-    return FittedModel(pipeline, [*numbers, *texts], "probability")
-
-
 def claim_rate(train: DataFrame, target: str = "HasClaim") -> float:
     """Share of training policies with a claim."""
     return train.agg(F.avg(F.col(target).cast("double"))).first()[0]

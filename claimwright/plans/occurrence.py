@@ -1,12 +1,12 @@
 """Claim occurrence: train, compare and audit the logistic and boosted models."""
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 
 from claimwright import vocabulary as V
 from claimwright.functions.bands import with_bands
-from claimwright.operators import audit, curves, features, models, sampling
+from claimwright.operators import audit, boosting, curves, features, models, sampling
 from claimwright.operators.importance import permutation_importance
 from claimwright.plans import review
 from claimwright.session import stage
@@ -104,7 +104,9 @@ def compare(rows: DataFrame, rounds: int = 250, fitted: dict | None = None) -> C
     train = labelled.filter("Sample = 'Training'")
     fitted = fitted or {
         V.LOGISTIC: models.fit_logistic(rows.filter("Sample = 'Training'")),
-        V.BOOSTING: models.fit_tree_classifier(train, rounds=rounds),
+        V.BOOSTING: boosting.fit_boosting(
+            train, "HasClaim", None, V.OCCURRENCE_NUMBERS, V.MODEL_TEXTS,
+            replace(boosting.OCCURRENCE_SETTINGS, rounds=rounds)),
     }
     scored = stage(
         score(labelled.filter("Sample <> 'Training'"), fitted), "occurrence-scores")

@@ -175,8 +175,12 @@ def test_boosting_beats_poisson_beats_constant(data):
 
 
 def test_classifier_and_importance(spark, data):
-    model = models.fit_tree_classifier(
-        data, NUMBERS, TEXTS, rounds=10, rate=0.3, depth=3, least_rows=20)
+    settings = replace(
+        boosting.OCCURRENCE_SETTINGS, rounds=10, rate=0.3, depth=3, least_rows=20)
+    model = boosting.fit_boosting(data, "HasClaim", None, NUMBERS, TEXTS, settings)
+    scored = model.score(data, "p").select("HasClaim", "p").toPandas()
+    assert 0 < scored["p"].min() < scored["p"].max() < 1
+    assert scored["p"].mean() == pytest.approx(scored["HasClaim"].mean(), abs=0.03)
     rows = permutation_importance(model, data, [*NUMBERS, *TEXTS], size=800, repeats=2).collect()
     assert rows[0].Feature == "x1" and rows[0].ImportanceMean > 0.02
     assert len(rows) == 3

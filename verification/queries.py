@@ -1,6 +1,7 @@
 """The registered queries: name -> function of (session, table folder)."""
 
 from functools import lru_cache
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -177,7 +178,7 @@ def build_metadata(spark, folder):
 @query
 def stored_policies(spark, folder):
     """The preparation written to a folder and read back."""
-    target = f"{shared_folder(spark)}/prepared-{abs(hash(folder))}"
+    target = f"{shared_folder(spark)}/prepared-{uuid4().hex}"
     found = base.prepared(spark, folder)
     store.write_tables(
         {"policy_analytics": found.policy, "claim_count_audit_summary": found.audit_summary()},

@@ -71,11 +71,10 @@ def _loss(loss: str, y: Column, w: Column, eta: Column) -> Column:
     return w * (y * F.exp(-eta) + eta)
 
 
-def _step(values: dict[int, float], leaf: str) -> Column:
-    """The correction of a row's leaf; at most 2^depth constants."""
-    size = max(values) + 1
-    table = F.array(*[F.lit(float(values.get(i, 0.0))) for i in range(size)])
-    return F.coalesce(F.try_element_at(table, F.col(leaf).cast("int") + 1), F.lit(0.0))
+def _step(values: dict[int, float], leaf: str) -> str:
+    """The correction of a row's leaf as SQL; at most 2^depth constants."""
+    table = ", ".join(f"{values.get(i, 0.0)!r}D" for i in range(max(values) + 1))
+    return f"coalesce(try_element_at(array({table}), CAST({leaf} AS INT) + 1), 0D)"
 
 
 @dataclass
@@ -92,10 +91,11 @@ class BoostedTrees:
     def score(self, df: DataFrame, output: str = "prediction") -> DataFrame:
         """Rows with the predicted mean."""
         out = self.prepare.transform(df)
-        eta = F.lit(self.start)
+        steps = [f"{self.start!r}D"]
         for i, (tree, values) in enumerate(zip(self.trees, self.leaves)):
             out = tree.setLeafCol(f"_leaf{i}").setPredictionCol("").transform(out)
-            eta = eta + _step(values, f"_leaf{i}")
+            steps.append(_step(values, f"_leaf{i}"))
+        eta = F.expr(" + ".join(steps))
         return out.select(*df.columns, _mean(self.loss, eta).alias(output))
 
     def save(self, path: str) -> None:
@@ -162,26 +162,28 @@ def fit_boosting(
         leafed = tree.transform(state)
         groups = leafed.groupBy("_leaf", "_held").agg(
             F.sum(-gradient).alias("g"), F.sum(curvature).alias("h"),
-            F.sum(_loss(settings.loss, y, w, eta)).alias("loss"),
+            F.sum(_loss(settings.loss, y, w, eta)).alias("loss"), F.sum(w).alias("w"),
         ).collect()
         values = {
             int(r["_leaf"]): settings.rate * r["g"] / (r["h"] + settings.penalty)
             for r in groups if not r["_held"]
         }
         # The loss of the rounds so far; this round's step is judged in the next one.
-        reached = sum(r["loss"] for r in groups if r["_held"])
-        model.history.append(reached)
-        if reached < best - settings.tolerance:
-            best, since_best = reached, 0
-        else:
-            since_best += 1
-        if since_best >= settings.patience:
-            break
+        held = [r for r in groups if r["_held"]]
+        if held:
+            reached = sum(r["loss"] for r in held) / sum(r["w"] for r in held)
+            model.history.append(reached)
+            if reached < best - settings.tolerance:
+                best, since_best = reached, 0
+            else:
+                since_best += 1
+            if since_best >= settings.patience:
+                break
         model.trees.append(tree)
         model.leaves.append(values)
         if number + 1 == settings.rounds:
             break
-        state_now = leafed.withColumn("_eta", eta + _step(values, "_leaf")).drop("_leaf")
+        state_now = leafed.withColumn("_eta", eta + F.expr(_step(values, "_leaf"))).drop("_leaf")
         if (number + 1) % settings.checkpoint_every == 0:
             state_now = state_now.checkpoint()
         else:

@@ -9,7 +9,7 @@ from claimwright.functions.bands import with_bands
 from claimwright.functions.casting import label
 from claimwright.operators.portfolio import segment_summary
 from claimwright.operators.ranking import quantile_table, quantiles
-from claimwright.operators.shaping import long_report, stacked, unpivoted
+from claimwright.operators.shaping import unpivoted
 
 
 def group_risk_summary(policy: DataFrame, segments: list[str] = V.RISK_SEGMENTS) -> DataFrame:
@@ -23,35 +23,41 @@ def group_risk_summary(policy: DataFrame, segments: list[str] = V.RISK_SEGMENTS)
     return segment_summary(rows, "SegmentType", "Segment")
 
 
-def highest_and_lowest(summary: DataFrame, kind: str, metric: str) -> DataFrame:
-    """The segments of one kind with the largest and the smallest known metric."""
-    known = summary.filter((F.col("SegmentType") == kind) & F.col(metric).isNotNull())
+# Which metric the extremes of a segmentation are taken of (fixed values).
+EXTREMES = {
+    "Area": "ClaimsPer100ExposureYears",
+    "DrivAgeBand": "PurePremium",
+    "BonusMalusBand": "ClaimsPer100ExposureYears",
+    "Region": "PurePremium",
+}
+
+
+def highest_and_lowest(summary: DataFrame, metrics: dict[str, str] = EXTREMES) -> DataFrame:
+    """Per kind of segment the segments with the largest and smallest known metric."""
+    value, name = F, F
+    for kind, metric in metrics.items():
+        value = value.when(F.col("SegmentType") == kind, F.col(metric))
+        name = name.when(F.col("SegmentType") == kind, F.lit(metric))
+    known = summary.select(
+        "SegmentType", "Segment", name.alias("Metric"), value.alias("v")).filter("v IS NOT NULL")
     # On a tie the first segment by name is taken, at either end.
-    row = known.agg(
-        F.min(F.struct((-F.col(metric)).alias("m"), "Segment")).alias("top"),
-        F.min(F.struct(F.col(metric).alias("m"), "Segment")).alias("bottom"),
+    ends = known.groupBy("SegmentType", "Metric").agg(
+        F.min(F.struct((-F.col("v")).alias("m"), "Segment")).alias("top"),
+        F.min(F.struct(F.col("v").alias("m"), "Segment")).alias("bottom"),
     )
-    return long_report(row, ("Extreme", "at"), [
-        ("Highest", F.struct((-F.col("top.m")).alias("v"), F.col("top.Segment").alias("s"))),
-        ("Lowest", F.struct(F.col("bottom.m").alias("v"), F.col("bottom.Segment").alias("s"))),
-    ]).select(
-        F.lit(kind).alias("SegmentType"), F.lit(metric).alias("Metric"), "Extreme",
-        F.col("at.s").alias("Segment"), F.col("at.v").alias("Value")
-    ).filter("Segment IS NOT NULL")
+    return ends.select("SegmentType", "Metric", F.inline(F.array(
+        F.struct(F.lit("Highest").alias("Extreme"), F.col("top.Segment").alias("Segment"),
+                 (-F.col("top.m")).alias("Value")),
+        F.struct(F.lit("Lowest").alias("Extreme"), F.col("bottom.Segment").alias("Segment"),
+                 F.col("bottom.m").alias("Value")),
+    )))
 
 
 def segment_extremes(policy: DataFrame, least_exposure: float = V.REGION_EXPOSURE) -> DataFrame:
-    """The extreme segments the exploration reports on."""
-    summary = group_risk_summary(policy)
-    enough = summary.filter(
+    """The extreme segments the exploration reports on, from one summary."""
+    enough = group_risk_summary(policy, list(EXTREMES)).filter(
         (F.col("SegmentType") != "Region") | (F.col("CompleteLossExposure") >= least_exposure))
-    per_100 = "ClaimsPer100ExposureYears"
-    return stacked([
-        highest_and_lowest(enough, "Area", per_100),
-        highest_and_lowest(enough, "DrivAgeBand", "PurePremium"),
-        highest_and_lowest(enough, "BonusMalusBand", per_100),
-        highest_and_lowest(enough, "Region", "PurePremium"),
-    ])
+    return highest_and_lowest(enough)
 
 
 def amount_percentiles(claims: DataFrame) -> DataFrame:

@@ -130,34 +130,40 @@ def policies_table(policy: DataFrame) -> DataFrame:
     return policy.select(*columns)
 
 
-def _claims_by_policy_match(claims: DataFrame, policies: DataFrame, how: str) -> DataFrame:
-    """Claims semi- or anti-joined with the policies, hot policies apart.
+def known_claims(claims: DataFrame, policies: DataFrame) -> DataFrame:
+    """Each claim with `Known`: whether its policy is known. Hot policies are apart.
 
     The claims of the most frequent ids (a fixed number of them) never shuffle: their
     ids are looked up first and broadcast. All other claims go through a plain join,
     in which no id has more than a 1/HOT_IDS share of the rows.
     """
-    ids = policies.select("IDpol")
+    rows = claims.select("IDpol", "ClaimAmount")
+    known = policies.select("IDpol").distinct().withColumn("_known", F.lit(True))
     hot = (
         claim_counts(claims).orderBy(F.desc("SeverityRowCount"), "IDpol").limit(HOT_IDS)
         .select("IDpol")
     )
-    known_hot = ids.join(F.broadcast(hot), "IDpol", "left_semi").distinct()
-    busy = claims.join(F.broadcast(hot), "IDpol", "left_semi")
-    rest = claims.join(F.broadcast(hot), "IDpol", "left_anti")
-    return busy.join(F.broadcast(known_hot), "IDpol", how).unionByName(
-        rest.join(ids, "IDpol", how)
+    known_hot = (
+        policies.select("IDpol").join(F.broadcast(hot), "IDpol", "left_semi").distinct()
+        .withColumn("_known", F.lit(True))
+    )
+    busy = rows.join(F.broadcast(hot), "IDpol", "left_semi")
+    rest = rows.join(F.broadcast(hot), "IDpol", "left_anti")
+    return (
+        busy.join(F.broadcast(known_hot), "IDpol", "left")
+        .unionByName(rest.join(known, "IDpol", "left"))
+        .select("IDpol", "ClaimAmount", F.coalesce("_known", F.lit(False)).alias("Known"))
     )
 
 
-def matched_claims(claims: DataFrame, policies: DataFrame) -> DataFrame:
-    """Valid claims of a known policy."""
-    return _claims_by_policy_match(claims.select("IDpol", "ClaimAmount"), policies, "left_semi")
+def matched_claims(known: DataFrame) -> DataFrame:
+    """Claims of a known policy, from known_claims."""
+    return known.filter("Known").drop("Known")
 
 
-def orphan_claims(claims: DataFrame, policies: DataFrame) -> DataFrame:
-    """Valid claims without a known policy."""
-    return _claims_by_policy_match(claims.select("IDpol", "ClaimAmount"), policies, "left_anti")
+def orphan_claims(known: DataFrame) -> DataFrame:
+    """Claims without a known policy, from known_claims."""
+    return known.filter("NOT Known").drop("Known")
 
 
 def claim_count_issues(audit: DataFrame) -> DataFrame:

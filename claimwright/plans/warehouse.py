@@ -7,27 +7,32 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from claimwright.operators import contracts, portfolio, ranking, reconcile
 from claimwright.operators.clean import valid_severity
 from claimwright.operators.contracts import require_columns
+from claimwright.session import stage
 from claimwright.sources import store
 from claimwright import vocabulary as V
 
 
 def relational_tables(
-    policy: DataFrame, severity_clean: DataFrame, audit: DataFrame, numbered: bool = True
+    policy: DataFrame, severity_clean: DataFrame, audit: DataFrame
 ) -> dict[str, DataFrame]:
-    """Typed policies, matched and orphan claims (with surrogate ids), and issues."""
+    """Typed policies, matched and orphan claims with surrogate ids, and issues.
+
+    The claims are matched once and kept on shared storage, as both claim tables and
+    their numbering read them.
+    """
     require_columns(policy, V.POLICY_COLUMNS, "The policy data")
     require_columns(severity_clean, [*V.SEVERITY_COLUMNS, "SeverityRecordValid"], "The severity data")
     require_columns(
         audit, [*[c for c in V.ISSUE_COLUMNS if c != "SourceStatus"], "_merge"], "The audit data")
     policies = reconcile.policies_table(policy)
-    claims = valid_severity(severity_clean)
-    matched = reconcile.matched_claims(claims, policies)
-    orphans = reconcile.orphan_claims(claims, policies)
-    if numbered:
-        matched = ranking.numbered(matched, "IDpol", "ClaimAmount", "ClaimID")
-        orphans = ranking.numbered(orphans, "IDpol", "ClaimAmount", "OrphanClaimID")
+    known = stage(
+        reconcile.known_claims(valid_severity(severity_clean), policies), "known-claims", "IDpol")
     return {
-        "policies": policies, "claims": matched, "orphan_claims": orphans,
+        "policies": policies,
+        "claims": ranking.numbered(
+            reconcile.matched_claims(known), "IDpol", "ClaimAmount", "ClaimID"),
+        "orphan_claims": ranking.numbered(
+            reconcile.orphan_claims(known), "IDpol", "ClaimAmount", "OrphanClaimID"),
         "claim_count_issues": reconcile.claim_count_issues(audit),
     }
 

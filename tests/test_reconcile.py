@@ -66,8 +66,8 @@ def test_claims_split_and_numbered(spark, prepared):
 @pytest.mark.parametrize("hot", [1, 2, 50])
 def test_hot_policies_change_nothing(spark, prepared, monkeypatch, hot):
     monkeypatch.setattr(reconcile, "HOT_IDS", hot)
-    matched = reconcile.matched_claims(prepared.claims, prepared.policies)
-    orphans = reconcile.orphan_claims(prepared.claims, prepared.policies)
+    known = reconcile.known_claims(prepared.claims, prepared.policies.union(prepared.policies))
+    matched, orphans = reconcile.matched_claims(known), reconcile.orphan_claims(known)
     assert sorted(tuple(r) for r in matched.collect()) == sorted(c for c in CLAIMS if c[0] != 9)
     assert sorted(tuple(r) for r in orphans.collect()) == [(9, 1.0), (9, 1.0)]
 

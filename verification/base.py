@@ -21,6 +21,7 @@ SECOND_SEVERITY = "50000 + 100 * VehPower"
 
 _kept: dict[tuple, DataFrame] = {}
 _plans: dict[tuple, preparation.Prepared] = {}
+_tables: dict[tuple, dict[str, DataFrame]] = {}
 
 
 def shown(df: DataFrame) -> DataFrame:
@@ -72,14 +73,23 @@ def claims(spark: SparkSession, folder: str) -> DataFrame:
     return once(spark, folder, "claims", lambda: prepared(spark, folder).claims)
 
 
-def relational(spark: SparkSession, folder: str, numbered: bool = False) -> dict[str, DataFrame]:
-    found = prepared(spark, folder)
-    return warehouse.relational_tables(
-        policy(spark, folder), found.severity, found.audit, numbered)
+def known_claims(spark: SparkSession, folder: str) -> DataFrame:
+    return once(spark, folder, "known-claims", lambda: reconcile.known_claims(
+        claims(spark, folder), policy(spark, folder)))
+
+
+def relational(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The relational tables as written, for the checks that follow the writing."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _tables:
+        found = prepared(spark, folder)
+        planned = warehouse.relational_tables(policy(spark, folder), found.severity, found.audit)
+        _tables[key] = {n: stage(df, n) for n, df in planned.items()}
+    return _tables[key]
 
 
 def orphans(spark: SparkSession, folder: str) -> DataFrame:
-    return reconcile.orphan_claims(claims(spark, folder), policy(spark, folder))
+    return reconcile.orphan_claims(known_claims(spark, folder))
 
 
 def occurrence_split(spark: SparkSession, folder: str) -> DataFrame:

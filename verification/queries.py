@@ -118,8 +118,9 @@ def policies_table(spark, folder):
 
 @query
 def claims_table(spark, folder):
-    matched = reconcile.matched_claims(base.claims(spark, folder), base.policy(spark, folder))
-    return ranking.numbered(matched, "IDpol", "ClaimAmount", "ClaimID")
+    return ranking.numbered(
+        reconcile.matched_claims(base.known_claims(spark, folder)), "IDpol", "ClaimAmount",
+        "ClaimID")
 
 
 @query
@@ -193,8 +194,9 @@ def sql_on_views(spark, folder):
     warehouse.register(base.relational(spark, folder))
     return warehouse.query(
         spark,
-        """SELECT a.Area, a.claims, a.pure_premium, k.pure_premium AS portfolio_pure_premium
-           FROM v_area_metrics a, v_portfolio_kpis k WHERE a.claims > 0""")
+        """SELECT Area, claims, pure_premium,
+                  (SELECT pure_premium FROM v_portfolio_kpis) AS portfolio_pure_premium
+           FROM v_area_metrics WHERE claims > 0""")
 
 
 # --- portfolio reports -----------------------------------------------------

@@ -108,14 +108,16 @@ def stratified_split(
         return {s: [t, t + v] for s, (t, v) in split_sizes(counts).items()}
 
     found = _cuts(df, stratum, key, str(seed), ranks)
-    d, k = digest(key, str(seed)), F.col(key)
+    d, k = F.col("_digest"), F.col(key)
     test, validation = F.lit(False), F.lit(False)
     for s, (first, second) in found.items():
         mine = F.col(stratum).eqNullSafe(F.lit(s))
         test = test | (mine & _upto(first, d, k))
         validation = validation | (mine & _upto(second, d, k))
-    return df.withColumn(
-        "Sample", F.when(test, "Test").when(validation, "Validation").otherwise("Training"))
+    # The digest is a column of its own, so that it is worked out once per row.
+    return df.withColumn("_digest", digest(key, str(seed))).withColumn(
+        "Sample", F.when(test, "Test").when(validation, "Validation").otherwise("Training")
+    ).drop("_digest")
 
 
 def stratified_sample(
@@ -130,8 +132,8 @@ def stratified_sample(
     kept = F.lit(False)
     for s, (place,) in found.items():
         mine = F.col(stratum).eqNullSafe(F.lit(s))
-        kept = kept | (mine & _upto(place, digest(key, salt), F.col(key)))
-    return df.filter(kept)
+        kept = kept | (mine & _upto(place, F.col("_digest"), F.col(key)))
+    return df.withColumn("_digest", digest(key, salt)).filter(kept).drop("_digest")
 
 
 def prediction_sample(

@@ -169,9 +169,9 @@ def test_selection_rules(spark):
 def test_subgroups_drop_small_groups(spark):
     _, df = scored(spark, 300)
     rows = df.withColumn(
-        "Area", F.when(F.col("IDpol") < 280, "A").when(F.col("IDpol") < 295, "B"))
+        "Area", F.when(F.col("IDpol") < 240, "A").when(F.col("IDpol") < 270, "B"))
     found = curves.subgroup_metrics(rows, F.lit(0.4), ["Area"], least_rows=5, least_claims=1)
-    assert {r.GroupValue for r in found.collect()} >= {"A", "Missing"}
+    assert {r.GroupValue: r.Policies for r in found.collect()} == {"A": 240, "B": 30, "Missing": 30}
     large = curves.subgroup_metrics(rows, F.lit(0.4), ["Area"], least_rows=100, least_claims=30)
     assert [r.GroupValue for r in large.collect()] == ["A"]
     span = curves.recall_range(large).first()

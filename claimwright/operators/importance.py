@@ -20,7 +20,7 @@ def permutation_importance(
     sample = stage(
         stratified_sample(test, target, size, salt=f"importance-{seed}").select(
             "IDpol", target, *features),
-        "importance-sample",
+        "importance-sample", "IDpol",
     )
     variants = F.explode(F.expr(
         "flatten(transform(array({}), f -> transform(sequence(1, {}), r -> "

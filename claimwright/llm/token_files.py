@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from tokenizers import Tokenizer
+
 from claimwright.llm.common import map_batches
 from claimwright.llm.tokens import Encoder, text_blocks
 from claimwright.session import shared_folder, stage
@@ -114,39 +116,43 @@ def decode_ids(stream: bytes, checkpoints: bytes, count: int, table) -> np.ndarr
     return out.T.reshape(-1)[:count]
 
 
+def id_type(definition: str, end: int = END) -> str:
+    """Two bytes an id where the vocabulary allows it, else four."""
+    return "<u2" if max(Tokenizer.from_str(definition).get_vocab_size(), end + 1) <= 1 << 16 else "<u4"
+
+
 def token_table(docs: DataFrame, definition: str, end: int = END) -> DataFrame:
-    """(doc_id, n, ids) of every document, ids as little-endian unsigned 32-bit integers."""
+    """(doc_id, ids) of every document, ids as little-endian integers of `id_type`."""
+    kind = id_type(definition, end)
     sent = docs.sparkSession.sparkContext.broadcast(definition)
-    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, n bigint, ids binary"
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, ids binary"
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
         encoder = Encoder(sent.value, spaced=True)
-        last = np.array([end], "<u4").tobytes()
+        last = np.array([end], kind).tobytes()
         for part, texts in text_blocks(batches, "text"):
             flat, bounds = encoder.encode(texts)
-            flat = flat.astype("<u4")
+            flat = flat.astype(kind)
             raws = [flat[a:b].tobytes() + last
                     for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
             yield pa.RecordBatch.from_arrays([
                 part.column(part.schema.get_field_index("doc_id")),
-                pa.array([len(r) // 4 for r in raws], pa.int64()),
                 pa.array(raws, arrow.field("ids").type)], schema=arrow)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def count_ids(table: DataFrame) -> np.ndarray:
+def count_ids(table: DataFrame, kind: str) -> np.ndarray:
     """How often each id stands in the table: at most a vocabulary of rows comes back."""
 
     def work(blocks):
         total = np.zeros(1, np.int64)
         for block in blocks:
-            for raw in block["ids"]:
-                found = np.bincount(np.frombuffer(raw, "<u4"))
-                if len(found) > len(total):
-                    total, found = found, total
-                total[:len(found)] += found
+            found = np.bincount(np.frombuffer(b"".join(block["ids"]), kind))
+            if len(found) > len(total):
+                total, found = found, total
+            total[:len(found)] += found
         some = np.flatnonzero(total)
         yield {"id": some.tolist(), "n": total[some].tolist()}
 
@@ -170,7 +176,8 @@ def write_files(docs: DataFrame, definition: str, path: str, end: int = END) ->
     """
     spark = docs.sparkSession
     table = stage(token_table(docs, definition, end), "token-ids")
-    counts = count_ids(table)
+    kind = id_type(definition, end)
+    counts = count_ids(table, kind)
     lengths = code_lengths(counts)
     codes = canonical(lengths)
     spark.createDataFrame(
@@ -187,21 +194,22 @@ def write_files(docs: DataFrame, definition: str, path: str, end: int = END) ->
 
     def work(blocks):
         codes, lengths = sent.value
+        width = np.dtype(kind).itemsize
         shard, number = TaskContext.get().partitionId(), 0
         names, raws, held = [], [], 0
 
         def made():
-            ids = np.frombuffer(b"".join(raws), "<u4")
+            ids = np.frombuffer(b"".join(raws), kind)
             stream, checkpoints = encode_ids(ids, codes, lengths)
             return {"shard": [shard], "block": [number], "n_ids": [len(ids)], "stream": [stream],
                     "checkpoints": [checkpoints], "doc_ids": [names],
-                    "sizes": [[len(r) // 4 for r in raws]]}
+                    "sizes": [[len(r) // width for r in raws]]}
 
         for block in blocks:
             for name, raw in zip(block["doc_id"], block["ids"]):
                 names.append(name)
                 raws.append(raw)
-                held += len(raw) // 4
+                held += len(raw) // width
                 if held >= BLOCK_IDS:
                     yield made()
                     names, raws, held, number = [], [], 0, number + 1

@@ -2,9 +2,8 @@
 
 A tokenizer cuts a text before it merges, so a text may be cut at any place where the
 tokenizer surely cuts, each piece encoded on its own, and the ids put together. Arrow
-cuts a block of texts and numbers its different pieces; the library encodes those not
-met before in the task; numpy gathers the ids. A text in which such places are not
-certain is encoded whole.
+cuts a block of texts and numbers its different pieces, the library encodes those, and
+numpy gathers the ids. A text in which such places are not certain is encoded whole.
 """
 
 import os
@@ -14,22 +13,26 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 24 << 20
-MEMO_BYTES = 128 << 20
-CALL = 256
+BLOCK_BYTES = 32 << 20
+CALL = 1024
 
 # The start of special tokens, white space beyond ASCII, and controls that
-# libraries class differently; marks that are cut from the word before them (an
-# apostrophe may not be); and a space that is neither first nor last of its white space.
+# libraries class differently; a space that is neither first nor last of its white space;
+# a word of Latin letters, which is surely one word to the tokenizer, and marks after it
+# (an apostrophe may belong to the word).
 ODD = (r"<\||[\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
        r"\x{1c}-\x{1f}]")
-TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 LOOSE = r"|[\t\n\v\f\r ] (?:[\t\n\v\f\r ]|\z)"
+WORD = (r"^(?P<word>[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]+)"
+        r"(?P<marks>[!-&(-/:-@\[-`{-~]*)$")
 
 
-def plain(piece: str) -> bool:
-    """Letters only, of ASCII or Latin-1: surely one word to the tokenizer."""
-    return piece.isalpha() and max(piece) <= "\xff" and piece not in ("ª", "º")
+def gather(ids: np.ndarray, lengths: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the ids of the pieces named by `index` in a row, where each begins and the end)."""
+    starts = np.cumsum(lengths) - lengths
+    counts = lengths[index]
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    return ids[np.repeat(starts[index] - ends[:-1], counts) + np.arange(ends[-1])], ends
 
 
 class Encoder:
@@ -45,63 +48,55 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.spaced = spaced
-        self.memo: dict[str, bytes] = {}
-        self.held = 0
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _keep(self, pieces: list[str], made) -> None:
-        ids = np.array(made.ids, np.uint32).tobytes()
-        ends = np.searchsorted(
-            np.array(made.word_ids, np.int64), np.arange(len(pieces) + 1)).tolist()
-        for i, piece in enumerate(pieces):
-            self.memo[piece] = ids[4 * ends[i]:4 * ends[i + 1]]
-        self.held += 4 * len(made.ids) + sum(map(len, pieces)) + 150 * len(pieces)
-
-    def _learn(self, pieces: list[str], lead: str) -> None:
-        """Adds the ids of new pieces, many to a call; `lead` stands before each."""
-        encode = self.tokenizer.encode
-        simple, other = [], []
-        for p in pieces:
-            # Put together by spaces, texts without a leading one would gain it.
-            joined = plain(p[len(lead):]) and bool(lead) == self.spaced
-            (simple if joined else other).append(p)
-        joint = "" if lead else " "
-        for at in range(0, len(simple), CALL):
-            part = simple[at:at + CALL]
-            self._keep(part, encode(joint.join(part), add_special_tokens=False))
-        for at in range(0, len(other), CALL):
-            part = other[at:at + CALL]
-            self._keep(part, encode(part, is_pretokenized=True, add_special_tokens=False))
-
-    def _table(self, pieces: list[str], lead: str) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the pieces in one array, and the length of each."""
-        memo, cut = self.memo, {}
-        pieces = [lead + p for p in pieces] if lead else pieces
-        new, tails = set(), set()
-        for p in pieces:
-            if p not in memo:
-                word = p.rstrip(TAIL)
-                if len(word) < len(p) and plain(word[len(lead):]):
-                    cut[p] = word, p[len(word):]
-                    tails.add(cut[p][1])
-                    p = word
-                if p not in memo:
-                    new.add(p)
-        self._learn(sorted(new), lead)
-        self._learn(sorted(tails.difference(memo)), "")
-        for p, (word, tail) in cut.items():
-            memo[p] = memo[word] + memo[tail]
-        self.held += 200 * len(cut)
-        found = [memo[p] for p in pieces]
-        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        return np.frombuffer(b"".join(found), np.uint32), lengths
+    def _words(self, pieces: list[str], joined: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(ids in a row, number of ids of each piece); many pieces to a call.
+
+        Latin words may be joined by spaces, as the tokenizer cuts there again; other
+        pieces are given as a list.
+        """
+        ids, lengths = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(pieces), CALL):
+            part = pieces[at:at + CALL]
+            if joined:
+                text = " ".join(part)
+                made = self.tokenizer.encode(
+                    " " + text if self.spaced else text, add_special_tokens=False)
+            else:
+                made = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(made.ids, np.uint32))
+            lengths.append(np.bincount(np.array(made.word_ids, np.int64), minlength=len(part)))
+        return np.concatenate(ids), np.concatenate(lengths)
+
+    def _dictionary(self, pieces: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids and lengths of different pieces, each after a space if `spaced`."""
+        found = pc.extract_regex(pieces, WORD)
+        split = pc.drop_null(found)
+        latin = pc.is_valid(found).to_numpy(zero_copy_only=False)
+        words = pc.struct_field(split, [0]).dictionary_encode()
+        tails = pc.struct_field(split, [1]).dictionary_encode()
+        lead = " " if self.spaced else ""
+        rest = pieces.filter(pa.array(~latin)).to_pylist()
+        tables = [
+            self._words(words.dictionary.to_pylist(), True),
+            self._words(tails.dictionary.to_pylist(), False),
+            self._words([lead + p if p or self.spaced else p for p in rest], False)]
+        ids = np.concatenate([t[0] for t in tables])
+        lengths = np.concatenate([t[1] for t in tables])
+        # A Latin piece is its word and its marks; any other piece is itself and nothing.
+        sizes = [len(t[1]) for t in tables]
+        index = np.full((len(pieces), 2), sum(sizes), np.int64)
+        index[latin, 0] = words.indices.to_numpy()
+        index[latin, 1] = tails.indices.to_numpy().astype(np.int64) + sizes[0]
+        index[~latin, 0] = np.arange(len(rest)) + sizes[0] + sizes[1]
+        flat, ends = gather(ids, np.append(lengths, 0), index.reshape(-1))
+        return flat, np.diff(ends[::2])
 
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, where each text's ids begin and end)."""
-        if self.held > MEMO_BYTES:
-            self.memo, self.held = {}, 0
         odd = pc.match_substring_regex(texts, ODD + (LOOSE if self.spaced else ""))
         safe = pc.if_else(odd, "", texts)
         cut = (pc.split_pattern(safe, " ") if self.spaced
@@ -111,18 +106,14 @@ class Encoder:
         edges = edges - edges[0]
         coded = pieces.dictionary_encode()
         index = coded.indices.to_numpy().astype(np.int64)
-        ids, lengths = self._table(coded.dictionary.to_pylist(), " " if self.spaced else "")
+        ids, lengths = self._dictionary(coded.dictionary)
         if self.spaced and len(texts):
             # The first piece of a text has no space before it.
             opening = pieces.take(pa.array(edges[:-1])).dictionary_encode()
-            more_ids, more_lengths = self._table(opening.dictionary.to_pylist(), "")
+            more_ids, more_lengths = self._words(opening.dictionary.to_pylist(), False)
             index[edges[:-1]] = opening.indices.to_numpy().astype(np.int64) + len(lengths)
             ids, lengths = np.concatenate([ids, more_ids]), np.concatenate([lengths, more_lengths])
-        starts = np.cumsum(lengths) - lengths
-        counts = lengths[index]
-        ends = np.concatenate([[0], np.cumsum(counts)])
-        total = int(ends[-1])
-        flat = ids[np.repeat(starts[index] - ends[:-1], counts) + np.arange(total)]
+        flat, ends = gather(ids, lengths, index)
         bounds = ends[edges]
         whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
         if len(whole):

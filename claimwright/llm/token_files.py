@@ -16,7 +16,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
-
 from tokenizers import Tokenizer
 
 from claimwright.llm.common import map_batches
@@ -164,12 +163,12 @@ def count_ids(table: DataFrame, kind: str) -> np.ndarray:
     return counts
 
 
-BLOCK_SCHEMA = """shard int, block int, n_ids bigint, stream binary, checkpoints binary,
+BLOCK_SCHEMA = """shard int, block int, before bigint, n_ids bigint, stream binary, checkpoints binary,
     doc_ids array<{id}>, sizes array<bigint>"""
 
 
 def write_files(docs: DataFrame, definition: str, path: str, end: int = END) -> None:
-    """Writes the blocks under `path`/blocks and the code lengths under `path`/code.
+    """Writes blocks, code lengths and the start of each shard under `path`.
 
     Documents are in ascending order of doc_id (null first); rows of one doc_id are in
     the order of their ids, equal ones in the order of the input.
@@ -196,12 +195,12 @@ def write_files(docs: DataFrame, definition: str, path: str, end: int = END) ->
         codes, lengths = sent.value
         width = np.dtype(kind).itemsize
         shard, number = TaskContext.get().partitionId(), 0
-        names, raws, held = [], [], 0
+        names, raws, held, before = [], [], 0, 0
 
         def made():
             ids = np.frombuffer(b"".join(raws), kind)
             stream, checkpoints = encode_ids(ids, codes, lengths)
-            return {"shard": [shard], "block": [number], "n_ids": [len(ids)], "stream": [stream],
+            return {"shard": [shard], "block": [number], "before": [before], "n_ids": [len(ids)], "stream": [stream],
                     "checkpoints": [checkpoints], "doc_ids": [names],
                     "sizes": [[len(r) // width for r in raws]]}
 
@@ -212,12 +211,18 @@ def write_files(docs: DataFrame, definition: str, path: str, end: int = END) ->
                 held += len(raw) // width
                 if held >= BLOCK_IDS:
                     yield made()
+                    before += held
                     names, raws, held, number = [], [], 0, number + 1
         if raws:
             yield made()
 
     schema = BLOCK_SCHEMA.format(id=dict(docs.dtypes)["doc_id"])
     map_batches(ranged, schema, work).write.parquet(f"{path}/blocks")
+    # A row for each shard of SHARD_IDS ids: small enough to order in one task.
+    totals = spark.read.parquet(f"{path}/blocks").groupBy("shard").agg(F.sum("n_ids").alias("n"))
+    totals.select(
+        "shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("start")
+    ).coalesce(1).write.parquet(f"{path}/shards")
 
 
 def read_files(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
@@ -228,14 +233,6 @@ def read_files(spark: SparkSession, path: str, with_ids: bool = False) -> DataFr
         lengths[r["id"]] = r["length"]
     sent = spark.sparkContext.broadcast(lengths)
     blocks = spark.read.parquet(f"{path}/blocks")
-    # Ids before a block: within its shard, and in the shards before (a row per shard).
-    sizes = blocks.select("shard", "block", "n_ids")
-    totals = sizes.groupBy("shard").agg(F.sum("n_ids").alias("_all"))
-    ahead = totals.select("shard", (F.sum("_all").over(Window.orderBy("shard")) - F.col("_all"))
-                          .alias("_ahead"))
-    own = Window.partitionBy("shard").orderBy("block")
-    starts = sizes.join(ahead, "shard").select(
-        "shard", "block", (F.col("_ahead") + F.sum("n_ids").over(own) - F.col("n_ids")).alias("_start"))
     kind = dict(blocks.dtypes)["doc_ids"][len("array<"):-1]
     schema = f"doc_id {kind}, start bigint, n_tokens bigint, ids_crc32 bigint"
     schema += ", ids binary" if with_ids else ""
@@ -251,11 +248,13 @@ def read_files(spark: SparkSession, path: str, with_ids: bool = False) -> DataFr
                 raws = [ids[e - n:e].tobytes() for e, n in zip(ends, sizes.tolist())]
                 yield {
                     "doc_id": part["doc_ids"][i],
-                    "start": [part["_start"][i] + e - n for e, n in zip(ends, sizes.tolist())],
+                    "start": [part["start"][i] + part["before"][i] + e - n for e, n in zip(ends, sizes.tolist())],
                     "n_tokens": sizes.tolist(), "ids_crc32": [zlib.crc32(r) for r in raws],
                     **({"ids": raws} if with_ids else {})}
 
-    return map_batches(blocks.join(starts, ["shard", "block"]), schema, work)
+    # Spark broadcasts the shards if their file is small, and else joins by shuffle.
+    starts = spark.read.parquet(f"{path}/shards")
+    return map_batches(blocks.join(starts, "shard"), schema, work)
 
 
 def contract(docs: DataFrame, definition: str) -> DataFrame:

@@ -37,7 +37,9 @@ ROUNDS = 2
 EPOCHS = 4
 RATE = 0.15
 BATCH = 2048
-CHUNK_TOKENS = 4_000_000
+CHUNK_TOKENS = 2_000_000
+BLOCK_BYTES = 8 << 20
+SCORE_BYTES = 1 << 20
 END = "\n"
 
 
@@ -71,7 +73,7 @@ def count_words(docs: DataFrame) -> DataFrame:
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
-        for _, texts in text_blocks(batches, "text"):
+        for _, texts in text_blocks(batches, "text", BLOCK_BYTES):
             words, index, _ = split_words(texts)
             yield pa.RecordBatch.from_arrays([
                 words, pa.array([bucket_of(w) for w in words.to_pylist()], pa.int32()),
@@ -128,7 +130,7 @@ def encode_rows(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def run(batches):
         v = sent.value
-        for part, texts in text_blocks(batches, "text"):
+        for part, texts in text_blocks(batches, "text", BLOCK_BYTES):
             words, index, owner = split_words(texts)
             words, size = words.to_pylist(), len(texts)
             known = np.fromiter((v.counts.get(w, 0) for w in words), np.float64, len(words))
@@ -283,7 +285,7 @@ def train_model(rows: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
             if tokens:
                 yield {"tokens": [tokens], "flat": [model.flat().tolist()]}
 
-        trained = map_batches(training, "tokens bigint, flat array<double>", work)
+        trained = map_batches(training, "tokens bigint, flat array<double>", work, SCORE_BYTES)
         mean = (trained.select("tokens", F.posexplode("flat").alias("i", "x")).groupBy("i")
                 .agg((F.sum(F.col("x") * F.col("tokens")) / F.sum("tokens")).alias("x")).toArrow())
         if mean.num_rows:
@@ -319,7 +321,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
     names = ["_row", "doc_id", "held_out", "n_tokens", "head_known", "head_base", "head_within"]
     types = dict(rows.dtypes)
     schema = ", ".join([*[f"{c} {types[c]}" for c in names], "_classes double"])
-    modelled = map_batches(rows.select(*names, "classes"), schema, work)
+    modelled = map_batches(rows.select(*names, "classes"), schema, work, SCORE_BYTES)
 
     rare = counts.filter(F.col("n") < vocabulary.least).select("word", F.col("n").alias("c"))
     totals = F.array(*[F.lit(float(x)) for x in vocabulary.bucket_totals])

@@ -127,7 +127,8 @@ def links(prints: DataFrame, radius: int) -> DataFrame:
         *[(F.col(c) + F.col(f"_d.d{i}")).alias(c) for i, c in enumerate(cell)],
         F.col("_tile").alias("_other"), F.col("_rows").alias("_left"),
         (F.expr(" + ".join(f"abs(_d.d{i})" for i in range(PARTS))) == 0).alias("_own"))
-    pairs = sent.join(tiles, cell).filter("NOT _own OR _other <= _tile")
+    # The planner does not see how much an explode multiplies, so it must not broadcast this.
+    pairs = sent.hint("merge").join(tiles, cell).filter("NOT _own OR _other <= _tile")
 
     def work(blocks):
         for block in blocks:

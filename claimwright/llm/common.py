@@ -57,5 +57,6 @@ def map_batches(
             yield pa.RecordBatch.from_arrays(
                 [pa.array(block[n], type=arrow.field(n).type) for n in arrow.names],
                 schema=arrow)
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)

@@ -31,11 +31,13 @@ WORD = (rf"^(?P<word>{_LATIN})(?P<marks>{_MARKS})"
 
 def gather(ids: np.ndarray, lengths: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(the ids of the pieces named by `index` in a row, where each begins and the end)."""
-    starts = np.cumsum(lengths) - lengths
-    counts = lengths[index]
-    ends = np.concatenate([[0], np.cumsum(counts)])
     # A block is far below 2^31 ids, so four bytes hold their places.
-    places = np.repeat((starts[index] - ends[:-1]).astype(np.int32), counts)
+    lengths = lengths.astype(np.int32)
+    starts = np.cumsum(lengths, dtype=np.int32) - lengths
+    counts = lengths[index]
+    ends = np.zeros(len(index) + 1, np.int32)
+    np.cumsum(counts, out=ends[1:])
+    places = np.repeat(starts[index] - ends[:-1], counts)
     places += np.arange(ends[-1], dtype=np.int32)
     return ids[places], ends
 
@@ -120,16 +122,17 @@ class Encoder:
         pieces = cut.flatten()
         edges = edges - edges[0]
         coded = pieces.dictionary_encode()
-        index = coded.indices.to_numpy().astype(np.int64)
+        index = coded.indices.to_numpy().copy()
         ids, lengths = self._dictionary(coded.dictionary)
         if self.spaced and len(texts):
             # The first piece of a text has no space before it.
             opening = pieces.take(pa.array(edges[:-1])).dictionary_encode()
             more_ids, more_lengths = self._words(opening.dictionary.to_pylist())
-            index[edges[:-1]] = opening.indices.to_numpy().astype(np.int64) + len(lengths)
+            index[edges[:-1]] = opening.indices.to_numpy() + len(lengths)
             ids, lengths = np.concatenate([ids, more_ids]), np.concatenate([lengths, more_lengths])
+        del safe, cut, pieces, coded
         flat, ends = gather(ids, lengths, index)
-        bounds = ends[edges]
+        bounds = ends[edges].astype(np.int64)
         whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
         if len(whole):
             parts, sizes, at = [], np.diff(bounds), 0
@@ -152,3 +155,4 @@ def text_blocks(
             part = batch.slice(at, step)
             texts = part.column(part.schema.get_field_index(column))
             yield part, pc.fill_null(texts, "")
+    pa.default_memory_pool().release_unused()

@@ -20,6 +20,7 @@ SLOTS = 1 << 18
 STEMS = (6, 7, 8)
 SAMPLE_PER_LABEL = 2048
 EPOCHS = 6
+STEP_BYTES = 2 << 20
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 4.0, 1.0
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
@@ -138,7 +139,7 @@ def score_texts(docs: DataFrame, weights: dict[int, float], keep: list[str]) ->
             logit = np.clip(total + dense[SLOTS], -35.0, 35.0)
             yield {**{c: block[c] for c in keep}, "score": (1.0 / (1.0 + np.exp(-logit))).tolist()}
 
-    return map_batches(docs.select(*keep, utf8().alias("_raw")), schema, work)
+    return map_batches(docs.select(*keep, utf8().alias("_raw")), schema, work, STEP_BYTES)
 
 
 def contract(docs: DataFrame, labels: DataFrame) -> DataFrame:

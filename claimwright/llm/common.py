@@ -32,6 +32,19 @@ def fold(id_column: str = "doc_id", folds: int = 5) -> Column:
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def shielded(docs: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Runs a step from documents to documents with its further columns out of the way.
+
+    They get neutral names, so none can clash with a name the step uses, and have their
+    own again in the result.
+    """
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    named = {c: f"extra_{i}" for i, c in enumerate(others)}
+    neutral = docs.select(
+        "doc_id", "text", *[F.col(f"`{c}`").alias(n) for c, n in named.items()])
+    return step(neutral).select(*[F.col(named.get(c, c)).alias(c) for c in docs.columns])
+
+
 def map_batches(
     df: DataFrame, schema: str, work: Callable[[Iterator[dict]], Iterator[dict]],
     step_bytes: int = 8 << 20,

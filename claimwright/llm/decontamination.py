@@ -15,7 +15,7 @@ import re
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimwright.llm.common import map_batches, utf8, words_of
+from claimwright.llm.common import map_batches, shielded, utf8, words_of
 from claimwright.llm.fm_index import FMIndex
 
 WINDOW = 10
@@ -199,6 +199,10 @@ def cut_words(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Documents with hit words cut out; a document with no other words goes."""
+    return shielded(docs, lambda d: _cut(d, benchmark, window))
+
+
+def _cut(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
     columns = docs.columns
     found = find_leaks(docs, benchmark, window, keep=columns).filter(
         "size(spans) = 0 OR aggregate(spans, 0L, (n, x) -> n + x.e - x.s) < n_words")

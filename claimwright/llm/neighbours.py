@@ -226,9 +226,8 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, read_ratio: float
     enough = found.filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
     short = asked.join(enough, "vec_id", "left_anti")
     if short.limit(1).count():
-        every_list = F.sequence(F.lit(0), F.lit(len(graph.centroids) - 1))
-        wide = short.select(
-            F.explode(every_list).cast("bigint").alias("list"), "vec_id", "v")
+        every_list = F.expr(f"sequence(0L, {len(graph.centroids) - 1}L)")
+        wide = short.select(F.explode(every_list).alias("list"), "vec_id", "v")
         again = top(compare(postings, wide, k), k)
         found = found.join(enough.withColumnRenamed("vec_id", "query_id"), "query_id", "left_semi") \
             .unionByName(again)

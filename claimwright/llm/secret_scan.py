@@ -15,7 +15,7 @@ from collections import Counter
 
 from pyspark.sql import DataFrame, functions as F
 
-from claimwright.llm.common import map_batches, utf8
+from claimwright.llm.common import map_batches, shielded, utf8
 
 # The base patterns and the least lengths of what they catch.
 ASSIGN = re.compile(
@@ -193,6 +193,12 @@ def scan_secrets(docs: DataFrame, id_column: str = "doc_id", redact: bool = Fals
     return map_batches(docs.select(id_column, *keep, utf8().alias("_raw")), schema, work)
 
 
+def without_secrets(docs: DataFrame) -> DataFrame:
+    """The documents with every span masked; a null text becomes empty."""
+    return shielded(docs, lambda d: scan_secrets(
+        d, redact=True, keep=[c for c in d.columns if c not in ("doc_id", "text")]))
+
+
 def contract(docs: DataFrame) -> DataFrame:
     """The digest columns of the registered query."""
     return scan_secrets(docs).select(

@@ -13,7 +13,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from claimwright.llm.common import map_batches, utf8
+from claimwright.llm.common import map_batches, shielded, utf8
 from claimwright.session import stage
 
 SEED = 42
@@ -203,6 +203,10 @@ def contract(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """One row of each component: the one of smallest id, of repeated rows the first."""
+    return shielded(docs, lambda d: _first_rows(d, shingle, radius))
+
+
+def _first_rows(docs: DataFrame, shingle: int, radius: int) -> DataFrame:
     prints = stage(
         fingerprints(docs.withColumn("_row", F.monotonically_increasing_id()),
                      "doc_id", shingle, ["_row", *[c for c in docs.columns if c != "doc_id"]]),
@@ -213,4 +217,4 @@ def one_of_each(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame
         .join(grouped(prints, "doc_id", radius), "_fp")
         .groupBy("root").agg(F.min("_first").alias("_first"))
         .select(F.col("_first._row").alias("_row")))
-    return prints.join(kept, "_row", "left_semi").select(*docs.columns)
+    return prints.join(kept, "_row", "left_semi")

@@ -14,7 +14,7 @@ import zlib
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from claimwright.llm.common import fold, map_batches, utf8, words_of
+from claimwright.llm.common import fold, map_batches, shielded, utf8, words_of
 
 SLOTS = 1 << 18
 STEMS = (6, 7, 8)
@@ -151,9 +151,5 @@ def contract(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The documents that score below the threshold."""
-    columns = docs.columns
-    scored = score_texts(docs.withColumnRenamed("score", "_score") if "score" in columns else docs,
-                         fit_weights(docs, labels),
-                         ["_score" if c == "score" else c for c in columns])
-    kept = scored.filter(F.col("score") < threshold).drop("score")
-    return kept.withColumnRenamed("_score", "score") if "score" in columns else kept
+    return shielded(docs, lambda d: score_texts(d, fit_weights(d, labels), d.columns).filter(
+        F.col("score") < threshold))

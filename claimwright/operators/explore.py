@@ -66,7 +66,12 @@ def amount_percentiles(claims: DataFrame) -> DataFrame:
 
 def _histogram(values: DataFrame, scaled: Column, bins: int, low: float, high: float,
                edge) -> DataFrame:
-    """Counts per equal-width bin of a scaled value; the last bin is closed."""
+    """Counts per equal-width bin of a scaled value; the last bin is closed.
+
+    Without values there are no bins.
+    """
+    if low is None:
+        return _histogram(values, scaled, bins, 0.0, 0.0, edge).limit(0)
     spread = high - low
     position = F.floor((scaled - F.lit(low)) * bins / F.lit(spread)) if spread else F.lit(0)
     counts = (
@@ -84,7 +89,7 @@ def _histogram(values: DataFrame, scaled: Column, bins: int, low: float, high: f
 
 def driver_age_histogram(policy: DataFrame, bins: int = 40, share: float = 0.995) -> DataFrame:
     """Driver ages up to the exact 99.5th percentile in equal bins."""
-    upper = quantiles(policy, "DrivAge", [share])[0]
+    upper = (quantiles(policy, "DrivAge", [share]) or [None])[0]
     kept = policy.filter(F.col("DrivAge") <= F.lit(upper))
     ends = kept.agg(F.min("DrivAge"), F.max("DrivAge")).first()
     return _histogram(kept, F.col("DrivAge"), bins, ends[0], ends[1], lambda c: c)
@@ -94,6 +99,6 @@ def log_histogram(df: DataFrame, column: str, edges: int = 60) -> DataFrame:
     """Positive amounts between logarithmically spaced edges."""
     kept = df.filter(F.col(column) > 0)
     ends = kept.agg(F.min(column), F.max(column)).first()
-    low, high = math.log10(ends[0]), math.log10(ends[1])
+    low, high = (math.log10(e) if e is not None else None for e in ends)
     return _histogram(
         kept, F.log10(column), edges - 1, low, high, lambda c: F.pow(F.lit(10.0), c))

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from claimwright import vocabulary as V
-from claimwright.functions.casting import holds, lenient_double, whole
+from claimwright.functions.casting import holds, lenient_double, lenient_long, whole
 from claimwright.functions.measures import count_if, percent, ratio
 from claimwright.operators.portfolio import with_share
 from claimwright.operators.ranking import quantile_table
@@ -12,11 +12,16 @@ from claimwright.operators.shaping import long_report, stacked
 
 
 def typed(raw: DataFrame) -> DataFrame:
-    """A raw table with its numbers parsed and its texts as they are."""
+    """A raw table with its numbers parsed and its texts as they are.
+
+    Ids are whole numbers, so that those beyond 2^53 stay apart.
+    """
     numbers = {*V.FREQUENCY_NUMBERS, "ClaimAmount"}
-    return raw.select(
-        *[(lenient_double(raw, c) if c in numbers else F.col(c)).alias(c) for c in raw.columns]
-    )
+    return raw.select(*[
+        (lenient_long(raw, c) if c == "IDpol" else lenient_double(raw, c) if c in numbers
+         else F.col(c)).alias(c)
+        for c in raw.columns
+    ])
 
 
 def missing_values(df: DataFrame) -> DataFrame:
@@ -123,8 +128,11 @@ def validity_checks(frequency: DataFrame, severity: DataFrame) -> DataFrame:
 
 
 def raw_consistency(frequency: DataFrame, severity: DataFrame) -> DataFrame:
-    """Raw ids of either table with their counts and difference."""
-    whole_counts = frequency.withColumn("ClaimNb", F.col("ClaimNb").cast("bigint"))
+    """Raw ids of either table with their counts and difference.
+
+    A count too large for a whole number counts as missing.
+    """
+    whole_counts = frequency.withColumn("ClaimNb", F.col("ClaimNb").try_cast("bigint"))
     return outer_counts(whole_counts, claim_counts(severity)).withColumn(
         "CountDifference", F.expr("ClaimNb - SeverityRowCount"))
 

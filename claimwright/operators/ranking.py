@@ -13,7 +13,6 @@ import math
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-MAX_PIECES = 1_024
 HEAVY_REPEATS = 4
 
 
@@ -33,7 +32,7 @@ class Pieces:
         """Reads the cut points off the rows: one scan of two columns."""
         if pieces is None:
             shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            pieces = max(8, min(MAX_PIECES, 2 * shuffles))
+            pieces = max(8, 2 * shuffles)
         shares = [i / pieces for i in range(1, pieces)]
         columns = [key] if tie is None else [key, tie]
         found = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).approxQuantile(

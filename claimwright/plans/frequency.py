@@ -64,7 +64,7 @@ class FrequencyRun:
         """Writes all report tables, the test predictions and the models."""
         reports = self.reports()
         checks = review.frequency_review(
-            self.validation, self.test, reports["frequency_calibration_deciles"],
+            self.selected, self.validation, self.test, reports["frequency_calibration_deciles"],
             reports["segment_frequency_calibration"], reports["poisson_coefficients"])
         store.write_tables({**reports, "report_checks": checks}, folder, kind)
         store.write_table(self.predictions(), folder, "predictions", kind)

@@ -39,9 +39,14 @@ def _ten_deciles(df: DataFrame) -> DataFrame:
     return long_report(row, NAMES, [("Calibration contains ten deciles", F.col("n") == 10)])
 
 
-def _from_validation(best: DataFrame) -> DataFrame:
-    return long_report(_rows(best), NAMES, [
-        ("Selected model came from validation", F.col("n") == 1)])
+def _from_validation(selected: str, validation: DataFrame, best: DataFrame) -> DataFrame:
+    """The model a run selected was trained, and is the best by validation."""
+    named = validation.select("Model", F.lit("trained").alias("as_")).unionByName(
+        best.select("Model", F.lit("best").alias("as_"))).filter(F.col("Model") == selected)
+    row = named.agg(count_if(F.col("as_") == "trained").alias("trained"),
+                    count_if(F.col("as_") == "best").alias("best"))
+    return long_report(row, NAMES, [
+        ("Selected model came from validation", (F.col("trained") == 1) & (F.col("best") == 1))])
 
 
 def selected_case(metrics: DataFrame, text: str = "selected threshold") -> DataFrame:
@@ -66,12 +71,12 @@ def occurrence_review(metrics: DataFrame, sample: DataFrame, coefficients: DataF
     ])
 
 
-def frequency_review(validation: DataFrame, test: DataFrame, deciles: DataFrame,
+def frequency_review(selected: str, validation: DataFrame, test: DataFrame, deciles: DataFrame,
                      segments: DataFrame, coefficients: DataFrame) -> DataFrame:
     ends = audit.decile_extremes(deciles, "ObservedFrequency")
     return stacked([
         _three(test, "Three models were evaluated"),
-        _from_validation(audit.select_frequency(validation)),
+        _from_validation(selected, validation, audit.select_frequency(validation)),
         _positive(test, "PredictedClaims", "All predicted claim totals are positive"),
         _known(test, "ExposureWeightedPoissonDeviance", "All Poisson deviances are finite"),
         _ten_deciles(deciles),
@@ -83,12 +88,12 @@ def frequency_review(validation: DataFrame, test: DataFrame, deciles: DataFrame,
     ])
 
 
-def severity_review(validation: DataFrame, test: DataFrame, deciles: DataFrame,
+def severity_review(selected: str, validation: DataFrame, test: DataFrame, deciles: DataFrame,
                     segments: DataFrame, coefficients: DataFrame, tail: DataFrame,
                     errors: DataFrame) -> DataFrame:
     return stacked([
         _three(test, "Three models were evaluated"),
-        _from_validation(audit.select_severity(validation)),
+        _from_validation(selected, validation, audit.select_severity(validation)),
         _known(test, "WeightedGammaDeviance", "All Gamma deviances are finite"),
         _positive(test, "PredictedClaimAmount", "All predicted claim amounts are positive"),
         _ten_deciles(deciles),

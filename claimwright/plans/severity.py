@@ -67,7 +67,7 @@ class SeverityRun:
         """Writes all report tables, the test predictions and the models."""
         reports = self.reports()
         checks = review.severity_review(
-            self.validation, self.test, reports["severity_calibration_deciles"],
+            self.selected, self.validation, self.test, reports["severity_calibration_deciles"],
             reports["segment_severity_calibration"], reports["gamma_coefficients"],
             reports["severity_tail_summary"], reports["largest_severity_errors"])
         store.write_tables({**reports, "report_checks": checks}, folder, kind)

@@ -56,20 +56,49 @@ def metadata(tables: dict[str, DataFrame], source: str, built: str | None = None
     return facts.unionByName(fixed).orderBy("MetadataKey")
 
 
+# The views are SQL text over the policies table.
+_COMPLETE = "CAST(PurePremiumModelEligible AS BOOLEAN)"
+_POSITIVE = "CAST(SeverityModelEligible AS BOOLEAN)"
+_INDICATORS = f"""
+    sum(CAST(HasClaim AS BIGINT)) / CAST(count(*) AS DOUBLE) AS claim_occurrence_rate,
+    CAST(sum(ClaimNb) AS DOUBLE) / nullif(sum(Exposure), 0) AS claim_frequency,
+    100 * CAST(sum(ClaimNb) AS DOUBLE) / nullif(sum(Exposure), 0) AS claims_per_100_exposure_years,
+    coalesce(sum(CompleteTotalClaimAmount) FILTER (WHERE {_POSITIVE}), 0D)
+      / nullif(CAST(sum(ClaimNb) FILTER (WHERE {_POSITIVE}) AS DOUBLE), 0) AS average_claim_severity,
+    coalesce(sum(CompleteTotalClaimAmount) FILTER (WHERE {_COMPLETE}), 0D)
+      / nullif(sum(Exposure) FILTER (WHERE {_COMPLETE}), 0) AS pure_premium"""
+_SAMPLES = " UNION ALL ".join(
+    f"""SELECT '{name}' AS model_sample,
+    count(*) FILTER (WHERE CAST({flag} AS BOOLEAN)) AS eligible_policies,
+    100D * count(*) FILTER (WHERE CAST({flag} AS BOOLEAN)) / nullif(count(*), 0) AS eligible_percentage
+    FROM policies"""
+    for name, flag in [
+        ("Frequency model", "FrequencyModelEligible"), ("Severity model", "SeverityModelEligible"),
+        ("Pure premium model", "PurePremiumModelEligible")])
 VIEWS = {
-    "v_portfolio_kpis": portfolio.portfolio_kpis,
-    "v_area_metrics": portfolio.area_metrics,
-    "v_model_eligibility": portfolio.model_eligibility,
-    "v_claim_completeness": portfolio.claim_completeness,
+    "v_portfolio_kpis": f"""SELECT count(*) AS total_policies, sum(Exposure) AS total_exposure_years,
+    sum(ClaimNb) AS total_reported_claims, sum(CAST(HasClaim AS BIGINT)) AS policies_with_claims,
+    count(*) FILTER (WHERE {_COMPLETE}) AS complete_loss_policies,
+    coalesce(sum(CompleteTotalClaimAmount) FILTER (WHERE {_COMPLETE}), 0D) AS complete_claim_cost,
+    {_INDICATORS} FROM policies""",
+    "v_area_metrics": f"""SELECT Area, count(*) AS policies, sum(Exposure) AS exposure,
+    sum(ClaimNb) AS claims, sum(CAST(HasClaim AS BIGINT)) AS policies_with_claim,
+    100D * count(*) FILTER (WHERE {_COMPLETE}) / count(*) AS complete_loss_percentage,
+    {_INDICATORS} FROM policies GROUP BY Area""",
+    "v_model_eligibility": _SAMPLES,
+    "v_claim_completeness": """SELECT SeverityCompletenessStatus AS completeness_status,
+    count(*) AS policy_count, 100D * count(*) / sum(count(*)) OVER () AS percentage
+    FROM policies GROUP BY SeverityCompletenessStatus""",
 }
 
 
 def register(tables: dict[str, DataFrame]) -> None:
     """Names the tables and the four views for SQL in their session."""
+    spark = next(iter(tables.values())).sparkSession
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
-    for name, view in VIEWS.items():
-        view(tables["policies"]).createOrReplaceTempView(name)
+    for name, text in VIEWS.items():
+        spark.sql(text).createOrReplaceTempView(name)
 
 
 def query(spark: SparkSession, text: str) -> DataFrame:

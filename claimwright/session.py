@@ -55,15 +55,12 @@ def stage(df: DataFrame, label: str, spread_by: str | None = None) -> DataFrame:
 
     Used where later steps pass over the same rows several times: the written table
     survives the loss of executors, and each pass reads only the columns it needs.
-    A table of fewer partitions than cores is small; with `spread_by` it is written
-    again, hashed by that column, so that all cores take part in the passes to come.
+    With `spread_by` the rows are dealt by that column first, so that all cores take
+    part in the passes to come, however few files the rows came from.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/claimwright/{label}-{uuid.uuid4().hex}"
+    if spread_by:
+        df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), spread_by)
     df.write.parquet(path)
-    table = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by and table.rdd.getNumPartitions() < cores:
-        table.repartition(cores, spread_by).write.parquet(f"{path}-spread")
-        table = spark.read.parquet(f"{path}-spread")
-    return table
+    return spark.read.parquet(path)

@@ -15,13 +15,12 @@ def raw_frequency(spark: SparkSession, folder: str) -> DataFrame:
     # Claims are counted before the join, so a hot order is one row on either side.
     returned = (
         _table(spark, folder, "lineitem")
-        .filter("l_returnflag = 'R' AND l_quantity <= 10")
+        .filter("l_returnflag = 'R'")
         .groupBy("l_orderkey")
         .agg(F.count("*").alias("returned"))
     )
     return (
         _table(spark, folder, "orders")
-        .filter("o_orderkey % 97 <> 0")
         .join(_table(spark, folder, "customer"), F.expr("c_custkey = o_custkey"))
         .join(_table(spark, folder, "nation"), F.expr("n_nationkey = c_nationkey"))
         .join(returned, F.expr("l_orderkey = o_orderkey"), "left")
@@ -52,15 +51,19 @@ def raw_frequency(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_severity(spark: SparkSession, folder: str) -> DataFrame:
+    """Every returned line is a claim, and so is a first line kept at the highest tax.
+
+    The latter are claims no policy reports. Some ids name no order, and some amounts
+    are not valid, so that claims are missing.
+    """
     return (
         _table(spark, folder, "lineitem")
-        .filter(
-            """(l_returnflag = 'R' AND l_quantity <= 10 AND l_linenumber % 4 <> 0)
-               OR (l_returnflag = 'A' AND l_quantity = 11 AND l_linenumber % 4 = 1)"""
-        )
+        .filter("l_returnflag = 'R' OR (l_returnflag = 'A' AND l_linenumber = 1 AND l_tax >= 0.08)")
         .selectExpr(
-            "CAST(l_orderkey AS STRING) AS IDpol",
+            """CAST(CASE WHEN l_orderkey % 97 = 0 THEN l_orderkey + 1000000000000
+                    ELSE l_orderkey END AS STRING) AS IDpol""",
             """CASE WHEN l_orderkey % 499 = 0 THEN '0'
+                    WHEN l_orderkey % 7 = 0 AND l_linenumber % 4 = 0 THEN '-1'
                     ELSE CAST(l_extendedprice AS STRING) END AS ClaimAmount""",
         )
     )

@@ -72,24 +72,25 @@ FROM orders o
 JOIN customer c ON c.c_custkey = o.o_custkey
 JOIN nation n ON n.n_nationkey = c.c_nationkey
 LEFT JOIN (SELECT l_orderkey, COUNT(*) AS n FROM lineitem
-           WHERE l_returnflag = 'R' AND l_quantity <= 10 GROUP BY l_orderkey) k
-  ON k.l_orderkey = o.o_orderkey
-WHERE o.o_orderkey % 97 <> 0"""
+           WHERE l_returnflag = 'R' GROUP BY l_orderkey) k
+  ON k.l_orderkey = o.o_orderkey"""
 
 CTES["raw_severity"] = """
-SELECT CAST(l_orderkey AS VARCHAR) AS IDpol,
+SELECT CAST(CASE WHEN l_orderkey % 97 = 0 THEN l_orderkey + 1000000000000
+            ELSE l_orderkey END AS VARCHAR) AS IDpol,
        CASE WHEN l_orderkey % 499 = 0 THEN '0'
+            WHEN l_orderkey % 7 = 0 AND l_linenumber % 4 = 0 THEN '-1'
             ELSE CAST(l_extendedprice AS VARCHAR) END AS ClaimAmount
 FROM lineitem
-WHERE (l_returnflag = 'R' AND l_quantity <= 10 AND l_linenumber % 4 <> 0)
-   OR (l_returnflag = 'A' AND l_quantity = 11 AND l_linenumber % 4 = 1)"""
+WHERE l_returnflag = 'R' OR (l_returnflag = 'A' AND l_linenumber = 1 AND l_tax >= 0.08)"""
 
 _NUMBERS = ["IDpol", "ClaimNb", "Exposure", "VehPower", "VehAge", "DrivAge", "BonusMalus",
             "Density"]
 
 CTES["typed_frequency"] = "SELECT * REPLACE (" + ", ".join(
-    f"TRY_CAST({c} AS DOUBLE) AS {c}" for c in _NUMBERS) + ") FROM raw_frequency"
-CTES["typed_severity"] = """SELECT TRY_CAST(IDpol AS DOUBLE) AS IDpol,
+    f"TRY_CAST({c} AS {'BIGINT' if c == 'IDpol' else 'DOUBLE'}) AS {c}" for c in _NUMBERS
+) + ") FROM raw_frequency"
+CTES["typed_severity"] = """SELECT TRY_CAST(IDpol AS BIGINT) AS IDpol,
     TRY_CAST(ClaimAmount AS DOUBLE) AS ClaimAmount FROM raw_severity"""
 
 CTES["frequency_clean"] = """
@@ -427,10 +428,24 @@ _KPI_TEXTS = [
 ORACLE["portfolio_summary"] = rounded(" UNION ALL ".join(
     f"SELECT '{m}' AS Metric, CAST({k} AS DOUBLE) AS Value, '{d}' AS Definition FROM kpis"
     for k, m, d in _KPI_TEXTS), "Value")
-ORACLE["kpi_reconciliation"] = rounded(" UNION ALL ".join(
-    f"SELECT '{k}' AS Metric, CAST({k} AS DOUBLE) AS DataFrameValue,"
-    f" CAST({k} AS DOUBLE) AS SQLValue, true AS Passed FROM kpis"
-    for k, _, _ in _KPI_TEXTS), "DataFrameValue", "SQLValue")
+# The second side is computed on its own, from the rows and not from the totals.
+CTES["kpis_again"] = """SELECT count(*) AS total_policies, sum(Exposure) AS total_exposure_years,
+  sum(ClaimNb) AS total_reported_claims, sum(HasClaim) AS policies_with_claims,
+  avg(CAST(HasClaim AS DOUBLE)) AS claim_occurrence_rate,
+  sum(ClaimNb) / sum(Exposure) AS claim_frequency,
+  sum(100 * ClaimNb) / sum(Exposure) AS claims_per_100_exposure_years,
+  sum(CASE WHEN PurePremiumModelEligible THEN 1 ELSE 0 END) AS complete_loss_policies,
+  sum(CASE WHEN PurePremiumModelEligible THEN CompleteTotalClaimAmount END) AS complete_claim_cost,
+  sum(CASE WHEN SeverityModelEligible THEN CompleteTotalClaimAmount END)
+    / sum(CASE WHEN SeverityModelEligible THEN ClaimNb END) AS average_claim_severity,
+  sum(CASE WHEN PurePremiumModelEligible THEN CompleteTotalClaimAmount END)
+    / sum(CASE WHEN PurePremiumModelEligible THEN Exposure END) AS pure_premium
+FROM policy_fact"""
+ORACLE["kpi_reconciliation"] = rounded("""SELECT *, abs(DataFrameValue - SQLValue) AS AbsoluteDifference,
+  abs(DataFrameValue - SQLValue) <= 1e-6 + 1e-9 * abs(SQLValue) AS Passed FROM (""" + " UNION ALL ".join(
+    f"SELECT '{k}' AS Metric, CAST(a.{k} AS DOUBLE) AS DataFrameValue,"
+    f" CAST(b.{k} AS DOUBLE) AS SQLValue FROM kpis a, kpis_again b"
+    for k, _, _ in _KPI_TEXTS) + ")", "DataFrameValue", "SQLValue", "AbsoluteDifference")
 CTES["areas"] = f"""SELECT Area, Policies AS policies, Exposure AS exposure, Claims AS claims,
   PoliciesWithClaim AS policies_with_claim, ClaimOccurrenceRate AS claim_occurrence_rate,
   ClaimFrequency AS claim_frequency,
@@ -609,7 +624,7 @@ FULL JOIN (SELECT IDpol, count(*) AS n FROM typed_severity GROUP BY IDpol) s
 ORACLE["raw_mismatches"] = rounded(
     """SELECT IDpol, ClaimNb, SeverityRowCount, _merge,
        ClaimNb - SeverityRowCount AS CountDifference FROM consistency
-       WHERE ClaimNb <> SeverityRowCount""", "IDpol")
+       WHERE ClaimNb <> SeverityRowCount""")
 _REPORTED = "(SELECT trunc(sum(ClaimNb)) FROM typed_frequency)"
 _MISMATCHED = _rows("consistency", "ClaimNb <> SeverityRowCount")
 ORACLE["consistency_summary"] = _measures([

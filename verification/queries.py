@@ -19,8 +19,6 @@ from claimwright.session import shared_folder
 from claimwright.sources import store
 from verification import base
 
-# Boosting rounds of the registered model queries; a full run uses the defaults.
-ROUNDS = 8
 
 QUERIES = {}
 # The same queries without the rounding, which only the comparison needs.
@@ -219,8 +217,7 @@ def kpi_reconciliation(spark, folder):
     policies = base.policy(spark, folder)
     warehouse.register({"policies": reconcile.policies_table(policies)})
     by_sql = warehouse.query(spark, "SELECT * FROM v_portfolio_kpis")
-    return portfolio.kpi_reconciliation(portfolio.portfolio_kpis(policies), by_sql).drop(
-        "AbsoluteDifference")
+    return portfolio.kpi_reconciliation(portfolio.portfolio_kpis(policies), by_sql)
 
 
 @query
@@ -700,17 +697,17 @@ def _logistic_run(spark, folder):
 
 @lru_cache(maxsize=8)
 def _comparison(spark, folder):
-    return occurrence.compare(base.occurrence_split(spark, folder), rounds=ROUNDS)
+    return occurrence.compare(base.occurrence_split(spark, folder))
 
 
 @lru_cache(maxsize=8)
 def _frequency_run(spark, folder):
-    return frequency.train(base.frequency_split(spark, folder), rounds=ROUNDS)
+    return frequency.train(base.frequency_split(spark, folder))
 
 
 @lru_cache(maxsize=8)
 def _severity_run(spark, folder):
-    return severity.train(base.severity_split(spark, folder), rounds=ROUNDS)
+    return severity.train(base.severity_split(spark, folder))
 
 
 @query
@@ -777,9 +774,10 @@ def strongest_coefficients(spark, folder):
 
 @query
 def frequency_review(spark, folder):
-    reports = _frequency_run(spark, folder).reports()
+    run = _frequency_run(spark, folder)
+    reports = run.reports()
     return review.frequency_review(
-        reports["validation_frequency_model_comparison"],
+        run.selected, reports["validation_frequency_model_comparison"],
         reports["test_frequency_model_comparison"], reports["frequency_calibration_deciles"],
         reports["segment_frequency_calibration"], reports["poisson_coefficients"])
 
@@ -802,9 +800,10 @@ def gamma_coefficients(spark, folder):
 
 @query
 def severity_review(spark, folder):
-    reports = _severity_run(spark, folder).reports()
+    run = _severity_run(spark, folder)
+    reports = run.reports()
     return review.severity_review(
-        reports["validation_severity_model_comparison"],
+        run.selected, reports["validation_severity_model_comparison"],
         reports["test_severity_model_comparison"], reports["severity_calibration_deciles"],
         reports["segment_severity_calibration"], reports["gamma_coefficients"],
         reports["severity_tail_summary"], reports["largest_severity_errors"])

@@ -167,7 +167,7 @@ def test_published_status_counts(spark, folder):
 
     counts = {r.AuditStatus: r.PolicyCount for r in base.prepared(spark, folder).audit_summary().collect()}
     assert counts == {
-        V.NO_CLAIM: 1128, V.MATCHED: 281, V.NO_SEVERITY: 48, V.FEWER: 13, V.MORE: 10, V.ORPHAN: 5}
+        V.NO_CLAIM: 399, V.MATCHED: 1027, V.NO_SEVERITY: 31, V.FEWER: 21, V.MORE: 17, V.ORPHAN: 13}
 
 
 def test_numbered_many_copies(spark):

@@ -105,3 +105,46 @@ def test_claim_flags(spark):
         [("1", "10"), ("1", "0"), (None, "5"), ("2", "x")], V.RAW_SEVERITY_SCHEMA)
     rows = clean.clean_severity(df).collect()
     assert [r.SeverityRecordValid for r in rows] == [True, False, False, False]
+
+
+def test_long_ids_stay_apart_and_large_counts_do_not_raise(spark):
+    from claimwright.operators import quality
+
+    ids = ["9007199254740992", "9007199254740993"]
+    frequency = spark.createDataFrame(
+        [(ids[0], "1e300"), (ids[1], "1")], "IDpol string, ClaimNb string")
+    severity = spark.createDataFrame([(ids[1], "5")], "IDpol string, ClaimAmount string")
+    typed = quality.typed(frequency), quality.typed(severity)
+    found = {r.IDpol: (r.ClaimNb, r.SeverityRowCount) for r in quality.raw_consistency(*typed).collect()}
+    assert found[int(ids[1])] == (1, 1) and found[int(ids[0])][0] in (None, 0)
+
+
+def test_histograms_of_no_rows_have_no_bins(spark):
+    from claimwright.operators import explore
+
+    nothing = spark.createDataFrame([], "DrivAge double, ClaimAmount double")
+    assert explore.log_histogram(nothing, "ClaimAmount").count() == 0
+    assert explore.driver_age_histogram(nothing).count() == 0
+
+
+def test_review_sees_a_model_that_was_not_trained(spark):
+    from claimwright.plans import review
+
+    validation = spark.createDataFrame([("A",), ("B",)], "Model string")
+    best = validation.filter("Model = 'A'")
+    passed = [review._from_validation(m, validation, best).first()[1] for m in ("A", "B", "C")]
+    assert passed == [True, False, False]
+
+
+def test_a_broken_view_fails_the_reconciliation(spark, folder):
+    from claimwright.operators import portfolio, reconcile
+    from claimwright.plans import warehouse
+    from verification import base
+
+    policies = base.policy(spark, folder)
+    typed = reconcile.policies_table(policies)
+    kpis = portfolio.portfolio_kpis(policies)
+    for rows, expected in ((typed, True), (typed.filter("ClaimNb < 3"), False)):
+        warehouse.register({"policies": rows})
+        compared = portfolio.kpi_reconciliation(kpis, spark.sql("SELECT * FROM v_portfolio_kpis"))
+        assert all(r.Passed for r in compared.collect()) is expected

@@ -621,7 +621,7 @@ SELECT COALESCE(f.IDpol, s.IDpol) AS IDpol,
 FROM (SELECT IDpol, ClaimNb, 1 AS here FROM typed_frequency) f
 FULL JOIN (SELECT IDpol, count(*) AS n FROM typed_severity GROUP BY IDpol) s
   ON s.IDpol = f.IDpol"""
-ORACLE["raw_mismatches"] = rounded(
+ORACLE["raw_mismatches"] = sql(
     """SELECT IDpol, ClaimNb, SeverityRowCount, _merge,
        ClaimNb - SeverityRowCount AS CountDifference FROM consistency
        WHERE ClaimNb <> SeverityRowCount""")

@@ -2,26 +2,44 @@
 
 Every (feature, repeat) is a variant of the same sample in which one column is taken
 from another row. All variants are scored by one transform and compared by average
-precision. The sample is bounded by its parameter, as the measure asks for.
+precision. All test rows take part unless a sample size is given.
 """
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from claimwright import vocabulary as V
 from claimwright.operators.curves import ranking_areas, score_steps
+from claimwright.operators.ranking import accumulate, offsets
 from claimwright.operators.sampling import stratified_sample
 from claimwright.session import stage
 
 
+PIECE_ROWS = 100_000
+
+
+def _placed(copies: DataFrame, digest: Column, pieces: int) -> DataFrame:
+    """Rows with `_at`, their place by digest and id among the rows of their variant.
+
+    Digests are even, so equal ranges of their first digits are pieces of like size.
+    """
+    within = ["Feature", "Repeat"]
+    prefix = F.conv(F.substring("_digest", 1, 8), 16, 10).cast("double")
+    pieced = copies.withColumn("_digest", digest).withColumn(
+        "_piece", F.floor(prefix * pieces / float(1 << 32)))
+    count = {"_at": F.lit(1)}
+    return accumulate(
+        pieced, offsets(pieced, count, within), ["_digest", "IDpol"], count, within
+    ).withColumnRenamed("_at_before", "_at").drop("_at_all", "_digest")
+
+
 def permutation_importance(
     model, test: DataFrame, features: list[str], target: str = "HasClaim",
-    size: int = V.IMPORTANCE_ROWS, repeats: int = V.IMPORTANCE_REPEATS, seed: int = V.SEED,
+    size: int | None = None, repeats: int = V.IMPORTANCE_REPEATS, seed: int = V.SEED,
 ) -> DataFrame:
-    sample = stage(
-        stratified_sample(test, target, size, salt=f"importance-{seed}").select(
-            "IDpol", target, *features),
-        "importance-sample", "IDpol",
-    )
+    chosen = test if size is None else stratified_sample(
+        test, target, size, salt=f"importance-{seed}")
+    sample = stage(chosen.select("IDpol", target, *features), "importance-sample", "IDpol")
+    pieces = sample.count() // PIECE_ROWS + 1
     variants = F.explode(F.expr(
         "flatten(transform(array({}), f -> transform(sequence(1, {}), r -> "
         "named_struct('Feature', f, 'Repeat', r))))".format(
@@ -29,16 +47,13 @@ def permutation_importance(
     copies = sample.select("*", variants.alias("v")).select(
         "v.Feature", "v.Repeat", "IDpol", target, *features)
     # Within a variant rows take values from each other by two unrelated hashed orders.
-    # A variant holds `size` rows at most, so its window is bounded.
-    one = Window.partitionBy("Feature", "Repeat")
     own = F.md5(F.concat_ws("-", F.col("IDpol").cast("string"), F.lit(str(seed))))
     other = F.md5(F.concat_ws(
         "-", F.col("IDpol").cast("string"), "Feature", F.col("Repeat").cast("string"),
         F.lit(str(seed))))
-    takers = copies.withColumn("_at", F.row_number().over(one.orderBy(own, "IDpol")))
-    givers = copies.select(
-        "Feature", "Repeat", F.row_number().over(one.orderBy(other, "IDpol")).alias("_at"),
-        *[F.col(f).alias(f"_from_{f}") for f in features])
+    takers = _placed(copies, own, pieces)
+    givers = _placed(copies, other, pieces).select(
+        "Feature", "Repeat", "_at", *[F.col(f).alias(f"_from_{f}") for f in features])
     mixed = takers.join(givers, ["Feature", "Repeat", "_at"]).select(
         "Feature", "Repeat", "IDpol", F.col(target).alias("HasClaim"),
         *[F.when(F.col("Feature") == f, F.col(f"_from_{f}")).otherwise(F.col(f)).alias(f)

@@ -102,8 +102,9 @@ def accumulate(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     local = {f"_{n}": F.coalesce(F.sum(e).over(inside), F.lit(0)) for n, e in totals.items()}
-    # `before` is bounded by groups x pieces (see offsets), so it may be broadcast.
-    out = rows.withColumns(local).join(F.broadcast(before), [*within, "_piece"])
+    # The window has dealt the rows by these keys already. Groups come from the data, so
+    # whether `before` is small enough to broadcast is left to adaptive execution.
+    out = rows.withColumns(local).join(before, [*within, "_piece"])
     return out.withColumns(
         {f"{n}_before": F.col(f"{n}_before") + F.col(f"_{n}") for n in totals}
     ).drop("_piece", *local)

@@ -2,7 +2,8 @@
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimwright import vocabulary as V
 from claimwright.functions.bands import with_bands
@@ -97,17 +98,28 @@ def with_age_band(scored: DataFrame) -> DataFrame:
     return with_bands(scored, ("DrivAgeBand",))
 
 
+def saved_logistic(spark: SparkSession, folder: str) -> models.FittedModel:
+    """The model a logistic run has published in the folder; it must be there."""
+    try:
+        return models.FittedModel.load(spark, f"{folder.rstrip('/')}/models/logistic")
+    except AnalysisException as error:
+        raise FileNotFoundError(
+            f"No logistic model in {folder}: run the logistic step first.") from error
+
+
 def compare(rows: DataFrame, rounds: int = 250, fitted: dict | None = None) -> Comparison:
-    """Fits both models on Training, picks thresholds and model on Validation, and
-    measures on Test. `rows` is the labelled split."""
+    """Fits the models not yet `fitted` on Training, picks thresholds and model on
+    Validation, and measures on Test. `rows` is the labelled split."""
     labelled = features.with_missing_label(rows)
     train = labelled.filter("Sample = 'Training'")
-    fitted = fitted or {
-        V.LOGISTIC: models.fit_logistic(rows.filter("Sample = 'Training'")),
-        V.BOOSTING: boosting.fit_boosting(
+    fits = {
+        V.LOGISTIC: lambda: models.fit_logistic(rows.filter("Sample = 'Training'")),
+        V.BOOSTING: lambda: boosting.fit_boosting(
             train, "HasClaim", None, V.OCCURRENCE_NUMBERS, V.MODEL_TEXTS,
             replace(boosting.OCCURRENCE_SETTINGS, rounds=rounds)),
     }
+    given = fitted or {}
+    fitted = {name: given[name] if name in given else fit() for name, fit in fits.items()}
     scored = stage(
         score(labelled.filter("Sample <> 'Training'"), fitted), "occurrence-scores")
     long = long_scores(scored, list(fitted))

@@ -126,13 +126,15 @@ def export_reports(tables: dict[str, DataFrame], folder: str, kind: str = "csv")
 def build(
     spark: SparkSession, prepared_folder: str, folder: str, source: str = "claims"
 ) -> dict[str, DataFrame]:
-    """Reads the prepared tables, writes the relational ones, checks what was written."""
+    """Reads the prepared tables, works out and checks the relational ones, then writes them.
+
+    When a check does not pass, nothing is written to the folder.
+    """
     prepared = store.read_tables(
         spark, prepared_folder, ["policy_analytics", "severity_clean", "claim_count_audit"])
     planned = relational_tables(
         prepared["policy_analytics"], prepared["severity_clean"], prepared["claim_count_audit"])
-    store.write_tables(planned, folder)
-    written = store.read_tables(spark, folder, list(planned))
+    written = {name: stage(df, f"table-{name}") for name, df in planned.items()}
     contracts.require_unique(written["policies"], "The policies table")
     contracts.require_unique(written["claim_count_issues"], "The claim_count_issues table")
     contracts.require_counts(written, {
@@ -144,11 +146,11 @@ def build(
     if split != valid:
         raise ValueError(f"{split} claims written, {valid} expected")
     if not contracts.foreign_key_violations(written["claims"], written["policies"]).isEmpty():
-        raise ValueError("Claims without a policy were written to the claims table")
+        raise ValueError("Claims without a policy are in the claims table")
     broken = contracts.constraint_violations(*[written[n] for n in planned]).filter(
         "Violations > 0").collect()
     if broken:
         raise ValueError(f"Constraint violations: {[r.asDict() for r in broken]}")
     written["database_metadata"] = metadata(written, source)
-    store.write_table(written["database_metadata"], folder, "database_metadata")
-    return written
+    store.write_tables(written, folder)
+    return store.read_tables(spark, folder, list(written))

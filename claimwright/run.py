@@ -6,13 +6,16 @@
     python -m claimwright.run quality --frequency F --severity S --to reports
     python -m claimwright.run explore --prepared prepared --to reports
     python -m claimwright.run logistic --prepared prepared --to reports/modeling/logistic
+    python -m claimwright.run occurrence --prepared prepared \\
+        --logistic reports/modeling/logistic --to reports/modeling/occurrence
 
-and occurrence, frequency and severity like logistic. The file can be given to
+and frequency and severity like logistic. The file can be given to
 spark-submit as well.
 """
 
 import argparse
 
+from claimwright import vocabulary as V
 from claimwright.operators import contracts, explore, portfolio, quality
 from claimwright.operators.clean import valid_severity
 from claimwright.plans import frequency, occurrence, preparation, severity, warehouse
@@ -78,8 +81,9 @@ def logistic(spark, args):
 
 
 def occurrence_models(spark, args):
+    logistic_model = occurrence.saved_logistic(spark, args.logistic)
     rows = occurrence.split(_policy(spark, args.prepared))
-    occurrence.compare(rows).publish(args.to, rows)
+    occurrence.compare(rows, fitted={V.LOGISTIC: logistic_model}).publish(args.to, rows)
 
 
 def frequency_models(spark, args):
@@ -100,7 +104,7 @@ STEPS = {
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument("step", choices=STEPS)
-    for name in ("frequency", "severity", "prepared", "tables"):
+    for name in ("frequency", "severity", "prepared", "tables", "logistic"):
         parser.add_argument(f"--{name}")
     parser.add_argument("--to", required=True)
     args = parser.parse_args()

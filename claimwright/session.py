@@ -50,17 +50,19 @@ def checkpointing(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
-def stage(df: DataFrame, label: str, spread_by: str | None = None) -> DataFrame:
+def stage(df: DataFrame, label: str, spread_by: str | None = None,
+          compression: str | None = None) -> DataFrame:
     """The rows written once as a Parquet table and read back.
 
     Used where later steps pass over the same rows several times: the written table
     survives the loss of executors, and each pass reads only the columns it needs.
     With `spread_by` the rows are dealt by that column first, so that all cores take
-    part in the passes to come, however few files the rows came from.
+    part in the passes to come, however few files the rows came from. `compression`
+    names the table's codec where the session's own is not wanted.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/claimwright/{label}-{uuid.uuid4().hex}"
     if spread_by:
         df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), spread_by)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.parquet(path)

@@ -106,7 +106,6 @@ SEGMENT_EXPOSURE = 500
 SEGMENT_POLICIES = 100
 SEGMENT_CLAIMS = 100
 REGION_EXPOSURE = 1_000
-IMPORTANCE_ROWS = 30_000
 IMPORTANCE_REPEATS = 5
 PREVIEW_ROWS = 2_000
 

@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimwright import vocabulary as V
-from claimwright.operators import audit, boosting, models
+from claimwright.operators import audit, boosting, importance, models
 from claimwright.operators.features import Design, category_counts
 from claimwright.operators.importance import permutation_importance
+from claimwright.plans import occurrence
 
 N = 1_500
 NUMBERS, TEXTS = ["x1", "x2"], ["t"]
@@ -174,7 +175,7 @@ def test_boosting_beats_poisson_beats_constant(data):
     assert found["boosting"] < found["poisson"] < found["constant"]
 
 
-def test_classifier_and_importance(spark, data):
+def test_classifier_and_importance(spark, data, monkeypatch):
     settings = replace(
         boosting.OCCURRENCE_SETTINGS, rounds=10, rate=0.3, depth=3, least_rows=20)
     model = boosting.fit_boosting(data, "HasClaim", None, NUMBERS, TEXTS, settings)
@@ -184,6 +185,15 @@ def test_classifier_and_importance(spark, data):
     rows = permutation_importance(model, data, [*NUMBERS, *TEXTS], size=800, repeats=2).collect()
     assert rows[0].Feature == "x1" and rows[0].ImportanceMean > 0.02
     assert len(rows) == 3
+    # All rows by default, and the same however the order is cut into pieces.
+    whole = permutation_importance(model, data, [*NUMBERS, *TEXTS], repeats=1).collect()
+    monkeypatch.setattr(importance, "PIECE_ROWS", 100)
+    assert permutation_importance(model, data, [*NUMBERS, *TEXTS], repeats=1).collect() == whole
+
+
+def test_comparison_needs_the_saved_model(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="logistic"):
+        occurrence.saved_logistic(spark, str(tmp_path / "none"))
 
 
 def test_baselines(data):

@@ -130,6 +130,18 @@ def test_run_and_build(spark, tmp_path):
     assert kpis["portfolio_kpis"].first()["total_policies"] == 6
 
 
+def test_a_failed_build_writes_nothing(spark, tmp_path, monkeypatch):
+    folder, target = str(tmp_path / "prepared"), tmp_path / "tables"
+    preparation.run(*raw(spark, POLICIES, CLAIMS), folder)
+    real = warehouse.relational_tables
+    # Every claim twice: more claims than there are valid ones.
+    monkeypatch.setattr(warehouse, "relational_tables", lambda *tables: {
+        n: t.union(t) if n == "claims" else t for n, t in real(*tables).items()})
+    with pytest.raises(ValueError):
+        warehouse.build(spark, folder, str(target))
+    assert not target.exists()
+
+
 def test_a_failed_gate_writes_nothing(spark, tmp_path):
     frequency, severity = raw(spark, [*POLICIES, POLICIES[0]], CLAIMS)
     with pytest.raises(ValueError):

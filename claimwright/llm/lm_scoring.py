@@ -123,24 +123,26 @@ ROW_SCHEMA = """n_tokens bigint, head_known bigint, head_base double, head_withi
 
 def encode_rows(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Per document: class sequence, sums over frequent words, and the other words' counts."""
-    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    # Plain values: a broadcast object would need its class's module on the executors.
+    sent = docs.sparkSession.sparkContext.broadcast((
+        vocabulary.counts, vocabulary.singles, vocabulary.bucket_totals, vocabulary.base_total))
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, held_out boolean, {ROW_SCHEMA}"
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
-        v = sent.value
+        counts, singles, bucket_totals, base_total = sent.value
         for part, texts in text_blocks(batches, "text", BLOCK_BYTES):
             words, index, owner = split_words(texts)
             words, size = words.to_pylist(), len(texts)
-            known = np.fromiter((v.counts.get(w, 0) for w in words), np.float64, len(words))
+            known = np.fromiter((counts.get(w, 0) for w in words), np.float64, len(words))
             buckets = np.fromiter(map(bucket_of, words), np.int64, len(words))
-            single = np.fromiter((v.singles.get(w, -1) for w in words), np.int64, len(words))
+            single = np.fromiter((singles.get(w, -1) for w in words), np.int64, len(words))
             classes = np.where(single >= 0, single, buckets + SINGLES).astype(np.uint8)[index]
             head = known > 0
-            base = np.where(head, np.log10((known + 0.5) / v.base_total), 0.0)
+            base = np.where(head, np.log10((known + 0.5) / base_total), 0.0)
             within = np.where(
-                head & (single < 0), np.log10((known + 0.5) / v.bucket_totals[buckets]), 0.0)
+                head & (single < 0), np.log10((known + 0.5) / bucket_totals[buckets]), 0.0)
             total = lambda x: np.bincount(owner, weights=x[index], minlength=size)
             sizes = np.bincount(owner, minlength=size)
             ends = np.cumsum(sizes).tolist()

@@ -72,17 +72,21 @@ def balanced_centroids(points: np.ndarray, lists: int) -> np.ndarray:
 class Graph:
     """Centroids with links to their nearest ones; `nearest` is a beam search."""
 
-    def __init__(self, centroids: np.ndarray, degree: int = DEGREE):
+    def __init__(self, centroids: np.ndarray, links: np.ndarray | None = None,
+                 degree: int = DEGREE):
         self.centroids = centroids
         n = len(centroids)
+        # Ways in from all sides, should links alone not reach every centroid.
+        self.entries = np.unique(np.linspace(0, n - 1, min(n, 64)).astype(np.int64))
+        if links is not None:
+            self.links = links
+            return
         self.links = np.zeros((n, min(degree, max(1, n - 1))), np.int64)
         norms = (centroids * centroids).sum(axis=1)
         for at in range(0, n, 512):
             gap = norms[None, :] - 2.0 * centroids[at:at + 512] @ centroids.T
             gap[np.arange(len(gap)), np.arange(at, at + len(gap))] = np.inf
             self.links[at:at + 512] = np.argsort(gap, axis=1, kind="stable")[:, :self.links.shape[1]]
-        # Ways in from all sides, should links alone not reach every centroid.
-        self.entries = np.unique(np.linspace(0, n - 1, min(n, 64)).astype(np.int64))
 
     def _gaps(self, points: np.ndarray, ids: np.ndarray) -> np.ndarray:
         step = self.centroids[ids] - points[:, None, :]
@@ -137,10 +141,11 @@ def matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 def listed(vectors: DataFrame, graph: Graph, ratio: float, most: int) -> DataFrame:
     """(list, vec_id, v): a row for each list within `ratio` of the nearest, at most `most`."""
-    sent = vectors.sparkSession.sparkContext.broadcast(graph)
+    # Plain arrays: a broadcast object would need its class's module on the executors.
+    sent = vectors.sparkSession.sparkContext.broadcast((graph.centroids, graph.links))
 
     def work(blocks):
-        graph = sent.value
+        graph = Graph(*sent.value)
         for block in blocks:
             for at in range(0, len(block["v"]), 512):
                 points = np.array(block["v"][at:at + 512], np.float64)

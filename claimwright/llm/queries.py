@@ -25,12 +25,11 @@ def op1_lm_scoring(spark, folder):
     return lm_scoring.score_texts(table(spark, folder, "documents"))
 
 
-TOOLS = [
-    ("answer", "text", "string", True), ("answer", "words", "integer", True),
-    ("answer", "share", "number", False),
-    ("note", "text", "string", True), ("note", "words", "string", True),
-    ("note", "lang", "string", True),
-]
+TOOLS = """VALUES
+    ('answer', 'text', 'string', true), ('answer', 'words', 'integer', true),
+    ('answer', 'share', 'number', false),
+    ('note', 'text', 'string', true), ('note', 'words', 'string', true),
+    ('note', 'lang', 'string', true) AS tools(name, param, type, required)"""
 
 
 def tool_messages(conversations: DataFrame) -> DataFrame:
@@ -49,10 +48,8 @@ def tool_messages(conversations: DataFrame) -> DataFrame:
 
 
 def op2_chat_tools(spark, folder):
-    schemas = spark.createDataFrame(
-        TOOLS, "name string, param string, type string, required boolean")
     return chat_tools.link_tool_calls(
-        tool_messages(table(spark, folder, "conversations")), schemas)
+        tool_messages(table(spark, folder, "conversations")), spark.sql(TOOLS))
 
 
 def op3_toxicity(spark, folder):

@@ -86,9 +86,12 @@ def fit_weights(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id",
     order = F.xxhash64(F.col(id_column), F.lit("toxicity")).alias("_order")
     chosen = [known.filter(F.col("_label") == v).select("*", order).orderBy("_order", id_column)
               .limit(SAMPLE_PER_LABEL) for v in (0, 1)]
-    # At most 2 x SAMPLE_PER_LABEL rows, so the join may be a broadcast.
-    sample = docs.select(id_column, utf8().alias("_raw")).join(
-        F.broadcast(chosen[0].union(chosen[1])), id_column)
+    # At most 2 x SAMPLE_PER_LABEL rows, so the join may be a broadcast. Of rows with one
+    # id one text is learnt from, so an id of very many rows adds no more than any other.
+    sample = (
+        docs.select(id_column, utf8().alias("_raw"))
+        .join(F.broadcast(chosen[0].union(chosen[1])), id_column)
+        .groupBy(id_column, "_order", "_label").agg(F.min("_raw").alias("_raw")))
 
     def featured(blocks):
         for block in blocks:

@@ -1,11 +1,13 @@
 """Tool calls, pages and neighbours; the SQL checks; the pipeline."""
 
+import pickle
+
 import duckdb
 import numpy as np
 import pytest
 
 import corpus_pipeline
-from claimwright.llm import chat_tools, html_text, neighbours
+from claimwright.llm import chat_tools, html_text, lm_scoring, neighbours
 from claimwright.llm.queries import ORACLE, QUERIES
 
 TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -117,6 +119,21 @@ def test_neighbours_reach_the_nearest(spark):
     assert neighbours.search(vectors.limit(0)).count() == 0
 
 
+def test_broadcasts_are_plain_values(spark, folder, monkeypatch):
+    """Executors may have no copy of this package, so no broadcast may hold its objects."""
+    sent, real = [], type(spark.sparkContext).broadcast
+
+    def seen(self, value):
+        sent.append(pickle.dumps(value))
+        return real(self, value)
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", seen)
+    docs = spark.createDataFrame([(i, "some words here") for i in range(9)], "doc_id int, text string")
+    lm_scoring.score_texts(docs).count()
+    neighbours.search(spark.read.parquet(f"{folder}/embeddings.parquet").limit(300)).count()
+    assert len(sent) >= 5 and not any(b"claimwright" in value for value in sent)
+
+
 def test_pipeline_equals_its_stages(spark, folder):
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert len(names) == 5

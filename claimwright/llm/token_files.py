@@ -174,7 +174,7 @@ def write_files(docs: DataFrame, definition: str, path: str, end: int = END) ->
     the order of their ids, equal ones in the order of the input.
     """
     spark = docs.sparkSession
-    table = stage(token_table(docs, definition, end), "token-ids")
+    table = stage(token_table(docs, definition, end), "token-ids", compression="zstd")
     kind = id_type(definition, end)
     counts = count_ids(table, kind)
     lengths = code_lengths(counts)

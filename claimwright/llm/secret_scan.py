@@ -133,18 +133,18 @@ def lexed_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def scan(text: str, raw: bytes) -> tuple[list, list]:
-    """The base spans and all spans of one text; a lexed span that touches a base one adds nothing."""
+    """The base spans and all spans of one text; a lexed span inside a base one adds nothing."""
     base = base_spans(text, raw)
     lowered = raw.lower()
     if not any(h in lowered for h in NAME_HINTS) or not (
             b"=" in raw or b":" in raw or b"--" in raw or b"</" in raw):
         return base, base
-    extra, i = [], 0
-    edges = sorted((s, e) for s, _, e in base)
+    extra, i, reach = [], 0, 0
     for span in lexed_spans(text):
-        while i < len(edges) and edges[i][1] <= span[0]:
+        while i < len(base) and base[i][0] <= span[0]:
+            reach = max(reach, base[i][2])
             i += 1
-        if i == len(edges) or edges[i][0] >= span[2]:
+        if span[2] > reach:
             extra.append(span)
     return base, sorted(base + extra)
 

@@ -174,6 +174,15 @@ def test_secret_scan_base_and_lexed_spans(spark, awkward, nothing):
     assert secret_scan.contract(nothing).count() == 0
 
 
+def test_secret_with_punctuation_is_masked_whole(spark):
+    rows = [(1, 'password = "hunter22!Secret$99" then'), (2, "token: 'abcdef12' x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: r.spans for r in secret_scan.contract(docs).collect()}
+    assert found == {1: "assign:0:20,literal:12:30", 2: "assign:0:16"}
+    masked = {r.doc_id: r.text for r in secret_scan.without_secrets(docs).collect()}
+    assert masked == {1: '[assign][literal]" then', 2: "[assign]' x"}
+
+
 def test_language_model_counts_and_probabilities(spark, awkward, nothing, monkeypatch):
     monkeypatch.setattr(lm_scoring.Vocabulary.__init__, "__defaults__", (20,))
     rng = np.random.default_rng(2)

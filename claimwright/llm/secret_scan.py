@@ -3,7 +3,9 @@
 The lexer reads source and configuration syntax as name-literal pairs (`name = "x"`,
 `name: x`, `name := x`, `name => x`, `<name>x</name>`, `--name x`), follows constants
 (`a = "x"` ... `password = a`) and keeps a literal when the score of its target name
-and its own shape reaches a threshold. Spans are code points, end exclusive.
+and its own shape reaches a threshold. The marks # and // end a pair and no more: what
+follows is read on, be it a comment or the rest of a URL. Spans are code points, end
+exclusive.
 
 No text is the empty text and has no spans; repeated rows give repeated rows; any
 further columns of the input are left out of the result.
@@ -36,7 +38,7 @@ NAME_HINTS = tuple(n.encode() for n in NAME_SCORES)
 THRESHOLD = 5
 
 TOKEN = re.compile(
-    r"""(?P<comment>(?:\#|//)[^\n]*)
+    r"""(?P<mark>\#|//)
       | (?P<name>--?[A-Za-z][\w.-]*|[A-Za-z_$][\w.$-]*)
       | (?P<quoted>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)
       | (?P<op>:=|=>|==|!=|<=|>=|=|:)
@@ -89,7 +91,7 @@ def pairs(text: str) -> list[tuple[str, str | None, str, int, int]]:
             if not value.isspace():
                 name, armed = None, False
             continue
-        if kind in ("end", "comment"):
+        if kind in ("end", "mark"):
             name, armed = None, False
         elif kind == "op":
             armed = name is not None and value in ("=", ":", ":=", "=>")

@@ -183,6 +183,20 @@ def test_secret_with_punctuation_is_masked_whole(spark):
     assert masked == {1: '[assign][literal]" then', 2: "[assign]' x"}
 
 
+def test_lexer_reads_on_after_comment_marks(spark):
+    rows = [
+        (1, 'see http://host/x client_pwd = "hunter22X9"'), (2, "color: #fff; private_key: ab12CD34ef"),
+        (3, "# client_pwd = hunter22X9\nx = 1"), (4, "// passphrase: 'ab12CD34ef'"),
+        (5, "client_pwd = # hunter22X9"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: r.spans for r in secret_scan.contract(docs).collect()}
+    assert found == {1: "literal:32:42", 2: "literal:26:36", 3: "literal:15:25", 4: "literal:16:26", 5: ""}
+    masked = {r.doc_id: r.text for r in secret_scan.without_secrets(docs).collect()}
+    assert masked[1] == 'see http://host/x client_pwd = "[literal]"'
+    assert masked[3] == "# client_pwd = [literal]\nx = 1"
+
+
 def test_language_model_counts_and_probabilities(spark, awkward, nothing, monkeypatch):
     monkeypatch.setattr(lm_scoring.Vocabulary.__init__, "__defaults__", (20,))
     rng = np.random.default_rng(2)

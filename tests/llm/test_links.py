@@ -84,6 +84,33 @@ def test_pages_keep_the_article_alone(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+def texts_of(spark, bodies):
+    rows = [(i, f"http://h/{i}", body) for i, body in enumerate(bodies)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    return [r.text for r in html_text.extract(pages).orderBy("page_id").collect()]
+
+
+NOTICE = "please write to us if you find a mistake in this text"
+
+
+def own_text(i, n=30):
+    return " ".join(f"w{i}x{j}" for j in range(n))
+
+
+def test_covered_runs_go_and_unique_ones_and_copies_stay(spark):
+    found = texts_of(spark, [f"<p>{NOTICE} {own_text(i, 7)}</p><p>{own_text(i + 9, 20)} {NOTICE}</p>"
+                             for i in range(2)])
+    assert found == [f"{own_text(i, 7)}\n{own_text(i + 9, 20)}" for i in range(2)]
+    # Copies are one page, with or without an article; only what other pages have goes.
+    plain, head = f"<p>{own_text(0)}</p>", f"<header>{own_text(1, 9)}</header><p>{own_text(2)}</p>"
+    assert texts_of(spark, [plain, plain, f"<p>{NOTICE}</p>"]) == [own_text(0), own_text(0), NOTICE]
+    copies = [f"<nav>{own_text(i, 4)}</nav><article>{head}</article>" for i in (5, 6)]
+    assert texts_of(spark, copies) == [f"{own_text(1, 9)}\n{own_text(2)}"] * 2
+    # A changed copy of an article stays as well.
+    assert texts_of(spark, [f"<article>{own_text(0)} {x}</article>" for x in "ab"]) == [
+        f"{own_text(0)} a", f"{own_text(0)} b"]
+
+
 def pages_extra():
     from pyspark.sql import functions as F
 

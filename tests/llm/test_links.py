@@ -97,6 +97,20 @@ def own_text(i, n=30):
     return " ".join(f"w{i}x{j}" for j in range(n))
 
 
+def test_the_host_decides_on_ordinary_pages(spark):
+    found = texts_of(spark, [
+        f"<body class='no-sidebar search'><article class=search><p>{own_text(i)}<div class=x>{NOTICE}</div>"
+        f"</article><div class='ad-free'>{own_text(i, 3)}</div><p>{NOTICE}</p>" for i in range(3)])
+    assert found == [f"{own_text(i)}\n{own_text(i, 3)}" for i in range(3)]
+    copies = [f"<div>{own_text(i, 4)}</div><article><header>{own_text(1, 9)}</header><p>{own_text(2)}</article>"
+              for i in (5, 6)]
+    assert texts_of(spark, copies) == [
+        f"{own_text(i, 4)}\n{own_text(1, 9)}\n{own_text(2)}" for i in (5, 6)]
+    # A teaser on another page takes nothing from the article.
+    found = texts_of(spark, [f"<article><p>{own_text(0)}</p></article>", f"<p>{own_text(0, 10)}</p><p>more"])
+    assert found == [own_text(0), "more"]
+
+
 def test_covered_runs_go_and_unique_ones_and_copies_stay(spark):
     found = texts_of(spark, [f"<p>{NOTICE} {own_text(i, 7)}</p><p>{own_text(i + 9, 20)} {NOTICE}</p>"
                              for i in range(2)])

@@ -1,14 +1,17 @@
 """Tool calls in chats: linked to their results, ordered, validated, written as canonical JSON.
 
 DataFrame functions only. Calls and results meet in a hash join on (conversation, call
-id). A call may name a call it comes `after`; how far every chain reaches back is found
-by pointer doubling, in a number of joins that is the logarithm of the longest chain.
+id). A call may name calls it comes `after`, one or a list. Where it names one, how far
+the chain reaches back is found by pointer doubling, in a number of joins that is the
+logarithm of the longest chain; calls that come after several are then taken level by
+level, each once all calls before it are known.
 Positions are counted in ranges of the order, so a conversation of very many turns is
 spread over tasks.
 
 Messages have conv_id, turn, role and text. An assistant text that is a JSON object with
-`tool_calls` (id, name, arguments, after) holds calls; a tool text with `tool_call_id`
-holds a result; all else is a plain message.
+`tool_calls` (id, name, arguments, after) holds calls, and its `content`, if any, is a
+message before them; a tool text with `tool_call_id` holds a result; all else is a plain
+message.
 """
 
 import math
@@ -31,7 +34,11 @@ def canonical(json: str) -> Column:
 
 
 def events(messages: DataFrame) -> DataFrame:
-    """One row per plain message, call and result."""
+    """One row per plain message, call and result.
+
+    `after` is the sorted list of ids a call names, null if it names none. `is_json`
+    tells that the body of a message is JSON, the content of an assistant's object.
+    """
     base = messages.select(
         "conv_id", F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("_conv"),
         F.coalesce("turn", F.lit(-1)).cast("bigint").alias("turn"), "role",
@@ -49,48 +56,118 @@ def events(messages: DataFrame) -> DataFrame:
         "conv_id", "_conv", "turn", "seq", "'call' AS kind", "role",
         "try_variant_get(_c, '$.id', 'string') AS call_id",
         "try_variant_get(_c, '$.name', 'string') AS name",
-        "try_variant_get(_c, '$.after', 'string') AS after",
+        """CASE WHEN schema_of_variant(try_variant_get(_c, '$.after', 'variant')) LIKE 'ARRAY%'
+           THEN nullif(array_sort(array_distinct(array_compact(
+                transform(try_variant_get(_c, '$.after', 'array<variant>'),
+                          a -> try_variant_get(a, '$', 'string'))))), array())
+           ELSE nullif(array_compact(array(try_variant_get(_c, '$.after', 'string'))), array()) END AS after""",
         # Arguments may be an object or the text of one.
         """CASE WHEN schema_of_variant(try_variant_get(_c, '$.arguments', 'variant')) = 'STRING'
            THEN to_json(try_parse_json(try_variant_get(_c, '$.arguments', 'string')))
-           ELSE to_json(try_variant_get(_c, '$.arguments', 'variant')) END AS body""")
+           ELSE to_json(try_variant_get(_c, '$.arguments', 'variant')) END AS body""",
+        "false AS is_json")
     results = shown.filter("_answers IS NOT NULL").selectExpr(
         "conv_id", "_conv", "turn", "0 AS seq", "'result' AS kind", "role",
-        "_answers AS call_id", "CAST(NULL AS STRING) AS name", "CAST(NULL AS STRING) AS after",
-        "to_json(try_variant_get(_v, '$.content', 'variant')) AS body")
-    plain = shown.filter("_calls IS NULL AND _answers IS NULL").selectExpr(
-        "conv_id", "_conv", "turn", "0 AS seq", "'message' AS kind", "role",
-        "CAST(NULL AS STRING) AS call_id", "CAST(NULL AS STRING) AS name",
-        "CAST(NULL AS STRING) AS after", "text AS body")
+        "_answers AS call_id", "CAST(NULL AS STRING) AS name", "CAST(NULL AS ARRAY<STRING>) AS after",
+        "to_json(try_variant_get(_v, '$.content', 'variant')) AS body", "false AS is_json")
+    # Beside calls, or in place of them, stands the content; without any, an object that
+    # holds no call is a message as it is.
+    said = shown.filter("_answers IS NULL").withColumn("_said", F.expr(
+        """CASE WHEN _calls IS NOT NULL
+           THEN nullif(to_json(try_variant_get(_v, '$.content', 'variant')), 'null') END"""))
+    plain = said.filter("_said IS NOT NULL OR _calls IS NULL OR size(_calls) = 0").selectExpr(
+        "conv_id", "_conv", "turn", "CASE WHEN size(_calls) > 0 THEN -1 ELSE 0 END AS seq",
+        "'message' AS kind", "role", "CAST(NULL AS STRING) AS call_id",
+        "CAST(NULL AS STRING) AS name", "CAST(NULL AS ARRAY<STRING>) AS after",
+        "coalesce(_said, text) AS body", "_said IS NOT NULL AS is_json")
     return calls.unionByName(results).unionByName(plain)
 
 
 def chains(first: DataFrame) -> DataFrame:
-    """(_conv, call_id, back, depth, loops) of calls that come after another call.
+    """(_conv, call_id, back, depth, loops) of calls that come after other calls.
 
     `first` has _conv, call_id, reach (the last turn of the call or its results) and
-    after. `back` is the greatest reach of all calls before, `depth` their number; a
-    call whose chain never ends `loops`.
+    after, a list. `back` is the greatest reach of all calls before, `depth` the length
+    of the longest chain of them; a call that has a call before it whose chain never
+    ends `loops`.
     """
+    keys = ["_conv", "call_id"]
     before = first.select("_conv", F.col("call_id").alias("after"), F.col("reach").alias("back"))
+    edges = stage(
+        first.select(*keys, F.explode("after").alias("after")).join(before, ["_conv", "after"])
+        .select(*keys, "after", "back"), "chat-edges")
+    per_call = edges.groupBy(*keys).agg(
+        F.count("*").alias("_n"), F.min("after").alias("at"), F.min("back").alias("back"))
+    # A single predecessor is followed until a call that has none, or several.
     now = stage(
-        first.filter("after IS NOT NULL").select("_conv", "call_id", "after")
-        .join(before, ["_conv", "after"])
-        .select("_conv", "call_id", "back", F.lit(1).cast("bigint").alias("depth"),
-                F.col("after").alias("jump")), "chat-chains")
+        per_call.filter("_n = 1").select(
+            *keys, "back", F.lit(1).cast("bigint").alias("depth"), "at", F.lit(True).alias("open")),
+        "chat-chains")
     rounds = math.ceil(math.log2(now.count() + 1)) + 1
     for _ in range(rounds):
-        if not now.filter("jump IS NOT NULL").limit(1).count():
+        if not now.filter("open").limit(1).count():
             break
         farther = now.select(
-            "_conv", F.col("call_id").alias("jump"), F.col("back").alias("_back"),
-            F.col("depth").alias("_depth"), F.col("jump").alias("_jump"))
+            "_conv", F.col("call_id").alias("at"), F.col("back").alias("_back"),
+            F.col("depth").alias("_depth"), F.col("at").alias("_at"), F.col("open").alias("_open"))
         now = stage(
-            now.join(farther, ["_conv", "jump"], "left").select(
-                "_conv", "call_id", F.greatest("back", "_back").alias("back"),
+            now.join(farther, ["_conv", "at"], "left").select(
+                *keys, F.greatest("back", "_back").alias("back"),
                 (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
-                F.col("_jump").alias("jump")), "chat-chains")
-    return now.select("_conv", "call_id", "back", "depth", F.col("jump").isNotNull().alias("loops"))
+                F.coalesce("_at", "at").alias("at"),
+                F.coalesce("_open", F.lit(False)).alias("open")), "chat-chains")
+    several = per_call.filter("_n > 1").select(*keys)
+    if not several.limit(1).count():
+        return now.select(*keys, "back", "depth", F.col("open").alias("loops"))
+    several = stage(several, "chat-several")
+    return joined_chains(now, edges, several)
+
+
+def joined_chains(single: DataFrame, edges: DataFrame, several: DataFrame) -> DataFrame:
+    """The chains of all calls, given those of `single` ones up to `at`, the next call that
+    comes after none or several.
+
+    Calls after several are known, level by level, once all they wait for are; those
+    that never are, loop. The number of levels is that of such calls in one chain.
+    """
+    keys = ["_conv", "call_id"]
+    steps = single.select(
+        "_conv", F.col("call_id").alias("after"), F.col("back").alias("_back"),
+        F.col("depth").alias("_depth"), "at", "open")
+    waiting = stage(
+        edges.join(several, keys).join(steps, ["_conv", "after"], "left")
+        .select(*keys, F.coalesce("at", "after").alias("at"), F.greatest("back", "_back").alias("back"),
+                (F.coalesce("_depth", F.lit(0)) + 1).alias("depth"),
+                F.coalesce("open", F.lit(False)).alias("open"))
+        .join(several.select("_conv", F.col("call_id").alias("at"), F.lit(True).alias("waits")),
+              ["_conv", "at"], "left")
+        .select(*keys, "at", "back", "depth",
+                (F.col("open") | F.coalesce("waits", F.lit(False))).alias("waits")), "chat-waiting")
+    known = None
+    while True:
+        ready = stage(
+            waiting.groupBy(*keys).agg(
+                F.max("back").alias("back"), F.max("depth").alias("depth"), F.max("waits").alias("waits"))
+            .filter("NOT waits").select(*keys, "back", "depth", F.lit(False).alias("loops")), "chat-ready")
+        if not ready.limit(1).count():
+            break
+        known = ready if known is None else stage(known.unionByName(ready), "chat-known")
+        found = ready.select("_conv", F.col("call_id").alias("at"), F.col("back").alias("_back"),
+                             F.col("depth").alias("_depth"))
+        waiting = stage(
+            waiting.join(ready.select(*keys), keys, "left_anti").join(found, ["_conv", "at"], "left")
+            .select(*keys, "at", F.greatest("back", "_back").alias("back"),
+                    (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
+                    (F.col("waits") & F.col("_depth").isNull()).alias("waits")), "chat-waiting")
+    rest = waiting.groupBy(*keys).agg(F.max("back").alias("back"), F.max("depth").alias("depth")).withColumn(
+        "loops", F.lit(True))
+    joined = rest if known is None else known.unionByName(rest)
+    ends = joined.select("_conv", F.col("call_id").alias("at"), F.col("back").alias("_back"),
+                         F.col("depth").alias("_depth"), "loops")
+    return single.join(ends, ["_conv", "at"], "left").select(
+        *keys, F.greatest("back", "_back").alias("back"),
+        (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
+        (F.col("open") | F.coalesce("loops", F.lit(False))).alias("loops")).unionByName(joined)
 
 
 def argument_errors(calls: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -145,8 +222,8 @@ def link_tool_calls(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     keeps its turn unless it must wait for what it depends on: a result for its call, a
     call for the results of the calls before it. status is `message`; for calls
     `linked`, `unanswered`, `duplicate` (an id used before; it links to nothing) or
-    `loop` (its chain of `after` never ends; it keeps its turn); for results `linked` or
-    `orphan`. line is canonical JSON. Null turns come first, null texts are empty,
+    `loop` (a chain of `after` before it never ends; it keeps its turn); for results `linked`
+    or `orphan`. line is canonical JSON. Null turns come first, null texts are empty,
     repeated rows stay and share their status, calls without id are unanswered.
     """
     rows = stage(events(messages), "chat-events")
@@ -185,7 +262,7 @@ def link_tool_calls(messages: DataFrame, schemas: DataFrame) -> DataFrame:
         "errors": F.expr("CAST(array() AS array<string>)"), "status": F.lit("message"),
         "_at": F.col("turn"), "_depth": F.lit(0).cast("bigint")})
     columns = ["conv_id", "_conv", "_at", "_depth", "turn", "seq", "kind", "role", "call_id", "name",
-               "body", "status", "errors"]
+               "body", "is_json", "status", "errors"]
     everything = linked.select(*columns).unionByName(answered.select(*columns)).unionByName(
         plain.select(*columns))
     # Spark leaves null fields out, so they are named as JSON text.
@@ -197,8 +274,9 @@ def link_tool_calls(messages: DataFrame, schemas: DataFrame) -> DataFrame:
              ',"name":', {quoted('name')}, ',"arguments":', coalesce(body, 'null'), '}}')
         WHEN 'result' THEN concat('{{"role":"tool","id":', {quoted('call_id')},
              ',"content":', coalesce(body, 'null'), '}}')
-        ELSE concat('{{"role":', {quoted('role')}, ',"content":', {quoted('body')}, '}}') END))""")
-    order = ["_at", "_depth", "turn", "seq", "kind", "role", "call_id", "name", "body"]
+        ELSE concat('{{"role":', {quoted('role')}, ',"content":',
+             CASE WHEN is_json THEN body ELSE {quoted('body')} END, '}}') END))""")
+    order = ["_at", "_depth", "turn", "seq", "kind", "role", "call_id", "name", "body", "is_json"]
     return placed(everything, order).select(
         "conv_id", "position", "kind", "role", "turn", "call_id", "status",
         F.array_join("errors", "; ").alias("errors"), line.alias("line"))

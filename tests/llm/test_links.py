@@ -1,5 +1,6 @@
 """Tool calls, pages and neighbours; the SQL checks; the pipeline."""
 
+import json
 import pickle
 
 import duckdb
@@ -64,6 +65,48 @@ def test_long_chain_of_calls_is_in_order(spark):
     assert [r.call_id for r in out] == [str(i) for i in range(300)]
 
 
+def linked(spark, rows):
+    messages = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    schemas = spark.createDataFrame([], "name string, param string, type string, required boolean")
+    return chat_tools.link_tool_calls(messages, schemas).orderBy("conv_id", "position").collect()
+
+
+def test_content_beside_calls_and_empty_calls_are_kept(spark):
+    out = linked(spark, [
+        (1, 0, "assistant", '{"content":"let me see","tool_calls":[{"id":"a","name":"t","arguments":{}}]}'),
+        (1, 1, "tool", '{"tool_call_id":"a","content":"ok"}'),
+        (1, 2, "assistant", '{"tool_calls":[],"content":[{"b":1,"a":2}]}'),
+        (1, 3, "assistant", '{"tool_calls":[]}'), (1, 4, "assistant", '{"tool_calls":null,"content":"x"}'),
+        (1, 5, "assistant", '{"tool_calls":[{"id":"b","name":"t","arguments":{}}],"content":null}')])
+    assert [(r.kind, r.turn, r.line) for r in out] == [
+        ("message", 0, '{"content":"let me see","role":"assistant"}'),
+        ("call", 0, '{"arguments":{},"id":"a","name":"t","role":"assistant"}'),
+        ("result", 1, '{"content":"ok","id":"a","role":"tool"}'),
+        ("message", 2, '{"content":[{"a":2,"b":1}],"role":"assistant"}'),
+        ("message", 3, '{"content":"{\\"tool_calls\\":[]}","role":"assistant"}'),
+        ("message", 4, '{"content":"{\\"tool_calls\\":null,\\"content\\":\\"x\\"}","role":"assistant"}'),
+        ("call", 5, '{"arguments":{},"id":"b","name":"t","role":"assistant"}')]
+
+
+def test_calls_wait_for_every_call_they_name(spark):
+    def said(turn, id, after=None):
+        return (1, turn, "assistant", json.dumps({"tool_calls": [
+            {"id": id, "name": "t", "arguments": {}, **({} if after is None else {"after": after})}]}))
+
+    # Two levels of joins, chains between and behind them, and a loop through a join.
+    rows = [said(0, "z", ["y"]), said(1, "y", ["x", "c"]), said(2, "x", "w"), said(3, "w", ["b", "a", "b"]),
+            said(4, "c", "a"), said(5, "b"), said(6, "a", []),
+            said(7, "p", ["q", "a"]), said(8, "q", "p"), said(9, "r", ["a", "gone"]), said(10, "s", ["p", "b"]),
+            (1, 11, "tool", '{"tool_call_id":"a","content":1}')]
+    out = linked(spark, rows)
+    at = {r.call_id: r.position for r in out if r.kind == "call"}
+    done = next(r.position for r in out if r.kind == "result")
+    assert {r.call_id for r in out if r.status == "loop"} == {"p", "q", "s"}
+    assert at["a"] < done < at["c"] and at["b"] < at["w"] and done < at["w"] < at["x"]
+    assert max(at["x"], at["c"]) < at["y"] < at["z"] and done < at["r"]
+    assert [r.position for r in out] == list(range(len(rows)))
+
+
 def test_pages_keep_the_article_alone(spark):
     menu = "<nav><a>one</a><a>two</a></nav><div>we use these pages to tell you all about it daily</div>"
     rows = [

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from claimwright.llm import (
-    chat_tools, decontamination, html_text, lm_scoring, neighbours, packing, secret_scan, simhash,
-    token_files, toxicity)
+    centroids, chat_tools, decontamination, html_text, lm_scoring, neighbours, packing, secret_scan,
+    simhash, text_digest, token_files, toxicity, vector_codes, vector_sql)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -86,6 +86,18 @@ def op10_neighbours(spark, folder):
     return neighbours.search(table(spark, folder, "embeddings"))
 
 
+def op11_vector_codes(spark, folder):
+    return vector_codes.contract(table(spark, folder, "embeddings"))
+
+
+def op12_text_digest(spark, folder):
+    return text_digest.contract(table(spark, folder, "documents"))
+
+
+def op13_centroids(spark, folder):
+    return centroids.contract(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_chat_tools": op2_chat_tools,
@@ -97,6 +109,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_token_files": op9_token_files,
     "op10_neighbours": op10_neighbours,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_text_digest": op12_text_digest,
+    "op13_centroids": op13_centroids,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -178,4 +193,10 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op2_chat_tools": CHAT_SQL, "op4_decontamination": LEAK_SQL}
+ORACLE: dict[str, str] = {
+    "op2_chat_tools": CHAT_SQL,
+    "op4_decontamination": LEAK_SQL,
+    "op11_vector_codes": vector_sql.vector_codes_sql(),
+    "op12_text_digest": vector_sql.text_digest_sql(),
+    "op13_centroids": vector_sql.centroids_sql(),
+}

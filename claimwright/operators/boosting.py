@@ -1,44 +1,51 @@
-"""Boosted trees for the logistic, Poisson and Gamma losses.
-
-Spark's own boosted trees have no Poisson or Gamma loss, no penalty on leaf values
-and no patience before stopping. Each round here fits one of Spark's regression trees
-to the Newton step of the loss, takes the leaf of every row, and corrects the leaf
-values by one aggregation over (leaf, hold-out). The same aggregation gives the
-hold-out loss reached by the rounds before, so a round is one tree fit and one grouped
-pass.
+"""Histogram-boosted trees for the logistic, Poisson and Gamma losses.
+
+Rows are binned once, a byte for each feature, and stored with target, weight and linear
+score. A pass over them adds up the first and second derivatives of the loss by node,
+feature and bin in every task, and a grouped sum adds up the tasks; the driver gets at
+most 256 sums a node and feature. Trees grow by best gain to a limit of leaves, and all
+nodes that may be split next share one pass. The loss on the hold-out comes with a
+round's first pass.
 """
 
 import math
+import sys
 from dataclasses import dataclass, field
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from claimwright.operators.features import fit_stages, tree_stages
 from claimwright.operators.sampling import digest
+from claimwright.operators.trees import (
+    BINS, Binner, Growth, Tree, bin_matrix, grow, split_gains)
 from claimwright.session import checkpointing, stage
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @dataclass
 class Settings:
-    """Parameters of a boosting run; tree depth stands in for the leaf limit."""
+    """Parameters of a boosting run."""
 
     loss: str
     rate: float
     rounds: int = 300
-    depth: int = 5
+    leaves: int = 31
     least_rows: int = 100
     penalty: float = 1.0
     patience: int = 20
     tolerance: float = 1e-7
-    bins: int = 255
     checkpoint_every: int = 10
 
+    def growth(self) -> Growth:
+        return Growth(self.leaves, self.least_rows, self.penalty, self.rate)
 
-OCCURRENCE_SETTINGS = Settings("logistic", rate=0.08, rounds=250, depth=5, penalty=1.0)
-FREQUENCY_SETTINGS = Settings("poisson", rate=0.08, depth=5, penalty=1.0)
-SEVERITY_SETTINGS = Settings("gamma", rate=0.06, depth=4, penalty=5.0)
+
+OCCURRENCE_SETTINGS = Settings("logistic", rate=0.08, rounds=250)
+FREQUENCY_SETTINGS = Settings("poisson", rate=0.08)
+SEVERITY_SETTINGS = Settings("gamma", rate=0.06, leaves=15, penalty=5.0)
 
 
 def _mean(loss: str, eta: Column) -> Column:
@@ -50,11 +57,12 @@ def _start(loss: str, mean: float) -> float:
     return math.log(mean / (1.0 - mean)) if loss == "logistic" else math.log(mean)
 
 
-def _derivatives(loss: str, y: Column, w: Column, eta: Column) -> tuple[Column, Column]:
+def derivatives(loss: str, y: np.ndarray, w: np.ndarray, eta: np.ndarray):
     """First and second derivative of the loss in the linear score."""
-    m = _mean(loss, eta)
     if loss == "logistic":
+        m = 1.0 / (1.0 + np.exp(-eta))
         return w * (m - y), w * m * (1.0 - m)
+    m = np.exp(eta)
     if loss == "poisson":
         return w * (m - y), w * m
     if loss == "gamma":
@@ -62,65 +70,137 @@ def _derivatives(loss: str, y: Column, w: Column, eta: Column) -> tuple[Column,
     raise ValueError(f"Unknown loss {loss}")
 
 
-def _loss(loss: str, y: Column, w: Column, eta: Column) -> Column:
+def losses(loss: str, y: np.ndarray, w: np.ndarray, eta: np.ndarray) -> np.ndarray:
     """The loss up to what does not depend on the score."""
     if loss == "logistic":
-        return w * (F.log1p(F.exp(-F.abs(eta))) + F.greatest(eta, F.lit(0.0)) - y * eta)
+        return w * (np.log1p(np.exp(-np.abs(eta))) + np.maximum(eta, 0.0) - y * eta)
     if loss == "poisson":
-        return w * (F.exp(eta) - y * eta)
-    return w * (y * F.exp(-eta) + eta)
+        return w * (np.exp(eta) - y * eta)
+    return w * (y * np.exp(-eta) + eta)
+
+
+def binned(df: DataFrame, binner: Binner, keep: list[Column]) -> DataFrame:
+    """The kept columns with `_bins`: the bins of all features, a byte each."""
+    @F.arrow_udf("binary")
+    def packed(*columns: pa.Array) -> pa.Array:
+        return pa.array([row.tobytes() for row in binner.bins(list(columns))], pa.binary())
+
+    return df.select(*keep, packed(*binner.columns()).alias("_bins"))
+
+
+def added(trees: list[Tree], binner: Binner) -> Column:
+    """What the trees add to the score of a row with the binner's columns: one expression,
+    however many trees there are."""
+    @F.arrow_udf("double")
+    def total(*columns: pa.Array) -> pa.Array:
+        bins = binner.bins(list(columns))
+        out = np.zeros(len(bins))
+        for tree in trees:
+            out += tree.added(bins)
+        return pa.array(out)
+
+    return total(*binner.columns())
+
+
+def step(tree: Tree, width: int) -> Column:
+    """What one tree adds to the score of a binned row."""
+    @F.arrow_udf("double")
+    def own(bins: pa.Array) -> pa.Array:
+        return pa.array(tree.added(bin_matrix(bins, width)))
+
+    return own("_bins")
+
 
+def histograms(state: DataFrame, loss: str, tree: Tree, wanted: list[int], width: int):
+    """(sums, held) of one pass: derivatives and rows by (wanted node, feature, bin), and the
+    loss and weight of the hold-out."""
+    slots = np.full(len(tree.feature), -1, np.int64)
+    slots[wanted] = np.arange(len(wanted))
+    cells = len(wanted) * width * BINS
 
-def _step(values: dict[int, float], leaf: str) -> str:
-    """The correction of a row's leaf as SQL; at most 2^depth constants."""
-    table = ", ".join(f"{values.get(i, 0.0)!r}D" for i in range(max(values) + 1))
-    return f"coalesce(try_element_at(array({table}), CAST({leaf} AS INT) + 1), 0D)"
+    def run(batches):
+        sums, held_sums = np.zeros((3, cells)), np.zeros(2)
+        for batch in batches:
+            bins = bin_matrix(batch.column(0), width)
+            y, w, eta = (batch.column(i).to_numpy() for i in (1, 2, 3))
+            held = batch.column(4).to_numpy(zero_copy_only=False)
+            held_sums += losses(loss, y[held], w[held], eta[held]).sum(), w[held].sum()
+            slot = slots[tree.leaf(bins)]
+            some = np.flatnonzero((slot >= 0) & ~held)
+            gradient, curvature = derivatives(loss, y[some], w[some], eta[some])
+            first = slot[some] * (width * BINS)
+            for f in range(width):
+                cell = first + f * BINS + bins[some, f]
+                sums[0] += np.bincount(cell, gradient, cells)
+                sums[1] += np.bincount(cell, curvature, cells)
+                sums[2] += np.bincount(cell, minlength=cells)
+        used = np.flatnonzero(sums[2])
+        out = np.concatenate([[[held_sums[0]], [held_sums[1]], [0.0]], sums[:, used]], axis=1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([[-1], used])), *[pa.array(x) for x in out]],
+            ["cell", "gradient", "curvature", "n"])
+
+    each = state.select("_bins", "_y", "_w", "_eta", "_held").mapInArrow(
+        run, "cell bigint, gradient double, curvature double, n double")
+    found = each.groupBy("cell").agg(
+        *[F.sum(c).alias(c) for c in ("gradient", "curvature", "n")]).toArrow()
+    cell = found["cell"].to_numpy()
+    values = np.column_stack([found[c].to_numpy() for c in ("gradient", "curvature", "n")])
+    sums = np.zeros((cells, 3))
+    sums[cell[cell >= 0]] = values[cell >= 0]
+    held = values[cell < 0].sum(axis=0)[:2]
+    return sums.reshape(len(wanted), width, BINS, 3), held
 
 
 @dataclass
 class BoostedTrees:
-    """A fitted run: the preprocessing, the start value and the corrected trees."""
+    """A fitted run: the bins, the start value and the trees."""
 
-    prepare: PipelineModel
+    binner: Binner
     loss: str
     start: float
-    trees: list[DecisionTreeRegressionModel] = field(default_factory=list)
-    leaves: list[dict[int, float]] = field(default_factory=list)
+    trees: list[Tree] = field(default_factory=list)
     history: list[float] = field(default_factory=list)
 
     def score(self, df: DataFrame, output: str = "prediction") -> DataFrame:
         """Rows with the predicted mean."""
-        out = self.prepare.transform(df)
-        steps = [f"{self.start!r}D"]
-        for i, (tree, values) in enumerate(zip(self.trees, self.leaves)):
-            out = tree.setLeafCol(f"_leaf{i}").setPredictionCol("").transform(out)
-            steps.append(_step(values, f"_leaf{i}"))
-        eta = F.expr(" + ".join(steps))
-        return out.select(*df.columns, _mean(self.loss, eta).alias(output))
+        eta = F.lit(self.start) + added(self.trees, self.binner)
+        return df.withColumn(output, _mean(self.loss, eta))
 
     def save(self, path: str) -> None:
+        """Three small tables: the start, the bins, and a row for each node."""
         spark = SparkSession.getActiveSession()
-        self.prepare.write().overwrite().save(f"{path}/prepare")
-        for i, tree in enumerate(self.trees):
-            tree.write().overwrite().save(f"{path}/trees/{i}")
-        rows = [
-            (self.loss, i, leaf, v) for i, vs in enumerate(self.leaves) for leaf, v in vs.items()]
-        spark.createDataFrame(
-            [(self.loss, -1, 0, self.start), *rows],
-            "loss string, tree int, leaf int, value double"
-        ).coalesce(1).write.mode("overwrite").parquet(f"{path}/leaves")
+
+        def write(rows, schema, name):
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(
+                f"{path}/{name}")
+
+        write([(self.loss, self.start)], "loss string, start double", "start")
+        write([(i, c, cuts, None) for i, (c, cuts) in enumerate(self.binner.numbers.items())]
+              + [(i, c, None, kept) for i, (c, kept) in enumerate(
+                  self.binner.texts.items(), len(self.binner.numbers))],
+              "place int, name string, cuts array<double>, categories array<string>", "bins")
+        write([(t, i, int(tree.feature[i]), np.packbits(tree.lefts[i]).tobytes(),
+                *tree.children[i].tolist(), float(tree.value[i]))
+               for t, tree in enumerate(self.trees) for i in range(len(tree.feature))],
+              "tree int, node int, feature int, lefts binary, left int, right int, value double",
+              "nodes")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "BoostedTrees":
-        rows = spark.read.parquet(f"{path}/leaves").collect()
-        count = 1 + max(r["tree"] for r in rows)
-        leaves = [{} for _ in range(count)]
-        for r in rows:
-            if r["tree"] >= 0:
-                leaves[r["tree"]][r["leaf"]] = r["value"]
-        start = next(r["value"] for r in rows if r["tree"] < 0)
-        trees = [DecisionTreeRegressionModel.load(f"{path}/trees/{i}") for i in range(count)]
-        return cls(PipelineModel.load(f"{path}/prepare"), rows[0]["loss"], start, trees, leaves)
+        start = spark.read.parquet(f"{path}/start").first()
+        bins = spark.read.parquet(f"{path}/bins").orderBy("place").collect()
+        binner = Binner({r["name"]: r["cuts"] for r in bins if r["cuts"] is not None},
+                        {r["name"]: r["categories"] for r in bins if r["cuts"] is None})
+        nodes: dict[int, list] = {}
+        for r in spark.read.parquet(f"{path}/nodes").orderBy("tree", "node").collect():
+            nodes.setdefault(r["tree"], []).append(r)
+        trees = [Tree(
+            np.array([r["feature"] for r in rows], np.int16),
+            np.array([np.unpackbits(np.frombuffer(r["lefts"], np.uint8)).astype(bool) for r in rows]),
+            np.array([(r["left"], r["right"]) for r in rows], np.int32),
+            np.array([r["value"] for r in rows])) for _, rows in sorted(nodes.items())]
+        return cls(binner, start["loss"], start["start"], trees)
 
 
 def held_out(key: str = "IDpol") -> Column:
@@ -128,50 +208,40 @@ def held_out(key: str = "IDpol") -> Column:
     return F.conv(F.substring(digest(key, "holdout"), 1, 7), 16, 10).cast("bigint") % 10 == 0
 
 
+def start_rows(train: DataFrame, label: str, weight: str | None, numbers: list[str],
+               texts: list[str], loss: str, key: str) -> tuple[Binner, float, DataFrame]:
+    """The bins, the start value, and the binned rows with their first score."""
+    binner = Binner.fit(train.filter(~held_out(key)), numbers, texts)
+    # Every pass reads these rows, so they are written once, narrow.
+    rows = stage(binned(train, binner, [
+        F.col(label).cast("double").alias("_y"),
+        (F.col(weight) if weight else F.lit(1)).cast("double").alias("_w"),
+        held_out(key).alias("_held"), F.col(key)]), "boosting-rows", key).drop(key)
+    sums = rows.filter("NOT _held").agg(F.sum(F.col("_y") * F.col("_w")), F.sum("_w")).first()
+    start = _start(loss, sums[0] / sums[1])
+    return binner, start, rows.withColumn("_eta", F.lit(start))
+
+
+ROOT = Tree(np.array([-1], np.int16), np.zeros((1, BINS), bool), np.zeros((1, 2), np.int32), np.zeros(1))
+
+
 def fit_boosting(
-    train: DataFrame, label: str, weight: str, numbers: list[str], texts: list[str],
+    train: DataFrame, label: str, weight: str | None, numbers: list[str], texts: list[str],
     settings: Settings, key: str = "IDpol",
 ) -> BoostedTrees:
-    spark = train.sparkSession
-    checkpointing(spark)
-    prepare = fit_stages(tree_stages(train, numbers, texts), train)
-    # Every round reads these rows, so they are written once, narrow.
-    rows = stage(
-        prepare.transform(train).select(
-            F.col(label).cast("double").alias("_y"),
-            (F.col(weight) if weight else F.lit(1)).cast("double").alias("_w"),
-            "features", held_out(key).alias("_held"), key),
-        "boosting-rows", key,
-    ).drop(key)
-    y, w, eta = F.col("_y"), F.col("_w"), F.col("_eta")
-    fitting = ~F.col("_held")
-    sums = rows.filter(fitting).agg(F.sum(y * w), F.sum(w)).first()
-    model = BoostedTrees(
-        prepare, settings.loss, _start(settings.loss, sums[0] / sums[1]))
-    gradient, curvature = _derivatives(settings.loss, y, w, eta)
-    state = rows.withColumn("_eta", F.lit(model.start))
+    checkpointing(train.sparkSession)
+    binner, start, state = start_rows(train, label, weight, numbers, texts, settings.loss, key)
+    width = len(binner.names)
+    model = BoostedTrees(binner, settings.loss, start)
     previous, best, since_best = None, math.inf, 0
     for number in range(settings.rounds):
-        steps = state.withColumns({"_target": -gradient / curvature, "_h": curvature})
-        tree = DecisionTreeRegressor(
-            featuresCol="features", labelCol="_target", weightCol="_h", leafCol="_leaf",
-            maxDepth=settings.depth, minInstancesPerNode=settings.least_rows,
-            maxBins=settings.bins, seed=number,
-        ).fit(steps.filter(fitting & (F.col("_h") > 0)))
-        tree.setPredictionCol("")
-        leafed = tree.transform(state)
-        groups = leafed.groupBy("_leaf", "_held").agg(
-            F.sum(-gradient).alias("g"), F.sum(curvature).alias("h"),
-            F.sum(_loss(settings.loss, y, w, eta)).alias("loss"), F.sum(w).alias("w"),
-        ).collect()
-        values = {
-            int(r["_leaf"]): settings.rate * r["g"] / (r["h"] + settings.penalty)
-            for r in groups if not r["_held"]
-        }
-        # The loss of the rounds so far; this round's step is judged in the next one.
-        held = [r for r in groups if r["_held"]]
-        if held:
-            reached = sum(r["loss"] for r in held) / sum(r["w"] for r in held)
+        def measure(tree, wanted, state=state):
+            return histograms(state, settings.loss, tree, wanted, width)[0]
+
+        root, held = histograms(state, settings.loss, ROOT, [0], width)
+        # The loss of the rounds so far; this round's tree is judged in the next one.
+        if held[1] > 0:
+            reached = held[0] / held[1]
             model.history.append(reached)
             if reached < best - settings.tolerance:
                 best, since_best = reached, 0
@@ -179,11 +249,11 @@ def fit_boosting(
                 since_best += 1
             if since_best >= settings.patience:
                 break
+        tree = grow(root[0], measure, binner.categorical, settings.growth())
         model.trees.append(tree)
-        model.leaves.append(values)
-        if number + 1 == settings.rounds:
+        if tree.leaves < 2 or number + 1 == settings.rounds:
             break
-        state_now = leafed.withColumn("_eta", eta + F.expr(_step(values, "_leaf"))).drop("_leaf")
+        state_now = state.withColumn("_eta", F.col("_eta") + step(tree, width))
         if (number + 1) % settings.checkpoint_every == 0:
             state_now = state_now.checkpoint()
         else:
@@ -195,3 +265,31 @@ def fit_boosting(
         if df is not None:
             df.unpersist()
     return model
+
+
+def first_split_gains(
+    train: DataFrame, label: str, weight: str | None, numbers: list[str], texts: list[str],
+    settings: Settings, key: str = "IDpol",
+) -> DataFrame:
+    """The gain of every split of the first root: a row for each number, cut and side of the
+    missing values, and for each text and number of categories on the left.
+
+    `Cut` is NULL where all known values go left; `Category` is the last one that does
+    (NULL for missing or rare ones).
+    """
+    binner, _, rows = start_rows(train, label, weight, numbers, texts, settings.loss, key)
+    sums = histograms(rows, settings.loss, ROOT, [0], len(binner.names))[0][0]
+    gains, orders, lefts = split_gains(sums, binner.categorical, settings.growth())
+    known = list(binner.numbers.values()) + list(binner.texts.values())
+    out = []
+    for f, d, k in zip(*(x.tolist() for x in np.nonzero(np.isfinite(gains)))):
+        if binner.categorical[f]:
+            b = int(orders[f, k])
+            cut, category = None, known[f][b - 1] if b else None
+        else:
+            cut, category = known[f][k - 1] if k <= len(known[f]) else None, None
+        out.append((binner.names[f], cut, category, d == 1, int(lefts[f, d, k, 2]),
+                    float(gains[f, d, k])))
+    return train.sparkSession.createDataFrame(
+        out, "Feature string, Cut double, Category string, MissingLeft boolean,"
+             " LeftRows bigint, Gain double")

@@ -6,7 +6,7 @@ model is a plain Spark ML pipeline that saves, loads and runs without Python.
 
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, functions as F
 
@@ -174,31 +174,5 @@ class Design:
             *keep, *[F.expr(e).alias(n) for n, e in zip(self.names, self.expressions)])
 
 
-def tree_stages(df: DataFrame, numbers: list[str], texts: list[str]) -> list:
-    """Stages giving trees a vector with categories kept as categories.
-
-    A missing number is placed below the smallest one, where a split can single it
-    out; a missing or unknown text is a category of its own.
-    """
-    low = df.agg(*[F.min(c).alias(c) for c in numbers]).first()
-    filled = ", ".join(
-        f"coalesce({c}, {_number((low[c] if low[c] is not None else 0.0) - 1.0)}) AS _n_{c}"
-        for c in numbers)
-    category_counts(df, texts)
-    return [
-        SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
-        StringIndexer(
-            inputCols=texts, outputCols=[f"_t_{c}" for c in texts],
-            stringOrderType="alphabetAsc", handleInvalid="keep"),
-        VectorAssembler(
-            inputCols=[f"_n_{c}" for c in numbers] + [f"_t_{c}" for c in texts],
-            outputCol="features"),
-        SQLTransformer(
-            statement="SELECT * EXCEPT ("
-            + ", ".join([f"_n_{c}" for c in numbers] + [f"_t_{c}" for c in texts])
-            + ") FROM __THIS__"),
-    ]
-
-
 def fit_stages(stages: list, df: DataFrame):
     return Pipeline(stages=stages).fit(df)

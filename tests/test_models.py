@@ -132,9 +132,9 @@ def test_strongest_coefficients(spark, data):
     ("gamma", "AverageClaimSeverity", "Claims", boosting.SEVERITY_SETTINGS),
 ])
 def test_boosting_learns_and_reloads(spark, data, tmp_path, loss, label, weight, settings):
-    quick = replace(settings, rounds=12, rate=0.3, depth=3, least_rows=20, checkpoint_every=4)
+    quick = replace(settings, rounds=12, rate=0.3, leaves=8, least_rows=20, checkpoint_every=4)
     model = boosting.fit_boosting(data, label, weight, NUMBERS, TEXTS, quick)
-    assert len(model.trees) == len(model.leaves) == 12
+    assert len(model.trees) == 12 and all(1 < t.leaves <= 8 for t in model.trees)
     assert model.history[-1] < model.history[0]
     scored = model.score(data, "m")
     w, y, m = F.col(weight).cast("double"), F.col(label), F.col("m")
@@ -152,7 +152,7 @@ def test_boosting_learns_and_reloads(spark, data, tmp_path, loss, label, weight,
 
 def test_boosting_stops_without_improvement(data):
     quick = replace(
-        boosting.FREQUENCY_SETTINGS, rounds=40, rate=3.0, depth=3, least_rows=5, patience=2)
+        boosting.FREQUENCY_SETTINGS, rounds=40, rate=3.0, leaves=8, least_rows=5, patience=2)
     model = boosting.fit_boosting(data, "ClaimFrequency", "Exposure", NUMBERS, TEXTS, quick)
     assert len(model.trees) < 40
 
@@ -177,7 +177,7 @@ def test_boosting_beats_poisson_beats_constant(data):
 
 def test_classifier_and_importance(spark, data, monkeypatch):
     settings = replace(
-        boosting.OCCURRENCE_SETTINGS, rounds=10, rate=0.3, depth=3, least_rows=20)
+        boosting.OCCURRENCE_SETTINGS, rounds=10, rate=0.3, leaves=8, least_rows=20)
     model = boosting.fit_boosting(data, "HasClaim", None, NUMBERS, TEXTS, settings)
     scored = model.score(data, "p").select("HasClaim", "p").toPandas()
     assert 0 < scored["p"].min() < scored["p"].max() < 1

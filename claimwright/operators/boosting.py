@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from claimwright.operators.sampling import digest
 from claimwright.operators.trees import (
     BINS, Binner, Growth, Tree, bin_matrix, grow, split_gains)
-from claimwright.session import checkpointing, stage
+from claimwright.session import checkpointing, many_small_results, stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -230,9 +230,16 @@ def fit_boosting(
     settings: Settings, key: str = "IDpol",
 ) -> BoostedTrees:
     checkpointing(train.sparkSession)
-    binner, start, state = start_rows(train, label, weight, numbers, texts, settings.loss, key)
-    width = len(binner.names)
+    binner, start, rows = start_rows(train, label, weight, numbers, texts, settings.loss, key)
     model = BoostedTrees(binner, settings.loss, start)
+    with many_small_results(train.sparkSession):
+        _add_trees(model, rows, settings)
+    return model
+
+
+def _add_trees(model: BoostedTrees, state: DataFrame, settings: Settings) -> None:
+    """Adds trees until the rounds are over or the hold-out does not get better."""
+    width = len(model.binner.names)
     previous, best, since_best = None, math.inf, 0
     for number in range(settings.rounds):
         def measure(tree, wanted, state=state):
@@ -249,7 +256,7 @@ def fit_boosting(
                 since_best += 1
             if since_best >= settings.patience:
                 break
-        tree = grow(root[0], measure, binner.categorical, settings.growth())
+        tree = grow(root[0], measure, model.binner.categorical, settings.growth())
         model.trees.append(tree)
         if tree.leaves < 2 or number + 1 == settings.rounds:
             break
@@ -264,7 +271,6 @@ def fit_boosting(
     for df in (previous, state):
         if df is not None:
             df.unpersist()
-    return model
 
 
 def first_split_gains(

@@ -1,6 +1,6 @@
 """Data contracts: columns, keys, constraints, and pass/fail tables."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from claimwright import vocabulary as V
 from claimwright.functions.measures import count_if
@@ -89,6 +89,19 @@ def require_unique(df: DataFrame, what: str, key: str = "IDpol") -> DataFrame:
     return df
 
 
+def one_per_key(df: DataFrame, what: str, key: str = "IDpol") -> DataFrame:
+    """The same rows, lazily; the plan raises as soon as it meets a repeated key.
+
+    For the sides of a one-to-one join: the rows are dealt and ordered by the key as the
+    join wants them, so the guard is no pass of its own.
+    """
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(key))
+    repeated = F.raise_error(
+        F.concat(F.lit(f"{what} has repeated values of {key}: "), F.col(key).cast("string")))
+    return df.withColumn("_nth", nth).filter(
+        F.when(F.col("_nth") > 1, repeated.cast("boolean")).otherwise(True)).drop("_nth")
+
+
 def violations(df: DataFrame, table: str, rules: dict[str, str]) -> DataFrame:
     """Rows breaking each rule, in one pass. Like a CHECK, unknown breaks no rule,
     except that a rule of presence is never unknown."""

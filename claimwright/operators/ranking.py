@@ -1,11 +1,13 @@
 """Exact order statistics and running totals without a single-task sort.
 
 A window without a partition key sends all rows to one task. Here the order is cut
-into pieces first. The cut points are quantiles of the sort key (a small array on
-the driver), so no piece holds more than a fixed share of the rows. A value that is
-itself frequent, as with a constant score, gets pieces of its own that are cut by
-the tie-breaking column. Piece totals are a small table; their running sum gives the
-offset of each piece, and rows are ordered inside their piece only.
+into pieces first, in one of two ways. `in_ranges` lets Spark deal the rows by ranges of
+their own sort columns, of any type, and the ranges are the pieces. `Pieces` gives every
+row the number of its piece without moving it: the cut points are quantiles of the sort
+key (a small array on the driver), and a value that is itself frequent, as with a constant
+score, gets pieces of its own that are cut by the tie-breaking column. Piece totals are a
+small table; their running sum gives the offset of each piece, and rows are ordered
+inside their piece only.
 """
 
 import math
@@ -13,6 +15,8 @@ import math
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from claimwright.session import stage
+
 HEAVY_REPEATS = 4
 
 
@@ -73,6 +77,16 @@ class Pieces:
         return out.withColumn("_piece", piece).drop("_key", "_coarse", "_tie", "_fine")
 
 
+def in_ranges(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows, written once, with `_piece`: ascending ranges of the keys, nulls first.
+
+    The cut points are values of the keys themselves, so numbers of any size, decimals and
+    texts are cut alike. Rows that agree in all keys share a piece; count them first.
+    """
+    ranged = df.repartitionByRange(*keys).withColumn("_piece", F.spark_partition_id())
+    return stage(ranged, "in-ranges")
+
+
 def offsets(pieced: DataFrame, totals: dict[str, Column], within: list[str] = ()) -> DataFrame:
     """Per piece: what stands before it (`<name>_before`) and in all (`<name>_all`).
 
@@ -114,14 +128,13 @@ def numbered(df: DataFrame, order: str, then: str, name: str) -> DataFrame:
     """Rows numbered 1, 2, ... by two columns; equal rows get adjacent numbers.
 
     Equal rows are counted before the shuffle and written out again afterwards, in
-    blocks, so that many copies of one row never meet in one task.
+    blocks, so that many copies of one row never meet in one task; a frequent value of
+    the first column is cut by the second.
     """
     block = 100_000
-    pieces = Pieces.fit(df, order, then)
-    pieced = pieces.assign(df.select(order, then), order, then)
-    before = offsets(pieced, {"n": F.lit(1)})
-    kinds = pieced.groupBy("_piece", order, then).agg(F.count("*").alias("n"))
-    placed = accumulate(kinds, before, [order, then], {"n": F.col("n")})
+    kinds = in_ranges(df.groupBy(order, then).agg(F.count("*").alias("n")), order, then)
+    count = {"n": F.col("n")}
+    placed = accumulate(kinds, offsets(kinds, count), [order, then], count)
     blocks = placed.select(
         order, then, "n", "n_before",
         F.explode(F.expr(f"sequence(0L, (n - 1) div {block})")).alias("_block"),
@@ -143,40 +156,55 @@ def rows_at(df: DataFrame, key: str, tie: str, ranks, pieces: int | None = None)
     """The number of rows, and the (key, tie) found at the given 1-based ranks.
 
     `ranks` maps the row count to the ranks wanted. Rows are ordered by key, then by
-    the unique tie column, both ascending. Only the pieces a rank falls in are sorted;
-    nothing else is shuffled. The driver gets piece counts and one row per rank.
+    the unique tie column, both ascending.
     """
-    narrow = df.select(key, tie)
+    total, found = rows_at_in_groups(
+        df.select(F.lit("").alias("_group"), key, tie), "_group", key, tie, ranks, pieces
+    ).get("", (0, []))
+    return total, found
+
+
+def rows_at_in_groups(df: DataFrame, group: str, key: str, tie: str, ranks,
+                      pieces: int | None = None) -> dict:
+    """rows_at for every value of a column at once: {value: (rows, places)}.
+
+    Only the pieces a rank falls in are sorted; nothing else is shuffled. The driver gets
+    piece counts and one row per rank, however many groups share the passes.
+    """
+    narrow = df.select(F.col(group).alias("_g"), key, tie)
     cut = Pieces.fit(narrow, key, tie, pieces)
     pieced = cut.assign(narrow, key, tie)
-    counts = sorted((r["_piece"], r["n"]) for r in
-                    pieced.groupBy("_piece").agg(F.count("*").alias("n")).collect())
-    total = sum(n for _, n in counts)
-    wanted = ranks(total)
-    places = {}
-    for rank in wanted:
-        before = 0
-        for piece, n in counts:
-            if before < rank <= before + n:
-                places[rank] = (piece, rank - before)
-                break
-            before += n
+    counts: dict = {}
+    for r in pieced.groupBy("_g", "_piece").agg(F.count("*").alias("n")).collect():
+        counts.setdefault(r["_g"], []).append((r["_piece"], r["n"]))
+    totals = {g: sum(n for _, n in found) for g, found in counts.items()}
+    places: dict = {}
+    for g, found in counts.items():
+        for rank in ranks(totals[g]):
+            before = 0
+            for piece, n in sorted(found):
+                if before < rank <= before + n:
+                    places[g, rank] = (piece, rank - before)
+                    break
+                before += n
     if not places:
-        return total, []
-    inside = Window.partitionBy("_piece").orderBy(key, tie)
+        return {g: (n, []) for g, n in totals.items()}
+    wanted = {(g, *place) for (g, _), place in places.items()}
+    inside = Window.partitionBy("_g", "_piece").orderBy(key, tie)
     chosen = (
-        pieced.filter(F.col("_piece").isin(sorted({p for p, _ in places.values()})))
+        pieced.filter(F.struct("_g", "_piece").isin(
+            [F.struct(F.lit(g), F.lit(p).cast("bigint")) for g, p in {w[:2] for w in wanted}]))
         .withColumn("_nth", F.row_number().over(inside))
         .filter(
-            F.struct("_piece", "_nth").isin(
-                [F.struct(F.lit(p).cast("bigint"), F.lit(i).cast("int"))
-                 for p, i in set(places.values())]
+            F.struct("_g", "_piece", "_nth").isin(
+                [F.struct(F.lit(g), F.lit(p).cast("bigint"), F.lit(i).cast("int"))
+                 for g, p, i in wanted]
             )
         )
         .collect()
     )
-    at = {(r["_piece"], r["_nth"]): (r[key], r[tie]) for r in chosen}
-    return total, [at[places[rank]] for rank in wanted]
+    at = {(r["_g"], r["_piece"], r["_nth"]): (r[key], r[tie]) for r in chosen}
+    return {g: (n, [at[g, *places[g, rank]] for rank in ranks(n)]) for g, n in totals.items()}
 
 
 def not_after(key: Column, tie: Column, place: tuple) -> Column:
@@ -204,18 +232,26 @@ def with_decile(df: DataFrame, key: str, tie: str, name: str = "RiskDecile") ->
 
 
 def quantile_table(df: DataFrame, columns: list[str], points: list[tuple[float, str]]) -> DataFrame:
-    """Exact, linearly interpolated percentiles: one row per variable and point.
-
-    Values are counted before the shuffle, so a frequent value is one row, and the
-    order is built in pieces; no task holds all values of a column.
-    """
+    """Exact, linearly interpolated percentiles: one row per variable and point."""
     pairs = ", ".join(
         f"named_struct('Variable', '{c}', 'value', CAST({c} AS DOUBLE))" for c in columns)
-    long = df.selectExpr(f"inline(array({pairs}))").filter("value IS NOT NULL AND NOT isnan(value)")
-    pieced = Pieces.fit(long, "value").assign(long, "value")
-    before = offsets(pieced, {"n": F.lit(1)}, ["Variable"])
-    values = pieced.groupBy("Variable", "_piece", "value").agg(F.count("*").alias("n"))
-    placed = accumulate(values, before, ["value"], {"n": F.col("n")}, ["Variable"])
+    return quantiles_of(df.selectExpr(f"inline(array({pairs}))"), points)
+
+
+def quantiles_of(long: DataFrame, points: list[tuple[float, str]]) -> DataFrame:
+    """Exact, linearly interpolated percentiles of (Variable, value) rows.
+
+    The rows are read once: values are counted before the shuffle, so a frequent value is
+    one row, and the counted values are dealt by ranges, so no task holds all values of a
+    variable.
+    """
+    known = long.filter("value IS NOT NULL AND NOT isnan(value)")
+    # Adding zero turns -0.0 into 0.0, with which it is counted.
+    values = in_ranges(
+        known.groupBy("Variable", (F.col("value") + 0.0).alias("value")).agg(
+            F.count("*").alias("n")), "Variable", "value")
+    count = {"n": F.col("n")}
+    placed = accumulate(values, offsets(values, count, ["Variable"]), ["value"], count, ["Variable"])
     # Per point: the values standing at the two ranks around it, then the line between.
     found, rows = [], []
     for i, (share, label) in enumerate(points):

@@ -5,8 +5,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from claimwright import vocabulary as V
 from claimwright.functions.casting import strict_long, strict_truth
 from claimwright.functions.measures import ratio
-
-HOT_IDS = 1_000
+from claimwright.session import stage
 
 
 def severity_by_policy(claims: DataFrame) -> DataFrame:
@@ -131,29 +130,25 @@ def policies_table(policy: DataFrame) -> DataFrame:
 
 
 def known_claims(claims: DataFrame, policies: DataFrame) -> DataFrame:
-    """Each claim with `Known`: whether its policy is known. Hot policies are apart.
+    """Each claim with `Known`: whether its policy is known. The claims are read twice.
 
-    The claims of the most frequent ids (a fixed number of them) never shuffle: their
-    ids are looked up first and broadcast. All other claims go through a plain join,
-    in which no id has more than a 1/HOT_IDS share of the rows.
+    Claims are counted per id and the counts written once. An id with more than an even
+    share of all claims is hot; there are fewer such ids than partitions, so these are looked
+    up first and broadcast. A claim of a hot id takes its answer from there and, for the
+    join that answers for the others, is dealt by the partition it came from.
     """
-    rows = claims.select("IDpol", "ClaimAmount")
+    spark = claims.sparkSession
+    shares = int(spark.conf.get("spark.sql.shuffle.partitions"))
     known = policies.select("IDpol").distinct().withColumn("_known", F.lit(True))
-    hot = (
-        claim_counts(claims).orderBy(F.desc("SeverityRowCount"), "IDpol").limit(HOT_IDS)
-        .select("IDpol")
-    )
-    known_hot = (
-        policies.select("IDpol").join(F.broadcast(hot), "IDpol", "left_semi").distinct()
-        .withColumn("_known", F.lit(True))
-    )
-    busy = rows.join(F.broadcast(hot), "IDpol", "left_semi")
-    rest = rows.join(F.broadcast(hot), "IDpol", "left_anti")
-    return (
-        busy.join(F.broadcast(known_hot), "IDpol", "left")
-        .unionByName(rest.join(known, "IDpol", "left"))
-        .select("IDpol", "ClaimAmount", F.coalesce("_known", F.lit(False)).alias("Known"))
-    )
+    counts = stage(claim_counts(claims), "claim-counts")
+    total = counts.agg(F.sum("SeverityRowCount")).first()[0] or 0
+    hot = counts.filter(F.col("SeverityRowCount") * shares > F.lit(total)).join(
+        known, "IDpol", "left").select("IDpol", F.coalesce("_known", F.lit(False)).alias("_hot"))
+    dealt = claims.select("IDpol", "ClaimAmount").join(F.broadcast(hot), "IDpol", "left").withColumn(
+        "_lane", F.when(F.col("_hot").isNull(), -1).otherwise(F.spark_partition_id()))
+    return dealt.join(known.withColumn("_lane", F.lit(-1)), ["IDpol", "_lane"], "left").select(
+        "IDpol", "ClaimAmount",
+        F.coalesce("_hot", "_known", F.lit(False)).alias("Known"))
 
 
 def matched_claims(known: DataFrame) -> DataFrame:

@@ -227,58 +227,57 @@ def best_split(sums: np.ndarray, categorical: np.ndarray, growth: Growth):
     return gains[f, d, k], int(f), go, rows
 
 
+def _by_gain(nodes: list[Node], splits: list, limit: int) -> set[int]:
+    """The nodes that splitting the leaf of greatest gain, `limit` times, takes."""
+    taken, waiting = set(), [(-splits[0][0], 0)] if splits[0] else []
+    while waiting and len(taken) < limit:
+        _, i = heapq.heappop(waiting)
+        taken.add(i)
+        for child in nodes[i].children or ():
+            if splits[child]:
+                heapq.heappush(waiting, (-splits[child][0], child))
+    return taken
+
+
 def grow(root: np.ndarray, measure, categorical: np.ndarray, growth: Growth) -> Tree:
     """A tree grown by best gain to the limit of leaves.
 
-    `measure(tree, wanted)` gives the histograms of some nodes of a growing tree: one pass over
-    the rows for all nodes that may be split next. Of two children the one with fewer rows is
-    measured and the other is what the parent has more.
+    `measure(tree, wanted)` gives the histograms of some nodes of a growing tree in one pass
+    over the rows. Growth is played through on the nodes known so far; all nodes it takes
+    whose children are not known yet are split in one pass, until it takes none of these.
+    So there are about as many passes as levels. Of two children the one with fewer rows is
+    measured, and the other is what the parent has more.
     """
-    nodes, splits, waiting = [Node(root)], {}, []
-
-    def consider(i):
-        splits[i] = best_split(nodes[i].sums, categorical, growth)
-        if splits[i]:
-            heapq.heappush(waiting, (-splits[i][0], i))
-
-    consider(0)
-    taken: list[int] = []
-    while waiting and len(taken) + 1 < growth.leaves:
-        if nodes[waiting[0][1]].children is None:
-            # No node behind these can be split before the limit is reached.
-            ahead = heapq.nsmallest(growth.leaves - 1 - len(taken), waiting)
-            batch = [i for _, i in ahead if nodes[i].children is None]
-            smaller = []
-            for i in batch:
-                _, feature, go, rows = splits[i]
-                nodes[i].feature, nodes[i].lefts = feature, go
-                nodes[i].children = (len(nodes), len(nodes) + 1)
-                nodes += [Node(np.empty(0)), Node(np.empty(0))]
-                every = nodes[i].sums[0, :, 2].sum()
-                smaller.append(nodes[i].children[0 if rows <= every - rows else 1])
-            for i, own, sums in zip(batch, smaller, measure(Tree.of(nodes), smaller)):
-                left, right = nodes[i].children
-                nodes[own].sums = sums
-                other = left + right - own
-                nodes[other].sums = nodes[i].sums - sums
-            continue
-        _, i = heapq.heappop(waiting)
-        taken.append(i)
-        for child in nodes[i].children:
-            consider(child)
-    # What was measured ahead and not taken is cut off again.
-    kept, order = set(taken), [0]
+    nodes = [Node(root)]
+    splits = [best_split(root, categorical, growth)]
+    while True:
+        taken = _by_gain(nodes, splits, growth.leaves - 1)
+        batch = [i for i in taken if nodes[i].children is None]
+        if not batch:
+            break
+        smaller = []
+        for i in batch:
+            _, feature, go, rows = splits[i]
+            nodes[i].feature, nodes[i].lefts = feature, go
+            nodes[i].children = (len(nodes), len(nodes) + 1)
+            nodes += [Node(np.empty(0)), Node(np.empty(0))]
+            every = nodes[i].sums[0, :, 2].sum()
+            smaller.append(nodes[i].children[0 if rows <= every - rows else 1])
+        for i, own, sums in zip(batch, smaller, measure(Tree.of(nodes), smaller)):
+            other = sum(nodes[i].children) - own
+            nodes[own].sums, nodes[other].sums = sums, nodes[i].sums - sums
+            splits += [best_split(nodes[c].sums, categorical, growth) for c in nodes[i].children]
+    order = [0]
     for i in order:
-        if i in kept:
+        if i in taken:
             order.extend(nodes[i].children)
     place = {i: k for k, i in enumerate(order)}
     final = []
     for i in order:
         g, h, _ = nodes[i].sums[0].sum(axis=0)
-        if i in kept:
-            node = Node(nodes[i].sums, nodes[i].feature, nodes[i].lefts,
-                        tuple(place[c] for c in nodes[i].children))
+        if i in taken:
+            final.append(Node(nodes[i].sums, nodes[i].feature, nodes[i].lefts,
+                              tuple(place[c] for c in nodes[i].children)))
         else:
-            node = Node(nodes[i].sums, value=-growth.rate * g / (h + growth.penalty))
-        final.append(node)
+            final.append(Node(nodes[i].sums, value=-growth.rate * g / (h + growth.penalty)))
     return Tree.of(final)

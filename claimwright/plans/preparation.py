@@ -2,6 +2,7 @@
 
 from dataclasses import dataclass
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 
 from claimwright import vocabulary as V
@@ -9,6 +10,8 @@ from claimwright.operators import clean, contracts, portfolio, quality, reconcil
 from claimwright.session import stage
 from claimwright.sources import store
 
+POLICIES = "The valid frequency data"
+
 
 @dataclass
 class Prepared:
@@ -51,6 +54,7 @@ def prepare(
 ) -> Prepared:
     """The preparation plan over two raw tables.
 
+    A policy id on several valid rows makes every plan that joins policies fail.
     `keep` may write a step's rows and read them back (see session.stage); by default
     every table is one lazy plan from the raw rows.
     """
@@ -58,7 +62,8 @@ def prepare(
     contracts.require_columns(raw_severity, V.SEVERITY_COLUMNS, "The severity table")
     frequency = keep(clean.clean_frequency(raw_frequency), "frequency-clean")
     severity = keep(clean.clean_severity(raw_severity), "severity-clean")
-    policies, claims = clean.valid_frequency(frequency), clean.valid_severity(severity)
+    policies = contracts.one_per_key(clean.valid_frequency(frequency), POLICIES)
+    claims = clean.valid_severity(severity)
     by_policy = keep(reconcile.severity_by_policy(claims), "severity-by-policy")
     return Prepared(
         frequency, severity, by_policy,
@@ -76,8 +81,12 @@ def run(raw_frequency: DataFrame, raw_severity: DataFrame, folder: str,
     """
     contracts.require_rows(raw_frequency, "The frequency table")
     contracts.require_rows(raw_severity, "The severity table")
-    prepared = prepare(raw_frequency, raw_severity, stage)
-    contracts.require_unique(prepared.policies, "The valid frequency data")
+    try:
+        prepared = prepare(raw_frequency, raw_severity, stage)
+    except PySparkException as error:
+        if POLICIES not in str(error):
+            raise
+        raise ValueError(f"{POLICIES} has repeated values of IDpol") from error
     contracts.enforce(contracts.output_checks(prepared.policy, prepared.audit))
     store.write_tables(prepared.tables(), folder, kind)
     return prepared

@@ -78,6 +78,42 @@ def test_no_piece_holds_a_constant_score(spark):
     assert largest < 4000 / 4
 
 
+def test_long_ids_and_decimals_are_cut(spark):
+    """Half of the rows have one id beyond 2^53, next to ids that share its double."""
+    hot = 2**53 + 11
+    df = spark.range(8000).selectExpr(
+        f"IF(id % 2 = 0, {hot}L, {2**53}L + id % 40) AS IDpol", "CAST(id % 997 AS DOUBLE) AS ClaimAmount")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        kinds = df.groupBy("IDpol", "ClaimAmount").agg(F.count("*").alias("n"))
+        pieced = ranking.in_ranges(kinds, "IDpol", "ClaimAmount")
+        sizes = [r["n"] for r in pieced.groupBy("_piece").agg(F.count("*").alias("n")).collect()]
+        assert len(sizes) == 4 and max(sizes) < 2 * sum(sizes) / 4
+        cut = pieced.filter(F.col("IDpol") == hot).select("_piece").distinct().count()
+        exact = ranking.in_ranges(
+            spark.range(4000).selectExpr("CAST(100000000000000000000 AS DECIMAL(38, 9)) + CAST(id AS DECIMAL(38, 9)) / 1000000 AS d"), "d")
+        assert exact.groupBy("_piece").count().agg(F.max("count")).first()[0] < 2000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert cut >= 1
+    found = sorted((r.n, r.IDpol, r.ClaimAmount) for r in ranking.numbered(
+        df, "IDpol", "ClaimAmount", "n").collect())
+    assert [f[0] for f in found] == list(range(1, 8001))
+    assert [f[1:] for f in found] == sorted((r.IDpol, r.ClaimAmount) for r in df.collect())
+
+
+def test_ranks_of_several_groups_at_once(spark):
+    rows = [(g, *r) for g, kind in (("a", "ties"), ("b", "distinct"), ("c", "constant"))
+            for r in scores(kind, 200 if g != "c" else 7)]
+    df = spark.createDataFrame(rows, "g string, score double, id long").repartition(3)
+    found = ranking.rows_at_in_groups(df, "g", "score", "id", lambda n: [1, n // 2, n, 2], pieces=16)
+    for g in "abc":
+        own = sorted(r[1:] for r in rows if r[0] == g)
+        n = len(own)
+        assert found[g] == (n, [own[k - 1] for k in (1, n // 2, n, 2)])
+    assert ranking.rows_at_in_groups(df.limit(0), "g", "score", "id", lambda n: [1]) == {}
+
+
 def test_quantiles_interpolate(spark):
     rng = np.random.default_rng(3)
     a, b = rng.lognormal(size=301), rng.integers(0, 6, 301).astype(float)

@@ -63,13 +63,43 @@ def test_claims_split_and_numbered(spark, prepared):
     assert checks.count() == 0
 
 
-@pytest.mark.parametrize("hot", [1, 2, 50])
-def test_hot_policies_change_nothing(spark, prepared, monkeypatch, hot):
-    monkeypatch.setattr(reconcile, "HOT_IDS", hot)
-    known = reconcile.known_claims(prepared.claims, prepared.policies.union(prepared.policies))
-    matched, orphans = reconcile.matched_claims(known), reconcile.orphan_claims(known)
-    assert sorted(tuple(r) for r in matched.collect()) == sorted(c for c in CLAIMS if c[0] != 9)
-    assert sorted(tuple(r) for r in orphans.collect()) == [(9, 1.0), (9, 1.0)]
+@pytest.mark.parametrize("shares", [1, 3, 50])
+def test_hot_policies_change_nothing(spark, prepared, shares):
+    """With 50 shares every id is hot, with 1 none is."""
+    spark.conf.set("spark.sql.shuffle.partitions", str(shares))
+    try:
+        known = reconcile.known_claims(prepared.claims, prepared.policies.union(prepared.policies))
+        matched, orphans = reconcile.matched_claims(known), reconcile.orphan_claims(known)
+        assert sorted(tuple(r) for r in matched.collect()) == sorted(c for c in CLAIMS if c[0] != 9)
+        assert sorted(tuple(r) for r in orphans.collect()) == [(9, 1.0), (9, 1.0)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_claims_are_read_twice_and_hot_ids_are_spread(spark, tmp_path, monkeypatch):
+    # Two thirds of the claims have one unknown id, the others have different ones.
+    spark.range(0, 3000, 1, 6).selectExpr(
+        "IF(id % 3 = 0, id, -1) AS IDpol", "5.0D AS ClaimAmount").write.parquet(str(tmp_path / "claims"))
+    plans = []
+    real = reconcile.stage
+    monkeypatch.setattr(reconcile, "stage", lambda df, *more: (plans.append(df), real(df, *more))[1])
+    claims = spark.read.parquet(str(tmp_path / "claims"))
+    known = reconcile.known_claims(claims, spark.range(100).withColumnRenamed("id", "IDpol"))
+    texts = [df._jdf.queryExecution().optimizedPlan().toString() for df in [*plans, known]]
+    assert sum(t.count("IDpol#") > 0 and t.count("ClaimAmount#") > 0 for t in texts) <= 2
+    reads = [df._jdf.queryExecution().sparkPlan().toString().count(str(tmp_path)) for df in [*plans, known]]
+    assert reads == [1, 1]
+    assert {(r.Known, r["count"]) for r in known.groupBy("Known").count().collect()} == {(True, 34), (False, 2966)}
+
+
+def test_a_repeated_policy_fails_inside_the_plan(spark):
+    from pyspark.errors import PySparkException
+
+    frequency, severity = raw(spark, [*POLICIES, POLICIES[0]], CLAIMS)
+    found = preparation.prepare(frequency, severity)  # a plan, nothing has run
+    for table in (found.policy, found.audit):
+        with pytest.raises(PySparkException, match="repeated values of IDpol: 1"):
+            table.select("IDpol").collect()
 
 
 def test_checks_pass_and_fail(spark, prepared):
@@ -144,7 +174,7 @@ def test_a_failed_build_writes_nothing(spark, tmp_path, monkeypatch):
 
 def test_a_failed_gate_writes_nothing(spark, tmp_path):
     frequency, severity = raw(spark, [*POLICIES, POLICIES[0]], CLAIMS)
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError, match="repeated values of IDpol"):
         preparation.run(frequency, severity, str(tmp_path / "prepared"))
     assert not (tmp_path / "prepared").exists()
 

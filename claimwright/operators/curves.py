@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from claimwright import vocabulary as V
 from claimwright.functions.measures import ratio, ratio_or_zero
-from claimwright.operators.ranking import Pieces, accumulate, not_after, offsets, quantiles, rows_at
-from claimwright.operators.shaping import stacked, unpivoted
+from claimwright.operators.ranking import (
+    Pieces, accumulate, not_after, offsets, quantiles_of, rows_at_in_groups)
+from claimwright.operators.shaping import unpivoted
 
 
 def score_steps(scored: DataFrame, within: list[str] = ("Model",)) -> DataFrame:
@@ -172,62 +173,72 @@ def thresholds_between(report: DataFrame, low: float = 0.01, high: float = 0.20)
     return report.filter(F.col("Threshold").between(low, high)).orderBy("Threshold")
 
 
-def quantile_calibration(scored: DataFrame, model: str, bins: int = 10) -> DataFrame:
-    """Mean score and claim rate per score bin; inner edges are exact percentiles.
+def quantile_calibration(scored: DataFrame, bins: int = 10) -> DataFrame:
+    """Mean score and claim rate per model and score bin; inner edges are exact percentiles.
 
-    A row's bin is the number of inner edges below its score; empty bins are absent.
+    A row's bin is the number of its model's inner edges below its score; empty bins are
+    absent. All models share the passes.
     """
-    mine = scored.filter(F.col("Model") == model)
-    edges = quantiles(mine, "Score", [i / bins for i in range(1, bins)])
+    points = [(i / bins, str(i)) for i in range(1, bins)]
+    long = scored.select(F.col("Model").alias("Variable"), F.col("Score").alias("value"))
+    edges: dict[int, dict[str, float]] = {}
+    for r in quantiles_of(long, points).collect():
+        edges.setdefault(r["Position"], {})[r["Variable"]] = r["Value"]
     number = F.lit(0)
-    for edge in edges:
-        number = number + (F.col("Score") > F.lit(edge)).cast("int")
-    return mine.groupBy(F.lit(model).alias("Model"), number.alias("Bin")).agg(
+    for found in edges.values():
+        number = number + (F.col("Score") > per_model(found)).cast("int")
+    return scored.groupBy("Model", number.alias("Bin")).agg(
         F.count("*").alias("Policies"),
         F.avg("Score").alias("MeanPredictedProbability"),
         F.avg(F.col("HasClaim").cast("double")).alias("ObservedClaimRate"))
 
 
-def capacity_analysis(scored: DataFrame, model: str, capacities=tuple(V.CAPACITIES)) -> DataFrame:
-    """What the top share of policies by score holds, at each review capacity.
+def capacity_comparison(scored: DataFrame, models: list[str],
+                        capacities=tuple(V.CAPACITIES)) -> DataFrame:
+    """What the top share of policies by score holds, per model and review capacity.
 
-    Only the rows at the cuts are looked up; the claims above them are one conditional
-    aggregation.
+    Only the rows at the cuts are looked up, for all models in the same passes; the claims
+    above them are one conditional aggregation. A model without scores has no rows.
     """
-    mine = scored.filter(F.col("Model") == model).select(
-        "IDpol", "HasClaim", (-F.col("Score")).alias("_place"))
-    total, places = rows_at(
-        mine, "_place", "IDpol",
-        lambda n: [max(1, math.ceil(n * c)) for c in capacities] if n else [])
-    if not places:
-        places = [(0.0, 0)] * len(capacities)
-    row = mine.agg(
-        F.sum(F.col("HasClaim").cast("bigint")).alias("claims"), F.count("*").alias("n"),
+    mine = scored.filter(F.col("Model").isin(models)).select(
+        "Model", "IDpol", "HasClaim", (-F.col("Score")).alias("_place"))
+    found = {m: places for m, (_, places) in rows_at_in_groups(
+        mine, "Model", "_place", "IDpol",
+        lambda n: [max(1, math.ceil(n * c)) for c in capacities]).items()}
+
+    def cut(i: int, part: int) -> Column:
+        chain = F
+        for model, places in found.items():
+            chain = chain.when(F.col("Model") == model, F.lit(places[i][part]))
+        return F.lit(None) if chain is F else chain.otherwise(F.lit(None))
+
+    claims = F.col("HasClaim").cast("bigint")
+    rows = mine.groupBy("Model").agg(
+        F.sum(claims).alias("claims"), F.count("*").alias("n"),
         *[
             F.coalesce(F.sum(F.when(
-                not_after(F.col("_place"), F.col("IDpol"), place), F.col("HasClaim"))), F.lit(0)
-            ).cast("bigint").alias(f"c{i}")
-            for i, place in enumerate(places)
+                not_after(F.col("_place"), F.col("IDpol"), (cut(i, 0), cut(i, 1))), claims)),
+                F.lit(0)).alias(f"c{i}")
+            for i in range(len(capacities))
         ],
     )
-    levels = ", ".join(
-        f"named_struct('Capacity', {float(c)!r}D, 'SelectedPolicies', "
-        f"{max(1, math.ceil(total * c))}L, 'SelectedClaims', c{i}, "
-        f"'ThresholdAtCapacity', {-float(p[0])!r}D)"
-        for i, (c, p) in enumerate(zip(capacities, places)))
+    levels = F.array(*[
+        F.struct(
+            F.lit(float(c)).alias("Capacity"),
+            F.greatest(F.lit(1), F.ceil(F.col("n") * F.lit(float(c)))).cast("bigint").alias(
+                "SelectedPolicies"),
+            F.col(f"c{i}").alias("SelectedClaims"),
+            (-cut(i, 0).cast("double")).alias("ThresholdAtCapacity"))
+        for i, c in enumerate(capacities)])
     precision = ratio(F.col("SelectedClaims"), F.col("SelectedPolicies"))
-    return row.selectExpr("claims", "n", f"inline(array({levels}))").select(
-        F.lit(model).alias("Model"), "Capacity", "SelectedPolicies", "SelectedClaims",
+    return rows.select("Model", "claims", "n", F.inline(levels)).select(
+        "Model", "Capacity", "SelectedPolicies", "SelectedClaims",
         precision.alias("PrecisionAtCapacity"),
         ratio(F.col("SelectedClaims"), F.col("claims")).alias("ClaimCaptureRate"),
         ratio(precision, ratio(F.col("claims"), F.col("n"))).alias("Lift"),
         "ThresholdAtCapacity")
 
 
-def capacity_comparison(scored: DataFrame, models: list[str]) -> DataFrame:
-    return stacked([capacity_analysis(scored, m) for m in models])
-
-
 def capture_curve(capacity: DataFrame) -> DataFrame:
     """Claim capture by reviewed share, both in percent, with the random line."""
     return capacity.select(
@@ -254,7 +265,9 @@ def subgroup_metrics(
         .withColumns({"Policies": every, "Claims": claims})
         .filter((F.col("Policies") >= least_rows) & (F.col("Claims") >= least_claims))
     )
-    areas = ranking_areas(score_steps(rows, within), within)
+    # The curves are built for the groups that stay; their names are a short list.
+    kept = rows.join(large.select(*within), within, "left_semi")
+    areas = ranking_areas(score_steps(kept, within), within)
     return large.join(areas, within).select(
         *within, "Policies", "Claims", "ObservedClaimRate", "MeanPredictedProbability",
         (F.col("MeanPredictedProbability") - F.col("ObservedClaimRate")).alias(
@@ -264,8 +277,8 @@ def subgroup_metrics(
 
 
 def recall_range(subgroups: DataFrame) -> DataFrame:
-    """Smallest and largest recall over the subgroups."""
-    return subgroups.agg(
+    """Smallest and largest recall of each model over the subgroups."""
+    return subgroups.groupBy("Model").agg(
         F.min("Recall").alias("MinimumRecall"), F.max("Recall").alias("MaximumRecall"))
 
 

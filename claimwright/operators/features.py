@@ -1,21 +1,17 @@
-"""Model samples, and the fitted preprocessing as SQL expressions.
+"""Model samples, and the fitted design matrix: sums, a table of categories, and joins."""
 
-Preprocessing is fitted by aggregates and applied by an SQLTransformer, so a fitted
-model is a plain Spark ML pipeline that saves, loads and runs without Python.
-"""
+from dataclasses import dataclass
 
-from dataclasses import dataclass, field
-
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml import Pipeline
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimwright import vocabulary as V
 from claimwright.functions.bands import claim_count_stratum
 from claimwright.functions.casting import strict_truth
 from claimwright.operators.contracts import require_none
-from claimwright.operators.ranking import medians, with_decile
-
+from claimwright.operators.ranking import accumulate, in_ranges, medians, offsets, with_decile
+from claimwright.session import stage
 
 
 def with_missing_label(df: DataFrame, columns: list[str] = V.MODEL_TEXTS) -> DataFrame:
@@ -104,21 +100,19 @@ def check_severity(sample: DataFrame) -> DataFrame:
     return require_none(sample, SEVERITY_PROBLEMS, "The severity sample")
 
 
-def _number(value: float) -> str:
-    return f"{float(value)!r}D"
-
-
-def _text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def category_counts(df: DataFrame, texts: list[str]) -> dict[str, list[tuple[str, int]]]:
-    """Values and their counts per text column, sorted by value."""
+def category_places(df: DataFrame, texts: list[str]) -> DataFrame:
+    """(c, v, n, place, size): every value of every text column, its rows, its place from 0
+    in the order of values, and how many values there are. Written once; the places come
+    from ranges of the values, so no task and no list on the driver holds them all."""
     pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in texts
+        F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in texts
     ])).alias("p")).select("p.*").filter("v IS NOT NULL")
-    rows = pairs.groupBy("c", "v").agg(F.count("*").alias("n")).collect()
-    return {c: sorted((r["v"], r["n"]) for r in rows if r["c"] == c) for c in texts}
+    counts = in_ranges(pairs.groupBy("c", "v").agg(F.count("*").alias("n")), "c", "v")
+    one = {"k": F.lit(1)}
+    placed = accumulate(counts, offsets(counts, one, ["c"]), ["v"], one, ["c"])
+    return stage(placed.select(
+        "c", "v", "n", F.col("k_before").cast("bigint").alias("place"),
+        F.col("k_all").cast("bigint").alias("size")), "categories")
 
 
 @dataclass
@@ -127,11 +121,13 @@ class Design:
 
     Numbers take their exact median where missing and are scaled by the population
     deviation. Texts take their most frequent value where missing (the smallest on a
-    tie); the first category is the reference and an unknown one is all zeros.
+    tie); the first category is the reference and an unknown one is all zeros. The categories
+    are a table that rows are joined to, and a row's vector is sparse, so there may be many.
     """
 
-    names: list[str] = field(default_factory=list)
-    expressions: list[str] = field(default_factory=list)
+    numbers: dict[str, tuple[float, float, float]]
+    texts: dict[str, tuple[str, int]]
+    categories: DataFrame
 
     @classmethod
     def fit(cls, df: DataFrame, numbers: list[str], texts: list[str]) -> "Design":
@@ -141,38 +137,88 @@ class Design:
             F.struct(F.avg(x).alias("m"), F.stddev_pop(x).alias("s")).alias(c)
             for c, x in filled.items()
         ]).first()
-        design = cls()
-        for c in numbers:
-            mean, scale = row[c]["m"], row[c]["s"] or 1.0
-            design.names.append(f"numeric__{c}")
-            design.expressions.append(
-                f"(coalesce({c}, {_number(middle[c])}) - {_number(mean)}) / {_number(scale)}")
-        for c, counted in category_counts(df, texts).items():
-            if not counted:
-                continue
-            usual = min(counted, key=lambda p: (-p[1], p[0]))[0]
-            for value, _ in counted[1:]:
-                design.names.append(f"categorical__{c}_{value}")
-                design.expressions.append(
-                    f"CASE WHEN coalesce({c}, {_text(usual)}) = {_text(value)}"
-                    " THEN 1D ELSE 0D END")
-        return design
-
-    def stages(self) -> list:
-        columns = [f"_x{i}" for i in range(len(self.names))]
-        listed = ", ".join(f"{e} AS {c}" for e, c in zip(self.expressions, columns))
-        return [
-            SQLTransformer(statement=f"SELECT *, {listed} FROM __THIS__"),
-            VectorAssembler(inputCols=columns, outputCol="features"),
-            SQLTransformer(
-                statement=f"SELECT * EXCEPT ({', '.join(columns)}) FROM __THIS__"),
-        ]
+        categories = category_places(df, texts)
+        # One row for each text column.
+        usual = {r["c"]: (r["u"]["v"], r["size"]) for r in categories.groupBy("c").agg(
+            F.min(F.struct((-F.col("n")).alias("n"), "v")).alias("u"),
+            F.max("size").alias("size")).collect()}
+        return cls(
+            {c: (middle[c], row[c]["m"], row[c]["s"] or 1.0) for c in numbers},
+            {c: usual[c] for c in texts if c in usual}, categories)
+
+    def _one_hot(self) -> list[str]:
+        """The texts that have a category beside the reference."""
+        return [c for c, (_, size) in self.texts.items() if size > 1]
+
+    def width(self) -> int:
+        return len(self.numbers) + sum(self.texts[c][1] - 1 for c in self._one_hot())
+
+    def names(self) -> DataFrame:
+        """(position, name) of every column of the matrix."""
+        spark = self.categories.sparkSession
+        first = spark.createDataFrame(
+            [(i, f"numeric__{c}") for i, c in enumerate(self.numbers)], "position bigint, name string")
+        start, base = len(self.numbers), F
+        for c in self._one_hot():
+            base = base.when(F.col("c") == c, F.lit(start))
+            start += self.texts[c][1] - 1
+        if base is F:
+            return first
+        rest = self.categories.filter(F.col("c").isin(self._one_hot()) & (F.col("place") > 0)).select(
+            (base.otherwise(0) + F.col("place") - 1).cast("bigint").alias("position"),
+            F.concat(F.lit("categorical__"), "c", F.lit("_"), "v").alias("name"))
+        return first.unionByName(rest)
+
+    def features(self, df: DataFrame) -> DataFrame:
+        """The rows with their vector in `features`."""
+        out, places, sizes = df, {}, []
+        for i, c in enumerate(self._one_hot()):
+            usual, size = self.texts[c]
+            # The encoder leaves the last place out: the reference and unknown values have it.
+            own = self.categories.filter(F.col("c") == c).select(
+                F.col("v").alias(f"_v{i}"),
+                F.when(F.col("place") == 0, size - 1).otherwise(F.col("place") - 1).alias(f"_p{i}"))
+            out = out.join(
+                own, F.coalesce(F.col(c).cast("string"), F.lit(usual)) == F.col(f"_v{i}"), "left")
+            places[f"_p{i}"] = F.coalesce(f"_p{i}", F.lit(size - 1)).cast("double")
+            sizes.append(float(size - 1))
+        out = out.withColumns(places)
+        scaled = {f"_x{i}": (F.coalesce(F.col(c), F.lit(m)) - F.lit(mean)) / F.lit(scale)
+                  for i, (c, (m, mean, scale)) in enumerate(self.numbers.items())}
+        out = out.withColumns(scaled)
+        parts = list(scaled)
+        if sizes:
+            spark = df.sparkSession
+            largest = spark.createDataFrame([tuple(sizes)], ", ".join(f"{p} double" for p in places))
+            encoded = [f"_e{i}" for i in range(len(sizes))]
+            out = OneHotEncoder(inputCols=list(places), outputCols=encoded).fit(largest).transform(out)
+            parts += encoded
+        out = VectorAssembler(inputCols=parts, outputCol="features").transform(out)
+        return out.select(*df.columns, "features")
 
     def frame(self, df: DataFrame, *keep: str) -> DataFrame:
-        """The design matrix as named columns."""
-        return df.select(
-            *keep, *[F.expr(e).alias(n) for n, e in zip(self.names, self.expressions)])
+        """The matrix as named columns, for matrices of few columns."""
+        names = [r["name"] for r in self.names().orderBy("position").collect()]
+        values = vector_to_array("features")
+        return self.features(df).select(
+            *keep, *[values[i].alias(n) for i, n in enumerate(names)])
+
+    def save(self, path: str) -> None:
+        spark = self.categories.sparkSession
+        spark.createDataFrame(
+            [(i, c, *x) for i, (c, x) in enumerate(self.numbers.items())],
+            "place int, name string, median double, mean double, scale double"
+        ).coalesce(1).write.mode("overwrite").parquet(f"{path}/numbers")
+        spark.createDataFrame(
+            [(i, c, *x) for i, (c, x) in enumerate(self.texts.items())],
+            "place int, name string, usual string, size bigint"
+        ).coalesce(1).write.mode("overwrite").parquet(f"{path}/texts")
+        self.categories.write.mode("overwrite").parquet(f"{path}/categories")
 
-
-def fit_stages(stages: list, df: DataFrame):
-    return Pipeline(stages=stages).fit(df)
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "Design":
+        numbers = spark.read.parquet(f"{path}/numbers").orderBy("place").collect()
+        texts = spark.read.parquet(f"{path}/texts").orderBy("place").collect()
+        return cls({r["name"]: (r["median"], r["mean"], r["scale"]) for r in numbers},
+                   {r["name"]: (r["usual"], r["size"]) for r in texts},
+                   spark.read.parquet(f"{path}/categories"))

@@ -2,30 +2,29 @@
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GeneralizedLinearRegression
+from pyspark.ml.regression import GeneralizedLinearRegression, GeneralizedLinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimwright import vocabulary as V
 from claimwright.functions.measures import effect
-from claimwright.operators.features import Design, fit_stages
+from claimwright.operators.features import Design
 
 
 @dataclass
 class FittedModel:
-    """A Spark ML pipeline with the names of its features.
+    """A design matrix and the Spark ML model fitted on it.
 
     `kind` tells where the score is: the probability of class 1, or the prediction.
     """
 
-    pipeline: PipelineModel
-    names: list[str]
+    design: Design
+    fitted: LogisticRegressionModel | GeneralizedLinearRegressionModel
     kind: str = "mean"
 
     def score(self, df: DataFrame, output: str = "prediction") -> DataFrame:
-        scored = self.pipeline.transform(df)
+        scored = self.fitted.transform(self.design.features(df))
         if self.kind == "probability":
             value = vector_to_array(F.col("probability"))[1]
         else:
@@ -33,44 +32,47 @@ class FittedModel:
         return scored.select(*df.columns, value.alias(output))
 
     def coefficients(self, effect_name: str) -> DataFrame:
-        """One row per feature, by absolute coefficient; a fitted, bounded list."""
-        fitted = self.pipeline.stages[-1].coefficients.toArray().tolist()
-        spark = SparkSession.getActiveSession()
-        table = spark.createDataFrame(
-            list(zip(self.names, fitted)), "Feature string, Coefficient double")
-        return table.select(
-            "Feature", "Coefficient", effect(F.col("Coefficient")).alias(effect_name),
-            F.abs("Coefficient").alias("AbsoluteCoefficient"),
-        ).orderBy(F.desc("AbsoluteCoefficient"), "Feature")
+        """One row per feature, by absolute coefficient."""
+        values = self.fitted.coefficients.toArray().tolist()
+        table = self.design.categories.sparkSession.createDataFrame(
+            list(enumerate(values)), "position bigint, Coefficient double").join(
+                self.design.names(), "position")
+        return coefficient_table(
+            table.select(F.col("name").alias("Feature"), "Coefficient"), effect_name)
 
     def save(self, path: str) -> None:
-        spark = SparkSession.getActiveSession()
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
-        rows = [(i, n, self.kind) for i, n in enumerate(self.names)] or [(-1, "", self.kind)]
-        spark.createDataFrame(rows, "position int, name string, kind string").coalesce(
-            1).write.mode("overwrite").parquet(f"{path}/names")
+        self.design.save(f"{path}/design")
+        self.fitted.write().overwrite().save(f"{path}/model")
+        self.design.categories.sparkSession.createDataFrame([(self.kind,)], "kind string").coalesce(
+            1).write.mode("overwrite").parquet(f"{path}/kind")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "FittedModel":
-        rows = spark.read.parquet(f"{path}/names").orderBy("position").collect()
-        return cls(
-            PipelineModel.load(f"{path}/pipeline"),
-            [r["name"] for r in rows if r["position"] >= 0], rows[0]["kind"])
+        kind = spark.read.parquet(f"{path}/kind").first()["kind"]
+        reader = (
+            LogisticRegressionModel if kind == "probability" else GeneralizedLinearRegressionModel)
+        return cls(Design.load(spark, f"{path}/design"), reader.load(f"{path}/model"), kind)
 
 
-def _with_estimator(stages: list, estimator, train: DataFrame) -> PipelineModel:
-    """Preprocessing and estimator fitted in turn; the fit rows are read often, so
-    they are kept while it runs."""
-    prepare = fit_stages(stages, train)
+def coefficient_table(features: DataFrame, effect_name: str) -> DataFrame:
+    """(Feature, Coefficient) with the multiplicative effect, largest coefficient first."""
+    return features.select(
+        "Feature", "Coefficient", effect(F.col("Coefficient")).alias(effect_name),
+        F.abs("Coefficient").alias("AbsoluteCoefficient"),
+    ).orderBy(F.desc("AbsoluteCoefficient"), "Feature")
+
+
+def _fitted(design: Design, estimator, train: DataFrame, kind: str = "mean") -> FittedModel:
+    """The estimator fitted on the matrix; its rows are read often, so they are kept while
+    it runs."""
     wanted = ["features", estimator.getOrDefault("labelCol")]
     if estimator.isDefined("weightCol"):
         wanted.append(estimator.getOrDefault("weightCol"))
-    rows = prepare.transform(train).select(*wanted).persist()
+    rows = design.features(train).select(*wanted).persist()
     try:
-        fitted = estimator.fit(rows)
+        return FittedModel(design, estimator.fit(rows), kind)
     finally:
         rows.unpersist()
-    return PipelineModel(stages=[*prepare.stages, fitted])
 
 
 def fit_logistic(
@@ -83,8 +85,7 @@ def fit_logistic(
     estimator = LogisticRegression(
         featuresCol="features", labelCol=target, regParam=1.0 / (inverse_penalty * rows),
         elasticNetParam=0.0, standardization=False, maxIter=iterations, tol=tolerance)
-    return FittedModel(
-        _with_estimator(design.stages(), estimator, train), design.names, "probability")
+    return _fitted(design, estimator, train, "probability")
 
 
 def _fit_glm(train, family, label, weight, penalty, numbers, texts) -> FittedModel:
@@ -93,7 +94,7 @@ def _fit_glm(train, family, label, weight, penalty, numbers, texts) -> FittedMod
         featuresCol="features", labelCol=label, weightCol=weight, family=family, link="log",
         regParam=penalty, maxIter=200, tol=1e-10)
     rows = train.withColumn(weight, F.col(weight).cast("double"))
-    return FittedModel(_with_estimator(design.stages(), estimator, rows), design.names)
+    return _fitted(design, estimator, rows)
 
 
 def fit_poisson(

@@ -208,7 +208,8 @@ def rows_at_in_groups(df: DataFrame, group: str, key: str, tie: str, ranks,
 
 
 def not_after(key: Column, tie: Column, place: tuple) -> Column:
-    """Whether (key, tie) stands at or before the given place in ascending order."""
+    """Whether (key, tie) stands at or before the given place (values or columns) in
+    ascending order."""
     at_key, at_tie = F.lit(place[0]), F.lit(place[1])
     return (key < at_key) | ((key == at_key) & (tie <= at_tie))
 

@@ -160,6 +160,16 @@ SELECTED = f"{V.LOGISTIC} — selected threshold"
 DEFAULT = f"{V.LOGISTIC} — threshold 0.50"
 
 
+def decided(scored: DataFrame, threshold: float) -> DataFrame:
+    """Policies with the logistic probability and the decisions at one half and at the
+    selected threshold."""
+    probability = F.col(PROBABILITIES[V.LOGISTIC])
+    return scored.select(
+        "IDpol", "Exposure", "HasClaim", probability.alias("PredictedClaimProbability"),
+        (probability >= 0.5).cast("int").alias("PredictedClaimDefaultThreshold"),
+        (probability >= threshold).cast("int").alias("PredictedClaimSelectedThreshold"))
+
+
 def train_logistic(rows: DataFrame) -> LogisticRun:
     """Fits on Training, picks the F2 threshold on Validation, measures on Test."""
     train = rows.filter("Sample = 'Training'")
@@ -172,17 +182,13 @@ def train_logistic(rows: DataFrame) -> LogisticRun:
     test = long.filter("Sample = 'Test'")
     base = models.claim_rate(train)
     variants = {V.BASELINE_OCCURRENCE: 0.5, DEFAULT: 0.5, SELECTED: threshold}
-    probability = F.col(PROBABILITIES[V.LOGISTIC])
     cases = test.select("IDpol", "HasClaim", F.inline(F.array(*[
         F.struct(
             F.lit(name).alias("Model"),
             (F.lit(base) if name == V.BASELINE_OCCURRENCE else F.col("Score")).alias("Score"))
         for name in variants
     ])))
-    predictions = scored.filter("Sample = 'Test'").select(
-        "IDpol", "Exposure", "HasClaim", probability.alias("PredictedClaimProbability"),
-        (probability >= 0.5).cast("int").alias("PredictedClaimDefaultThreshold"),
-        (probability >= threshold).cast("int").alias("PredictedClaimSelectedThreshold"))
+    predictions = decided(scored.filter("Sample = 'Test'"), threshold)
     return LogisticRun(model, threshold, {
         "split_summary": sampling.occurrence_split_summary(rows),
         "validation_threshold_results": curve,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from claimwright import vocabulary as V
 from claimwright.operators import audit, boosting, importance, models
-from claimwright.operators.features import Design, category_counts
+from claimwright.operators.features import Design, category_places
 from claimwright.operators.importance import permutation_importance
 from claimwright.plans import occurrence
 
@@ -41,7 +41,11 @@ def matrix(data):
     design = Design.fit(data, NUMBERS, TEXTS)
     frame = design.frame(data, "IDpol", "HasClaim", "Exposure", "ClaimFrequency", "Claims",
                          "AverageClaimSeverity").toPandas()
-    return frame, frame[design.names].to_numpy(), design
+    return frame, frame[names(design)].to_numpy(), design
+
+
+def names(design):
+    return [r["name"] for r in design.names().orderBy("position").collect()]
 
 
 def newton(X, gradient, hessian, penalty):
@@ -58,14 +62,14 @@ def newton(X, gradient, hessian, penalty):
 
 def test_design_matches_its_definition(data):
     frame, X, design = matrix(data)
-    assert design.names == ["numeric__x1", "numeric__x2", "categorical__t_b", "categorical__t_it's"]
+    assert names(design) == ["numeric__x1", "numeric__x2", "categorical__t_b", "categorical__t_it's"]
     assert np.allclose(X[:, :2].mean(axis=0), 0) and np.allclose(X[:, :2].std(axis=0), 1)
     assert set(np.unique(X[:, 2])) == {0.0, 1.0}
 
 
 def test_unknown_and_missing_categories(spark, data):
     _, _, design = matrix(data)
-    counts = {v: n for v, n in category_counts(data, TEXTS)["t"]}
+    counts = {r["v"]: r["n"] for r in category_places(data, TEXTS).collect()}
     usual = min(counts, key=lambda v: (-counts[v], v))
     odd = spark.createDataFrame([(1.0, 1.0, "zzz"), (1.0, 1.0, None)], "x1 double, x2 double, t string")
     rows = design.frame(odd).collect()
@@ -73,6 +77,39 @@ def test_unknown_and_missing_categories(spark, data):
     assert rows[1][2:] == (float(usual == "b"), float(usual == "it's"))
 
 
+def test_many_categories_are_not_collected(spark, monkeypatch):
+    """100,000 categories: places in the order of values, sparse vectors, no collect of them."""
+    rows = spark.range(0, 120_000, 1, 8).selectExpr(
+        "id AS IDpol", "CAST(id % 7 AS DOUBLE) AS x",
+        "CASE WHEN id < 100000 THEN concat('c', lpad(id, 6, '0')) WHEN id < 119000 THEN 'c000123' END AS t",
+        "'only' AS u")
+    collected = []
+    real = type(rows).collect
+
+    def counted(self):
+        found = real(self)
+        collected.append(len(found))
+        return found
+
+    monkeypatch.setattr(type(rows), "collect", counted)
+    design = Design.fit(rows, ["x"], ["t", "u"])
+    vectors = design.features(rows)
+    assert max(collected) <= 2
+    monkeypatch.undo()
+    assert design.width() == 100_000 and design.texts["t"] == ("c000123", 100_000)
+    sizes = {r["p"]: r["c"] for r in design.categories.filter("c = 't'").groupBy(
+        F.col("place").alias("p")).agg(F.count("*").alias("c")).collect()}
+    assert len(sizes) == 100_000 and set(sizes.values()) == {1}
+    found = {r["IDpol"]: r["features"] for r in vectors.filter(
+        "IDpol IN (0, 1, 99999, 110000, 119500)").collect()}
+    assert all(v.size == 100_000 and len(v.indices) <= 2 for v in found.values())
+    at = {i: [k for k in v.indices.tolist() if k] for i, v in found.items()}
+    assert at == {0: [], 1: [1], 99999: [99999], 110000: [123], 119500: [123]}
+    wanted = design.names().filter("position IN (0, 1, 123)").collect()
+    assert {r["position"]: r["name"] for r in wanted} == {
+        0: "numeric__x", 1: "categorical__t_c000001", 123: "categorical__t_c000123"}
+
+
 def test_logistic(spark, data, tmp_path):
     model = models.fit_logistic(data, NUMBERS, TEXTS, tolerance=1e-10)
     frame, X, _ = matrix(data)
@@ -83,12 +120,12 @@ def test_logistic(spark, data, tmp_path):
 
     wanted = newton(X, lambda e: p(e) - y, lambda e: p(e) * (1 - p(e)), 1.0)
     table = {r.Feature: r for r in model.coefficients("OddsRatio").collect()}
-    found = [table[n].Coefficient for n in model.names]
+    found = [table[n].Coefficient for n in names(model.design)]
     assert np.allclose(found, wanted, atol=1e-4)
     assert table["numeric__x1"].OddsRatio == pytest.approx(np.exp(table["numeric__x1"].Coefficient))
     model.save(str(tmp_path / "m"))
     again = models.FittedModel.load(spark, str(tmp_path / "m"))
-    assert again.names == model.names
+    assert names(again.design) == names(model.design)
     a = {r.IDpol: r.p for r in model.score(data, "p").collect()}
     b = {r.IDpol: r.p for r in again.score(data, "p").collect()}
     assert a == b and 0 < min(a.values()) < max(a.values()) < 1
@@ -100,7 +137,7 @@ def test_poisson(data):
     y, w = frame["ClaimFrequency"].to_numpy(), frame["Exposure"].to_numpy()
     w = w / w.sum()
     wanted = newton(X, lambda e: w * (np.exp(e) - y), lambda e: w * np.exp(e), 1e-2)
-    assert np.allclose(model.pipeline.stages[-1].coefficients.toArray(), wanted, atol=1e-4)
+    assert np.allclose(model.fitted.coefficients.toArray(), wanted, atol=1e-4)
 
 
 def test_gamma(data):
@@ -113,7 +150,7 @@ def test_gamma(data):
     wanted = newton(
         X, lambda e: w * (1 - y / start_scale(e, start)), lambda e: w * y / start_scale(e, start),
         1e-2)
-    assert np.allclose(model.pipeline.stages[-1].coefficients.toArray(), wanted, atol=1e-3)
+    assert np.allclose(model.fitted.coefficients.toArray(), wanted, atol=1e-3)
 
 
 def start_scale(eta, start):

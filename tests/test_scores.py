@@ -84,7 +84,7 @@ def test_threshold_grid_by_definition(spark):
 def test_capacity_rounds_up_and_breaks_ties_by_id(spark, n):
     rows, df = scored(spark, n, levels=5)
     ordered = sorted(rows, key=lambda r: (-r[3], r[1]))
-    found = {r.Capacity: r for r in curves.capacity_analysis(df, "m").collect()}
+    found = {r.Capacity: r for r in curves.capacity_comparison(df, ["m"]).collect()}
     for c in V.CAPACITIES:
         k = max(1, math.ceil(n * c))
         assert found[c].SelectedPolicies == k
@@ -94,7 +94,7 @@ def test_capacity_rounds_up_and_breaks_ties_by_id(spark, n):
 
 def test_everything_is_captured_at_full_capacity(spark):
     _, df = scored(spark)
-    row = curves.capacity_analysis(df, "m", (1.0,)).first()
+    row = curves.capacity_comparison(df, ["m"], (1.0,)).first()
     assert row.ClaimCaptureRate == 1.0 and row.Lift == 1.0
 
 
@@ -103,7 +103,7 @@ def test_calibration_bins(spark):
     p = np.array([r[3] for r in rows])
     edges = np.percentile(p, np.linspace(0, 100, 11))[1:-1]
     bins = np.searchsorted(edges, p)
-    found = {r.Bin: r for r in curves.quantile_calibration(df, "m").collect()}
+    found = {r.Bin: r for r in curves.quantile_calibration(df).collect()}
     for b in np.unique(bins):
         assert found[b].Policies == (bins == b).sum()
         assert found[b].MeanPredictedProbability == pytest.approx(p[bins == b].mean())

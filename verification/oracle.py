@@ -964,13 +964,13 @@ ORACLE["threshold_grid"] = rounded(_GRID_REPORT, *_GRID_DOUBLES)
 ORACLE["thresholds_in_range"] = rounded(
     f"SELECT * FROM ({_GRID_REPORT}) WHERE Threshold BETWEEN 0.01 AND 0.20", *_GRID_DOUBLES)
 _BIN = " + ".join(f"CAST(Score > e[{i}] AS INT)" for i in range(1, 10))
-_EDGES = "(SELECT quantile_cont(Score, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS e" \
-         f" FROM occ_scores WHERE Model = '{BOOSTING}')"
+_EDGES = "(SELECT Model, quantile_cont(Score, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])" \
+         " AS e FROM occ_scores GROUP BY Model)"
 ORACLE["quantile_calibration"] = rounded(
     f"""SELECT Model, {_BIN} AS Bin,
         count(*) AS Policies, avg(Score) AS MeanPredictedProbability,
         avg(HasClaim) AS ObservedClaimRate
-        FROM occ_scores CROSS JOIN {_EDGES} WHERE Model = '{BOOSTING}' GROUP BY 1, 2""",
+        FROM occ_scores JOIN {_EDGES} USING (Model) GROUP BY 1, 2""",
     "MeanPredictedProbability", "ObservedClaimRate")
 
 
@@ -998,7 +998,7 @@ _LOGISTIC_ROWS = f"(SELECT * FROM occ_scores WHERE Model = '{LOGISTIC}')"
 ORACLE["capture_curve"] = rounded(
     f"""SELECT Model, Capacity * 100 AS ReviewedPercent, ClaimCaptureRate * 100
         AS CapturedPercent, Capacity * 100 AS RandomPercent
-        FROM ({capacity(_LOGISTIC_ROWS)})""",
+        FROM ({capacity("occ_scores")})""",
     "ReviewedPercent", "CapturedPercent", "RandomPercent")
 
 
@@ -1025,15 +1025,16 @@ ORACLE["subgroup_metrics"] = rounded(
     "CalibrationDifference", "SelectionRate", "Precision", "Recall", "Specificity", "ROCAUC",
     "PRAUC")
 ORACLE["recall_range"] = rounded(
-    f"""SELECT min(Recall) AS MinimumRecall, max(Recall) AS MaximumRecall
-        FROM ({subgroups(_LOGISTIC_ROWS)})""", "MinimumRecall", "MaximumRecall")
+    f"""SELECT Model, min(Recall) AS MinimumRecall, max(Recall) AS MaximumRecall
+        FROM ({subgroups("occ_scores")}) GROUP BY Model""", "MinimumRecall", "MaximumRecall")
 ORACLE["occurrence_selection"] = rounded(
     f"SELECT * FROM ({areas(VALIDATION, 'Model')}) ORDER BY PRAUC DESC, ROCAUC DESC, Model LIMIT 1",
     "ROCAUC", "PRAUC")
 ORACLE["two_threshold_predictions"] = rounded(
-    f"""SELECT IDpol, Score, CAST(Score >= 0.5e0 AS INT) AS AtDefault,
-        CAST(Score >= 0.15e0 AS INT) AS AtSelected FROM {TEST} WHERE Model = '{LOGISTIC}'""",
-    "Score")
+    f"""SELECT IDpol, Exposure, HasClaim, Score AS PredictedClaimProbability,
+        CAST(Score >= 0.5e0 AS INT) AS PredictedClaimDefaultThreshold,
+        CAST(Score >= 0.15e0 AS INT) AS PredictedClaimSelectedThreshold
+        FROM {TEST} WHERE Model = '{LOGISTIC}'""", "Exposure", "PredictedClaimProbability")
 
 # --- audit of the frequency and severity scores -------------------------------------------
 
@@ -1209,18 +1210,55 @@ _RATE_NUMBERS = ["VehPower", "VehAge", "DrivAge", "BonusMalus", "LogDensity"]
 _FILLED = ", ".join(f"COALESCE(s.{c}, med.{c}) AS {c}" for c in _RATE_NUMBERS)
 CTES["medians"] = "SELECT " + ", ".join(
     f"median({c}) AS {c}" for c in _RATE_NUMBERS) + " FROM freq_split WHERE Sample = 'Training'"
-CTES["filled"] = f"SELECT s.IDpol, s.Sample, s.Area, s.VehGas, {_FILLED} FROM freq_split s, medians med"
+CTES["filled"] = f"""SELECT s.IDpol, s.Sample, s.Area, s.VehBrand, s.VehGas, s.Region, {_FILLED}
+    FROM freq_split s, medians med"""
 CTES["moments"] = "SELECT " + ", ".join(
     f"avg({c}) AS a_{c}, stddev_pop({c}) AS s_{c}" for c in _RATE_NUMBERS) + \
     " FROM filled WHERE Sample = 'Training'"
-_ONE_HOT = [("Area", v) for v in "BCDEF"] + [("VehGas", "Regular")]
+# The categories of the test tables after the first of each column.
+_ONE_HOT = [
+    *[("Area", v) for v in "BCDEF"],
+    *[("VehBrand", v) for v in sorted(f"B{i}" for i in range(1, 15))[1:]],
+    ("VehGas", "Regular"),
+    *[("Region", v) for v in sorted(f"NATION_{i}" for i in range(25))[1:]],
+]
 ORACLE["design_matrix"] = rounded(
     "SELECT IDpol, " + ", ".join(
         f"({c} - a_{c}) / s_{c} AS numeric__{c}" for c in _RATE_NUMBERS) + ", " + ", ".join(
-        f"CASE WHEN {c} = '{v}' THEN 1e0 ELSE 0e0 END AS categorical__{c}_{v}"
+        f"""CASE WHEN {c} = '{v}' THEN 1e0 ELSE 0e0 END AS "categorical__{c}_{v}\""""
         for c, v in _ONE_HOT) + " FROM filled, moments",
     *[f"numeric__{c}" for c in _RATE_NUMBERS],
-    *[f"categorical__{c}_{v}" for c, v in _ONE_HOT])
+    *[f'"categorical__{c}_{v}"' for c, v in _ONE_HOT])
+CTES["gain_rows"] = """SELECT *, ClaimNb / Exposure AS ClaimFrequency, CAST('0x' || substr(md5(concat(CAST(IDpol AS VARCHAR), '-holdout')), 1, 7)
+    AS BIGINT) % 10 <> 0 AS fitting FROM freq_split WHERE Sample = 'Training'"""
+CTES["gain_start"] = """SELECT sum(ClaimFrequency * Exposure) / sum(Exposure) AS m
+    FROM gain_rows WHERE fitting"""
+_GAIN_SUMS = """sum(Exposure * (m - ClaimFrequency)) AS g, sum(Exposure * m) AS h, count(*) AS n
+    FROM gain_rows, gain_start WHERE fitting"""
+CTES["gain_total"] = f"SELECT {_GAIN_SUMS}"
+CTES["gain_numbers"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS f, CAST({c} AS DOUBLE) AS v, {_GAIN_SUMS} GROUP BY 2"
+    for c in ["VehPower", "VehAge", "DrivAge", "BonusMalus"])
+CTES["gain_texts"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS f, {c} AS v, {_GAIN_SUMS} GROUP BY 2"
+    for c in ["Area", "VehBrand", "VehGas", "Region"])
+_SO_FAR = "sum({0}) OVER (PARTITION BY f ORDER BY {1}) AS {0}"
+CTES["gain_sides"] = f"""
+SELECT f AS Feature, Cut, CAST(NULL AS VARCHAR) AS Category, side AS MissingLeft,
+  s.g + CASE WHEN side THEN z.g ELSE 0 END AS g, s.h + CASE WHEN side THEN z.h ELSE 0 END AS h,
+  s.n + CASE WHEN side THEN z.n ELSE 0 END AS n
+FROM (SELECT f, v + (lead(v) OVER (PARTITION BY f ORDER BY v) - v) / 2 AS Cut,
+        {', '.join(_SO_FAR.format(c, 'v') for c in 'ghn')} FROM gain_numbers WHERE v IS NOT NULL) s
+LEFT JOIN (SELECT f AS zf, g, h, n FROM gain_numbers WHERE v IS NULL) z ON zf = f
+JOIN (SELECT unnest([true, false]) AS side) ON NOT side OR zf IS NOT NULL
+UNION ALL
+SELECT f, NULL, v, false, {', '.join(_SO_FAR.format(c, 'g0 / (h0 + 1), v') for c in 'ghn')}
+FROM (SELECT *, g AS g0, h AS h0 FROM gain_texts)"""
+ORACLE["first_split_gains"] = rounded(
+    """SELECT Feature, Cut, Category, MissingLeft, CAST(s.n AS BIGINT) AS LeftRows,
+       s.g * s.g / (s.h + 1) + (t.g - s.g) * (t.g - s.g) / (t.h - s.h + 1) - t.g * t.g / (t.h + 1) AS Gain
+       FROM gain_sides s, gain_total t
+       WHERE s.n >= 100 AND t.n - s.n >= 100 AND s.h >= 1e-3 AND t.h - s.h >= 1e-3""", "Cut", "Gain")
 ORACLE["model_baselines"] = rounded(
     """SELECT 'Claim rate' AS Baseline, avg(HasClaim) AS Value FROM occ_split
        WHERE Sample = 'Training'

@@ -9,7 +9,7 @@ from claimwright import vocabulary as V
 from claimwright.functions.bands import with_bands
 from claimwright.functions.casting import lenient_truth, truth
 from claimwright.operators import (
-    audit, contracts, curves, explore, features, models, portfolio, quality, ranking,
+    audit, boosting, contracts, curves, explore, features, models, portfolio, quality, ranking,
     reconcile, sampling,
 )
 from claimwright.operators.features import Design
@@ -540,7 +540,7 @@ def thresholds_in_range(spark, folder):
 
 @query
 def quantile_calibration(spark, folder):
-    return curves.quantile_calibration(base.occurrence_scores(spark, folder), V.BOOSTING)
+    return curves.quantile_calibration(base.occurrence_scores(spark, folder))
 
 
 @query
@@ -552,7 +552,7 @@ def capacity_analysis(spark, folder):
 @query
 def capture_curve(spark, folder):
     return curves.capture_curve(curves.capacity_comparison(
-        base.occurrence_scores(spark, folder), [V.LOGISTIC]))
+        base.occurrence_scores(spark, folder), [V.LOGISTIC, V.BOOSTING]))
 
 
 @query
@@ -564,9 +564,9 @@ def subgroup_metrics(spark, folder):
 
 @query
 def recall_range(spark, folder):
-    rows = base.occurrence_scores(spark, folder).filter(F.col("Model") == V.LOGISTIC)
     return curves.recall_range(curves.subgroup_metrics(
-        with_bands(rows), F.lit(0.15), least_rows=base.SUBGROUP_ROWS))
+        with_bands(base.occurrence_scores(spark, folder)), F.lit(0.15),
+        least_rows=base.SUBGROUP_ROWS))
 
 
 @query
@@ -578,9 +578,7 @@ def occurrence_selection(spark, folder):
 @query
 def two_threshold_predictions(spark, folder):
     rows = _case(spark, folder, "Test").filter(F.col("Model") == V.LOGISTIC)
-    return rows.select(
-        "IDpol", "Score", (F.col("Score") >= 0.5).cast("int").alias("AtDefault"),
-        (F.col("Score") >= 0.15).cast("int").alias("AtSelected"))
+    return occurrence.decided(rows.withColumnRenamed("Score", occurrence.PROBABILITIES[V.LOGISTIC]), 0.15)
 
 
 # --- audit of the frequency and severity scores ---------------------------
@@ -671,23 +669,30 @@ def severity_histogram(spark, folder):
 @query
 def design_matrix(spark, folder):
     rows = base.frequency_split(spark, folder)
-    design = Design.fit(rows.filter("Sample = 'Training'"), V.RATE_NUMBERS, ["Area", "VehGas"])
+    design = Design.fit(rows.filter("Sample = 'Training'"), V.RATE_NUMBERS, V.MODEL_TEXTS)
     return design.frame(rows, "IDpol")
 
 
+@query
+def first_split_gains(spark, folder):
+    """What every split of the first tree's root would gain."""
+    return boosting.first_split_gains(
+        base.frequency_split(spark, folder).filter("Sample = 'Training'"), "ClaimFrequency",
+        "Exposure", ["VehPower", "VehAge", "DrivAge", "BonusMalus"], V.MODEL_TEXTS,
+        boosting.FREQUENCY_SETTINGS)
+
+
 @query
 def model_baselines(spark, folder):
     """The three constants: claim rate, claim frequency, mean severity."""
-    rate = base.occurrence_split(spark, folder).filter("Sample = 'Training'").agg(
-        F.avg(F.col("HasClaim").cast("double")).alias("Value"))
-    frequency_value = base.frequency_split(spark, folder).filter("Sample = 'Training'").agg(
-        (F.sum("ClaimNb") / F.sum("Exposure")).alias("Value"))
-    severity_value = base.severity_split(spark, folder).filter("Sample = 'Training'").agg(
-        (F.sum(F.col("AverageClaimSeverity") * F.col("ClaimNb")) / F.sum("ClaimNb")).alias("Value"))
-    named = [("Claim rate", rate), ("Claim frequency", frequency_value),
-             ("Mean severity", severity_value)]
-    parts = [df.select(F.lit(n).alias("Baseline"), "Value") for n, df in named]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    def training(split):
+        return split(spark, folder).filter("Sample = 'Training'")
+
+    return spark.createDataFrame([
+        ("Claim rate", models.claim_rate(training(base.occurrence_split))),
+        ("Claim frequency", models.portfolio_frequency(training(base.frequency_split))),
+        ("Mean severity", models.mean_severity(training(base.severity_split))),
+    ], "Baseline string, Value double")
 
 
 @lru_cache(maxsize=8)

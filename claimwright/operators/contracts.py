@@ -30,6 +30,18 @@ ISSUE_RULES = {
     **{f"{c} is not negative": f"{c} >= 0" for c in ["ClaimNb", "SeverityRowCount"]},
     "ClaimCountMatch is zero or one": "ClaimCountMatch IN (0, 1)",
 }
+METADATA_RULES = {f"{c} is present": f"{c} IS NOT NULL" for c in ["MetadataKey", "MetadataValue"]}
+TABLE_RULES = {
+    "policies": POLICY_RULES,
+    "claims": {"ClaimID is present": "ClaimID IS NOT NULL", **CLAIM_RULES},
+    "orphan_claims": {"OrphanClaimID is present": "OrphanClaimID IS NOT NULL", **CLAIM_RULES},
+    "claim_count_issues": ISSUE_RULES,
+    "database_metadata": METADATA_RULES,
+}
+TABLE_KEYS = {
+    "policies": "IDpol", "claims": "ClaimID", "orphan_claims": "OrphanClaimID",
+    "claim_count_issues": "IDpol", "database_metadata": "MetadataKey",
+}
 
 
 def missing_columns(df: DataFrame, expected: list[str]) -> list[str]:
@@ -115,15 +127,25 @@ def violations(df: DataFrame, table: str, rules: dict[str, str]) -> DataFrame:
     )
 
 
-def constraint_violations(policies: DataFrame, claims: DataFrame, orphans: DataFrame,
-                          issues: DataFrame) -> DataFrame:
-    """All column constraints of the relational layer."""
+def key_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """Key values on more than one row, per table, from one grouped pass over all keys."""
+    keys = stacked([
+        tables[name].select(F.lit(name).alias("TableName"), F.col(key).cast("string").alias("_key"))
+        for name, key in TABLE_KEYS.items()])
+    repeated = keys.groupBy("TableName", "_key").agg(F.count("*").alias("n")).groupBy("TableName").agg(
+        count_if((F.col("n") > 1) & F.col("_key").isNotNull()).alias("n"))
+    row = repeated.groupBy().pivot("TableName", list(TABLE_KEYS)).agg(F.first("n"))
     return stacked([
-        violations(policies, "policies", POLICY_RULES),
-        violations(claims, "claims", CLAIM_RULES),
-        violations(orphans, "orphan_claims", CLAIM_RULES),
-        violations(issues, "claim_count_issues", ISSUE_RULES),
-    ])
+        row.select(F.lit(name).alias("TableName"), F.lit(f"{key} is unique").alias("Rule"),
+                   F.coalesce(name, F.lit(0)).cast("bigint").alias("Violations"))
+        for name, key in TABLE_KEYS.items()])
+
+
+def constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """All constraints of the five relational tables: columns and keys."""
+    return stacked([
+        *[violations(tables[name], name, rules) for name, rules in TABLE_RULES.items()],
+        key_violations(tables)])
 
 
 def foreign_key_violations(claims: DataFrame, policies: DataFrame) -> DataFrame:

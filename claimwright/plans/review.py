@@ -1,13 +1,15 @@
 """Pass/fail reviews of the published model reports.
 
-Each takes the report tables, as built or as read back from a report folder.
+Each takes the report tables, as built or as read back from a report folder; `of_folder`
+reads what a run has published and reviews that.
 """
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimwright.functions.measures import count_if
 from claimwright.operators import audit
 from claimwright.operators.shaping import long_report, stacked
+from claimwright.sources import store
 
 NAMES = ("Validation", "Passed")
 
@@ -105,3 +107,31 @@ def severity_review(selected: str, validation: DataFrame, test: DataFrame, decil
     ])
 
 
+
+
+# The tables a review reads, in the order it takes them; the one named first holds the
+# selected model, where there is one.
+TABLES = {
+    "occurrence": (None, ["claim_occurrence_metrics", "prediction_sample", "logistic_coefficients"]),
+    "frequency": ("selected_frequency_model_summary", [
+        "validation_frequency_model_comparison", "test_frequency_model_comparison",
+        "frequency_calibration_deciles", "segment_frequency_calibration", "poisson_coefficients"]),
+    "severity": ("selected_severity_model_summary", [
+        "validation_severity_model_comparison", "test_severity_model_comparison",
+        "severity_calibration_deciles", "segment_severity_calibration", "gamma_coefficients",
+        "severity_tail_summary", "largest_severity_errors"]),
+}
+
+
+def of_folder(spark: SparkSession, family: str, folder: str, kind: str = "csv") -> DataFrame:
+    """The review of published report tables; all missing ones are named in the error."""
+    summary, names = TABLES[family]
+    found = store.read_tables(spark, folder, [*([summary] if summary else []), *names], kind)
+    tables = [found[n] for n in names]
+    if summary is None:
+        return occurrence_review(*tables)
+    selected = [r["Model"] for r in found[summary].select("Model").distinct().limit(2).collect()]
+    if len(selected) != 1:
+        raise ValueError(f"{summary} names {len(selected)} models, not one")
+    review = frequency_review if family == "frequency" else severity_review
+    return review(selected[0], *tables)

@@ -4,9 +4,10 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimwright.operators import contracts, portfolio, ranking, reconcile
+from claimwright.operators import contracts, ranking, reconcile
 from claimwright.operators.clean import valid_severity
 from claimwright.operators.contracts import require_columns
+from claimwright.plans import sql_reports
 from claimwright.session import stage
 from claimwright.sources import store
 from claimwright import vocabulary as V
@@ -107,16 +108,9 @@ def query(spark: SparkSession, text: str) -> DataFrame:
 
 
 def reports(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The named reports that are exported."""
-    policies = tables["policies"]
-    return {
-        "portfolio_kpis": portfolio.portfolio_kpis(policies),
-        "area_metrics": portfolio.area_metrics(policies).orderBy("Area"),
-        "model_eligibility": portfolio.model_eligibility(policies),
-        "claim_completeness": portfolio.claim_completeness(policies),
-        "claim_count_issues": portfolio.issue_types(tables["claim_count_issues"]),
-        "top_regions_by_pure_premium": portfolio.top_regions(policies),
-    }
+    """The named SQL reports that are exported, over the given tables."""
+    register(tables)
+    return sql_reports.exported(next(iter(tables.values())).sparkSession)
 
 
 def export_reports(tables: dict[str, DataFrame], folder: str, kind: str = "csv") -> list[str]:
@@ -135,8 +129,6 @@ def build(
     planned = relational_tables(
         prepared["policy_analytics"], prepared["severity_clean"], prepared["claim_count_audit"])
     written = {name: stage(df, f"table-{name}") for name, df in planned.items()}
-    contracts.require_unique(written["policies"], "The policies table")
-    contracts.require_unique(written["claim_count_issues"], "The claim_count_issues table")
     contracts.require_counts(written, {
         "policies": prepared["policy_analytics"].count(),
         "claim_count_issues": prepared["claim_count_audit"].filter("NOT ClaimCountMatch").count(),
@@ -147,10 +139,9 @@ def build(
         raise ValueError(f"{split} claims written, {valid} expected")
     if not contracts.foreign_key_violations(written["claims"], written["policies"]).isEmpty():
         raise ValueError("Claims without a policy are in the claims table")
-    broken = contracts.constraint_violations(*[written[n] for n in planned]).filter(
-        "Violations > 0").collect()
+    written["database_metadata"] = stage(metadata(written, source), "table-database_metadata")
+    broken = contracts.constraint_violations(written).filter("Violations > 0").collect()
     if broken:
         raise ValueError(f"Constraint violations: {[r.asDict() for r in broken]}")
-    written["database_metadata"] = metadata(written, source)
     store.write_tables(written, folder)
     return store.read_tables(spark, folder, list(written))

@@ -9,7 +9,13 @@
     python -m claimwright.run occurrence --prepared prepared \\
         --logistic reports/modeling/logistic --to reports/modeling/occurrence
 
-and frequency and severity like logistic. The file can be given to
+and frequency and severity like logistic. What logistic, frequency and severity have
+published is read back and reviewed by
+
+    python -m claimwright.run review --family frequency \\
+        --reports reports/modeling/frequency --to reports/modeling/frequency
+
+The file can be given to
 spark-submit as well.
 """
 
@@ -18,7 +24,7 @@ import argparse
 from claimwright import vocabulary as V
 from claimwright.operators import contracts, explore, portfolio, quality
 from claimwright.operators.clean import valid_severity
-from claimwright.plans import frequency, occurrence, preparation, severity, warehouse
+from claimwright.plans import frequency, occurrence, preparation, review, severity, warehouse
 from claimwright.session import session
 from claimwright.sources import raw, store
 
@@ -94,18 +100,25 @@ def severity_models(spark, args):
     severity.train(severity.split(_policy(spark, args.prepared))).publish(args.to)
 
 
+def review_reports(spark, args):
+    checks = review.of_folder(spark, args.family, args.reports)
+    store.write_table(checks, args.to, "published_report_checks", "csv")
+    contracts.enforce(checks)
+
+
 STEPS = {
     "prepare": prepare, "tables": tables, "reports": reports, "quality": quality_reports,
     "explore": exploration, "logistic": logistic, "occurrence": occurrence_models,
-    "frequency": frequency_models, "severity": severity_models,
+    "frequency": frequency_models, "severity": severity_models, "review": review_reports,
 }
 
 
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument("step", choices=STEPS)
-    for name in ("frequency", "severity", "prepared", "tables", "logistic"):
+    for name in ("frequency", "severity", "prepared", "tables", "logistic", "reports"):
         parser.add_argument(f"--{name}")
+    parser.add_argument("--family", choices=review.TABLES)
     parser.add_argument("--to", required=True)
     args = parser.parse_args()
     STEPS[args.step](session(f"claimwright-{args.step}"), args)

@@ -1,7 +1,10 @@
 """Prepared tables, reports and predictions in a folder of Parquet or CSV tables."""
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 PREPARED = [
     "frequency_clean", "severity_clean", "severity_by_policy", "claim_count_audit",
@@ -10,17 +13,40 @@ PREPARED = [
 RELATIONAL = ["policies", "claims", "orphan_claims", "claim_count_issues", "database_metadata"]
 
 
+# Texts keep their spaces, and quotes inside a text are doubled.
+CSV = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"'}
+
+
+def _schema_path(folder: str, name: str) -> str:
+    return f"{folder.rstrip('/')}/schemas/{name}"
+
+
 def write_table(df: DataFrame, folder: str, name: str, kind: str = "parquet") -> str:
-    """Writes (or replaces) one table; all executors write in parallel."""
+    """Writes (or replaces) one table; all executors write in parallel.
+
+    A CSV table has its schema written beside it, so that it is read back with its types.
+    """
     path = f"{folder.rstrip('/')}/{name}"
     writer = df.write.mode("overwrite")
     if kind == "csv":
-        writer.option("header", True).csv(path)
+        writer.options(**CSV).csv(path)
+        df.sparkSession.createDataFrame([(df.schema.json(),)], "value string").coalesce(
+            1).write.mode("overwrite").text(_schema_path(folder, name))
     else:
         writer.parquet(path)
     return path
 
 
+def _csv(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A CSV table by the schema beside it; types are inferred only where there is none."""
+    reader = spark.read.options(**CSV)
+    try:
+        written = spark.read.text(_schema_path(folder, name)).first()["value"]
+    except AnalysisException:
+        return reader.option("inferSchema", True).csv(f"{folder.rstrip('/')}/{name}")
+    return reader.schema(StructType.fromJson(json.loads(written))).csv(f"{folder.rstrip('/')}/{name}")
+
+
 def write_tables(tables: dict[str, DataFrame], folder: str, kind: str = "parquet") -> list[str]:
     return [write_table(df, folder, name, kind) for name, df in tables.items()]
 
@@ -33,8 +59,7 @@ def read_tables(
     for name in names:
         path = f"{folder.rstrip('/')}/{name}"
         try:
-            reader = spark.read.option("header", True).option("inferSchema", kind == "csv")
-            found[name] = reader.csv(path) if kind == "csv" else spark.read.parquet(path)
+            found[name] = _csv(spark, folder, name) if kind == "csv" else spark.read.parquet(path)
         except AnalysisException:
             absent.append(path)
     if absent:

@@ -59,8 +59,11 @@ def test_claims_split_and_numbered(spark, prepared):
     assert [c[0] for c in claims] == [1, 2, 3, 4, 5, 6]
     assert [c[1:] for c in claims] == sorted(c for c in CLAIMS if c[0] != 9)
     assert [r.OrphanClaimID for r in tables["orphan_claims"].orderBy("OrphanClaimID").collect()] == [1, 2]
-    checks = contracts.constraint_violations(*tables.values()).filter("Violations > 0")
-    assert checks.count() == 0
+    tables["database_metadata"] = warehouse.metadata(tables, "test")
+    assert contracts.constraint_violations(tables).filter("Violations > 0").count() == 0
+    twice = {**tables, "claims": tables["claims"].unionByName(tables["claims"].limit(2))}
+    broken = contracts.constraint_violations(twice).filter("Violations > 0").collect()
+    assert [tuple(r) for r in broken] == [("claims", "ClaimID is unique", 2)]
 
 
 @pytest.mark.parametrize("shares", [1, 3, 50])
@@ -179,6 +182,41 @@ def test_a_failed_gate_writes_nothing(spark, tmp_path):
     assert not (tmp_path / "prepared").exists()
 
 
+def test_csv_tables_keep_their_types(spark, tmp_path):
+    rows = [(1, "007", 1.0, True, None), (2, " a,b ", 2.5, False, ""), (3, 'say "x"', None, None, "z")]
+    df = spark.createDataFrame(rows, "k bigint, code string, x double, b boolean, t string")
+    store.write_table(df, str(tmp_path), "typed", "csv")
+    again = store.read_tables(spark, str(tmp_path), ["typed"], "csv")["typed"]
+    assert again.dtypes == df.dtypes
+    assert sorted(map(tuple, again.collect())) == sorted(rows)
+    empty = df.filter("false")
+    store.write_table(empty, str(tmp_path), "typed", "csv")
+    assert store.read_tables(spark, str(tmp_path), ["typed"], "csv")["typed"].dtypes == df.dtypes
+    df.select("k", "x").write.option("header", True).csv(str(tmp_path / "foreign"))
+    assert store.read_tables(spark, str(tmp_path), ["foreign"], "csv")["foreign"].dtypes[0][1] == "int"
+
+
+def test_named_reports_are_checked(spark, prepared):
+    from claimwright.plans import sql_reports
+
+    tables = warehouse.relational_tables(prepared.policy, prepared.severity, prepared.audit)
+    warehouse.register(tables)
+    assert sql_reports.report(spark, "top_regions_by_pure_premium").count() == 0
+    assert sql_reports.report(spark, "top_regions_by_pure_premium", least_exposure=0).count() == 1
+    assert [r.Area for r in sql_reports.report(spark, "area_metrics").collect()] == ["A", "B", "C"]
+    for name in sql_reports.REPORTS:
+        assert sql_reports.report(spark, name).columns
+    with pytest.raises(KeyError, match="no parameters"):
+        sql_reports.report(spark, "area_metrics", least_exposure=1)
+    with pytest.raises(KeyError, match="No report"):
+        sql_reports.report(spark, "unknown")
+    tables["policies"].withColumn("Area", tables["policies"].IDpol).createOrReplaceTempView("policies")
+    for name, text in warehouse.VIEWS.items():
+        spark.sql(text).createOrReplaceTempView(name)
+    with pytest.raises(ValueError, match="catalogue"):
+        sql_reports.report(spark, "area_metrics")
+
+
 def test_missing_tables_are_all_named(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="claims.*policies"):
         store.read_tables(spark, str(tmp_path), ["claims", "policies"])

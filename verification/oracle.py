@@ -338,6 +338,23 @@ _ISSUE_PRESENT = ["IDpol", "ClaimNb", "SeverityRowCount", "ClaimCountDifference"
 _CLAIM_RULES = [("IDpol is present", "IDpol IS NOT NULL"),
                 ("ClaimAmount is present", "ClaimAmount IS NOT NULL"),
                 ("ClaimAmount is positive", "ClaimAmount > 0")]
+CTES["matched_ids"] = """SELECT IDpol, ClaimAmount, row_number() OVER (ORDER BY IDpol, ClaimAmount) AS ClaimID
+    FROM matched"""
+CTES["orphaned_ids"] = """SELECT IDpol, ClaimAmount,
+    row_number() OVER (ORDER BY IDpol, ClaimAmount) AS OrphanClaimID FROM orphaned"""
+CTES["metadata_rows"] = " UNION ALL ".join([
+    "SELECT 'database_build_timestamp_utc' AS MetadataKey, 'fixed' AS MetadataValue",
+    "SELECT 'source_dataset', 'fixture'",
+    *[f"SELECT '{k}', CAST(count(*) AS VARCHAR) FROM {t}" for k, t in [
+        ("policy_rows", "typed_policies"), ("matched_claim_rows", "matched"),
+        ("orphan_claim_rows", "orphaned"), ("claim_count_issue_rows", "issues")]]])
+
+
+def _repeated(table: str, key: str, keys: str) -> str:
+    return f"""SELECT '{table}' AS TableName, '{key} is unique' AS Rule, count(*) AS Violations
+        FROM (SELECT {key} FROM ({keys}) GROUP BY 1 HAVING count(*) > 1)"""
+
+
 ORACLE["constraint_violations"] = sql(" UNION ALL ".join(
     _broken("policies", "typed_policies", [
         *[(f"{c} is present", f"{c} IS NOT NULL") for c in _PRESENT],
@@ -348,25 +365,35 @@ ORACLE["constraint_violations"] = sql(" UNION ALL ".join(
         *[(f"{c} is zero or one", f"{c} IN (0, 1)") for c in
           ["HasClaim", "HasSeverityRecord", *FLAGS]],
     ])
-    + _broken("claims", "matched", _CLAIM_RULES)
-    + _broken("orphan_claims", "orphaned", _CLAIM_RULES)
+    + _broken("claims", "matched_ids", [("ClaimID is present", "ClaimID IS NOT NULL"), *_CLAIM_RULES])
+    + _broken("orphan_claims", "orphaned_ids",
+              [("OrphanClaimID is present", "OrphanClaimID IS NOT NULL"), *_CLAIM_RULES])
+    + _broken("database_metadata", "metadata_rows", [
+        (f"{c} is present", f"{c} IS NOT NULL") for c in ("MetadataKey", "MetadataValue")])
+    + [_repeated("policies", "IDpol", "SELECT IDpol FROM typed_policies"),
+       _repeated("claims", "ClaimID", "SELECT ClaimID FROM matched_ids"),
+       _repeated("orphan_claims", "OrphanClaimID", "SELECT OrphanClaimID FROM orphaned_ids"),
+       _repeated("claim_count_issues", "IDpol", "SELECT IDpol FROM issues"),
+       _repeated("database_metadata", "MetadataKey", "SELECT MetadataKey FROM metadata_rows")]
     + _broken("claim_count_issues", "issues", [
         *[(f"{c} is present", f"{c} IS NOT NULL") for c in _ISSUE_PRESENT],
         *[(f"{c} is not negative", f"{c} >= 0") for c in ["ClaimNb", "SeverityRowCount"]],
         ("ClaimCountMatch is zero or one", "ClaimCountMatch IN (0, 1)"),
     ])))
+ORACLE["repeated_key_violations"] = sql(" UNION ALL ".join([
+    _repeated("policies", "IDpol", "SELECT IDpol FROM matched"),
+    _repeated("claims", "ClaimID", "SELECT ClaimID FROM matched_ids"),
+    _repeated("orphan_claims", "OrphanClaimID", "SELECT OrphanClaimID FROM orphaned_ids"),
+    _repeated("claim_count_issues", "IDpol", "SELECT IDpol FROM orphaned"),
+    _repeated("database_metadata", "MetadataKey", """SELECT MetadataKey FROM metadata_rows UNION ALL
+        SELECT MetadataKey FROM metadata_rows WHERE MetadataKey LIKE '%rows'""")]))
 ORACLE["raw_constraint_violations"] = sql(
     " UNION ALL ".join(_broken("claims", "severity_clean", _CLAIM_RULES)))
 _TABLES = [("policies", "typed_policies"), ("claims", "matched"), ("orphan_claims", "orphaned"),
            ("claim_count_issues", "issues")]
 ORACLE["table_counts"] = sql(" UNION ALL ".join(
     f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {t}" for n, t in _TABLES))
-_KEYS = ["policy_rows", "matched_claim_rows", "orphan_claim_rows", "claim_count_issue_rows"]
-ORACLE["build_metadata"] = sql(" UNION ALL ".join([
-    "SELECT 'database_build_timestamp_utc' AS MetadataKey, 'fixed' AS MetadataValue",
-    "SELECT 'source_dataset', 'fixture'",
-    *[f"SELECT '{k}', CAST(count(*) AS VARCHAR) FROM {t}" for k, (_, t) in zip(_KEYS, _TABLES)],
-]))
+ORACLE["build_metadata"] = sql("SELECT * FROM metadata_rows")
 
 # --- portfolio reports ------------------------------------------------------------
 
@@ -1266,3 +1293,22 @@ ORACLE["model_baselines"] = rounded(
        WHERE Sample = 'Training'
        UNION ALL SELECT 'Mean severity', sum(AverageClaimSeverity * ClaimNb) / sum(ClaimNb)
        FROM sev_split WHERE Sample = 'Training'""", "Value")
+
+# --- named reports: the same results as the queries that build them from DataFrames ---------
+
+for _report, _same in {
+        "portfolio_kpis": "portfolio_kpis", "table_counts": "table_counts",
+        "claim_count_distribution": "claim_count_distribution", "area_metrics": "area_metrics",
+        "area_ranking": "area_ranking", "model_eligibility": "model_eligibility",
+        "claim_completeness": "claim_completeness", "claim_count_issues": "issue_types",
+        "orphan_claims": "orphans_by_policy", "driver_age_metrics": "driver_age_metrics",
+        "bonus_malus_metrics": "bonus_malus_metrics",
+        "top_regions_by_pure_premium": "top_regions", "largest_losses": "largest_losses"}.items():
+    ORACLE[f"sql_{_report}"] = ORACLE[_same]
+ORACLE["stored_tables"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS row_count FROM ({ORACLE[same]})"
+    for name, same in {
+        "frequency_clean": "clean_frequency", "severity_clean": "clean_severity",
+        "severity_by_policy": "severity_by_policy", "claim_count_audit": "claim_count_audit",
+        "policy_analytics": "policy_analytics", "data_preparation_summary": "preparation_summary",
+        "claim_count_audit_summary": "audit_summary"}.items())

@@ -14,7 +14,7 @@ from claimwright.operators import (
 )
 from claimwright.operators.features import Design
 from claimwright.operators.shaping import previewed
-from claimwright.plans import frequency, occurrence, review, severity, warehouse
+from claimwright.plans import frequency, occurrence, review, severity, sql_reports, warehouse
 from claimwright.session import shared_folder
 from claimwright.sources import store
 from verification import base
@@ -148,8 +148,17 @@ def unknown_claim_ids(spark, folder):
 def constraint_violations(spark, folder):
     tables = base.relational(spark, folder)
     return contracts.constraint_violations(
-        tables["policies"], tables["claims"], tables["orphan_claims"],
-        tables["claim_count_issues"])
+        {**tables, "database_metadata": warehouse.metadata(tables, "fixture", "fixed")})
+
+
+@query
+def repeated_key_violations(spark, folder):
+    """The key rules where keys do repeat: claims stand for policies and issues."""
+    tables = base.relational(spark, folder)
+    facts = warehouse.metadata(tables, "fixture", "fixed")
+    return contracts.key_violations({
+        **tables, "policies": tables["claims"], "claim_count_issues": tables["orphan_claims"],
+        "database_metadata": facts.unionByName(facts.filter("MetadataKey LIKE '%rows'"))})
 
 
 @query
@@ -174,16 +183,25 @@ def build_metadata(spark, folder):
     return warehouse.metadata(base.relational(spark, folder), "fixture", "fixed")
 
 
+@lru_cache(maxsize=8)
+def _stored(spark, folder):
+    """The seven prepared tables, written to a folder."""
+    target = f"{shared_folder(spark)}/prepared-{uuid4().hex}"
+    store.write_tables(base.prepared(spark, folder).tables(), target)
+    return target
+
+
 @query
 def stored_policies(spark, folder):
-    """The preparation written to a folder and read back."""
-    target = f"{shared_folder(spark)}/prepared-{uuid4().hex}"
-    found = base.prepared(spark, folder)
-    store.write_tables(
-        {"policy_analytics": found.policy, "claim_count_audit_summary": found.audit_summary()},
-        target)
-    return store.read_tables(spark, target, ["policy_analytics"])["policy_analytics"].select(
-        *V.POLICY_COLUMNS)
+    """The policy fact as written to a folder and read back."""
+    return store.read_tables(spark, _stored(spark, folder), ["policy_analytics"])[
+        "policy_analytics"].select(*V.POLICY_COLUMNS)
+
+
+@query
+def stored_tables(spark, folder):
+    """All seven prepared tables as written to a folder and read back, with their rows."""
+    return contracts.table_counts(store.read_tables(spark, _stored(spark, folder), store.PREPARED))
 
 
 @query
@@ -197,6 +215,20 @@ def sql_on_views(spark, folder):
            FROM v_area_metrics WHERE claims > 0""")
 
 
+def _sql_report(name: str, **parameters):
+    """Registers a named SQL report as a query of its own."""
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        warehouse.register(base.relational(spark, folder))
+        return sql_reports.report(spark, name, **parameters)
+
+    run.__name__ = f"sql_{name}"
+    query(run)
+
+
+for _name, _report in sql_reports.REPORTS.items():
+    _sql_report(_name, **({"least_exposure": base.REGION_EXPOSURE} if _report.parameters else {}))
+
+
 # --- portfolio reports -----------------------------------------------------
 
 

@@ -51,14 +51,7 @@ class FrequencyRun:
         }
 
     def predictions(self) -> DataFrame:
-        """Test policies with every model's frequency and the expected claims."""
-        chosen = F.col(COLUMNS[self.selected])
-        return self.scored.filter("Sample = 'Test'").select(
-            "IDpol", "Exposure", "ClaimNb",
-            F.col("ClaimFrequency").alias("ObservedFrequency"), *COLUMNS.values(),
-            F.lit(self.selected).alias("SelectedModel"),
-            chosen.alias("SelectedPredictedFrequency"),
-            (chosen * F.col("Exposure")).alias("SelectedExpectedClaims"))
+        return predictions(self.scored.filter("Sample = 'Test'"), self.selected)
 
     def publish(self, folder: str, kind: str = "csv") -> None:
         """Writes all report tables, the test predictions and the models."""
@@ -89,6 +82,17 @@ def long_scores(scored: DataFrame) -> DataFrame:
         *[c for c in scored.columns if c not in COLUMNS.values()], F.inline(pairs))
 
 
+def predictions(scored: DataFrame, selected: str) -> DataFrame:
+    """Policies with every model's frequency and the expected claims of the selected one."""
+    chosen = F.col(COLUMNS[selected])
+    return scored.select(
+        "IDpol", "Exposure", "ClaimNb",
+        F.col("ClaimFrequency").alias("ObservedFrequency"), *COLUMNS.values(),
+        F.lit(selected).alias("SelectedModel"),
+        chosen.alias("SelectedPredictedFrequency"),
+        (chosen * F.col("Exposure")).alias("SelectedExpectedClaims"))
+
+
 def train(rows: DataFrame, rounds: int = 300) -> FrequencyRun:
     """Fits on Training, selects on Validation (the baseline is no candidate), and
     measures on Test. `rows` is the labelled split."""

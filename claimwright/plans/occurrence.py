@@ -75,14 +75,8 @@ class Comparison:
             [*V.OCCURRENCE_NUMBERS, *V.MODEL_TEXTS])
 
     def predictions(self) -> DataFrame:
-        """Test policies with both probabilities and the selected model's decision."""
-        chosen = F.col(PROBABILITIES[self.selected])
-        return self.scored.filter("Sample = 'Test'").select(
-            "IDpol", "Exposure", "HasClaim", *[PROBABILITIES[m] for m in self.models],
-            F.lit(self.selected).alias("SelectedModel"),
-            chosen.alias("SelectedModelProbability"),
-            (chosen >= self.thresholds[self.selected]).cast("int").alias(
-                "SelectedModelPrediction"))
+        return predictions(self.scored.filter("Sample = 'Test'"), list(self.models), self.selected,
+                           self.thresholds[self.selected])
 
     def publish(self, folder: str, rows: DataFrame, kind: str = "csv") -> None:
         """Writes all report tables, the test predictions and the models."""
@@ -94,6 +88,15 @@ class Comparison:
             model.save(f"{folder}/models/{name.replace(' ', '_').lower()}")
 
 
+def predictions(scored: DataFrame, names: list[str], selected: str, threshold: float) -> DataFrame:
+    """Policies with every model's probability and the selected model's decision."""
+    chosen = F.col(PROBABILITIES[selected])
+    return scored.select(
+        "IDpol", "Exposure", "HasClaim", *[PROBABILITIES[m] for m in names],
+        F.lit(selected).alias("SelectedModel"), chosen.alias("SelectedModelProbability"),
+        (chosen >= threshold).cast("int").alias("SelectedModelPrediction"))
+
+
 def with_age_band(scored: DataFrame) -> DataFrame:
     return with_bands(scored, ("DrivAgeBand",))
 

@@ -55,13 +55,7 @@ class SeverityRun:
         }
 
     def predictions(self) -> DataFrame:
-        """Test policies with every model's severity and the expected amount."""
-        chosen = F.col(COLUMNS[self.selected])
-        return self.scored.filter("Sample = 'Test'").select(
-            "IDpol", "ClaimNb", "CompleteTotalClaimAmount", "AverageClaimSeverity",
-            *COLUMNS.values(), F.lit(self.selected).alias("SelectedModel"),
-            chosen.alias("SelectedPredictedSeverity"),
-            (chosen * F.col("ClaimNb")).alias("SelectedPredictedClaimAmount"))
+        return predictions(self.scored.filter("Sample = 'Test'"), self.selected)
 
     def publish(self, folder: str, kind: str = "csv") -> None:
         """Writes all report tables, the test predictions and the models."""
@@ -93,6 +87,16 @@ def long_scores(scored: DataFrame) -> DataFrame:
         *[c for c in scored.columns if c not in COLUMNS.values()], F.inline(pairs))
 
 
+def predictions(scored: DataFrame, selected: str) -> DataFrame:
+    """Policies with every model's severity and the expected amount of the selected one."""
+    chosen = F.col(COLUMNS[selected])
+    return scored.select(
+        "IDpol", "ClaimNb", "CompleteTotalClaimAmount", "AverageClaimSeverity",
+        *COLUMNS.values(), F.lit(selected).alias("SelectedModel"),
+        chosen.alias("SelectedPredictedSeverity"),
+        (chosen * F.col("ClaimNb")).alias("SelectedPredictedClaimAmount"))
+
+
 def train(rows: DataFrame, rounds: int = 300) -> SeverityRun:
     """Fits on Training, selects on Validation (the baseline is a candidate), and
     measures on Test. `rows` is the labelled split."""

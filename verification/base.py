@@ -139,3 +139,33 @@ def severity_scores(spark: SparkSession, folder: str) -> DataFrame:
     return once(spark, folder, "severity-scores", lambda: _two(
         severity_split(spark, folder), (V.GAMMA, FIRST_SEVERITY), (V.BOOSTING, SECOND_SEVERITY),
         "PredictedSeverity"))
+
+
+class Formula:
+    """A scorer like a fitted model, whose score is a SQL expression."""
+
+    def __init__(self, text: str):
+        self.text = text
+
+    def score(self, df: DataFrame, output: str = "prediction") -> DataFrame:
+        return df.withColumn(output, F.expr(self.text).cast("double"))
+
+
+#: The score that permutation importance is checked with: three features count, one does not.
+PERMUTED_SCORE = ("(BonusMalus - 40 + CASE WHEN COALESCE(DrivAge, 45) < 25 THEN 40 ELSE 0 END"
+                  " + CASE WHEN Area = 'A' THEN 7 ELSE 0 END) / 400D")
+PERMUTED = ["BonusMalus", "DrivAge", "Area", "VehAge"]
+
+
+def coefficients(spark: SparkSession, folder: str) -> DataFrame:
+    """(Feature, Coefficient) as a fitted model would give them, from claim rates; some are
+    beyond the range that effects are cut to."""
+    rows = frequency_split(spark, folder).filter("Sample = 'Training'")
+    whole = rows.agg((F.sum("ClaimNb") / F.sum("Exposure")).alias("_rate"))
+    parts = [
+        rows.groupBy(F.concat(F.lit(f"categorical__{c}_"), c).alias("Feature")).agg(
+            (F.sum("ClaimNb") / F.sum("Exposure")).alias("_own"))
+        for c in ("Area", "VehBrand", "Region")]
+    each = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return each.join(F.broadcast(whole)).select(
+        "Feature", (F.lit(100.0) * F.log(F.col("_own") / F.col("_rate"))).alias("Coefficient"))

@@ -1312,3 +1312,150 @@ ORACLE["stored_tables"] = " UNION ALL ".join(
         "severity_by_policy": "severity_by_policy", "claim_count_audit": "claim_count_audit",
         "policy_analytics": "policy_analytics", "data_preparation_summary": "preparation_summary",
         "claim_count_audit_summary": "audit_summary"}.items())
+
+# --- model tables on formula scores ----------------------------------------------------------
+
+CTES["effects"] = " UNION ALL ".join(
+    f"""SELECT concat('categorical__{c}_', {c}) AS Feature,
+        100 * ln((sum(ClaimNb) / sum(Exposure)) / (SELECT sum(ClaimNb) / sum(Exposure) FROM freq_split
+                 WHERE Sample = 'Training')) AS Coefficient
+        FROM freq_split WHERE Sample = 'Training' GROUP BY {c}"""
+    for c in ["Area", "VehBrand", "Region"])
+CTES["effect_rows"] = """SELECT Feature, Coefficient, exp(least(greatest(Coefficient, -20), 20)) AS RateRatio,
+    abs(Coefficient) AS AbsoluteCoefficient FROM effects"""
+_EFFECTS = ["Coefficient", "RateRatio", "AbsoluteCoefficient"]
+ORACLE["coefficient_effects"] = rounded("SELECT * FROM effect_rows", *_EFFECTS)
+ORACLE["strongest_effects"] = rounded(
+    """(SELECT * FROM effect_rows WHERE Coefficient > 0 ORDER BY Coefficient DESC, Feature LIMIT 15)
+       UNION ALL
+       (SELECT * FROM effect_rows WHERE Coefficient < 0 ORDER BY Coefficient, Feature LIMIT 15)""", *_EFFECTS)
+ORACLE["occurrence_sample"] = rounded(
+    """SELECT IDpol, HasClaim, ln(Exposure) AS LogExposure, ln(1 + Density) AS LogDensity
+       FROM occurrence_sample""", "LogExposure", "LogDensity")
+ORACLE["frequency_sample"] = rounded(
+    """SELECT IDpol, ClaimNb / Exposure AS ClaimFrequency, LogDensity, ClaimCountStratum
+       FROM frequency_sample""", "ClaimFrequency", "LogDensity")
+CTES["gaps"] = """SELECT * REPLACE (CASE WHEN IDpol % 7 = 0 THEN NULL ELSE Area END AS Area,
+    CASE WHEN IDpol % 5 = 0 OR VehGas = 'Diesel' AND IDpol % 3 = 0 THEN NULL ELSE VehGas END AS VehGas)
+    FROM freq_split"""
+ORACLE["missing_labels"] = sql("SELECT IDpol, " + ", ".join(
+    f"coalesce({c}, 'Missing') AS {c}" for c in ["Area", "VehBrand", "VehGas", "Region"]) + " FROM gaps")
+
+
+def _usual(column: str) -> str:
+    return f"""(SELECT {column} FROM gaps WHERE Sample = 'Training' AND {column} IS NOT NULL
+        GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)"""
+
+
+ORACLE["design_with_gaps"] = rounded(
+    f"""SELECT IDpol, (VehPower - (SELECT avg(VehPower) FROM gaps WHERE Sample = 'Training'))
+        / (SELECT stddev_pop(VehPower) FROM gaps WHERE Sample = 'Training') AS numeric__VehPower, """
+    + ", ".join(f"CASE WHEN coalesce({c}, {_usual(c)}) = '{v}' THEN 1e0 ELSE 0e0 END AS categorical__{c}_{v}"
+                for c, v in [*[("Area", v) for v in "BCDEF"], ("VehGas", "Regular")]) + " FROM gaps",
+    "numeric__VehPower", *[f"categorical__Area_{v}" for v in "BCDEF"], "categorical__VehGas_Regular")
+ORACLE["clipped_predictions"] = rounded(
+    "SELECT IDpol, greatest((BonusMalus - 100) / 50e0, 1e-12) * 1e12 AS Scaled FROM policy_fact", "Scaled")
+CTES["occ_wide"] = f"""SELECT a.IDpol, a.Exposure, a.HasClaim, a.Score AS First, b.Score AS Second
+    FROM {TEST} a JOIN {TEST} b ON a.IDpol = b.IDpol
+    WHERE a.Model = '{LOGISTIC}' AND b.Model = '{BOOSTING}'"""
+ORACLE["occurrence_predictions"] = rounded(
+    f"""SELECT IDpol, Exposure, HasClaim, First AS LogisticProbability,
+        Second AS GradientBoostingProbability, '{BOOSTING}' AS SelectedModel,
+        Second AS SelectedModelProbability, CAST(Second >= 0.15e0 AS INT) AS SelectedModelPrediction
+        FROM occ_wide""", "Exposure", "LogisticProbability", "GradientBoostingProbability",
+    "SelectedModelProbability")
+CTES["freq_wide"] = f"""SELECT a.IDpol, a.Exposure, a.ClaimNb, a.PredictedFrequency AS First,
+    b.PredictedFrequency AS Second FROM freq_scores a JOIN freq_scores b ON a.IDpol = b.IDpol
+    WHERE a.Model = '{POISSON}' AND b.Model = '{BOOSTING}' AND a.Sample = 'Test'"""
+ORACLE["frequency_predictions"] = rounded(
+    f"""SELECT IDpol, Exposure, ClaimNb, ClaimNb / Exposure AS ObservedFrequency,
+        0.25e0 AS BaselinePredictedFrequency, First AS PoissonPredictedFrequency,
+        Second AS BoostingPredictedFrequency, '{POISSON}' AS SelectedModel,
+        First AS SelectedPredictedFrequency, First * Exposure AS SelectedExpectedClaims FROM freq_wide""",
+    "Exposure", "ObservedFrequency", "BaselinePredictedFrequency", "PoissonPredictedFrequency",
+    "BoostingPredictedFrequency", "SelectedPredictedFrequency", "SelectedExpectedClaims")
+CTES["sev_wide"] = f"""SELECT a.IDpol, a.ClaimNb, a.{COST}, a.AverageClaimSeverity,
+    a.PredictedSeverity AS First, b.PredictedSeverity AS Second
+    FROM sev_scores a JOIN sev_scores b ON a.IDpol = b.IDpol
+    WHERE a.Model = '{GAMMA}' AND b.Model = '{BOOSTING}' AND a.Sample = 'Test'"""
+ORACLE["severity_predictions"] = rounded(
+    f"""SELECT IDpol, ClaimNb, {COST}, AverageClaimSeverity, 0.25e0 AS BaselinePredictedSeverity,
+        First AS GammaPredictedSeverity, Second AS BoostingPredictedSeverity, '{GAMMA}' AS SelectedModel,
+        First AS SelectedPredictedSeverity, First * ClaimNb AS SelectedPredictedClaimAmount FROM sev_wide""",
+    COST, "AverageClaimSeverity", "BaselinePredictedSeverity", "GammaPredictedSeverity",
+    "BoostingPredictedSeverity", "SelectedPredictedSeverity", "SelectedPredictedClaimAmount")
+# Takers in the order of one digest, givers in that of another; the n-th takes from the n-th.
+CTES["perm_rows"] = """SELECT IDpol, HasClaim, BonusMalus, DrivAge, Area, VehAge,
+    row_number() OVER (ORDER BY md5(concat(CAST(IDpol AS VARCHAR), '-42')), IDpol) AS place
+    FROM occ_split WHERE Sample = 'Test'"""
+CTES["perm_variants"] = """SELECT * FROM (SELECT unnest(['BonusMalus', 'DrivAge', 'Area', 'VehAge']) AS Feature),
+    (SELECT unnest([1, 2, 3, 4, 5]) AS Repeat)"""
+CTES["perm_givers"] = """SELECT Feature, Repeat, row_number() OVER (PARTITION BY Feature, Repeat
+      ORDER BY md5(concat(CAST(IDpol AS VARCHAR), '-', Feature, '-', CAST(Repeat AS VARCHAR), '-42')), IDpol) AS place,
+    BonusMalus AS b, DrivAge AS d, Area AS a FROM perm_rows, perm_variants"""
+_PERMUTED = """({b} - 40 + CASE WHEN COALESCE({d}, 45) < 25 THEN 40 ELSE 0 END
+    + CASE WHEN {a} = 'A' THEN 7 ELSE 0 END) / 400e0"""
+CTES["perm_scores"] = f"""SELECT Feature, Repeat, HasClaim, {_PERMUTED.format(
+    b="CASE WHEN Feature = 'BonusMalus' THEN b ELSE BonusMalus END",
+    d="CASE WHEN Feature = 'DrivAge' THEN d ELSE DrivAge END",
+    a="CASE WHEN Feature = 'Area' THEN a ELSE Area END")} AS Score
+    FROM perm_rows JOIN perm_givers USING (place)
+    UNION ALL SELECT '', 0, HasClaim, {_PERMUTED.format(b='BonusMalus', d='DrivAge', a='Area')} FROM perm_rows"""
+ORACLE["formula_importance"] = rounded(
+    f"""SELECT Feature, avg(loss) AS ImportanceMean, stddev_pop(loss) AS ImportanceStandardDeviation
+        FROM (SELECT *, max(PRAUC) FILTER (WHERE Feature = '') OVER () - PRAUC AS loss
+              FROM ({areas('perm_scores', 'Feature, Repeat')}))
+        WHERE Feature <> '' GROUP BY Feature""", "ImportanceMean", "ImportanceStandardDeviation")
+
+
+def _checks(parts: list[tuple[str, str]]) -> str:
+    return sql(" UNION ALL ".join(f"""SELECT '{name}' AS Validation, ({test}) AS Passed""" for name, test in parts))
+
+
+ORACLE["occurrence_published_review"] = _checks([
+    ("Three evaluation rows exist", f"SELECT 1 + count(DISTINCT Model) = 3 FROM {TEST}"),
+    ("Selected threshold is between zero and one", "SELECT 0.2 > 0 AND 0.2 < 1"),
+    ("ROC-AUC is at least 0.50",
+     f"SELECT ROCAUC >= 0.5 FROM ({areas(TEST, 'Model')}) WHERE Model = '{LOGISTIC}'"),
+    ("PR-AUC exceeds zero", f"SELECT PRAUC > 0 FROM ({areas(TEST, 'Model')}) WHERE Model = '{LOGISTIC}'"),
+    ("Test sample contains predictions", f"SELECT count(*) > 0 FROM {TEST}"),
+    ("Coefficient table is non-empty", "SELECT count(*) > 0 FROM effects")])
+_FREQ_BEST = """(SELECT Model FROM freq_metrics WHERE Sample = 'Validation'
+    ORDER BY ExposureWeightedPoissonDeviance, D2Poisson DESC, Model LIMIT 1)"""
+_SEV_BEST = """(SELECT Model FROM sev_metrics WHERE Sample = 'Validation'
+    ORDER BY WeightedGammaDeviance, D2Gamma DESC, Model LIMIT 1)"""
+CTES["freq_best_deciles"] = f"""SELECT RiskDecile, sum(ClaimNb) / sum(Exposure) AS ObservedFrequency
+    FROM ({decile(f"(SELECT * FROM freq_rows WHERE Sample = 'Test' AND Model = {_FREQ_BEST})", "m, IDpol", "*")})
+    GROUP BY RiskDecile"""
+CTES["sev_best_deciles"] = f"""SELECT RiskDecile, sum(m * ClaimNb) / sum(ClaimNb) AS PredictedSeverity
+    FROM ({decile(f"(SELECT * FROM sev_rows WHERE Sample = 'Test' AND Model = {_SEV_BEST})", "m, IDpol", "*")})
+    GROUP BY RiskDecile"""
+ORACLE["frequency_published_review"] = _checks([
+    ("Three models were evaluated", "SELECT count(*) = 3 FROM freq_metrics WHERE Sample = 'Test'"),
+    ("Selected model came from validation",
+     f"SELECT count(*) = 1 FROM freq_metrics WHERE Sample = 'Validation' AND Model = {_FREQ_BEST}"),
+    ("All predicted claim totals are positive",
+     "SELECT count(*) = 0 FROM freq_metrics WHERE Sample = 'Test' AND NOT coalesce(PredictedClaims > 0, false)"),
+    ("All Poisson deviances are finite", """SELECT count(*) = 0 FROM freq_metrics WHERE Sample = 'Test'
+     AND NOT coalesce(isfinite(ExposureWeightedPoissonDeviance), false)"""),
+    ("Calibration contains ten deciles", "SELECT count(*) = 10 FROM freq_best_deciles"),
+    ("Risk decile ten has higher observed frequency than decile one",
+     """SELECT max_by(ObservedFrequency, RiskDecile) > min_by(ObservedFrequency, RiskDecile)
+        FROM freq_best_deciles"""),
+    ("Segment calibration is non-empty", "SELECT count(*) > 0 FROM freq_rows WHERE Sample = 'Test'"),
+    ("Poisson coefficient table is non-empty", "SELECT count(*) > 0 FROM effects")])
+ORACLE["severity_published_review"] = _checks([
+    ("Three models were evaluated", "SELECT count(*) = 3 FROM sev_metrics WHERE Sample = 'Test'"),
+    ("Selected model came from validation",
+     f"SELECT count(*) = 1 FROM sev_metrics WHERE Sample = 'Validation' AND Model = {_SEV_BEST}"),
+    ("All Gamma deviances are finite", """SELECT count(*) = 0 FROM sev_metrics WHERE Sample = 'Test'
+     AND NOT coalesce(isfinite(WeightedGammaDeviance), false)"""),
+    ("All predicted claim amounts are positive",
+     "SELECT count(*) = 0 FROM sev_metrics WHERE Sample = 'Test' AND NOT coalesce(PredictedClaimAmount > 0, false)"),
+    ("Calibration contains ten deciles", "SELECT count(*) = 10 FROM sev_best_deciles"),
+    ("Predicted severity is positive in every decile",
+     "SELECT count(*) = 0 FROM sev_best_deciles WHERE NOT coalesce(PredictedSeverity > 0, false)"),
+    ("Segment calibration is non-empty", "SELECT count(*) > 0 FROM sev_rows WHERE Sample = 'Test'"),
+    ("Gamma coefficient table is non-empty", "SELECT count(*) > 0 FROM effects"),
+    ("Tail summary is non-empty", "SELECT count(*) > 0 FROM sev_rows WHERE Sample = 'Test'"),
+    ("Largest-error report contains records", "SELECT count(*) > 0 FROM sev_rows WHERE Sample = 'Test'")])

@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from claimwright import vocabulary as V
 from claimwright.functions.bands import with_bands
 from claimwright.functions.casting import lenient_truth, truth
+from claimwright.functions.measures import clipped
 from claimwright.operators import (
     audit, boosting, contracts, curves, explore, features, models, portfolio, quality, ranking,
     reconcile, sampling,
 )
 from claimwright.operators.features import Design
+from claimwright.operators.importance import permutation_importance
 from claimwright.operators.shaping import previewed
 from claimwright.plans import frequency, occurrence, review, severity, sql_reports, warehouse
 from claimwright.session import shared_folder
@@ -727,6 +729,153 @@ def model_baselines(spark, folder):
     ], "Baseline string, Value double")
 
 
+@query
+def coefficient_effects(spark, folder):
+    return models.coefficient_table(base.coefficients(spark, folder), "RateRatio")
+
+
+@query
+def strongest_effects(spark, folder):
+    """The fifteen largest positive and the fifteen most negative coefficients."""
+    table = models.coefficient_table(base.coefficients(spark, folder), "RateRatio")
+    return models.strongest(table, True).unionByName(models.strongest(table, False))
+
+
+@query
+def formula_importance(spark, folder):
+    """Permutation importance of a formula, on all test rows."""
+    rows = features.with_missing_label(base.occurrence_split(spark, folder)).filter("Sample = 'Test'")
+    return permutation_importance(base.Formula(base.PERMUTED_SCORE), rows, base.PERMUTED)
+
+
+@query
+def occurrence_sample(spark, folder):
+    return features.occurrence_sample(base.policy(spark, folder)).select(
+        "IDpol", "HasClaim", "LogExposure", "LogDensity")
+
+
+@query
+def frequency_sample(spark, folder):
+    return features.frequency_sample(base.policy(spark, folder)).select(
+        "IDpol", "ClaimFrequency", "LogDensity", "ClaimCountStratum")
+
+
+def _with_gaps(spark, folder):
+    """The split with categories missing in places."""
+    return base.frequency_split(spark, folder).withColumns({
+        "Area": F.expr("IF(IDpol % 7 = 0, NULL, Area)"),
+        "VehGas": F.expr("IF(IDpol % 5 = 0 OR VehGas = 'Diesel' AND IDpol % 3 = 0, NULL, VehGas)")})
+
+
+@query
+def missing_labels(spark, folder):
+    return features.with_missing_label(
+        _with_gaps(spark, folder).select("IDpol", *V.MODEL_TEXTS))
+
+
+@query
+def design_with_gaps(spark, folder):
+    """Missing categories take the most frequent one of the training rows."""
+    rows = _with_gaps(spark, folder)
+    design = Design.fit(rows.filter("Sample = 'Training'"), ["VehPower"], ["Area", "VehGas"])
+    return design.frame(rows, "IDpol")
+
+
+@query
+def clipped_predictions(spark, folder):
+    """Predictions at and below zero are kept just above it."""
+    return base.policy(spark, folder).select(
+        "IDpol", (clipped(F.expr("(BonusMalus - 100) / 50D")) * 1e12).alias("Scaled"))
+
+
+def _wide(scores: DataFrame, columns: dict, value: str, baseline: str | None = None) -> DataFrame:
+    """Test rows with a prediction column for each model, as a run scores them."""
+    test = scores.filter("Sample = 'Test'")
+    first, second = [m for m in columns if m != baseline]
+    keys = [c for c in test.columns if c not in ("Model", value)]
+    wide = test.filter(F.col("Model") == first).withColumnRenamed(value, columns[first]).drop("Model").join(
+        test.filter(F.col("Model") == second).select("IDpol", F.col(value).alias(columns[second])), "IDpol")
+    return wide.select(*keys, columns[first], columns[second], *(
+        [F.lit(0.25).alias(columns[baseline])] if baseline else []))
+
+
+@query
+def occurrence_predictions(spark, folder):
+    wide = _wide(base.occurrence_scores(spark, folder), occurrence.PROBABILITIES, "Score")
+    return occurrence.predictions(wide, [V.LOGISTIC, V.BOOSTING], V.BOOSTING, 0.15)
+
+
+@query
+def frequency_predictions(spark, folder):
+    wide = _wide(base.frequency_scores(spark, folder), frequency.COLUMNS, "PredictedFrequency",
+                 V.BASELINE_FREQUENCY)
+    rates = wide.withColumn("ClaimFrequency", F.col("ClaimNb") / F.col("Exposure"))
+    return frequency.predictions(rates, V.POISSON)
+
+
+@query
+def severity_predictions(spark, folder):
+    wide = _wide(base.severity_scores(spark, folder), severity.COLUMNS, "PredictedSeverity",
+                 V.BASELINE_SEVERITY)
+    return severity.predictions(wide, V.GAMMA)
+
+
+def _published(spark, label: str, tables: dict[str, DataFrame]) -> str:
+    target = f"{shared_folder(spark)}/{label}-{uuid4().hex}"
+    store.write_tables(tables, target, "csv")
+    return target
+
+
+@query
+def occurrence_published_review(spark, folder):
+    """Reports on formula scores, published as CSV, read back and reviewed."""
+    test = _case(spark, folder, "Test")
+    cases = test.unionByName(test.filter(F.col("Model") == V.LOGISTIC).withColumn(
+        "Model", F.lit(occurrence.SELECTED)))
+    target = _published(spark, "occurrence-reports", {
+        "claim_occurrence_metrics": curves.occurrence_metrics(cases, F.lit(0.2)),
+        "prediction_sample": sampling.prediction_sample(
+            test.filter(F.col("Model") == V.LOGISTIC).select("IDpol", "Score"), "Score", 500),
+        "logistic_coefficients": models.coefficient_table(base.coefficients(spark, folder), "OddsRatio")})
+    return review.of_folder(spark, "occurrence", target)
+
+
+@query
+def frequency_published_review(spark, folder):
+    scores = base.frequency_scores(spark, folder)
+    metrics = audit.frequency_metrics(scores)
+    validation, test = (metrics.filter(F.col("Sample") == s) for s in ("Validation", "Test"))
+    best = audit.select_frequency(validation).first()["Model"]
+    chosen = _one(scores, best).filter("Sample = 'Test'")
+    target = _published(spark, "frequency-reports", {
+        "validation_frequency_model_comparison": validation,
+        "test_frequency_model_comparison": test,
+        "selected_frequency_model_summary": _one(test, best),
+        "frequency_calibration_deciles": audit.frequency_deciles(chosen, best),
+        "segment_frequency_calibration": audit.frequency_segments(chosen, best),
+        "poisson_coefficients": models.coefficient_table(base.coefficients(spark, folder), "RateRatio")})
+    return review.of_folder(spark, "frequency", target)
+
+
+@query
+def severity_published_review(spark, folder):
+    scores = base.severity_scores(spark, folder)
+    metrics = audit.severity_metrics(scores)
+    validation, test = (metrics.filter(F.col("Sample") == s) for s in ("Validation", "Test"))
+    best = audit.select_severity(validation).first()["Model"]
+    chosen = _one(scores, best).filter("Sample = 'Test'")
+    target = _published(spark, "severity-reports", {
+        "validation_severity_model_comparison": validation,
+        "test_severity_model_comparison": test,
+        "selected_severity_model_summary": _one(test, best),
+        "severity_calibration_deciles": audit.severity_deciles(chosen, best),
+        "segment_severity_calibration": audit.severity_segments(chosen, best),
+        "gamma_coefficients": models.coefficient_table(base.coefficients(spark, folder), "SeverityRatio"),
+        "severity_tail_summary": audit.tail_summary(chosen),
+        "largest_severity_errors": audit.largest_errors(chosen)})
+    return review.of_folder(spark, "severity", target)
+
+
 @lru_cache(maxsize=8)
 def _logistic_run(spark, folder):
     return occurrence.train_logistic(base.occurrence_split(spark, folder))

@@ -141,10 +141,18 @@ def own_text(i, n=30):
 
 
 def test_the_host_decides_on_ordinary_pages(spark):
-    found = texts_of(spark, [
-        f"<body class='no-sidebar search'><article class=search><p>{own_text(i)}<div class=x>{NOTICE}</div>"
-        f"</article><div class='ad-free'>{own_text(i, 3)}</div><p>{NOTICE}</p>" for i in range(3)])
-    assert found == [f"{own_text(i)}\n{own_text(i, 3)}" for i in range(3)]
+    def page(i, notice):
+        return (f"<body class='no-sidebar search'><article class=search><p>{own_text(i)}<div class=x>{notice}</div>"
+                f"</article><div class='ad-free'>{own_text(i, 3)}</div><p>{NOTICE}</p>")
+
+    found = texts_of(spark, [page(i, NOTICE) for i in range(6)])
+    assert found == [f"{own_text(i)}\n{own_text(i, 3)}" for i in range(6)]
+    # Inside articles a run goes if half of the pages have it, and five at least.
+    found = texts_of(spark, [page(i, NOTICE) for i in range(4)])
+    assert found == [f"{own_text(i)}\n{NOTICE}\n{own_text(i, 3)}" for i in range(4)]
+    found = texts_of(spark, [page(i, NOTICE if i % 4 == 0 else own_text(i, 2)) for i in range(24)])
+    assert found == [f"{own_text(i)}\n{NOTICE if i % 4 == 0 else own_text(i, 2)}\n{own_text(i, 3)}"
+                     for i in range(24)]
     copies = [f"<div>{own_text(i, 4)}</div><article><header>{own_text(1, 9)}</header><p>{own_text(2)}</article>"
               for i in (5, 6)]
     assert texts_of(spark, copies) == [
@@ -163,9 +171,79 @@ def test_covered_runs_go_and_unique_ones_and_copies_stay(spark):
     assert texts_of(spark, [plain, plain, f"<p>{NOTICE}</p>"]) == [own_text(0), own_text(0), NOTICE]
     copies = [f"<nav>{own_text(i, 4)}</nav><article>{head}</article>" for i in (5, 6)]
     assert texts_of(spark, copies) == [f"{own_text(1, 9)}\n{own_text(2)}"] * 2
-    # A changed copy of an article stays as well.
-    assert texts_of(spark, [f"<article>{own_text(0)} {x}</article>" for x in "ab"]) == [
-        f"{own_text(0)} a", f"{own_text(0)} b"]
+    # Changed copies of an article stay as well, however many there are.
+    assert texts_of(spark, [f"<article>{own_text(0)} {x}</article>" for x in "abcdefg"]) == [
+        f"{own_text(0)} {x}" for x in "abcdefg"]
+
+
+def plain_outside(bodies):
+    """Words outside articles in runs that a page of another text has outside articles."""
+    pages = [[w for part, t in html_text.blocks_of(b) if part != html_text.CHROME for w in t.split()]
+             for b in bodies]
+    where: dict = {}
+    for words in pages:
+        for i in range(len(words) - html_text.RUN + 1):
+            where.setdefault(tuple(words[i:i + html_text.RUN]), set()).add(tuple(words))
+    out = []
+    for words in pages:
+        gone = set()
+        for i in range(len(words) - html_text.RUN + 1):
+            if len(where[tuple(words[i:i + html_text.RUN])]) > 1:
+                gone.update(range(i, i + html_text.RUN))
+        out.append(" ".join(w for i, w in enumerate(words) if i not in gone))
+    return out
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 211])
+def test_repeats_are_exact_over_the_whole_host(spark, partitions):
+    """Groups of a few pages: runs that two pages of different groups share go all the same."""
+    rng = np.random.default_rng(8)
+    shared = [own_text(1000 + k, 9 + k) for k in range(6)]
+    bodies = [f"<p>{own_text(i, 12)} {shared[rng.integers(6)] if i % 3 else ''} {own_text(i + 500, 5)}</p>"
+              for i in range(40)]
+    bodies += [bodies[0], bodies[0], "", f"<p>{shared[0]}</p>"]
+    rows = [(i, f"http://h/{i}", body) for i, body in enumerate(bodies)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        found = {r.page_id: r.text for r in html_text.extract(pages, group_pages=5).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert [found[i] for i in range(len(bodies))] == plain_outside(bodies)
+
+
+def test_articles_keep_their_headlines(spark, folder):
+    """No article of the pages loses its first heading or a third of its words."""
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    found = {r.page_id: r.text for r in html_text.extract(pages).collect()}
+    for r in pages.collect():
+        own = [t for part, t in html_text.blocks_of(r.html) if part in html_text.ARTICLE]
+        if own:
+            assert own[0] in found[r.page_id].split("\n")
+            assert 3 * len(found[r.page_id].split()) > 2 * len(" ".join(own).split())
+
+
+@pytest.mark.parametrize("unit", ["<div ", '<div a="', "<div a='x' ", "<", "<a<", "<!", "<!--", "<p", "</p",
+                                  "<div><b>", '<div a=">', "<script", "<b class=x>", "</div>", "&lt;<"])
+@pytest.mark.parametrize("end", ["", ">", "-->"])
+def test_broken_pages_take_linear_time(unit, end):
+    import time
+
+    page = unit * (1_000_000 // len(unit)) + end
+    started = time.process_time()
+    html_text.blocks_of(page)
+    assert time.process_time() - started < 10
+
+
+def test_tags_with_quotes_and_without_ends():
+    def texts(page):
+        return [t for _, t in html_text.blocks_of(page)]
+
+    assert texts('<p title="a > b">x</p>y') == ["x", "y"]
+    assert texts('<p title="a>x</p>y') == ["x", "y"]  # never closed: ends at the next >
+    assert texts("a < b <p>c") == ["a < b", "c"]
+    assert texts("x<!-- <p> --> y <!-- z") == ["x y"]
+    assert texts("<p>a<script>if (a < b) { '</p>' }</script>b") == ["ab"]
 
 
 def pages_extra():

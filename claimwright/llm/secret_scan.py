@@ -4,8 +4,11 @@ The lexer reads source and configuration syntax as name-literal pairs (`name = "
 `name: x`, `name := x`, `name => x`, `<name>x</name>`, `--name x`), follows constants
 (`a = "x"` ... `password = a`) and keeps a literal when the score of its target name
 and its own shape reaches a threshold. The marks # and // end a pair and no more: what
-follows is read on, be it a comment or the rest of a URL. Spans are code points, end
-exclusive.
+follows is read on, be it a comment or the rest of a URL. A quote opens a literal after an
+operator, and a name where one may stand and an operator follows the closing quote;
+any other quote, as in prose, is passed over and what it holds is read on. Spans are code
+points, end exclusive. Every search that fails is remembered, so a text takes time in
+proportion to its length.
 
 No text is the empty text and has no spans; repeated rows give repeated rows; any
 further columns of the input are left out of the result.
@@ -40,12 +43,16 @@ THRESHOLD = 5
 TOKEN = re.compile(
     r"""(?P<mark>\#|//)
       | (?P<name>--?[A-Za-z][\w.-]*|[A-Za-z_$][\w.$-]*)
-      | (?P<quoted>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)
+      | (?P<quote>["'`])
       | (?P<op>:=|=>|==|!=|<=|>=|=|:)
       | (?P<bare>[0-9+/][\w+/=.-]*)
       | (?P<end>[\n;,{}()\[\]])
       | (?P<other>[^\S\n]+|.)""",
     re.VERBOSE)
+QUOTED = {
+    '"': re.compile(r'(?:[^"\\\n]|\\.)*+(?=")'), "'": re.compile(r"(?:[^'\\\n]|\\.)*+(?=')"),
+    "`": re.compile(r"[^`\n]*+(?=`)")}
+OPERATOR = re.compile(r"[^\S\n]*(?::=|=>|=(?!=)|:)")
 ELEMENT = re.compile(r"<([A-Za-z_][\w.-]*)>([^<>\n]+)</\1\s*>")
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 BARE_VALUE = re.compile(r"[A-Za-z0-9+/_.=~!@#$%^&*-]+")
@@ -81,36 +88,65 @@ def literal_score(value: str) -> int:
     return (kinds >= 2) + (kinds >= 3) + (len(value) >= 16) + (entropy >= 3.0)
 
 
-def pairs(text: str) -> list[tuple[str, str | None, str, int, int]]:
-    """(name, referenced name, literal, start, end) of every assignment, in order."""
-    out = [(m[1], None, m[2].strip(), m.start(2), m.end(2)) for m in ELEMENT.finditer(text)]
-    name, armed = None, False
-    for m in TOKEN.finditer(text):
-        kind, value = m.lastgroup, m[0]
+def pairs(text: str) -> list[tuple[str, str | None, int, int]]:
+    """(name, referenced name, start, end) of the literal of every assignment, in order."""
+    out = []
+    for m in ELEMENT.finditer(text):
+        lead = len(m[2]) - len(m[2].lstrip())
+        out.append((m[1], None, m.start(2) + lead, m.end(2) - (len(m[2]) - len(m[2].rstrip()))))
+    unclosed: dict[str, int] = {}
+
+    def closing(mark: str, at: int):
+        """(start, end, what follows) of the literal that a quote opens, if it is closed."""
+        three = mark * 3
+        if text.startswith(three, at) and unclosed.get(three, -1) <= at:
+            end = text.find(three, at + 3)
+            if end >= 0:
+                return at + 3, end, end + 3
+            unclosed[three] = len(text)
+        if at < unclosed.get(mark, -1):
+            return None
+        found = QUOTED[mark].match(text, at + 1)
+        if found:
+            return at + 1, found.end(), found.end() + 1
+        line = text.find("\n", at)
+        unclosed[mark] = len(text) if line < 0 else line
+        return None
+
+    # `fresh`: a name may stand here, after the start of a line, a bracket or a comma.
+    name, armed, fresh, at, run = None, False, True, 0, 0
+    while at < len(text):
+        m = TOKEN.match(text, at)
+        kind, value, start, at = m.lastgroup, m[0], at, m.end()
         if kind == "other":
             if not value.isspace():
-                name, armed = None, False
-            continue
-        if kind in ("end", "mark"):
-            name, armed = None, False
+                name, armed, fresh = None, False, False
+        elif kind in ("end", "mark"):
+            name, armed, fresh = None, False, True
         elif kind == "op":
-            armed = name is not None and value in ("=", ":", ":=", "=>")
-        elif kind == "quoted":
-            if armed:
-                out.append((name, None, value[1:-1], m.start() + 1, m.end() - 1))
-                name, armed = None, False
-            else:
-                name = value[1:-1]
-        elif kind in ("name", "bare"):
-            if armed or (name is not None and name.startswith("--")):
-                whole = BARE_VALUE.match(text, m.start())
-                if whole:
-                    reference = value if whole.end() == m.end() and kind == "name" else None
-                    out.append((name, reference, whole[0], m.start(), whole.end()))
-                name, armed = None, False
-            else:
-                name = value if kind == "name" else None
-    return sorted(out, key=lambda p: p[3])
+            armed, fresh = name is not None and value in ("=", ":", ":=", "=>"), False
+        elif kind == "quote":
+            found = closing(value, start) if armed or fresh else None
+            if armed and found:
+                out.append((name, None, *found[:2]))
+                name, armed, fresh, at = None, False, False, found[2]
+            elif not armed:
+                named = found and OPERATOR.match(text, found[2])
+                name, fresh = (text[found[0]:found[1]] if named else None), not named
+                at = found[2] if named else at
+        elif armed or (name is not None and name.startswith("--")):
+            if start >= run:
+                whole = BARE_VALUE.match(text, start)
+                run = whole.end() if whole else start
+            if run > start:
+                reference = value if run == at and kind == "name" else None
+                out.append((name, reference, start, run))
+                # What was given to a sensitive name is one literal; else it may be a name.
+                at = run if name_score(name) >= 3 else at
+            name, armed, fresh = (value if kind == "name" and at == m.end() else None), False, False
+        else:
+            name, fresh = (value if kind == "name" else None), False
+    return sorted(out, key=lambda p: p[2])
 
 
 def lexed_spans(text: str) -> list[tuple[int, int, int]]:
@@ -119,18 +155,23 @@ def lexed_spans(text: str) -> list[tuple[int, int, int]]:
     A name that is not itself sensitive holds the last literal given to it; assigning
     it to a sensitive name marks that literal where it stands.
     """
-    constants: dict[str, tuple[str, int, int]] = {}
+    constants: dict[str, tuple[int, int]] = {}
+    scores: dict[tuple[int, int], int] = {}
     found = set()
-    for name, reference, value, start, end in pairs(text):
+    for name, reference, start, end in pairs(text):
         seen = reference is not None and reference in constants
         if seen:
-            value, start, end = constants[reference]
+            start, end = constants[reference]
         sensitive = name_score(name)
-        if sensitive >= 3 and sensitive + literal_score(value) >= THRESHOLD:
+        if sensitive >= 3:
+            if (start, end) not in scores:
+                scores[start, end] = literal_score(text[start:end])
             # A bare word of letters is prose or a reference, not a literal.
-            if seen or reference is None or not value.replace("-", "").replace(".", "").isalpha():
+            if sensitive + scores[start, end] >= THRESHOLD and (
+                    seen or reference is None
+                    or not reference.replace("-", "").replace(".", "").isalpha()):
                 found.add((start, 3, end))
-        constants[name] = (value, start, end)
+        constants[name] = (start, end)
     return sorted(found)
 
 

@@ -183,6 +183,69 @@ def test_secret_with_punctuation_is_masked_whole(spark):
     assert masked == {1: '[assign][literal]" then', 2: "[assign]' x"}
 
 
+def test_quotes_and_apostrophes_hide_nothing():
+    for text, secret in [
+            ("it's here: client_pwd = hunter22X9 and it's not", "hunter22X9"),
+            ("don't worry, passphrase: ab12CD34ef isn't set", "ab12CD34ef"),
+            ('say "hi: client_pwd = hunter22X9 "', "hunter22X9"),
+            ('db_pwd = """hunter22X9"""', "hunter22X9"),
+            ("db_pwd = '''hunter\n22X9''' # two lines", "hunter\n22X9"),
+            ('{"client_pwd": "hunter22X9", "b": 1}', "hunter22X9"),
+            ('["client_pwd = hunter22X9"]', "hunter22X9"),
+            ("cmd = --db-pwd=hunter22X9", "hunter22X9"),
+            ("run --db-pwd hunter22X9 now", "hunter22X9"),
+            ('client_pwd = "hunter22X9', "hunter22X9"),
+            ("client_pwd = ab=12XY==", "ab=12XY=="),
+            ('b_name = "a \\" hunter"; x_pwd = "hunter22X9"', "hunter22X9"),
+            ("a = b = hunter22X9; client_pwd = b", "hunter22X9")]:
+        found = [text[s:e] for s, _, e in secret_scan.lexed_spans(text)]
+        assert found == [secret], (text, found)
+    for clean in ("it's what they said: the pass over the hills isn't open", "the key: don't",
+                  'he said "password" and "token"', "auth: see the notes; key = value"):
+        assert secret_scan.lexed_spans(clean) == []
+
+
+@pytest.mark.parametrize("unit", [
+    '\\"', '"', "'", '="', 'pwd="', "a=b=", "pwd=", '"""', "pwd='''", "['", '{"a', "--pwd ", "<pwd>",
+    "x!", "pwd:`"])
+def test_long_lines_take_linear_time(unit):
+    import time
+
+    for lead in ("", 'token="', "pwd = "):
+        text = lead + unit * (400_000 // len(unit))
+        started = time.process_time()
+        secret_scan.scan(text, text.encode())
+        assert time.process_time() - started < 12
+    text = "a = " + "Xy1" * 70_000 + "\n" + "pwd = a\n" * 20_000
+    started = time.process_time()
+    assert len(secret_scan.lexed_spans(text)) == 1
+    assert time.process_time() - started < 12
+
+
+def test_base_spans_are_the_plain_patterns(spark):
+    """Over all documents: every kind found by its pattern alone, in a loop of its own."""
+    import re
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = {r.doc_id: r for r in secret_scan.scan_secrets(docs).collect()}
+    masked = {r.doc_id: r.text for r in secret_scan.without_secrets(docs).collect()}
+    assign = re.compile(
+        r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+    seen = 0
+    for r in docs.collect():
+        text = r.text or ""
+        plain = [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m[2]) >= 6]
+        plain += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+        plain += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+        plain.sort()
+        names = ("assign", "access", "hex")
+        assert found[r.doc_id].base == ",".join(f"{names[k]}:{s}:{e}" for s, k, e in plain)
+        for s, k, e in plain:
+            seen += 1
+            assert text[s:e] not in masked[r.doc_id]
+    assert seen > 10
+
+
 def test_lexer_reads_on_after_comment_marks(spark):
     rows = [
         (1, 'see http://host/x client_pwd = "hunter22X9"'), (2, "color: #fff; private_key: ab12CD34ef"),

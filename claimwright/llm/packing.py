@@ -2,7 +2,7 @@
 
 Every document becomes its ids and an end id; only documents over the capacity are
 cut. Pieces are dealt evenly over tasks of about SEQUENCES_PER_TASK sequences. Each
-task packs its pieces as they come, longest first, by bounded-space best fit: at most
+task packs its pieces online, in the order they come, by bounded-space best fit: at most
 OPEN_BINS bins are open, found by a bitset over their free space; a piece goes where
 the least space is left over, and when a bin too many would be open, the fullest closes.
 """
@@ -21,7 +21,7 @@ from claimwright.llm.tokens import Encoder, text_blocks
 from claimwright.session import stage
 
 CAPACITY = 2048
-OPEN_BINS = 8192
+OPEN_BINS = 256
 SEQUENCES_PER_TASK = 8192
 END = 0
 
@@ -107,7 +107,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS
     total = pieces.agg(F.sum("length")).first()[0] or 0
     tasks = max(1, -(-total // (capacity * per_task)))
     # Dealt in turn, not by a key, so no group of equal rows meets in one task.
-    dealt = pieces.repartition(tasks).sortWithinPartitions(F.desc("length"))
+    dealt = pieces.repartition(tasks)
     types = dict(pieces.dtypes)
     schema = ", ".join([
         *[f"`{c}` {types[c]}" for c in pieces.columns], "sequence_id bigint", "offset bigint"])

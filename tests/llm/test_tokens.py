@@ -64,6 +64,23 @@ def test_packing_places_every_piece(spark):
     assert packing.pack_documents(docs.limit(0), definition("word_bpe_49k.json")).count() == 0
 
 
+def test_bins_stay_within_their_bound():
+    """Online, in the order of arrival: never more open than allowed, and near the floor."""
+    rng = np.random.default_rng(6)
+    lengths = np.minimum(2048, rng.lognormal(5.5, 1.2, 30_000).astype(int) + 1).tolist()
+    floor = -(-sum(lengths) // 2048)
+    for limit in (1, 64, packing.OPEN_BINS):
+        bins, fill, most = packing.Bins(2048, limit), {}, 0
+        for n in lengths:
+            number, offset = bins.place(n)
+            assert offset == fill.get(number, 0) and offset + n <= 2048
+            fill[number] = offset + n
+            assert bins.count == sum(map(len, bins.by_space)) <= limit
+            most = max(most, bins.count)
+        assert most == limit and sum(fill.values()) == sum(lengths)
+    assert len(fill) <= 1.005 * floor + 1
+
+
 def test_bins_close_the_fullest():
     bins = packing.Bins(10, 2)
     assert [bins.place(n) for n in (6, 7, 4)] == [(0, 0), (1, 0), (0, 6)]

@@ -25,6 +25,9 @@ from claimwright.session import checkpointing, many_small_results, stage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+TASK_ROWS = 50_000
+
+
 @dataclass
 class Settings:
     """Parameters of a boosting run."""
@@ -217,9 +220,12 @@ def start_rows(train: DataFrame, label: str, weight: str | None, numbers: list[s
         F.col(label).cast("double").alias("_y"),
         (F.col(weight) if weight else F.lit(1)).cast("double").alias("_w"),
         held_out(key).alias("_held"), F.col(key)]), "boosting-rows", key).drop(key)
-    sums = rows.filter("NOT _held").agg(F.sum(F.col("_y") * F.col("_w")), F.sum("_w")).first()
+    sums = rows.filter("NOT _held").agg(
+        F.sum(F.col("_y") * F.col("_w")), F.sum("_w"), F.count("*")).first()
     start = _start(loss, sums[0] / sums[1])
-    return binner, start, rows.withColumn("_eta", F.lit(start))
+    # A pass is as slow as starting its tasks where these have few rows.
+    tasks = max(1, min(rows.rdd.getNumPartitions(), sums[2] // TASK_ROWS))
+    return binner, start, rows.coalesce(tasks).withColumn("_eta", F.lit(start))
 
 
 ROOT = Tree(np.array([-1], np.int16), np.zeros((1, BINS), bool), np.zeros((1, 2), np.int32), np.zeros(1))

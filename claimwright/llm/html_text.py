@@ -267,12 +267,14 @@ def covered_words(pages: list[list[tuple[int, str]]], names: list,
     def kinds(labels: list, at: np.ndarray) -> np.ndarray:
         """How many different labels the pages of each group's places `at` have."""
         numbers: dict = {}
-        kind = np.array([numbers.setdefault(k, len(numbers)) for k in labels])[owner[order[at]]]
-        pairs = np.unique(group[at] * len(numbers) + kind)
-        return np.bincount(pairs // len(numbers), minlength=group[-1] + 1)
+        kind = np.array([numbers.setdefault(k, len(numbers)) for k in labels], np.int64)[owner[order[at]]]
+        pairs = np.unique(group[at] * max(1, len(numbers)) + kind)
+        return np.bincount(pairs // max(1, len(numbers)), minlength=group[-1] + 1)
 
     def hit(at: np.ndarray, streams: list, least: int) -> np.ndarray:
         """The words in runs of `at` on at least so many pages that differ in name and text."""
+        # Most runs stand in one place; they need no look at their pages.
+        at = at[np.bincount(group[at], minlength=group[-1] + 1)[group[at]] >= least]
         found = np.minimum(kinds(names, at), kinds(streams, at)) >= least
         return spread(order[at[found[group[at]]]])
 
@@ -321,15 +323,30 @@ def main_texts(pages: list[list[tuple[int, str]]], names: list,
     return out
 
 
-def parsed(pages: DataFrame) -> DataFrame:
-    """Pages with their host, hashes of their id and text, and their blocks without menus
-    and the like."""
+def dealt(pages: DataFrame, group_pages: int) -> DataFrame:
+    """The pages with their host, a hash of their id, and `_group`, by hash; `_groups` where
+    their host has several.
+
+    Only hosts of several groups are looked up; they are broadcast if they are few.
+    """
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][\w+.-]*://([^/?#:]*)", 1))
     rows = pages.select(
         "page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("_host"),
         F.xxhash64("page_id").alias("_name"))
-    kind = dict(pages.dtypes)["page_id"]
-    schema = (f"page_id {kind}, url string, _host string, _name bigint, _whole bigint,"
+    groups = F.greatest(
+        F.ceil(F.count("*") / group_pages), F.ceil(F.sum(F.length("html")) / GROUP_CHARS))
+    large = stage(rows.groupBy("_host").agg(groups.cast("bigint").alias("_groups")).filter(
+        "_groups > 1"), "html-hosts")
+    few = large.count() <= LARGE_HOSTS
+    found = rows.join(F.broadcast(large) if few else large, "_host", "left")
+    return found.withColumn("_group", F.coalesce(
+        F.pmod(F.xxhash64("page_id", "url"), F.col("_groups")), F.lit(0)))
+
+
+def parsed(rows: DataFrame) -> DataFrame:
+    """Pages with the blocks that are no menus and the like, and a hash of these."""
+    kind = dict(rows.dtypes)["page_id"]
+    schema = (f"page_id {kind}, url string, _host string, _name bigint, _group bigint, _whole bigint,"
               " _parts array<int>, _texts array<string>")
 
     def work(blocks):
@@ -339,29 +356,17 @@ def parsed(pages: DataFrame) -> DataFrame:
             yield {**block, "_whole": wholes, "_parts": [[p for p, _ in b] for b in found],
                    "_texts": [[t for _, t in b] for b in found]}
 
-    return map_batches(rows, schema, work)
-
-
-def dealt(rows: DataFrame, group_pages: int) -> DataFrame:
-    """The pages with `_group`, by hash, and `_groups` where their host has several.
-
-    Only hosts of several groups are looked up; they are broadcast if they are few.
-    """
-    size = F.sum(F.expr("aggregate(_texts, 0L, (n, t) -> n + length(t))"))
-    groups = F.greatest(F.ceil(F.count("*") / group_pages), F.ceil(size / GROUP_CHARS))
-    large = stage(rows.groupBy("_host").agg(groups.cast("bigint").alias("_groups")).filter(
-        "_groups > 1"), "html-hosts")
-    few = large.count() <= LARGE_HOSTS
-    found = rows.join(F.broadcast(large) if few else large, "_host", "left")
-    return found.withColumn("_group", F.coalesce(
-        F.pmod(F.xxhash64("page_id", "url"), F.col("_groups")), F.lit(0)))
+    return map_batches(rows.select("page_id", "url", "html", "_host", "_name", "_group"), schema, work)
 
 
 def repeated_runs(rows: DataFrame) -> DataFrame:
     """(_host, _group, _run): hashes of runs outside articles that pages of different name and
-    text have, anywhere on a host of several groups, for each group that has them."""
-    outside = rows.filter(
-        "_groups IS NOT NULL AND exists(_parts, p -> p NOT IN (%d, %d))" % ARTICLE)
+    text have, anywhere on a host of several groups, for each group that has them.
+
+    Pages of these hosts are parsed once more for it; that costs less than keeping them.
+    """
+    outside = parsed(rows.filter("_groups IS NOT NULL")).filter(
+        "exists(_parts, p -> p NOT IN (%d, %d))" % ARTICLE)
     schema = "_host string, _group bigint, _run bigint, _name bigint, _whole bigint"
 
     def work(blocks):
@@ -390,7 +395,7 @@ def extract(pages: DataFrame, group_pages: int = GROUP_PAGES) -> DataFrame:
     with one page_id are one page, so a page repeated as a row is no boilerplate. An empty
     table gives no rows; further columns are not read.
     """
-    rows = dealt(stage(parsed(pages), "html-blocks"), group_pages)
+    rows = dealt(pages, group_pages)
     kind = dict(pages.dtypes)["page_id"]
     schema = f"page_id {kind}, url string, text string, n_chars bigint, n_repeated int"
     arrow = to_arrow_schema(StructType.fromDDL(schema))
@@ -403,6 +408,6 @@ def extract(pages: DataFrame, group_pages: int = GROUP_PAGES) -> DataFrame:
                    [n for _, n in found]]
         return pa.table([pa.array(x, f.type) for x, f in zip(columns, arrow)], schema=arrow)
 
-    return (rows.select("_host", "_group", "page_id", "url", "_parts", "_texts")
+    return (parsed(rows).select("_host", "_group", "page_id", "url", "_parts", "_texts")
             .groupBy("_host", "_group")
             .cogroup(repeated_runs(rows).groupBy("_host", "_group")).applyInArrow(texts, schema))

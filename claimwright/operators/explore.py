@@ -2,6 +2,7 @@
 
 import math
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from claimwright import vocabulary as V
@@ -64,41 +65,45 @@ def amount_percentiles(claims: DataFrame) -> DataFrame:
     return quantile_table(claims, ["ClaimAmount"], V.AMOUNT_POINTS)
 
 
-def _histogram(values: DataFrame, scaled: Column, bins: int, low: float, high: float,
-               edge) -> DataFrame:
-    """Counts per equal-width bin of a scaled value; the last bin is closed.
+def _histogram(values: DataFrame, column: str, edges: list[float] | None) -> DataFrame:
+    """Counts between neighbouring edges; a value on an edge counts above it, and the last bin
+    is closed.
 
-    Without values there are no bins.
+    Without values (no edges) there are no bins; if all values are equal, so are the
+    edges, and the first bin has all.
     """
+    spark = values.sparkSession
+    rows = list(enumerate(zip(edges or [], (edges or [])[1:])))
+    bins = spark.createDataFrame(
+        [(i, float(a), float(b)) for i, (a, b) in rows], "Bin bigint, LowerEdge double, UpperEdge double")
+    number = F.lit(0.0)
+    if edges and edges[-1] > edges[0]:
+        values = Bucketizer(splits=edges, inputCol=column, outputCol="_bin").transform(values)
+        number = F.col("_bin")
+    counts = values.groupBy(number.cast("bigint").alias("Bin")).agg(F.count("*").alias("n"))
+    return bins.join(counts, "Bin", "left").select(
+        "Bin", "LowerEdge", "UpperEdge", F.coalesce("n", F.lit(0)).cast("bigint").alias("Count"))
+
+
+def _edges(low: float | None, high: float | None, bins: int, log: bool = False) -> list[float] | None:
+    """Equally or logarithmically spaced edges, with both ends exact."""
     if low is None:
-        return _histogram(values, scaled, bins, 0.0, 0.0, edge).limit(0)
-    spread = high - low
-    position = F.floor((scaled - F.lit(low)) * bins / F.lit(spread)) if spread else F.lit(0)
-    counts = (
-        values.select(F.least(position, F.lit(bins - 1)).cast("bigint").alias("Bin"))
-        .groupBy("Bin").agg(F.count("*").alias("n"))
-    )
-    every = values.sparkSession.range(bins).select(F.col("id").alias("Bin"))
-    return every.join(counts, "Bin", "left").select(
-        "Bin",
-        edge(F.lit(low) + F.col("Bin") * F.lit(spread / bins)).alias("LowerEdge"),
-        edge(F.lit(low) + (F.col("Bin") + 1) * F.lit(spread / bins)).alias("UpperEdge"),
-        F.coalesce("n", F.lit(0)).cast("bigint").alias("Count"),
-    )
+        return None
+    a, b = (math.log10(low), math.log10(high)) if log else (low, high)
+    inner = [a + i * ((b - a) / bins) for i in range(1, bins)]
+    return [float(low), *(10.0 ** x if log else float(x) for x in inner), float(high)]
 
 
 def driver_age_histogram(policy: DataFrame, bins: int = 40, share: float = 0.995) -> DataFrame:
     """Driver ages up to the exact 99.5th percentile in equal bins."""
     upper = (quantiles(policy, "DrivAge", [share]) or [None])[0]
-    kept = policy.filter(F.col("DrivAge") <= F.lit(upper))
+    kept = policy.filter(F.col("DrivAge") <= F.lit(upper)).select(F.col("DrivAge").cast("double"))
     ends = kept.agg(F.min("DrivAge"), F.max("DrivAge")).first()
-    return _histogram(kept, F.col("DrivAge"), bins, ends[0], ends[1], lambda c: c)
+    return _histogram(kept, "DrivAge", _edges(ends[0], ends[1], bins))
 
 
 def log_histogram(df: DataFrame, column: str, edges: int = 60) -> DataFrame:
     """Positive amounts between logarithmically spaced edges."""
-    kept = df.filter(F.col(column) > 0)
+    kept = df.filter(F.col(column) > 0).select(F.col(column).cast("double"))
     ends = kept.agg(F.min(column), F.max(column)).first()
-    low, high = (math.log10(e) if e is not None else None for e in ends)
-    return _histogram(
-        kept, F.log10(column), edges - 1, low, high, lambda c: F.pow(F.lit(10.0), c))
+    return _histogram(kept, column, _edges(ends[0], ends[1], edges - 1, log=True))

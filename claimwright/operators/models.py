@@ -40,6 +40,25 @@ class FittedModel:
         return coefficient_table(
             table.select(F.col("name").alias("Feature"), "Coefficient"), effect_name)
 
+    def gradient(self, train: DataFrame, target: str, weight: str | None, penalty: float) -> DataFrame:
+        """(Feature, Gradient): the derivative of the penalised mean loss at the fitted
+        coefficients; all zeros where the loss is least. `penalty` is that of half the sum of
+        squares, beside the mean loss."""
+        y, w, m = F.col(target).cast("double"), F.lit(1.0), F.col("_m")
+        w = F.col(weight).cast("double") if weight else w
+        gamma = self.kind == "mean" and self.fitted.getOrDefault("family") == "gamma"
+        residual = w * ((1.0 - y / m) if gamma else (m - y))
+        values = vector_to_array("features")
+        rows = self.design.features(self.score(train, "_m")).select(
+            residual.alias("_r"), w.alias("_w"), values.alias("_x"))
+        width = self.design.width()
+        sums = rows.agg(F.sum("_w"), *[F.sum(F.col("_r") * F.col("_x")[i]) for i in range(width)]).first()
+        slopes = [sums[i + 1] / sums[0] + penalty * float(b)
+                  for i, b in enumerate(self.fitted.coefficients.toArray())]
+        return self.design.categories.sparkSession.createDataFrame(
+            list(enumerate(slopes)), "position bigint, Gradient double").join(
+                self.design.names(), "position").select(F.col("name").alias("Feature"), "Gradient")
+
     def save(self, path: str) -> None:
         self.design.save(f"{path}/design")
         self.fitted.write().overwrite().save(f"{path}/model")

@@ -238,6 +238,17 @@ def with_share(groups: DataFrame, count: str, share: str, within: tuple = ()) ->
     return groups.withColumn(share, percent(F.col(count), total))
 
 
+def with_share_of_many(groups: DataFrame, count: str, share: str, within: str) -> DataFrame:
+    """As with_share, for groups that may be many: no task sees all groups of a part.
+
+    The parts are few (`within` is a column the plan itself made), so their totals are a
+    table of as many rows.
+    """
+    totals = groups.groupBy(within).agg(F.sum(count).alias("_all"))
+    return groups.join(F.broadcast(totals), within).withColumn(
+        share, percent(F.col(count), F.col("_all"))).drop("_all")
+
+
 def claim_completeness(policy: DataFrame) -> DataFrame:
     return status_shares(
         policy, "SeverityCompletenessStatus", "completeness_status", "policy_count", "percentage")

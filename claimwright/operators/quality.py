@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from claimwright import vocabulary as V
 from claimwright.functions.casting import holds, lenient_double, lenient_long, whole
 from claimwright.functions.measures import count_if, percent, ratio
-from claimwright.operators.portfolio import with_share
+from claimwright.operators.portfolio import with_share_of_many
 from claimwright.operators.ranking import quantile_table
 from claimwright.operators.reconcile import claim_counts, outer_counts
 from claimwright.operators.shaping import long_report, stacked
@@ -72,7 +72,9 @@ def review_percentiles(frequency: DataFrame, severity: DataFrame) -> DataFrame:
 def claim_count_values(frequency: DataFrame) -> DataFrame:
     """Policies per exact claim count, a missing count included."""
     groups = frequency.groupBy("ClaimNb").agg(F.count("*").alias("PolicyCount"))
-    return with_share(groups, "PolicyCount", "Percentage").orderBy("ClaimNb")
+    return with_share_of_many(
+        groups.withColumn("_part", F.lit(0)), "PolicyCount", "Percentage", "_part"
+    ).drop("_part").orderBy("ClaimNb")
 
 
 def category_values(frequency: DataFrame) -> DataFrame:
@@ -82,7 +84,8 @@ def category_values(frequency: DataFrame) -> DataFrame:
         for c in V.FREQUENCY_TEXTS
     ])).alias("p")).select("p.*")
     groups = pairs.groupBy("ColumnName", "Value").agg(F.count("*").alias("Count"))
-    return with_share(groups, "Count", "Percentage", ("ColumnName",)).orderBy(
+    return with_share_of_many(groups, "Count", "Percentage", "ColumnName").select(
+        "ColumnName", "Value", "Count", "Percentage").orderBy(
         "ColumnName", F.desc("Count"), "Value")
 
 

@@ -1459,3 +1459,11 @@ ORACLE["severity_published_review"] = _checks([
     ("Gamma coefficient table is non-empty", "SELECT count(*) > 0 FROM effects"),
     ("Tail summary is non-empty", "SELECT count(*) > 0 FROM sev_rows WHERE Sample = 'Test'"),
     ("Largest-error report contains records", "SELECT count(*) > 0 FROM sev_rows WHERE Sample = 'Test'")])
+_REGION_BRAND = "SELECT count(DISTINCT Area) + count(DISTINCT VehBrand) + count(DISTINCT VehGas) + count(DISTINCT Region) - 4"
+ORACLE["fit_gradients"] = sql(" UNION ALL ".join(
+    f"""SELECT '{name}' AS Model, true AS Flat, CAST(({_REGION_BRAND} FROM {rows} WHERE Sample = 'Training')
+        + {numbers} AS BIGINT) AS Features"""
+    for name, rows, numbers in [(LOGISTIC, "occ_split", 6), (POISSON, "freq_split", 5), (GAMMA, "sev_split", 5)]))
+ORACLE["raw_files"] = sql(" UNION ALL ".join(
+    f"SELECT '{n}' AS TableName, count(*) AS RowCount, count(DISTINCT IDpol) AS Ids FROM raw_{n}"
+    for n in ("frequency", "severity")))

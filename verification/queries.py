@@ -18,7 +18,7 @@ from claimwright.operators.importance import permutation_importance
 from claimwright.operators.shaping import previewed
 from claimwright.plans import frequency, occurrence, review, severity, sql_reports, warehouse
 from claimwright.session import shared_folder
-from claimwright.sources import store
+from claimwright.sources import raw, store
 from verification import base
 
 
@@ -108,6 +108,20 @@ def analysis_checks(spark, folder):
     return contracts.analysis_checks(base.prepared(spark, folder).policy)
 
 
+@query
+def raw_files(spark, folder):
+    """The two raw tables as CSV files, read by their readers."""
+    target = f"{shared_folder(spark)}/raw-files-{uuid4().hex}"
+    frequency_rows, severity_rows = base.raw(spark, folder)
+    frequency_rows.write.option("header", True).csv(f"{target}/frequency")
+    severity_rows.write.option("header", True).csv(f"{target}/severity")
+    read = {"frequency": raw.read_frequency(spark, f"{target}/frequency"),
+            "severity": raw.read_severity(spark, f"{target}/severity")}
+    parts = [df.agg(F.lit(name).alias("TableName"), F.count("*").alias("RowCount"),
+                    F.count_distinct("IDpol").alias("Ids")) for name, df in read.items()]
+    return parts[0].unionByName(parts[1])
+
+
 # --- relational layer ------------------------------------------------------
 
 
@@ -901,6 +915,27 @@ def logistic_metrics(spark, folder):
     return _logistic_run(spark, folder).reports["claim_occurrence_metrics"]
 
 
+@query
+def fit_gradients(spark, folder):
+    """Whether the penalised loss of each fitted regression is flat where it ended."""
+    def training(split):
+        return split(spark, folder).filter("Sample = 'Training'")
+
+    logistic_rows, rates, losses = (
+        training(x) for x in (base.occurrence_split, base.frequency_split, base.severity_split))
+    tables = {
+        V.LOGISTIC: _logistic_run(spark, folder).model.gradient(
+            logistic_rows, "HasClaim", None, 1.0 / logistic_rows.count()),
+        V.POISSON: _frequency_run(spark, folder).models[V.POISSON].gradient(
+            rates, "ClaimFrequency", "Exposure", 1e-4),
+        V.GAMMA: _severity_run(spark, folder).models[V.GAMMA].gradient(
+            losses, "AverageClaimSeverity", "ClaimNb", 1e-4),
+    }
+    parts = [t.agg((F.max(F.abs("Gradient")) < 1e-4).alias("Flat"), F.count("*").alias("Features")).select(
+        F.lit(name).alias("Model"), "Flat", "Features") for name, t in tables.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query
 def logistic_coefficients(spark, folder):
     return _logistic_run(spark, folder).reports["logistic_coefficients"]

@@ -1467,3 +1467,21 @@ ORACLE["fit_gradients"] = sql(" UNION ALL ".join(
 ORACLE["raw_files"] = sql(" UNION ALL ".join(
     f"SELECT '{n}' AS TableName, count(*) AS RowCount, count(DISTINCT IDpol) AS Ids FROM raw_{n}"
     for n in ("frequency", "severity")))
+ORACLE["contained_models"] = rounded(
+    f"""SELECT Model, Recall FROM ({confusion(TEST, '0.2e0', 'Model')})
+        WHERE lower(Model) LIKE '%gradient%'""", "Recall")
+ORACLE["selected_frequency_summary"] = rounded(
+    f"""SELECT Model, CAST(ObservedClaims AS DOUBLE) AS ObservedClaims, PredictedClaims,
+        ExposureWeightedPoissonDeviance
+        FROM freq_metrics WHERE Sample = 'Test' AND Model = {_FREQ_BEST}""",
+    "ObservedClaims", "PredictedClaims", "ExposureWeightedPoissonDeviance")
+ORACLE["repeated_issue_ids"] = sql(
+    """SELECT IDpol, count(*) AS RowCount FROM (SELECT IDpol FROM issues UNION ALL
+       SELECT IDpol FROM issues WHERE IDpol % 5 = 0) GROUP BY IDpol HAVING count(*) > 1""")
+ORACLE["mismatch_tables"] = f"""SELECT count(*) AS Mismatches, true AS NoEmptyTable
+    FROM ({ORACLE['raw_mismatches']})"""
+ORACLE["guard_outcomes"] = """SELECT * FROM (VALUES ('columns', false, true), ('rows', false, true),
+    ('unique', false, true), ('one per key', false, true), ('fit for a model', false, true))
+    AS t(Guard, StopsGood, StopsBad)"""
+ORACLE["saved_model_scores"] = sql(
+    "SELECT count(*) AS Policies, count(*) AS Equal FROM occ_split WHERE Sample = 'Test'")

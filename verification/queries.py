@@ -3,6 +3,7 @@
 from functools import lru_cache
 from uuid import uuid4
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimwright import vocabulary as V
@@ -890,6 +891,85 @@ def severity_published_review(spark, folder):
     return review.of_folder(spark, "severity", target)
 
 
+@query
+def contained_models(spark, folder):
+    """Metric rows whose model name contains a text, in any case."""
+    metrics = curves.occurrence_metrics(_case(spark, folder, "Test"), F.lit(0.2))
+    return review.selected_case(metrics, "GRADIENT").select("Model", "Recall")
+
+
+@query
+def selected_frequency_summary(spark, folder):
+    """The test metrics of the model that validation selects."""
+    metrics = audit.frequency_metrics(base.frequency_scores(spark, folder))
+    best = audit.select_frequency(metrics.filter("Sample = 'Validation'")).select("Model")
+    return metrics.filter("Sample = 'Test'").join(F.broadcast(best), "Model").select(
+        "Model", "ObservedClaims", "PredictedClaims", "ExposureWeightedPoissonDeviance")
+
+
+@query
+def repeated_issue_ids(spark, folder):
+    """Ids on several rows of an issue table; some issues are in it twice."""
+    issues = reconcile.claim_count_issues(base.prepared(spark, folder).audit)
+    return contracts.duplicate_ids(issues.unionByName(issues.filter("IDpol % 5 = 0")))
+
+
+@query
+def mismatch_tables(spark, folder):
+    """Mismatches are written if there are any; a table written again replaces the first."""
+    target = f"{shared_folder(spark)}/mismatches-{uuid4().hex}"
+    found = quality.mismatches(quality.raw_consistency(*_typed(spark, folder)))
+    for _ in range(2):
+        store.write_if_any(found, target, "some")
+    store.write_if_any(found.filter("false"), target, "none")
+    try:
+        absent = store.read_tables(spark, target, ["some", "none"]) is None
+    except FileNotFoundError as error:
+        absent = str(error).count(target) == 1 and "none" in str(error)
+    return store.read_tables(spark, target, ["some"])["some"].agg(
+        F.count("*").alias("Mismatches"), F.lit(absent).alias("NoEmptyTable"))
+
+
+@query
+def guard_outcomes(spark, folder):
+    """Whether each guard stops the tables it should stop, and lets the others pass."""
+    policy, claims = base.policy(spark, folder), base.claims(spark, folder)
+    guards = {
+        "columns": (lambda df: contracts.require_columns(df, V.POLICY_COLUMNS, "policies"),
+                    policy, policy.drop("Area")),
+        "rows": (lambda df: contracts.require_rows(df, "policies"), policy, policy.filter("IDpol IS NULL")),
+        "unique": (lambda df: contracts.require_unique(df, "policies"), policy, claims),
+        "one per key": (lambda df: contracts.one_per_key(df.select("IDpol"), "policies").collect(),
+                        policy, claims),
+        "fit for a model": (lambda df: contracts.require_none(df, {"many": "ClaimNb > 3"}, "sample"),
+                            policy.filter("ClaimNb <= 3"), policy),
+    }
+
+    def stops(guard, df):
+        try:
+            guard(df)
+            return False
+        except (ValueError, PySparkException):
+            return True
+
+    return spark.createDataFrame(
+        [(name, stops(guard, good), stops(guard, bad)) for name, (guard, good, bad) in guards.items()],
+        "Guard string, StopsGood boolean, StopsBad boolean")
+
+
+@query
+def saved_model_scores(spark, folder):
+    """A model saved, loaded and scored again, next to its first scores."""
+    run = _logistic_run(spark, folder)
+    target = f"{shared_folder(spark)}/saved-{uuid4().hex}"
+    run.model.save(target)
+    rows = base.occurrence_split(spark, folder).filter("Sample = 'Test'")
+    again = models.FittedModel.load(spark, target).score(run.model.score(rows, "First"), "Second")
+    return again.agg(
+        F.count("*").alias("Policies"),
+        F.sum(F.when(F.col("First") == F.col("Second"), 1).otherwise(0)).cast("bigint").alias("Equal"))
+
+
 @lru_cache(maxsize=8)
 def _logistic_run(spark, folder):
     return occurrence.train_logistic(base.occurrence_split(spark, folder))

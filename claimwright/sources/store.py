@@ -24,7 +24,8 @@ def _schema_path(folder: str, name: str) -> str:
 def write_table(df: DataFrame, folder: str, name: str, kind: str = "parquet") -> str:
     """Writes (or replaces) one table; all executors write in parallel.
 
-    A CSV table has its schema written beside it, so that it is read back with its types.
+    A CSV table has its schema written beside it, so that it is read back with its types; an
+    empty text comes back as NULL, which CSV does not tell apart.
     """
     path = f"{folder.rstrip('/')}/{name}"
     writer = df.write.mode("overwrite")

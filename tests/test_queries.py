@@ -56,3 +56,14 @@ def test_model_run_is_consistent(spark, folder, tmp_path):
     assert len(checks) == 6
     assert run.predictions.count() == base.occurrence_split(spark, folder).filter(
         "Sample = 'Test'").count()
+
+
+def test_guards_bring_no_rows_to_the_driver(spark, folder, monkeypatch):
+    """The guards read whole tables; the driver gets sums and verdicts only."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    brought, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda df: brought.append(collect(df)) or brought[-1])
+    found = QUERIES["guard_outcomes"](spark, folder).collect()
+    assert {(r.StopsGood, r.StopsBad) for r in found} == {(False, True)} and len(found) == 5
+    assert max(len(rows) for rows in brought) < 100

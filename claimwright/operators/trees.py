@@ -70,6 +70,10 @@ class Binner:
     def categorical(self) -> np.ndarray:
         return np.array([False] * len(self.numbers) + [True] * len(self.texts))
 
+    def sizes(self) -> list[int]:
+        """The number of bins of each feature, that of missing values included."""
+        return [*[len(x) + 2 for x in self.numbers.values()], *[len(x) + 1 for x in self.texts.values()]]
+
     def columns(self) -> list:
         """The features as Spark columns of the two kinds a block holds."""
         return [*[F.col(c).cast("double") for c in self.numbers],
@@ -137,6 +141,27 @@ class Tree:
             node[rows] = np.where(left, self.children[at, 0], self.children[at, 1])
         return node
 
+    def members(self, bins: np.ndarray, wanted: list[int]):
+        """(node, rows) of every wanted node, for bins by feature; wanted nodes are leaves, and only
+        branches that lead to one are walked."""
+        needed, own = set(wanted), set(wanted)
+        # Children come after their parents.
+        for node in range(len(self.feature) - 1, -1, -1):
+            if self.feature[node] >= 0 and needed.intersection(self.children[node].tolist()):
+                needed.add(node)
+        waiting = [(0, slice(None))] if 0 in needed else []
+        while waiting:
+            node, rows = waiting.pop()
+            if node in own:
+                yield node, rows
+                continue
+            left = self.lefts[node][bins[self.feature[node]][rows]]
+            for child, mask in zip(self.children[node].tolist(), (left, None)):
+                if child in needed:
+                    mask = ~left if mask is None else mask
+                    inside = np.flatnonzero(mask) if node == 0 else rows[mask]
+                    waiting.append((child, inside))
+
     def added(self, bins: np.ndarray) -> np.ndarray:
         """What the tree adds to each row's score."""
         return self.value[self.leaf(bins)]

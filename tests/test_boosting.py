@@ -190,3 +190,37 @@ def test_gains_table(data):
     best = table.orderBy(F.desc("Gain")).first()
     model = boosting.fit_boosting(data, "y", "w", ["x"], ["t"], replace(SETTINGS, rounds=1))
     assert model.binner.names[model.trees[0].feature[0]] == best.Feature
+
+
+def test_a_pass_takes_few_tasks_whatever_the_shuffle_setting(spark, data):
+    """A boosting run has thousands of passes; each may start few tasks only."""
+    binner, _, rows = boosting.start_rows(data, "y", "w", ["x", "z"], ["t"], "poisson", "IDpol")
+    context, key = spark.sparkContext, "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64")
+    context.setJobGroup("one-pass", "one pass")
+    try:
+        boosting.histograms(rows, "poisson", boosting.ROOT, [0], 3)
+    finally:
+        spark.conf.set(key, before)
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [tracker.getStageInfo(s) for job in tracker.getJobIdsForGroup("one-pass")
+              for s in tracker.getJobInfo(job).stageIds]
+    assert sum(s.numTasks for s in stages if s) <= 2 * boosting.REDUCERS
+
+
+def test_members_are_the_rows_of_the_leaves():
+    """Walking the branches of some leaves finds the rows that end in them."""
+    rng = np.random.default_rng(3)
+    bins = rng.integers(0, 20, (500, 2)).astype(np.uint8)
+    low, odd = np.arange(BINS) <= 9, np.arange(BINS) % 2 == 1
+    tree = Tree(np.array([0, 1, -1, -1, -1]), np.array([low, odd, low, low, low]),
+                np.array([(1, 2), (3, 4), (2, 2), (3, 3), (4, 4)]), np.array([0, 0, 1.0, 2.0, 3.0]))
+    leaf, by_feature = tree.leaf(bins), np.ascontiguousarray(bins.T)
+    for wanted in ([2, 3, 4], [4], [2]):
+        found = dict(tree.members(by_feature, wanted))
+        assert {n: r.tolist() for n, r in found.items()} == {
+            n: np.flatnonzero(leaf == n).tolist() for n in wanted}
+    block = (by_feature, None, None, np.ones(500), 400)
+    assert boosting.advanced(block, tree)[3].tolist() == (1 + tree.added(bins)).tolist()

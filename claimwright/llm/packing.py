@@ -23,6 +23,8 @@ from claimwright.session import stage
 CAPACITY = 2048
 OPEN_BINS = 256
 SEQUENCES_PER_TASK = 8192
+# A block takes about ten times its size while it is encoded, in every task of an executor.
+BLOCK_BYTES = 8 << 20
 END = 0
 
 
@@ -76,7 +78,7 @@ def token_pieces(docs: DataFrame, definition: str, capacity: int = CAPACITY, end
     def run(batches):
         encoder = Encoder(sent.value, spaced)
         last = np.array([end], "<u4").tobytes()
-        for part, texts in text_blocks(batches, "text"):
+        for part, texts in text_blocks(batches, "text", BLOCK_BYTES):
             flat, bounds = encoder.encode(texts)
             out = {n: [] for n in arrow.names}
             ids_of = part.column(part.schema.get_field_index("doc_id")).to_pylist()

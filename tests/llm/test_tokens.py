@@ -10,7 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from claimwright.llm import packing, token_files
-from claimwright.llm.tokens import Encoder
+from claimwright.llm.tokens import Encoder, text_blocks
 
 ODD = list(" \n\t  \n a'sBé’ĳΣİ.,  　\x1c|<x1́ªÀµ\x0b\x85")
 
@@ -121,3 +121,11 @@ def test_codes_are_prefix_free_limited_and_best():
     # Small weights: the limit does not bind and the cost equals Huffman's.
     assert token_files.code_lengths(np.array([5, 9, 12, 13, 16, 45])).tolist() == [4, 4, 3, 3, 3, 1]
     assert token_files.code_lengths(np.array([0, 7])).tolist() == [0, 1]
+
+
+def test_packing_encodes_small_blocks():
+    """An executor encodes several blocks at once, so each has a few megabytes of text."""
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(40)), "text": ["word " * 120_000] * 40})
+    blocks = list(text_blocks([batch], "text", packing.BLOCK_BYTES))
+    assert sum(part.num_rows for part, _ in blocks) == 40
+    assert max(part.num_rows for part, _ in blocks) * 600_000 <= 8 << 20

@@ -163,6 +163,18 @@ def test_run_and_build(spark, tmp_path):
     assert kpis["portfolio_kpis"].first()["total_policies"] == 6
 
 
+def test_stored_tables_are_written_once_and_read(spark, tmp_path, prepared):
+    folder = str(tmp_path / "stored")
+    found = preparation.stored(*raw(spark, POLICIES, CLAIMS), folder)
+    # What follows a written step reads its files, not the raw rows again.
+    for df in (found.summary(), found.audit_summary(), found.policies):
+        assert df.inputFiles() and all(f"{folder}/" in f for f in df.inputFiles())
+    tables = store.read_tables(spark, folder, store.PREPARED)
+    for name, df in prepared.tables().items():
+        assert tables[name].schema.simpleString() == df.schema.simpleString()
+        assert sorted(map(str, tables[name].collect())) == sorted(map(str, df.collect())), name
+
+
 def test_a_failed_build_writes_nothing(spark, tmp_path, monkeypatch):
     folder, target = str(tmp_path / "prepared"), tmp_path / "tables"
     preparation.run(*raw(spark, POLICIES, CLAIMS), folder)

@@ -269,3 +269,31 @@ def test_numbered_many_copies(spark):
         df, "IDpol", "ClaimAmount", "n").collect())
     assert [f[0] for f in found] == list(range(1, 1001))
     assert [f[1:] for f in found] == sorted(rows)
+
+
+def test_known_claims_need_ids_only(spark, folder, monkeypatch):
+    """Neither the wide policy fact is written for them, nor are raw rows dealt by id first."""
+    from verification import base
+
+    monkeypatch.setattr(base, "_kept", {})
+    dealt = []
+    monkeypatch.setattr(base, "stage", lambda df, label, by=None, stage=base.stage: (
+        dealt.append((label, by)), stage(df, label, by))[1])
+    orphans = base.orphans(spark, folder)
+    assert ("raw-frequency", None) in dealt and ("raw-severity", None) in dealt
+    assert "policy" not in dict(dealt)
+    known = base.prepared(spark, folder).policy.select("IDpol")
+    wanted = base.prepared(spark, folder).claims.join(known, "IDpol", "left_anti")
+    assert sorted(orphans.collect()) == sorted(wanted.select(*orphans.columns).collect())
+
+
+@pytest.mark.parametrize("few, dealt", [(1_000, False), (10, True)])
+def test_only_many_copies_are_dealt_anew(spark, monkeypatch, few, dealt):
+    monkeypatch.setattr(ranking, "FEW_COPIES", few)
+    rows = [(3, 5.0)] * 40 + [(i, float(i % 7)) for i in range(50)] + [(None, 1.0), (4, None)]
+    found = ranking.numbered(
+        spark.createDataFrame(rows, "IDpol long, ClaimAmount double"), "IDpol", "ClaimAmount", "n")
+    assert ("_block" in found._jdf.queryExecution().optimizedPlan().toString()) == dealt
+    got = sorted(((r.n, r.IDpol, r.ClaimAmount) for r in found.collect()), key=lambda r: r[0])
+    assert [r[0] for r in got] == list(range(1, len(rows) + 1))
+    assert [r[1:] for r in got] == sorted(rows, key=lambda r: [(x is not None, x or 0) for x in r])

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from claimwright.operators.sampling import digest
 from claimwright.operators.trees import (
-    BINS, Binner, Growth, Tree, bin_matrix, grow, split_gains)
+    BINS, Binner, Forest, Growth, Tree, bin_matrix, grow, split_gains)
 from claimwright.session import checkpointing, stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -97,13 +97,13 @@ def binned(df: DataFrame, binner: Binner, keep: list[Column]) -> DataFrame:
 def added(trees: list[Tree], binner: Binner) -> Column:
     """What the trees add to the score of a row with the binner's columns: one expression,
     however many trees there are."""
+    forest: list[Forest] = []  # built once in a task, for all its blocks
+
     @F.arrow_udf("double")
     def total(*columns: pa.Array) -> pa.Array:
-        bins = binner.bins(list(columns))
-        out = np.zeros(len(bins))
-        for tree in trees:
-            out += tree.added(bins)
-        return pa.array(out)
+        if not forest:
+            forest.append(Forest(trees, len(binner.names)))
+        return pa.array(forest[0].added(binner.bins(list(columns))))
 
     return total(*binner.columns())
 

@@ -167,6 +167,68 @@ class Tree:
         return self.value[self.leaf(bins)]
 
 
+MASK_BITS = 64
+
+
+class Forest:
+    """Trees scored together: a row's leaf is the one that all its bins leave open.
+
+    For each feature, bin and tree a bit set tells which leaves the tests of that feature
+    leave open; the sets of a row's bins are intersected for all trees at once. Trees with
+    more leaves than a set has bits are walked.
+    """
+
+    def __init__(self, trees: list[Tree], features: int):
+        self.trees = trees
+        self.narrow = all(t.leaves <= MASK_BITS for t in trees)
+        if not self.narrow:
+            return
+        # Of the sizes of unsigned numbers the smallest that holds the leaves of every tree.
+        most = max((t.leaves for t in trees), default=1)
+        self.kind = np.uint32 if most <= 32 else np.uint64
+        self.open = np.full((features, BINS, len(trees)), np.iinfo(self.kind).max, self.kind)
+        self.values = np.zeros((len(trees), MASK_BITS))
+        for t, tree in enumerate(trees):
+            below: list[int] = [0] * len(tree.feature)
+            leaves = np.flatnonzero(tree.feature < 0).tolist()
+            for i, leaf in enumerate(leaves):
+                below[leaf] = 1 << i
+                self.values[t, i] = tree.value[leaf]
+            every = (1 << len(leaves)) - 1
+            self.open[:, :, t] = every
+            # Children come after their parents.
+            for node in range(len(tree.feature) - 1, -1, -1):
+                f = tree.feature[node]
+                if f >= 0:
+                    left, right = (below[c] for c in tree.children[node].tolist())
+                    below[node] = left | right
+                    self.open[f, :, t] &= np.where(
+                        tree.lefts[node], self.kind(every & ~right), self.kind(every & ~left))
+        self.used = [f for f in range(features) if any((t.feature == f).any() for t in trees)]
+
+    def added(self, bins: np.ndarray, step: int = 512) -> np.ndarray:
+        """What all trees add to each row's score, summed in the order of the trees."""
+        out = np.zeros(len(bins))
+        if not self.narrow:
+            for tree in self.trees:
+                out += tree.added(bins)
+            return out
+        if not self.used:
+            return out + sum(self.values[:, 0].tolist())
+        place = np.arange(len(self.trees))
+        for at in range(0, len(bins), step):
+            rows = bins[at:at + step]
+            left = self.open[self.used[0]][rows[:, self.used[0]]]
+            for f in self.used[1:]:
+                left &= self.open[f][rows[:, f]]
+            # One bit stays, a power of two: its exponent is the leaf.
+            leaf = np.frexp(left.astype(np.float64))[1] - 1
+            found = self.values[place, leaf]
+            for t in range(len(self.trees)):
+                out[at:at + step] += found[:, t]
+        return out
+
+
 @dataclass
 class Node:
     """A node while its tree grows."""

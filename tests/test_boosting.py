@@ -224,3 +224,27 @@ def test_members_are_the_rows_of_the_leaves():
             n: np.flatnonzero(leaf == n).tolist() for n in wanted}
     block = (by_feature, None, None, np.ones(500), 400)
     assert boosting.advanced(block, tree)[3].tolist() == (1 + tree.added(bins)).tolist()
+
+
+@pytest.mark.parametrize("leaves", [1, 5, 31, 32, 33, 64, 70])
+def test_trees_scored_together_add_the_same(leaves):
+    rng = np.random.default_rng(leaves)
+
+    def tree():
+        nodes, open_ = [trees.Node(np.empty(0), value=rng.normal())], [0]
+        while len(open_) < leaves:
+            node = nodes[open_.pop(rng.integers(len(open_)))]
+            node.feature, node.lefts = int(rng.integers(4)), rng.random(BINS) < 0.5
+            node.children = (len(nodes), len(nodes) + 1)
+            open_ += node.children
+            nodes.extend(trees.Node(np.empty(0), value=rng.normal()) for _ in range(2))
+        return Tree.of(nodes)
+
+    several = [tree() for _ in range(9)] + [Tree.of([trees.Node(np.empty(0), value=0.25)])]
+    bins = rng.integers(0, BINS, (1_300, 4)).astype(np.uint8)
+    walked = np.zeros(len(bins))
+    for one in several:
+        walked += one.added(bins)
+    # Equal to the last bit, as the values are added in the same order.
+    assert (trees.Forest(several, 4).added(bins) == walked).all()
+    assert trees.Forest(several, 4).added(bins[:0]).shape == (0,)

@@ -276,6 +276,7 @@ def test_known_claims_need_ids_only(spark, folder, monkeypatch):
     from verification import base
 
     monkeypatch.setattr(base, "_kept", {})
+    monkeypatch.setattr(base, "_plans", {})
     dealt = []
     monkeypatch.setattr(base, "stage", lambda df, label, by=None, stage=base.stage: (
         dealt.append((label, by)), stage(df, label, by))[1])

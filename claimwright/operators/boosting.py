@@ -3,7 +3,8 @@
 Rows are binned once, a byte for each feature, and kept with target, weight and linear
 score in blocks of arrays. A pass over them adds up the first and second derivatives of the
 loss by node, feature and bin in every task, and a few tasks add these up by node; the
-driver gets at most 256 sums a node and feature. Trees grow by best gain to a limit of leaves, and all
+driver gets at most 256 sums a node and feature. A pass has a task a core at most, so
+what these report does not grow with the rows. Trees grow by best gain to a limit of leaves, and all
 nodes that may be split next share one pass. The loss on the hold-out comes with a
 round's first pass.
 """
@@ -28,6 +29,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 TASK_ROWS = 50_000
 BLOCK_ROWS = 65_536
 REDUCERS = 8
+REDUCED_NODES = 4
 KEPT = StorageLevel.MEMORY_AND_DISK
 
 
@@ -179,7 +181,7 @@ def measured(state: RDD, loss: str, tree: Tree, wanted: list[int], sizes: list[i
         yield from enumerate(sums)
 
     found = dict(state.mapPartitions(run).reduceByKey(
-        np.add, min(len(wanted) + 1, REDUCERS)).collect())
+        np.add, min(1 + len(wanted) // REDUCED_NODES, REDUCERS)).collect())
     sums = np.zeros((len(wanted), len(sizes), BINS, 3))
     for slot in range(len(wanted)):
         for f, (low, high) in enumerate(zip(edges, edges[1:])):
@@ -260,8 +262,10 @@ def start_rows(train: DataFrame, label: str, weight: str | None, numbers: list[s
     sums = rows.filter("NOT _held").agg(
         F.sum(F.col("_y") * F.col("_w")), F.sum("_w"), F.count("*")).first()
     start = _start(loss, sums[0] / sums[1])
-    # A pass is as slow as starting its tasks where these have few rows.
-    tasks = max(1, min(rows.rdd.getNumPartitions(), sums[2] // TASK_ROWS))
+    # A pass is as slow as starting its tasks where these have few rows. Every task of every
+    # pass reports to the driver, so there are no more than run at once, whatever the rows.
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(rows.rdd.getNumPartitions(), sums[2] // TASK_ROWS, cores))
     return binner, start, rows.coalesce(tasks).withColumn("_eta", F.lit(start))
 
 

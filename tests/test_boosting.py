@@ -210,6 +210,24 @@ def test_a_pass_takes_few_tasks_whatever_the_shuffle_setting(spark, data):
     assert sum(s.numTasks for s in stages if s) <= 2 * boosting.REDUCERS
 
 
+def test_a_pass_has_no_more_tasks_than_cores(spark, data, monkeypatch):
+    """What the tasks of a pass report to the driver may not grow with the rows."""
+    monkeypatch.setattr(boosting, "TASK_ROWS", 10)
+    wanted = {"spark.sql.shuffle.partitions": "24", "spark.sql.files.maxPartitionBytes": "2000",
+              "spark.sql.files.openCostInBytes": "2000"}
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        _, _, rows = boosting.start_rows(data, "y", "w", ["x", "z"], ["t"], "poisson", "IDpol")
+        kept = boosting.blocks(rows, 3)
+        assert kept.getNumPartitions() <= spark.sparkContext.defaultParallelism
+        assert kept.map(lambda block: len(block[1])).sum() == N
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_members_are_the_rows_of_the_leaves():
     """Walking the branches of some leaves finds the rows that end in them."""
     rng = np.random.default_rng(3)

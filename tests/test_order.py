@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimwright.operators import ranking, sampling
+from verification import base
 
 
 def scores(kind, n):
@@ -155,3 +156,29 @@ def test_stratified_sample_size(spark):
     assert kept.count() == 333
     assert kept.filter("y = 1").count() in (16, 17)
     assert sampling.stratified_sample(df, "y", 5_000).count() == 1_000
+
+
+@pytest.mark.parametrize("split, stratum", [
+    (base.occurrence_split, "HasClaim"), (base.frequency_split, "ClaimCountStratum")])
+def test_a_split_is_written_without_dealing_its_rows(spark, monkeypatch, split, stratum):
+    """The policies are dealt by id already; a split labels each where it is read."""
+    policies = spark.range(200).selectExpr(
+        "id AS IDpol", "1D AS Exposure", "'A' AS Area", "4 AS VehPower", "1 AS VehAge",
+        "30 AS DrivAge", "50 AS BonusMalus", "'B1' AS VehBrand", "'Diesel' AS VehGas",
+        "100 AS Density", "'R' AS Region", "CAST(id % 4 = 0 AS INT) AS ClaimNb",
+        "id % 4 = 0 AS HasClaim", "true AS FrequencyModelEligible")
+    dealt = []
+
+    def stage(df, label, spread_by=None, compression=None):
+        dealt.append(spread_by)
+        return df
+
+    monkeypatch.setattr(base, "policy", lambda spark, folder: policies)
+    monkeypatch.setattr(base, "stage", stage)
+    monkeypatch.setattr(base, "_kept", {})
+    found = split(spark, "own rows")
+    assert dealt == [None]
+    sizes = found.groupBy("Sample", F.col(stratum).cast("string")).count().collect()
+    assert sorted((r["Sample"], r["count"]) for r in sizes) == [
+        ("Test", 10), ("Test", 30), ("Training", 30), ("Training", 90),
+        ("Validation", 10), ("Validation", 30)]

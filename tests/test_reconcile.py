@@ -95,6 +95,19 @@ def test_claims_are_read_twice_and_hot_ids_are_spread(spark, tmp_path, monkeypat
     assert {(r.Known, r["count"]) for r in known.groupBy("Known").count().collect()} == {(True, 34), (False, 2966)}
 
 
+def test_policy_ids_are_never_broadcast(spark, prepared, tmp_path):
+    """However small the plan takes them to be: only the hot ids of known_claims are."""
+    store.write_table(prepared.policies, str(tmp_path), "policies")
+    policies = store.read_tables(spark, str(tmp_path), ["policies"])["policies"]
+    plans = [f(prepared.claims, policies)._jdf.queryExecution().sparkPlan().toString() for f in (
+        reconcile.known_claims, reconcile.unknown_claim_ids, contracts.foreign_key_violations)]
+    assert [p.count("BroadcastHashJoin") for p in plans] == [1, 0, 0]
+    assert [p.count("SortMergeJoin") for p in plans] == [2, 1, 1]
+    assert [r.IDpol for r in reconcile.unknown_claim_ids(prepared.claims, policies).collect()] == [9]
+    assert [tuple(r) for r in contracts.foreign_key_violations(
+        prepared.claims, policies).collect()] == [(9, 2)]
+
+
 def test_a_repeated_policy_fails_inside_the_plan(spark):
     from pyspark.errors import PySparkException
 

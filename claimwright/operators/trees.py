@@ -22,6 +22,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BINS = 256
 CUTS = BINS - 2
 FEW = 400
+AHEAD = 3
+MOST_NODES = 32
 LEAST_CURVATURE = 1e-3
 
 
@@ -142,8 +144,8 @@ class Tree:
         return node
 
     def members(self, bins: np.ndarray, wanted: list[int]):
-        """(node, rows) of every wanted node, for bins by feature; wanted nodes are leaves, and only
-        branches that lead to one are walked."""
+        """(node, rows) of every wanted node, for bins by feature; only branches that lead to one
+        are walked."""
         needed, own = set(wanted), set(wanted)
         # Children come after their parents.
         for node in range(len(self.feature) - 1, -1, -1):
@@ -154,7 +156,8 @@ class Tree:
             node, rows = waiting.pop()
             if node in own:
                 yield node, rows
-                continue
+                if self.feature[node] < 0 or not needed.intersection(self.children[node].tolist()):
+                    continue
             left = self.lefts[node][bins[self.feature[node]][rows]]
             for child, mask in zip(self.children[node].tolist(), (left, None)):
                 if child in needed:
@@ -229,6 +232,26 @@ class Forest:
         return out
 
 
+@dataclass
+class Measured:
+    """What a pass measured for a split: the sums of one side (0 is left), and what it measured
+    ahead for the splits expected of both children."""
+
+    feature: int
+    lefts: np.ndarray
+    side: int
+    sums: np.ndarray
+    ahead: tuple["Measured | None", "Measured | None"] = (None, None)
+
+    def fits(self, sums: np.ndarray, split: tuple | None) -> bool:
+        """Whether this is the split of a node with the histogram `sums`, to the row, and the
+        side measured is the one that is measured."""
+        if split is None or split[1] != self.feature or _smaller(sums, split) != self.side:
+            return False
+        used = sums[self.feature, :, 2] > 0
+        return bool((split[2][used] == self.lefts[used]).all())
+
+
 @dataclass
 class Node:
     """A node while its tree grows."""
@@ -238,6 +261,7 @@ class Node:
     lefts: np.ndarray | None = None
     children: tuple[int, int] | None = None
     value: float = 0.0
+    measured: Measured | None = None
 
 
 @dataclass
@@ -326,34 +350,86 @@ def _by_gain(nodes: list[Node], splits: list, limit: int) -> set[int]:
     return taken
 
 
+def _smaller(sums: np.ndarray, split: tuple) -> int:
+    """The side of a split with fewer rows, which is measured: 0 is left."""
+    return 0 if split[3] <= sums[0, :, 2].sum() - split[3] else 1
+
+
+def expected_left(sums: np.ndarray, feature: int, go: np.ndarray) -> np.ndarray:
+    """What the left side's histogram will be like: exact for the feature that is split, for
+    the others the node's own, in proportion, with slopes moved to the side's sum."""
+    whole, part = sums[feature].sum(axis=0), sums[feature, go].sum(axis=0)
+    share = part / np.where(whole == 0, 1.0, whole)
+    out = np.empty_like(sums)
+    out[..., 1:] = sums[..., 1:] * share[1:]
+    shift = (part[0] - whole[0] * share[1]) / part[1] if part[1] else 0.0
+    out[..., 0] = sums[..., 0] * share[1] + out[..., 1] * shift
+    out[feature] = np.where(go[:, None], sums[feature], 0.0)
+    return out
+
+
+def _planned(nodes: list[Node], splits: list, batch: list[int], categorical: np.ndarray,
+             growth: Growth):
+    """(tree, opened): the growing tree with the splits of the batch and, some levels ahead,
+    those its children are expected to take; the splits as (node, the side to measure)."""
+    nodes = [Node(n.sums, n.feature, n.lefts, n.children, measured=n.measured) for n in nodes]
+    splits, opened, level = list(splits), [], 0
+    while batch:
+        for i in batch:
+            _, feature, go, _ = splits[i]
+            opened.append((i, _smaller(nodes[i].sums, splits[i])))
+            nodes[i].feature, nodes[i].lefts = feature, go
+            nodes[i].children = (len(nodes), len(nodes) + 1)
+            left = expected_left(nodes[i].sums, feature, go)
+            nodes += [Node(left), Node(nodes[i].sums - left)]
+            splits += [best_split(n.sums, categorical, growth) for n in nodes[-2:]]
+        level += 1
+        taken = _by_gain(nodes, splits, growth.leaves - 1) if level <= AHEAD else ()
+        batch = sorted(i for i in taken if nodes[i].children is None and nodes[i].measured is None)
+        batch = batch[:max(0, MOST_NODES - len(opened))]
+    return Tree.of(nodes), opened
+
+
 def grow(root: np.ndarray, measure, categorical: np.ndarray, growth: Growth) -> Tree:
     """A tree grown by best gain to the limit of leaves.
 
     `measure(tree, wanted)` gives the histograms of some nodes of a growing tree in one pass
     over the rows. Growth is played through on the nodes known so far; all nodes it takes
     whose children are not known yet are split in one pass, until it takes none of these.
-    So there are about as many passes as levels. Of two children the one with fewer rows is
-    measured, and the other is what the parent has more.
+    Of two children the one with fewer rows is measured, and the other is what the parent has
+    more. A pass also measures, some levels ahead, the splits that the new children are
+    expected to take. A node's split is found from its own histogram only, so trees do not
+    depend on what was expected: what was measured for another split is dropped.
     """
     nodes = [Node(root)]
     splits = [best_split(root, categorical, growth)]
     while True:
         taken = _by_gain(nodes, splits, growth.leaves - 1)
-        batch = [i for i in taken if nodes[i].children is None]
+        batch = sorted(i for i in taken if nodes[i].children is None)
         if not batch:
             break
-        smaller = []
+        if not any(nodes[i].measured for i in batch):
+            tree, opened = _planned(nodes, splits, batch, categorical, growth)
+            found: dict[int, Measured] = {}
+            sums = measure(tree, [int(tree.children[i][side]) for i, side in opened])
+            # Children come after their parents.
+            for (i, side), own in reversed(list(zip(opened, sums))):
+                left, right = (found.get(c) for c in tree.children[i].tolist())
+                found[i] = Measured(int(tree.feature[i]), tree.lefts[i], side, own, (left, right))
+            for i in found.keys() & set(range(len(nodes))):
+                nodes[i].measured = found[i]
         for i in batch:
-            _, feature, go, rows = splits[i]
-            nodes[i].feature, nodes[i].lefts = feature, go
+            known = nodes[i].measured
+            if known is None:
+                continue
+            nodes[i].feature, nodes[i].lefts = splits[i][1:3]
             nodes[i].children = (len(nodes), len(nodes) + 1)
-            nodes += [Node(np.empty(0)), Node(np.empty(0))]
-            every = nodes[i].sums[0, :, 2].sum()
-            smaller.append(nodes[i].children[0 if rows <= every - rows else 1])
-        for i, own, sums in zip(batch, smaller, measure(Tree.of(nodes), smaller)):
-            other = sum(nodes[i].children) - own
-            nodes[own].sums, nodes[other].sums = sums, nodes[i].sums - sums
-            splits += [best_split(nodes[c].sums, categorical, growth) for c in nodes[i].children]
+            pair = [known.sums, nodes[i].sums - known.sums]
+            for own, ahead in zip(pair[::-1] if known.side else pair, known.ahead):
+                split = best_split(own, categorical, growth)
+                nodes.append(Node(own, measured=ahead if ahead and ahead.fits(own, split) else None))
+                splits.append(split)
+            nodes[i].measured = None
     order = [0]
     for i in order:
         if i in taken:

@@ -228,6 +228,59 @@ def test_a_pass_has_no_more_tasks_than_cores(spark, data, monkeypatch):
             spark.conf.set(key, value)
 
 
+def grown(bins, g, h, growth):
+    """(tree, passes) grown over rows in one block."""
+    passes = []
+
+    def histogram(rows):
+        out = np.zeros((len(bins), BINS, 3))
+        for f, own in enumerate(bins):
+            for c, x in enumerate((g, h, np.ones(len(g)))):
+                out[f, :, c] = np.bincount(own[rows], x[rows], BINS)
+        return out
+
+    def measure(tree, wanted):
+        found = dict(tree.members(bins, wanted))
+        passes.append(len(wanted))
+        return np.array([histogram(found[node]) for node in wanted])
+
+    categorical = np.array([False] * (len(bins) - 1) + [True])
+    return trees.grow(histogram(slice(None)), measure, categorical, growth), passes
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_splits_measured_ahead_leave_the_tree_as_it_is(monkeypatch, seed):
+    """Few passes where children split as expected, and the same tree in any case."""
+    rng = np.random.default_rng(seed)
+    bins = np.stack([rng.integers(1, 100, 6000), rng.integers(0, 30, 6000),
+                     rng.integers(0, 9, 6000)]).astype(np.uint8)
+    y = np.exp(bins[0] / 20) + (seed % 2) * rng.normal(size=6000) * bins[1]
+    growth = Growth(leaves=12, least_rows=20 + seed)
+    curvature = rng.uniform(0.5, 1.0, 6000)
+    tree, passes = grown(bins, 1.0 - y, curvature, growth)
+    depth = [0] * len(tree.feature)
+    for node in np.flatnonzero(tree.feature >= 0).tolist():
+        for child in tree.children[node].tolist():
+            depth[child] = depth[node] + 1
+    if seed % 2 == 0:
+        assert len(passes) < max(depth)
+    assert tree.leaves == 12 and max(passes) <= trees.MOST_NODES
+    monkeypatch.setattr(trees, "AHEAD", 0)
+    plain, more = grown(bins, 1.0 - y, curvature, growth)
+    assert len(passes) <= len(more)
+    for name in ("feature", "lefts", "children", "value"):
+        assert (getattr(tree, name) == getattr(plain, name)).all()
+
+
+def test_members_of_a_node_and_of_a_child_of_it():
+    bins = np.arange(40, dtype=np.uint8)[None]
+    low, half = np.arange(BINS) < 20, np.arange(BINS) < 10
+    tree = Tree(np.array([0, 0, -1, -1, -1]), np.array([low, half, low, low, low]),
+                np.array([(1, 2), (3, 4), (2, 2), (3, 3), (4, 4)]), np.zeros(5))
+    found = {node: rows.tolist() for node, rows in tree.members(bins, [1, 4])}
+    assert found == {1: list(range(20)), 4: list(range(10, 20))}
+
+
 def test_members_are_the_rows_of_the_leaves():
     """Walking the branches of some leaves finds the rows that end in them."""
     rng = np.random.default_rng(3)

@@ -181,14 +181,33 @@ def measured(state: RDD, loss: str, tree: Tree, wanted: list[int], sizes: list[i
         yield from enumerate(sums)
 
     found = dict(state.mapPartitions(run).reduceByKey(
-        np.add, min(1 + len(wanted) // REDUCED_NODES, REDUCERS)).collect())
+        np.add, min(1 + len(wanted) // REDUCED_NODES, REDUCERS)).mapValues(_narrow).collect())
     sums = np.zeros((len(wanted), len(sizes), BINS, 3))
     for slot in range(len(wanted)):
+        own = _wide(found[slot], edges[-1])
         for f, (low, high) in enumerate(zip(edges, edges[1:])):
-            sums[slot, f, :high - low] = found[slot][:, low:high].T
+            sums[slot, f, :high - low] = own[:, low:high].T
     return sums, found[-1]
 
 
+def _narrow(sums: np.ndarray):
+    """What goes to the driver of a node's sums: those of bins with rows, counts in few bytes."""
+    if sums.ndim == 1:
+        return sums
+    used = sums[2] > 0
+    counts = sums[2, used]
+    kind = np.min_scalar_type(int(counts.max(initial=0)))
+    return np.packbits(used), sums[:2, used], counts.astype(kind)
+
+
+def _wide(narrow: tuple, width: int) -> np.ndarray:
+    """The sums of all bins again."""
+    used = np.unpackbits(narrow[0], count=width).astype(bool)
+    out = np.zeros((3, width))
+    out[:2, used], out[2, used] = narrow[1:]
+    return out
+
+
 def histograms(state: DataFrame, loss: str, tree: Tree, wanted: list[int], width: int):
     """One pass over binned rows, as `measured`."""
     return measured(blocks(state, width), loss, tree, wanted, [BINS] * width)

@@ -22,7 +22,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BINS = 256
 CUTS = BINS - 2
 FEW = 400
-AHEAD = 3
+AHEAD = 2
 MOST_NODES = 32
 LEAST_CURVATURE = 1e-3
 

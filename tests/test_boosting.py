@@ -272,6 +272,15 @@ def test_splits_measured_ahead_leave_the_tree_as_it_is(monkeypatch, seed):
         assert (getattr(tree, name) == getattr(plain, name)).all()
 
 
+def test_sums_go_to_the_driver_without_empty_bins():
+    sums = np.zeros((3, 500))
+    sums[:, 7], sums[:, 499] = (-1.5, 0.25, 3), (2.0, 0.5, 70_000)
+    narrow = boosting._narrow(sums)
+    assert (boosting._wide(narrow, 500) == sums).all() and sum(x.nbytes for x in narrow) < 120
+    assert (boosting._wide(boosting._narrow(np.zeros((3, 9))), 9) == 0).all()
+    assert boosting._narrow(np.array([1.0, 2.0])).tolist() == [1.0, 2.0]
+
+
 def test_members_of_a_node_and_of_a_child_of_it():
     bins = np.arange(40, dtype=np.uint8)[None]
     low, half = np.arange(BINS) < 20, np.arange(BINS) < 10
